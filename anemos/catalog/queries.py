@@ -309,7 +309,7 @@ def label_mode(spark, sf_dir):
 
 @_query
 def tba_minutes(spark, sf_dir):
-    return availability.daily_minutes(_sums(spark, sf_dir))
+    return availability.daily_minutes(conditions.condition_sums(fx.telemetry(spark, sf_dir), "1 DAY"))
 
 
 @_query

@@ -37,20 +37,35 @@ class FormulaError(ValueError):
     """The formula uses an unknown column or something that is not supported."""
 
 
-def _conditional(text: str) -> str:
-    """Rewrite one outer ``c ? a : b`` into Python's own conditional."""
-    depth, mark = 0, None
-    for at, char in enumerate(text):
-        depth += (char == "(") - (char == ")")
-        if depth == 0 and char == "?" and mark is None:
-            mark, nested = at, 0
-        elif depth == 0 and mark is not None:
-            nested += char == "?"
-            if char == ":" and nested == 0:
-                test, yes, no = text[:mark], text[mark + 1 : at], text[at + 1 :]
-                return f"(({_conditional(yes)}) if ({test}) else ({_conditional(no)}))"
-            nested -= char == ":"
-    return text
+def _conditional(flat: str) -> str:
+    """Rewrite ``c ? a : b``, in text without parentheses, as Python's conditional."""
+    test, mark, rest = flat.partition("?")
+    if not mark:
+        return flat
+    open_marks = 0
+    for at, char in enumerate(rest):
+        if char == ":" and open_marks == 0:
+            return f"(({_conditional(rest[:at])}) if ({test}) else ({_conditional(rest[at + 1:])}))"
+        open_marks += (char == "?") - (char == ":")
+    return flat
+
+
+def _as_python(text: str) -> str:
+    """The formula in Python's spelling, worked out from the innermost parentheses."""
+    inner: list[str] = []
+
+    def put_aside(match: re.Match) -> str:
+        inner.append(f"({_conditional(match[1])})")
+        return f"\0{len(inner) - 1}\0"
+
+    while "(" in text and (rest := re.sub(r"\(([^()]*)\)", put_aside, text)) != text:
+        text = rest
+    text = _conditional(text)
+    while "\0" in text:
+        text = re.sub("\0(\\d+)\0", lambda match: inner[int(match[1])], text)
+    for pattern, word in _LOGIC_WORDS:
+        text = re.sub(pattern, word, text)
+    return text.strip()
 
 
 def formula_column(text: str, columns: Iterable[str]) -> Column:
@@ -88,11 +103,8 @@ def formula_column(text: str, columns: Iterable[str]) -> Column:
                 return F.when(build(test), build(body)).otherwise(build(orelse))
         raise FormulaError(f"not supported in a formula: {ast.unparse(node)!r}")
 
-    source = _conditional(text)
-    for pattern, word in _LOGIC_WORDS:
-        source = re.sub(pattern, word, source)
     try:
-        tree = ast.parse(source.strip(), mode="eval")
+        tree = ast.parse(_as_python(text.replace("\0", "")), mode="eval")
     except SyntaxError as error:
         raise FormulaError(f"cannot read formula {text!r}") from error
     return build(tree.body)

@@ -14,13 +14,14 @@ NORMAL = 120
 NO_DATA = 1000
 
 
-def condition_sums(df: DataFrame) -> DataFrame:
-    """Sums per turbine, five-minute window and label: the only pass over samples.
+def condition_sums(df: DataFrame, every: str = "5 MINUTE") -> DataFrame:
+    """Sums per turbine, window and label: the only pass over samples.
 
-    Five-minute rows, ten-minute rows and minutes per day are all sums of these
-    sums. Only five signals are read.
+    From five-minute sums, five-minute rows, ten-minute rows and minutes per day
+    are all made by adding up; for minutes alone, sums per day are enough. Only
+    the signals in use are read.
     """
-    window = time_bucket("time", "5 MINUTE").alias("w")
+    window = time_bucket("time", every).alias("w")
     return df.groupBy("turbine", window, F.col("MC531").alias("label")).agg(
         F.count("time").alias("samples"),
         F.sum("MC004").alias("wind_sum"),

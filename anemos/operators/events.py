@@ -191,37 +191,44 @@ def flatten_by_parent(events: DataFrame, max_depth: int = 64) -> DataFrame:
     """Events that name their parent in ``RelevantId``, with root, depth and path.
 
     ``path`` lists the ids from the root down; sorting by it puts each parent
-    before its related events. Level by level each child meets its parent in an
-    equi-join, and every level is written out, so a lost executor repeats one
-    level at most. An event whose parent is unknown is a root; events related
-    in a circle have no root. More than ``max_depth`` levels is an error.
+    before its related events. An event whose parent is unknown is a root.
+
+    Every event keeps the path up to its farthest known ancestor. In each round
+    it is joined to that ancestor and takes over its path, which doubles the
+    reach, so a few equi-joins do for any depth. Only events still on their way
+    take part; each round is written out, so a lost executor repeats one round.
+    Events deeper than ``max_depth``, or related in a circle, are an error.
     """
-    ids = events.select(F.col("MessageId").alias("_parent"))
-    has_parent = F.col("RelevantId").isNotNull() & (F.col("RelevantId") != "")
-    links = events.where(has_parent).select("MessageId", "RelevantId")
-    linked = links.join(ids.distinct(), F.col("RelevantId") == F.col("_parent"), "left_semi")
-    roots = events.select("MessageId").join(linked.select("MessageId"), "MessageId", "left_anti")
-    linked = materialize(linked, "event-links")
-    level = roots.select(
-        "MessageId", F.col("MessageId").alias("root_id"), F.lit(0).alias("depth"),
-        F.array("MessageId").alias("path"),
+    ancestor = F.nullif(F.col("RelevantId"), F.lit(""))
+    climbing = materialize(
+        events.select("MessageId", ancestor.alias("ancestor"), F.array("MessageId").alias("path")), "event-paths"
     )
-    placed = level = materialize(level, "event-level")
-    for depth in range(1, max_depth + 1):
-        parents = level.select(F.col("MessageId").alias("_parent"), "root_id", "path")
-        level = materialize(
-            linked.join(parents, F.col("RelevantId") == F.col("_parent")).select(
-                "MessageId", "root_id", F.lit(depth).alias("depth"),
-                F.concat("path", F.array("MessageId")).alias("path"),
+    arrived, reach = [climbing.where(F.col("ancestor").isNull())], 1
+    climbing = climbing.where(F.col("ancestor").isNotNull())
+    while not climbing.isEmpty():
+        if reach > 2 * max_depth:
+            raise ValueError(f"events are related over more than {max_depth} levels or in a circle")
+        known = climbing
+        for part in arrived:
+            known = known.unionByName(part)
+        known = known.select(
+            F.col("MessageId").alias("_id"), F.col("ancestor").alias("_next"), F.col("path").alias("_path")
+        )
+        moved = materialize(
+            climbing.join(known, F.col("ancestor") == F.col("_id"), "left").select(
+                "MessageId", F.col("_next").alias("ancestor"),
+                F.concat(F.coalesce("_path", F.slice("path", 1, 0)), "path").alias("path"),
             ),
-            "event-level",
+            "event-paths",
         )
-        if level.isEmpty():
-            break
-        placed = placed.unionByName(level)
-    else:
-        raise ValueError(f"events are related over more than {max_depth} levels")
-    return events.join(placed, "MessageId", "left")
+        arrived.append(moved.where(F.col("ancestor").isNull()))
+        climbing, reach = moved.where(F.col("ancestor").isNotNull()), reach * 2
+    paths = arrived[0]
+    for part in arrived[1:]:
+        paths = paths.unionByName(part)
+    return events.join(paths.select(
+        "MessageId", F.get("path", F.lit(0)).alias("root_id"), (F.size("path") - 1).alias("depth"), "path"
+    ), "MessageId")
 
 
 def select_fields(events: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:

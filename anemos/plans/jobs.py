@@ -99,7 +99,7 @@ def _after(end: dt.datetime, period: str) -> dt.date:
 
 def tba(samples: DataFrame, first: dt.date, last: dt.date, farm: str = "farm") -> DataFrame:
     """Minutes per turbine, day and condition over the days of a request."""
-    minutes = materialize(availability.daily_minutes(conditions.condition_sums(samples)), "daily-minutes")
+    minutes = materialize(availability.daily_minutes(conditions.condition_sums(samples, "1 DAY")), "daily-minutes")
     return availability.availability_calendar(minutes, first, last, farm)
 
 
