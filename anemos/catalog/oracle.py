@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ..functions.levels import CONFIRMED_TEXT, FIRST_TEXT, LEVEL_TEXT
 from ..operators import metrics
+from ..operators.curves import SEED, TREES, bootstrap_samples
 from ..operators.rollup import merge_rule
 from ..sources.lookups import CURVE_10MW, CURVE_8MW, CURVE_FIRST_WIND, CURVE_STEP
 from . import fixtures as fx
@@ -209,16 +210,19 @@ def _info():
     return "info", f"SELECT * FROM (VALUES {', '.join(rows)}) AS i(turbine, turbine_type, cut_in, cut_out)"
 
 
-def _expected(source):
+_LINE = """CASE WHEN wind_speed <= 3e0 THEN (SELECT min(y0) FROM curve WHERE kind = turbine_type)
+    ELSE (SELECT max(y0 + (wind_speed - x0) * (y1 - y0) / (x1 - x0)) FROM curve
+          WHERE kind = turbine_type AND wind_speed >= x0 AND wind_speed < x1) END"""
+
+
+def _expected(source, power=_LINE):
     """Rows with energy by their own curve and, for 10MW turbines, by a second one (the same curve)."""
     return [
         _curves(), _info(),
         ("placed", f"""
             SELECT r.*, i.turbine_type, cut_in, cut_out,
               CASE WHEN greatest(wind_speed, 0e0) <= 8e-1 * cut_in OR wind_speed >= cut_out THEN 0e0
-                   WHEN wind_speed <= 3e0 THEN (SELECT min(y0) FROM curve WHERE kind = turbine_type)
-                   ELSE (SELECT max(y0 + (wind_speed - x0) * (y1 - y0) / (x1 - x0)) FROM curve
-                         WHERE kind = turbine_type AND wind_speed >= x0 AND wind_speed < x1) END AS curve_power
+                   ELSE {power} END AS curve_power
             FROM ({source}) AS r JOIN info AS i ON i.turbine = r.turbine"""),
         ("expected", """
             SELECT *, curve_power * seconds / 3600e0 AS expected,
@@ -227,6 +231,28 @@ def _expected(source):
     ]
 
 
+def _forest():
+    """The nearest sampled point per tree, found for every wind speed by comparing all points."""
+    drawn = bootstrap_samples(len(CURVE_8MW), TREES, SEED)
+    values = ", ".join(f"({tree}, {CURVE_FIRST_WIND + CURVE_STEP * i}e0, {i})"
+                       for tree, row in enumerate(drawn) for i, taken in enumerate(row) if taken)
+    powers = ", ".join(f"('{kind}', {i}, {power}e0)" for kind, curve in (("8MW", CURVE_8MW), ("10MW", CURVE_10MW))
+                       for i, power in enumerate(curve))
+    return [
+        ("taken", f"SELECT * FROM (VALUES {values}) AS t(tree, x, i)"),
+        ("points", f"SELECT * FROM (VALUES {powers}) AS p(kind, i, y)"),
+        ("winds", """SELECT DISTINCT CAST(CAST(wind_speed AS FLOAT) AS DOUBLE) AS wind FROM five"""),
+        ("nearest", """
+            SELECT wind, tree, i FROM (
+              SELECT wind, tree, i, row_number() OVER (
+                PARTITION BY wind, tree ORDER BY abs(x - least(greatest(wind, 3e0), 25e0)), x) AS rn
+              FROM winds CROSS JOIN taken) WHERE rn = 1"""),
+        ("fitted", "SELECT kind, wind, avg(y) AS power FROM nearest JOIN points USING (i) GROUP BY 1, 2"),
+    ]
+
+
+_FOREST = """(SELECT max(power) FROM fitted
+              WHERE kind = turbine_type AND wind = CAST(CAST(wind_speed AS FLOAT) AS DOUBLE))"""
 BOTH = "SELECT * FROM five UNION ALL SELECT * FROM ten"
 PEERS = ("peers", """
     WITH winds AS (SELECT turbine_type, turbine, avg(wind_speed) AS wind FROM expected
@@ -397,6 +423,9 @@ def oracle_sql() -> dict[str, str]:
         "pba_ten_minute": _with(T, TEN_ROWS, select=f"SELECT {_row_columns()} FROM ten"),
         "pba_expected": _with(T, MODE, FIVE_ROWS, *_expected("SELECT * FROM five"),
                               select=f"SELECT {_row_columns(*_INFO_COLUMNS)} FROM expected"),
+        "pba_expected_forest": _with(
+            T, MODE, FIVE_ROWS, *_forest(), *_expected("SELECT * FROM five", _FOREST),
+            select=f"SELECT {_row_columns(*_INFO_COLUMNS)} FROM expected"),
         "pba_nearest_peers": _with(T, MODE, FIVE_ROWS, *_expected("SELECT * FROM five"), PEERS, select=f"""
             SELECT method, turbine_type, turbine, {_r('wind', 'wind')}, nearest, second FROM peers"""),
         "pba_potential": _potential("five_minute"),

@@ -327,9 +327,9 @@ def pba_ten_minute(spark, sf_dir):
     return energy.ten_minute_rows(_sums(spark, sf_dir))
 
 
-def _expected(spark, rows):
+def _expected(spark, rows, fit="line"):
     second = standard_curves(spark).where("turbine_type = '10MW'")
-    return energy.with_expected(rows, fx.turbine_info(spark), standard_curves(spark), second)
+    return energy.with_expected(rows, fx.turbine_info(spark), standard_curves(spark), second, fit)
 
 
 @_query
@@ -337,6 +337,11 @@ def pba_expected(spark, sf_dir):
     return _expected(spark, energy.five_minute_rows(_sums(spark, sf_dir)))
 
 
+@_query
+def pba_expected_forest(spark, sf_dir):
+    return _expected(spark, energy.five_minute_rows(_sums(spark, sf_dir)), "forest")
+
+
 def _energy_rows(spark, sf_dir):
     sums = materialize(_sums(spark, sf_dir), "condition-sums")
     both = energy.five_minute_rows(sums).unionByName(energy.ten_minute_rows(sums))

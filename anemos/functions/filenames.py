@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .buckets import time_bucket
-
 # The two patterns file names follow.
 DEVICE_PATTERN = r"^([A-Z0-9]+)_([0-9]+)_"
 TIME_PATTERN = r"\d{12}"
@@ -27,4 +25,6 @@ def sample_time_of(path: Column) -> Column:
 
 def report_time_of(path: Column) -> Column:
     """The ten-minute report a file belongs to."""
-    return time_bucket(sample_time_of(path), "10 MINUTE")
+    time = sample_time_of(path)
+    minutes = F.floor(F.minute(time) / 10) * 10
+    return F.date_trunc("HOUR", time).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), minutes.cast("int"))

@@ -1,102 +1,126 @@
-"""Power curves: wind speed → power."""
+"""Power curves: wind speed → power.
+
+A curve is a few points (turbine_type, wind, power). It is cut into pieces, each
+straight over a range of wind speeds, and rows find their piece by an equality
+on a wind bin, so that no row is compared with all pieces.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CURVE_SCHEMA = "turbine_type string, wind double, power double"
-INFO_SCHEMA = "turbine string, turbine_type string, cut_in double, cut_out double"
+PIECE_SCHEMA = "turbine_type string, x0 double, x1 double, y0 double, y1 double"
 CUT_IN, CUT_OUT = 3.0, 25.0
 LOW_WIND = 0.8
+BIN = 0.5
+TREES, SEED = 50, 45
+
+
+def line_pieces(curves: DataFrame) -> DataFrame:
+    """Straight lines between the points of each curve."""
+    along = Window.partitionBy("turbine_type").orderBy("wind")
+    before = F.lag("wind").over(along)
+    return curves.dropna().select(
+        "turbine_type",
+        F.coalesce(before, F.col("wind") - BIN).alias("x0"),
+        F.col("wind").alias("x1"),
+        F.coalesce(F.lag("power").over(along), F.col("power")).alias("y0"),
+        F.col("power").alias("y1"),
+    )
 
 
-def curve_segments(curves: DataFrame, step: float = 0.5) -> DataFrame:
-    """Straight pieces of each curve with the wind bins they touch.
+def bootstrap_samples(points: int, trees: int, seed: int) -> np.ndarray:
+    """Which points each tree of a seeded forest is grown on: trees × points.
 
-    (turbine_type, bin, x0, x1, y0, y1, lowest, highest): a wind speed finds its
-    piece by an equality on the bin, with one or two candidates, whatever the
-    spacing of the curve. ``curves`` holds a few points per turbine type.
+    The draws are those of scikit-learn: a generator made from the seed gives
+    every tree its own seed, and that seed draws the points with replacement.
     """
-    by_type = Window.partitionBy("turbine_type")
-    along = by_type.orderBy("wind")
-    pieces = curves.dropna().select(
-        "turbine_type",
-        F.col("wind").alias("x0"),
-        F.col("power").alias("y0"),
-        F.coalesce(F.lead("wind").over(along), F.col("wind") + step).alias("x1"),
-        F.coalesce(F.lead("power").over(along), F.col("power")).alias("y1"),
-        F.min("wind").over(by_type).alias("lowest"),
-        F.max("wind").over(by_type).alias("highest"),
+    seeds = np.random.RandomState(seed)
+    drawn = np.zeros((trees, points), dtype=bool)
+    for tree in range(trees):
+        own = np.random.RandomState(seeds.randint(np.iinfo(np.int32).max))
+        drawn[tree, own.randint(0, points, points)] = True
+    return drawn
+
+
+def forest_pieces(curves: DataFrame, trees: int = TREES, seed: int = SEED) -> DataFrame:
+    """The curves as a regression forest over wind speed fits them.
+
+    A tree grown to the end gives every wind the power of the nearest point it
+    was grown on, and the lower one half way, so the forest is the mean of that
+    over its trees: constant between the midpoints of pairs of points. One small
+    task per turbine type, on the points of its curve alone.
+    """
+    def fit(points: pd.DataFrame) -> pd.DataFrame:
+        # points stay in table order: which of them a tree draws depends on it
+        wind = points["wind"].to_numpy(dtype=np.float32).astype(float)
+        power = points["power"].to_numpy()
+        edges = np.unique((wind[:, None] + wind[None, :]) / 2)
+        edges = np.concatenate([[wind.min() - BIN], edges[edges >= wind.min()]])
+        centers = (edges[:-1] + edges[1:]) / 2
+        centers[0] = wind.min()
+        fitted = np.zeros(len(centers))
+        for drawn in bootstrap_samples(len(wind), trees, seed):
+            order = np.argsort(wind[drawn], kind="stable")
+            x, y = wind[drawn][order], power[drawn][order]
+            fitted += y[np.searchsorted((x[:-1] + x[1:]) / 2, centers, side="left")]
+        fitted /= trees
+        return pd.DataFrame({
+            "turbine_type": points["turbine_type"].iloc[0],
+            "x0": edges[:-1], "x1": edges[1:], "y0": fitted, "y1": fitted,
+        })
+
+    return curves.dropna().groupBy("turbine_type").applyInPandas(
+        lambda points: fit(points.sort_values("wind")), PIECE_SCHEMA
     )
-    bins = F.sequence(F.floor(F.col("x0") / step), F.floor(F.col("x1") / step))
-    return pieces.withColumn("bin", F.explode(bins))
 
 
-def expected_power(rows: DataFrame, curves: DataFrame, wind: str, power: str, step: float = 0.5) -> DataFrame:
-    """Add ``power`` read off the curve of the row's type by linear interpolation.
+FITS = {"line": line_pieces, "forest": forest_pieces}
+
 
-    Below its first point a curve gives the first power, above its last point the
-    last; wind below 0 counts as 0. At or below 0.8 × cut-in, and from cut-out
-    on, power is 0. Rows need ``turbine_type``, ``cut_in`` and ``cut_out``; a type
-    without a curve gets null.
+def expected_power(rows: DataFrame, curves: DataFrame, wind: str, power: str, fit: str = "line") -> DataFrame:
+    """Add ``power``, read off the curve of the row's type.
+
+    Below its first point a curve gives the power of that point, above its last
+    point the last; wind below 0 counts as 0. At or below 0.8 × cut-in, and from
+    cut-out on, power is 0. Rows need ``turbine_type``, ``cut_in`` and
+    ``cut_out``; a type without a curve gets null.
     """
-    pieces = curve_segments(curves, step)
-    ends = pieces.groupBy("turbine_type").agg(
-        F.first("lowest").alias("_lowest"), F.first("highest").alias("_highest")
+    if fit not in FITS:
+        raise ValueError(f"unknown fit {fit!r}; use one of {', '.join(FITS)}")
+    pieces = FITS[fit](curves)
+    ends = pieces.groupBy(F.col("turbine_type").alias("_type")).agg(
+        F.min("x1").alias("_lowest"), F.max("x1").alias("_highest")
     )
-    clamped = F.least(F.greatest(F.col(wind), F.lit(0.0), F.col("_lowest")), F.col("_highest"))
-    placed = (
-        rows.join(ends, "turbine_type", "left")
-        .withColumn("_wind", F.when(F.col(wind).isNotNull(), clamped))
-        .withColumn("_bin", F.floor(F.col("_wind") / step))
+    binned = pieces.select(
+        F.col("turbine_type").alias("_curve"), "x0", "x1", "y0", "y1",
+        F.explode(F.sequence(_bin(F.col("x0")), _bin(F.col("x1")))).alias("_bin"),
+    )
+    real = F.greatest(F.col(wind), F.lit(0.0))
+    # a forest reads wind speeds in single precision
+    seen = real.cast("float").cast("double") if fit == "forest" else real
+    inside = F.least(F.greatest(seen, F.col("_lowest")), F.col("_highest"))
+    placed = rows.join(ends, F.col("turbine_type") == F.col("_type"), "left").withColumn(
+        "_wind", F.when(F.col(wind).isNotNull(), inside)
     )
-    pieces = pieces.withColumnRenamed("turbine_type", "_type")
     found = placed.join(
-        pieces,
-        (F.col("turbine_type") == F.col("_type"))
-        & (F.col("_bin") == F.col("bin"))
-        & (F.col("_wind") >= F.col("x0"))
-        & (F.col("_wind") < F.col("x1")),
+        binned,
+        (F.col("turbine_type") == F.col("_curve"))
+        & (_bin(F.col("_wind")) == F.col("_bin"))
+        & (F.col("_wind") > F.col("x0"))
+        & (F.col("_wind") <= F.col("x1")),
         "left",
     )
-    on_line = F.col("y0") + (F.col("_wind") - F.col("x0")) * (F.col("y1") - F.col("y0")) / (F.col("x1") - F.col("x0"))
-    real = F.greatest(F.col(wind), F.lit(0.0))
+    slope = (F.col("y1") - F.col("y0")) / (F.col("x1") - F.col("x0"))
+    on_piece = F.col("y0") + (F.col("_wind") - F.col("x0")) * slope
     idle = (real <= LOW_WIND * F.col("cut_in")) | (real >= F.col("cut_out"))
-    value = F.when(F.col("y0").isNotNull() & F.col(wind).isNotNull(), F.when(idle, 0.0).otherwise(on_line))
+    value = F.when(F.col("x0").isNotNull(), F.when(idle, 0.0).otherwise(on_piece))
     return found.select(*rows.columns, value.alias(power))
 
 
-def forest_curve(curves: DataFrame, trees: int = 50, seed: int = 45) -> DataFrame:
-    """The curves as a regression forest sees them, as finer step curves.
-
-    One small model is fitted per turbine type on its points alone. A forest over
-    one feature is constant between the midpoints of neighbouring points, so its
-    value at each point is all there is to know; each point is spread over its
-    own step, which makes the result usable like any other curve.
-    """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import RandomForestRegressor
-
-    spark = curves.sparkSession
-    points = curves.dropna()
-    result = None
-    for (kind,) in points.select("turbine_type").distinct().collect():
-        own = VectorAssembler(inputCols=["wind"], outputCol="features").transform(
-            points.where(F.col("turbine_type") == kind)
-        )
-        forest = RandomForestRegressor(
-            featuresCol="features", labelCol="power", numTrees=trees, seed=seed, maxBins=256
-        ).fit(own)
-        along = Window.partitionBy("turbine_type").orderBy("wind")
-        fitted = forest.transform(own).select(
-            "turbine_type", "wind", F.col("prediction").alias("power"),
-            F.lag("wind").over(along).alias("before"), F.lead("wind").over(along).alias("after"),
-        )
-        gap = 1e-9
-        steps = fitted.select("turbine_type", "power", F.explode(F.array(
-            F.coalesce((F.col("before") + F.col("wind")) / 2, F.col("wind")),
-            F.coalesce((F.col("after") + F.col("wind")) / 2 - gap, F.col("wind")),
-        )).alias("wind")).select("turbine_type", "wind", "power").distinct()
-        result = steps if result is None else result.unionByName(steps)
-    return result if result is not None else spark.createDataFrame([], CURVE_SCHEMA)
+def _bin(wind: Column) -> Column:
+    return F.floor(wind / BIN)

@@ -58,14 +58,14 @@ def with_turbine_info(rows: DataFrame, info: DataFrame) -> DataFrame:
 
 
 def with_expected(rows: DataFrame, info: DataFrame, curves: DataFrame,
-                  international: DataFrame | None = None) -> DataFrame:
+                  international: DataFrame | None = None, fit: str = "line") -> DataFrame:
     """Add expected energy by the type's curve and by a second, international curve
-    (0 where there is none)."""
-    rows = expected_power(with_turbine_info(rows, info), curves, "wind_speed", "_power")
+    (0 where there is none). ``fit`` is how curves are read between their points."""
+    rows = expected_power(with_turbine_info(rows, info), curves, "wind_speed", "_power", fit)
     rows = rows.withColumn("expected", F.col("_power") * F.col("seconds") / HOUR).drop("_power")
     if international is None:
         return rows.withColumn("intl_expected", F.lit(0.0))
-    rows = expected_power(rows, international, "wind_speed", "_power")
+    rows = expected_power(rows, international, "wind_speed", "_power", fit)
     return rows.withColumn("intl_expected", F.coalesce(F.col("_power") * F.col("seconds") / HOUR, F.lit(0.0))).drop("_power")
 
 

@@ -51,6 +51,21 @@ class EventQuery:
     order: str = "asc"
 
 
+def _moment(events: DataFrame, name: str) -> Column:
+    """A time of an event, which messages hold in milliseconds since 1970."""
+    column = F.col(name)
+    if isinstance(events.schema[name].dataType, T.IntegralType):
+        column = F.timestamp_millis(column)
+    return column.cast("timestamp_ntz")
+
+
+def _bound(events: DataFrame, moment: dt.datetime) -> Column:
+    """A range bound in the unit of ``StartTime``, so that it reaches the scan."""
+    if isinstance(events.schema["StartTime"].dataType, T.IntegralType):
+        return F.lit(int(moment.replace(tzinfo=dt.timezone.utc).timestamp() * 1000))
+    return naive(moment)
+
+
 def filter_events(events: DataFrame, query: EventQuery) -> DataFrame:
     """Events that meet all conditions of the query; the page is not applied."""
     wanted = F.lit(True)
@@ -61,9 +76,9 @@ def filter_events(events: DataFrame, query: EventQuery) -> DataFrame:
     if query.levels:
         wanted = wanted & F.col("EventLevel").isin(*query.levels)
     if query.start is not None:
-        wanted = wanted & (F.col("StartTime") >= naive(query.start))
+        wanted = wanted & (F.col("StartTime") >= _bound(events, query.start))
     if query.end is not None:
-        wanted = wanted & (F.col("StartTime") < naive(query.end))
+        wanted = wanted & (F.col("StartTime") < _bound(events, query.end))
     events = events.where(wanted)
     if not query.devices:
         return events
@@ -79,7 +94,8 @@ def filter_events(events: DataFrame, query: EventQuery) -> DataFrame:
 
 def open_events(events: DataFrame, query: EventQuery) -> DataFrame:
     """Events that have not ended, of all farms of the query in one scan."""
-    return filter_events(events, query).where(F.col("EndTime").isNull())
+    never = naive(dt.datetime(1970, 1, 1))
+    return filter_events(events, query).where(F.coalesce(_moment(events, "EndTime"), never) == never)
 
 
 def page_of(events: DataFrame, page: int, size: int, order: str = "asc", shallow: int = SHALLOW_ROWS) -> DataFrame:
@@ -98,7 +114,7 @@ def page_of(events: DataFrame, page: int, size: int, order: str = "asc", shallow
     keys = [direction("StartTime"), direction("MessageId")]
     if skipped + size <= shallow:
         return events.orderBy(*keys).offset(skipped).limit(size)
-    minute = F.date_trunc("MINUTE", F.col("StartTime"))
+    minute = F.date_trunc("MINUTE", _moment(events, "StartTime"))
     minutes = events.groupBy(minute.alias("_at")).agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.orderBy(direction("_at")).rowsBetween(Window.unboundedPreceding, -1)
     touched = (
@@ -138,13 +154,7 @@ def decode(events: DataFrame) -> DataFrame:
 
     The confirmation time as text is empty unless the event is confirmed.
     """
-    def moment(name: str) -> Column:
-        column = F.col(name)
-        if isinstance(events.schema[name].dataType, T.IntegralType):
-            column = F.timestamp_millis(column)
-        return column.cast("timestamp_ntz")
-
-    events = events.withColumns({name: moment(name) for name in _TIMES if name in events.columns})
+    events = events.withColumns({name: _moment(events, name) for name in _TIMES if name in events.columns})
     confirmed = F.when(F.col("Confirmed") == 1, time_text(F.col("ConfirmedTime"))).otherwise("")
     return events.withColumns({
         "EventLevelStr": level_text(F.col("EventLevel")),

@@ -35,11 +35,10 @@ def file_totals(df: DataFrame) -> DataFrame:
         report_time_of(path),
         F.raise_error(F.concat(F.lit("no report time in path "), path)).cast("timestamp_ntz"),
     )
-    keyed = df.select("*", time.alias("Time"), device_of(F.col("_metadata.file_name")).alias("DeviceName"))
-    return _aggregate(keyed, list(KEYS))
+    return _aggregate(df, [time.alias("Time"), device_of(F.col("_metadata.file_name")).alias("DeviceName")])
 
 
-def _aggregate(df: DataFrame, keys: Sequence[Column | str]) -> DataFrame:
+def _aggregate(df: DataFrame, keys: Sequence[Column]) -> DataFrame:
     return df.groupBy(*keys).agg(*[column.alias(name) for name, column in metrics.totals().items()])
 
 

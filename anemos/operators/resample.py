@@ -37,17 +37,17 @@ def in_range(df: DataFrame, start: dt.datetime | None, end: dt.datetime | None,
 
 
 def aggregate_columns(signals: Mapping[str, Sequence[str]], columns: Sequence[str],
-                      titles: Mapping[str, str]) -> list[Column]:
+                      titles: Mapping[str, str]) -> dict[str, Column]:
     """One column per requested signal and aggregate, named title + aggregate.
 
     Requested columns without an aggregate are left out.
     """
-    result = []
+    result = {}
     for column in columns:
         for name in signals.get(column, ()):
             if name.lower() not in AGGREGATES:
                 raise ValueError(f"unknown aggregate {name!r}; use one of {', '.join(AGGREGATES)}")
-            result.append(AGGREGATES[name.lower()](column).alias(titles.get(column, column) + name))
+            result[titles.get(column, column) + name] = AGGREGATES[name.lower()](column)
     if not result:
         raise ValueError("no column with an aggregate was requested")
     return result
@@ -70,6 +70,7 @@ def resample(
     return (
         in_range(df, start, end, devices)
         .groupBy(time_bucket("time", every).alias("interval"), "turbine")
-        .agg(*aggregates)
+        .agg(*[column.alias(name) for name, column in aggregates.items()])
         .orderBy("interval", "turbine")
+        .select("interval", *aggregates, "turbine")
     )

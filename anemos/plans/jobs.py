@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.buckets import naive, time_bucket
-from ..operators import availability, conditions, curves, energy, events, metrics, reports, rollup, schemas
+from ..operators import availability, conditions, energy, events, metrics, reports, rollup, schemas
 from ..session import materialize
 from ..sinks import csv, tables
 
@@ -104,28 +104,25 @@ def tba(samples: DataFrame, first: dt.date, last: dt.date, farm: str = "farm") -
 
 
 def pba_rows(sums: DataFrame, info: DataFrame, curve_points: DataFrame,
-             international: DataFrame | None = None) -> DataFrame:
+             international: DataFrame | None = None, fit: str = "forest") -> DataFrame:
     """Five-minute and ten-minute rows with expected energy, as a table."""
     both = energy.five_minute_rows(sums).unionByName(energy.ten_minute_rows(sums))
-    return materialize(energy.with_expected(both, info, curve_points, international), "energy-rows")
+    return materialize(energy.with_expected(both, info, curve_points, international, fit), "energy-rows")
 
 
 def tba_and_pba(
     samples: DataFrame, info: DataFrame, curve_points: DataFrame, first: dt.date, last: dt.date,
-    farm: str = "farm", international: DataFrame | None = None, forest: bool = False,
+    farm: str = "farm", international: DataFrame | None = None, fit: str = "forest",
 ) -> tuple[DataFrame, DataFrame]:
     """Both availability tables. Samples are read once: everything is made from
     the sums per turbine, five minutes and label.
 
-    ``forest=True`` evaluates the curves through a regression forest instead of
-    straight lines between their points.
+    ``fit`` tells how curves are read between their points: through a regression
+    forest, or along straight lines (``"line"``).
     """
-    if forest:
-        curve_points = curves.forest_curve(curve_points)
-        international = curves.forest_curve(international) if international is not None else None
     sums = materialize(conditions.condition_sums(samples), "condition-sums")
     minutes = materialize(availability.daily_minutes(sums), "daily-minutes")
-    rows = pba_rows(sums, info, curve_points, international)
+    rows = pba_rows(sums, info, curve_points, international, fit)
     return (
         availability.availability_calendar(minutes, first, last, farm),
         energy.daily_energy(energy.with_potential(rows), farm),
@@ -134,10 +131,12 @@ def tba_and_pba(
 
 def export_events(messages: DataFrame, query: events.EventQuery, columns: Sequence[Mapping[str, str]],
                   path: str, realtime: bool = False) -> None:
-    """Filter, flatten and decode event messages and write them as CSV."""
+    """Filter, flatten and decode event messages and write them as CSV.
+
+    Conditions and the page apply to messages; related events come along.
+    """
     events.check_columns(columns)
-    decoded = events.decode(messages)
-    found = events.open_events(decoded, query) if realtime else events.history(decoded, query)
+    found = events.open_events(messages, query) if realtime else events.history(messages, query)
     flat = events.flatten_nested(found) if "Relevant" in found.columns else found
     csv.write_layout(csv.event_layout(events.decode(flat), columns), path)
 

@@ -57,11 +57,10 @@ def write_layout(layout: DataFrame, path: str) -> None:
 
 def write_resampled(df: DataFrame, path: str, per_device: bool = False) -> None:
     """Resampled signals as CSV: one folder, or one folder per turbine."""
+    writer = df.write
     if per_device:
-        df = df.withColumn("device", F.col("turbine"))
-        df.write.mode("overwrite").partitionBy("device").csv(path, header=True)
-    else:
-        df.write.mode("overwrite").csv(path, header=True)
+        writer = df.withColumn("device", F.col("turbine")).write.partitionBy("device")
+    writer.mode("overwrite").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path, header=True)
 
 
 def write_reports(rows: DataFrame, titles: Mapping[str, str], path: str, merge: bool = True) -> None:

@@ -1,0 +1,243 @@
+"""Sources, sinks, merges."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import duckdb
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from anemos import sinks, sources
+from anemos.operators import duplicates, reports, resample, schemas
+from anemos.plans import jobs
+
+DAY = dt.date(2024, 1, 9)
+
+
+def write_parquet(path, **columns):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    pq.write_table(pa.table(columns), path)
+    return str(path)
+
+
+def times(*minutes, day=DAY):
+    start = dt.datetime.combine(day, dt.time())
+    return pa.array([start + dt.timedelta(minutes=m) for m in minutes], pa.timestamp("us"))
+
+
+def test_types_of_files(spark, tmp_path):
+    arrays = {
+        "i8": pa.array([1], pa.int8()), "i16": pa.array([1], pa.int16()), "i32": pa.array([1], pa.int32()),
+        "i64": pa.array([1], pa.int64()), "u8": pa.array([1], pa.uint8()), "u16": pa.array([1], pa.uint16()),
+        "u32": pa.array([1], pa.uint32()), "u64": pa.array([2**64 - 1], pa.uint64()),
+        "f32": pa.array([1], pa.float32()), "f64": pa.array([1], pa.float64()), "b": pa.array([True]),
+        "s": pa.array(["x"]), "bin": pa.array([b"x"], pa.binary()), "d32": pa.array([DAY], pa.date32()),
+        "ts": times(1), "dec": pa.array([1], pa.decimal128(9, 2)), "list": pa.array([[1]], pa.list_(pa.int32())),
+    }
+    path = write_parquet(tmp_path / "t.parquet", **arrays)
+    df = spark.read.parquet(path)
+    assert dict(df.dtypes) == {
+        "i8": "tinyint", "i16": "smallint", "i32": "int", "i64": "bigint", "u8": "smallint", "u16": "int",
+        "u32": "bigint", "u64": "decimal(20,0)", "f32": "float", "f64": "double", "b": "boolean", "s": "string",
+        "bin": "binary", "d32": "date", "ts": "timestamp_ntz", "dec": "decimal(9,2)", "list": "array<int>",
+    }
+    assert df.first()["u64"] == 2**64 - 1
+
+
+def test_merge_files_with_other_columns(spark, tmp_path):
+    first = write_parquet(tmp_path / "WF01_001_a.parquet", time=times(3, 1), wind=[3.0, 1.0], x=[1, 1])
+    second = write_parquet(tmp_path / "WF01_001_b.parquet", time=times(2), power=[7.0])
+    target = str(tmp_path / "merged")
+    jobs.merge_files(spark, first, second, target)
+    merged = spark.read.parquet(target)
+    assert set(merged.columns) == {"time", "wind", "power"}
+    rows = merged.orderBy("time").select("wind", "power").collect()
+    assert [tuple(r) for r in rows] == [(1.0, None), (None, 7.0), (3.0, None)]
+
+
+def test_merge_into_an_input(spark, tmp_path):
+    first = write_parquet(tmp_path / "day" / "a.parquet", time=times(5), wind=[5.0]).removesuffix("/a.parquet")
+    second = write_parquet(tmp_path / "b.parquet", time=times(4), wind=[4.0])
+    jobs.merge_files(spark, first, second, first)
+    assert [r.wind for r in spark.read.parquet(first).orderBy("time").collect()] == [4.0, 5.0]
+    jobs.merge_files(spark, None, second, str(tmp_path / "copy"))
+    assert spark.read.parquet(str(tmp_path / "copy")).count() == 1
+
+
+def test_merge_refuses_two_types(spark):
+    left = spark.createDataFrame([(1, 2.0)], "id int, v double")
+    right = spark.createDataFrame([("1", 2, "z")], "id string, v int, w string")
+    with pytest.raises(schemas.SchemaConflict) as caught:
+        schemas.merge_by_name(left, right)
+    assert caught.value.conflicts == (("id", "int", "string"), ("v", "double", "int"))
+
+
+def test_sorted_table_is_in_time_order(spark, telemetry, tmp_path):
+    sinks.write_sorted(telemetry.select("time", "turbine"), str(tmp_path / "t"), partitions=4)
+    bounds = (spark.read.parquet(str(tmp_path / "t")).groupBy(F.input_file_name().alias("f"))
+              .agg(F.min("time").alias("a"), F.max("time").alias("z")).orderBy("f").collect())
+    assert len(bounds) > 1 and all(x.z <= y.a for x, y in zip(bounds, bounds[1:]))
+
+
+def test_device_day_reads_one_day(spark, stored_telemetry, telemetry):
+    got = sources.scan_device_day(spark.read.parquet(stored_telemetry), "WF01_002", DAY)
+    want = telemetry.where((F.col("turbine") == "WF01_002") & (F.to_date("time") == F.lit(DAY)))
+    assert got.count() == want.count() > 0
+
+
+def test_scan_range_is_closed(spark, stored_telemetry, telemetry):
+    first, last = [r.time for r in telemetry.orderBy("time").limit(40).collect()][9::30]
+    got = sources.scan_telemetry(spark, stored_telemetry, start=first, end=last)
+    assert got.count() == 31
+    assert sources.scan_telemetry(spark, stored_telemetry, devices=[]).count() == 0
+
+
+def test_day_folders(spark, tmp_path):
+    for day in (DAY, DAY + dt.timedelta(days=1), DAY + dt.timedelta(days=9)):
+        for device in ("WF01_001", "WF01_002"):
+            write_parquet(tmp_path / f"{day:%Y%m%d}" / f"{device}_x.parquet", time=times(1, day=day), turbine=[device])
+    got = sources.scan_day_folders(spark, str(tmp_path), DAY, DAY + dt.timedelta(days=3), ["WF01_002"], ["turbine", "time"])
+    assert [(r.turbine, r.time.day) for r in got.orderBy("time").collect()] == [("WF01_002", 9), ("WF01_002", 10)]
+    everything = sources.scan_day_folders(spark, str(tmp_path), DAY, DAY + dt.timedelta(days=30))
+    assert everything.count() == 6
+    assert sources.scan_files_named(spark, str(tmp_path / f"{DAY:%Y%m%d}"), "001", ["turbine"]).count() == 1
+
+
+def test_arriving_files(spark, telemetry, tmp_path):
+    base = telemetry.where("turbine = 'WF01_001'").limit(20).toPandas()
+    for name in ("WF01_007_202404101537_x", "WF01_008_202404101549_x"):
+        path = tmp_path / "in" / f"{name}.parquet"
+        path.parent.mkdir(exist_ok=True)
+        pq.write_table(pa.Table.from_pandas(base, preserve_index=False), path, coerce_timestamps="us")
+    folder = str(tmp_path / "in")
+    keyed = sources.scan_arrivals(spark, folder).select("file_device", "file_time").distinct()
+    assert {(r.file_device, r.file_time.minute) for r in keyed.collect()} == {("WF01_007", 37), ("WF01_008", 49)}
+    made = jobs.arrival_reports(spark.read.parquet(folder))
+    rows = made["SummaryReport"].orderBy("Time").collect()
+    assert [(r.DeviceName, r.Time, r.Count) for r in rows] == [
+        ("WF01_007", dt.datetime(2024, 4, 10, 15, 30), 20), ("WF01_008", dt.datetime(2024, 4, 10, 15, 40), 20)]
+
+
+def test_a_file_without_a_time_is_an_error(spark, telemetry, tmp_path):
+    telemetry.limit(1).write.parquet(str(tmp_path / "x"))
+    with pytest.raises(Exception, match="no report time"):
+        reports.file_totals(spark.read.parquet(str(tmp_path / "x"))).collect()
+
+
+def test_store_replaces_days(spark, telemetry, tmp_path):
+    store = str(tmp_path / "store")
+    made = jobs.ten_minute_reports(telemetry)
+    for _ in range(2):
+        jobs.store_reports(made, store, zero_nulls=True)
+    stored = sources.scan_reports(spark, store, "TurbineAvailabilityMetrics")
+    assert stored.count() == made["TurbineAvailabilityMetrics"].count()
+    assert stored.where("MTBFDuration is null").count() == 0
+    # rewriting one day leaves the others
+    one = made["EfficiencyMetrics"].where(F.to_date("Time") == F.lit(DAY))
+    before = sources.scan_reports(spark, store, "EfficiencyMetrics").count()
+    sinks.write_report_store(one, store, "EfficiencyMetrics")
+    assert sources.scan_reports(spark, store, "EfficiencyMetrics").count() == before
+    rolled = jobs.stored_report(
+        sources.scan_reports(spark, store, "SummaryReport"), [{"g": ["WF01_001"]}], "month",
+        dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 20), ["Count"])
+    assert [(r.Time, r.DeviceName) for r in rolled.collect()] == [(dt.datetime(2024, 1, 1), "g")]
+    whole = sources.scan_reports(spark, store, "SummaryReport").where("DeviceName = 'WF01_001'").agg(F.avg("Count"))
+    assert rolled.first().Count == pytest.approx(whole.first()[0])
+
+
+def test_store_form(spark):
+    df = spark.createDataFrame([(1, 1.23456789, None)], "Count bigint, a double, b double")
+    assert tuple(sinks.store_form(df).first()) == (1, 1.234568, None)
+    assert tuple(sinks.store_form(df, zero_nulls=True).first()) == (1, 1.234568, 0.0)
+
+
+def csv_lines(path):
+    return sorted({line for p in path.rglob("*.csv") for line in p.read_text(encoding="utf-8").splitlines()})
+
+
+def test_report_csv(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [("g,1", dt.datetime(2024, 5, 1), 3.0, None), ("h", dt.datetime(2024, 5, 2), 1.5, 2.0)],
+        "DeviceName string, Time timestamp_ntz, b double, a double")
+    titles = {"b": "B", "a": "A", "DeviceName": "Device", "Time": "时间", "c": "C"}
+    sinks.write_reports(rows, titles, str(tmp_path / "all"))
+    assert csv_lines(tmp_path / "all") == sorted(
+        ["时间,Device,A,B,C", '2024-05-01T00:00:00Z,"g,1",,3,', "2024-05-02T00:00:00Z,h,2,1.5,"])
+    sinks.write_reports(rows, titles, str(tmp_path / "each"), merge=False)
+    assert sorted(p.name for p in (tmp_path / "each").iterdir() if p.is_dir()) == ["group=g,1", "group=h"]
+
+
+def test_resample_csv(spark, telemetry, tmp_path):
+    df = resample.resample(telemetry, "1 DAY", {"MC004": ["max"]})
+    sinks.write_resampled(df, str(tmp_path / "each"), per_device=True)
+    assert len([p for p in (tmp_path / "each").iterdir() if p.is_dir()]) == 6
+    sinks.write_resampled(df, str(tmp_path / "all"))
+    lines = csv_lines(tmp_path / "all")
+    assert "interval,MC004max,turbine" in lines and any(x.startswith("2024-01-01 00:00:00,29.") for x in lines)
+
+
+def test_resample_checks(telemetry):
+    with pytest.raises(ValueError):
+        resample.resample(telemetry, "10 SECOND", {"MC004": ["max"]})
+    with pytest.raises(ValueError):
+        resample.resample(telemetry, "1 DAY", {"MC004": ["sleep"]})
+    with pytest.raises(ValueError):
+        resample.resample(telemetry, "1 DAY", {"MC004": ["max"]}, columns=["MC006"])
+    assert resample.resample(telemetry, "1 DAY", {"MC004": ["max"]}, devices=[]).count() == 0
+
+
+def test_inventory_against_duckdb(spark, sf_dir):
+    got = sources.file_inventory(sources.list_files(spark, sf_dir)).where("file like '%lineitem%'")
+    rows = {r.path: r for r in got.collect()}
+    want = duckdb.sql(f"""
+        SELECT path_in_schema, any_value(type), sum(total_compressed_size), sum(total_uncompressed_size)
+        FROM parquet_metadata('{sf_dir}/lineitem.parquet') GROUP BY 1""").fetchall()
+    assert len(rows) == len(want) == 11
+    for path, kind, packed, full in want:
+        assert (rows[path].physical_type, rows[path].total_compressed_size, rows[path].total_uncompressed_size) == (
+            kind, packed, full)
+
+
+def test_inventory_allow_list(spark, sf_dir):
+    assert sources.list_files(spark, sf_dir, ["/elsewhere"]).count() == 0
+    assert sources.list_files(spark, sf_dir, [sf_dir]).count() == sources.list_files(spark, sf_dir).count() == 14
+
+
+def test_type_conflicts(spark, tmp_path):
+    write_parquet(tmp_path / "a.parquet", id=[1], v=[1.0])
+    write_parquet(tmp_path / "b.parquet", id=["1"], v=[1.0])
+    found = sources.type_conflicts(sources.file_inventory(sources.list_files(spark, str(tmp_path))))
+    assert {r.column: (r.files, r.conflict) for r in found.collect()} == {"id": (2, True), "v": (2, False)}
+
+
+def test_lookups(spark, tmp_path):
+    (tmp_path / "labels.txt").write_text("标签\t工况标签\n120\t正常\n1000\t缺失\n", encoding="utf-8")
+    assert [tuple(r) for r in sources.read_condition_labels(spark, str(tmp_path / "labels.txt")).collect()] == [
+        (120, "正常"), (1000, "缺失")]
+    (tmp_path / "info.csv").write_text("farm,turbine,type,in,out\nn,001,8MW,3,25\ns,001,10MW,,\n")
+    info = sources.read_turbine_info(spark, str(tmp_path / "info.csv"), "s").first()
+    assert (info.turbine, info.turbine_type, info.cut_in) == ("001", "10MW", None)
+    (tmp_path / "dates.csv").write_text("t,a,b\n001,2024-01-01 00:00:00,2024-02-01 00:00:00\n002,2024-01-01 00:00:00,\n")
+    assert sources.read_grid_dates(spark, str(tmp_path / "dates.csv")).count() == 1
+    (tmp_path / "curve.csv").write_text("type,wind,power\nx,3.0,1.5\n")
+    assert tuple(sources.read_curves(spark, str(tmp_path / "curve.csv")).first()) == ("x", 3.0, 1.5)
+    assert sources.standard_curves(spark).groupBy("turbine_type").count().collect()[0]["count"] == 45
+
+
+def test_duplicates_with_nulls(spark):
+    df = spark.createDataFrame([(1, None), (1, None), (2, "a"), (1, "a"), (None, None)], "k int, v string")
+    got = [tuple(r) for r in duplicates.duplicate_keys(df, ["k", "v"]).collect()]
+    assert got == [(1, None, 2)] * 2
+    assert duplicates.distinct_rows(df).count() == 4
+    assert duplicates.distinct_rows(df, ["k"]).count() == 3
+
+
+def test_json_lines_and_append(spark, tmp_path):
+    df = spark.createDataFrame([(1, 2.0)], "a int, b double")
+    for _ in range(2):
+        sinks.write_json_lines(df, str(tmp_path / "j"))
+        sinks.append_rows(df, str(tmp_path / "p"))
+    assert spark.read.json(str(tmp_path / "j")).count() == spark.read.parquet(str(tmp_path / "p")).count() == 2
