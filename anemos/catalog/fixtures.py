@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import small_table
+
 FARM = "WF01"
 DEVICES = [f"{FARM}_{number:03d}" for number in range(1, 7)]
 GROUPS = [{"all": DEVICES}, {"pair": [DEVICES[0], DEVICES[1], DEVICES[1]]}, {"none": [f"{FARM}_099"]}]
@@ -114,4 +116,4 @@ def turbine_info(spark: SparkSession) -> DataFrame:
     """Types of the six turbines; the speeds of one are unknown."""
     rows = [(device, "10MW" if at >= 4 else "8MW", None if at == 0 else 3.0 + at % 2, 25.0 if at else None)
             for at, device in enumerate(DEVICES)]
-    return spark.createDataFrame(rows, "turbine string, turbine_type string, cut_in double, cut_out double")
+    return small_table(spark, rows, "turbine string, turbine_type string, cut_in double, cut_out double")

@@ -3,7 +3,7 @@ availability figure is made from."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.buckets import time_bucket
@@ -37,6 +37,13 @@ def valid(sums: DataFrame) -> DataFrame:
     return sums.where((F.col("label") != INVALID) | F.col("label").isNull())
 
 
+def prevailing_label() -> Column:
+    """The label with the most ``samples``, the largest on ties; missing labels
+    have no vote. Both go into one number, as a maximum of structs would make
+    Spark sort instead of hash."""
+    return F.max_by("label", F.col("samples") * 2**32 + F.col("label"))
+
+
 def label_mode(sums: DataFrame) -> DataFrame:
     """The most frequent label per turbine and five minutes, the largest on ties.
 
@@ -44,5 +51,4 @@ def label_mode(sums: DataFrame) -> DataFrame:
     samples are sorted and no list of labels is collected.
     """
     counted = sums.groupBy("turbine", "w", "label").agg(F.sum("samples").alias("samples"))
-    vote = F.when(F.col("label").isNotNull(), F.struct("samples", "label"))
-    return counted.groupBy("turbine", "w").agg(F.max(vote)["label"].alias("label"))
+    return counted.groupBy("turbine", "w").agg(prevailing_label().alias("label"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.buckets import time_bucket
-from .conditions import NORMAL, valid
+from .conditions import NORMAL, prevailing_label, valid
 from .curves import CUT_IN, CUT_OUT, expected_power
 from .peers import mean_winds, nearest_peers
 
@@ -29,8 +29,7 @@ def _window_rows(groups, *extra: Column) -> DataFrame:
 
 def five_minute_rows(sums: DataFrame) -> DataFrame:
     """Mean wind and power, seconds and prevailing label per turbine and five minutes."""
-    vote = F.when(F.col("label").isNotNull(), F.struct("samples", "label"))
-    rows = _window_rows(valid(sums).groupBy("turbine", "w"), F.max(vote)["label"].alias("label"))
+    rows = _window_rows(valid(sums).groupBy("turbine", "w"), prevailing_label().alias("label"))
     return _energy(rows, FIVE)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from ..functions.buckets import naive
 from ..functions.levels import confirmed_text, first_text, level_text
 from ..functions.text import time_text
-from ..session import materialize
+from ..session import materialize, small_table
 
 # The scalar fields of an event, in export order.
 EVENT_FIELDS = (
@@ -27,7 +27,6 @@ ORDERS = {"asc": F.asc, "desc": F.desc}
 
 # Pages that end before this row are found by a plain top-k.
 SHALLOW_ROWS = 10_000
-_BROADCAST_DEVICES = 100_000
 
 
 @dataclass(frozen=True)
@@ -83,9 +82,7 @@ def filter_events(events: DataFrame, query: EventQuery) -> DataFrame:
     if not query.devices:
         return events
     rows = [(farm, device) for farm, names in query.devices for device in (names or [None])]
-    entries = events.sparkSession.createDataFrame(rows, "farm string, device string")
-    if len(rows) <= _BROADCAST_DEVICES:
-        entries = F.broadcast(entries)
+    entries = small_table(events.sparkSession, rows, "farm string, device string")
     same = (events["FarmCode"] == entries["farm"]) & (
         entries["device"].isNull() | (events["Device"] == entries["device"])
     )

@@ -11,18 +11,11 @@ from pyspark.sql import types as T
 
 from ..functions.buckets import naive
 from ..functions.formulas import formula_column
+from ..session import small_table
 from .periods import PERIODS, grid_start, period_grid, period_of
 
 Groups = Sequence[Mapping[str, Sequence[str]]]
 
-_GROUP_SCHEMA = T.StructType([
-    T.StructField("group_ord", T.IntegerType(), False),
-    T.StructField("group_name", T.StringType(), False),
-    T.StructField("device", T.StringType(), True),
-])
-# A request this small is sent to every executor; a longer one is shuffled.
-_BROADCAST_DEVICES = 100_000
-
 
 def group_table(spark: SparkSession, groups: Groups) -> DataFrame:
     """A request's groups as (group_ord, group_name, device), each device once per group."""
@@ -31,14 +24,13 @@ def group_table(spark: SparkSession, groups: Groups) -> DataFrame:
         for name, devices in item.items():
             rows += [(order, name, device) for device in dict.fromkeys(devices)] or [(order, name, None)]
             order += 1
-    table = spark.createDataFrame(rows, _GROUP_SCHEMA)
-    return F.broadcast(table) if len(rows) <= _BROADCAST_DEVICES else table
+    return small_table(spark, rows, "group_ord int, group_name string, device string")
 
 
 def group_names(spark: SparkSession, groups: Groups) -> DataFrame:
     """A request's groups as (group_ord, group_name)."""
     names = [name for item in groups for name in item]
-    return spark.createDataFrame(list(enumerate(names)), "group_ord int, group_name string")
+    return small_table(spark, list(enumerate(names)), "group_ord int, group_name string")
 
 
 def merge_rule(column: str) -> str:

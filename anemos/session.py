@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -67,3 +71,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """Rows of a request as a DataFrame whose size Spark knows.
+
+    Tables made from Python rows count as unboundedly large; handed over as Arrow
+    they stay local, and joins with them are broadcast as long as they are small.
+    """
+    fields = T.StructType.fromDDL(schema)
+    columns = list(zip(*rows)) if rows else [()] * len(fields)
+    table = pa.table({
+        field.name: pa.array(column, to_arrow_type(field.dataType)) for field, column in zip(fields, columns)
+    })
+    return spark.createDataFrame(table, fields)

@@ -66,7 +66,6 @@ def list_files(spark: SparkSession, folder: str, allowed: Sequence[str] | None =
 
 def file_inventory(files: DataFrame) -> DataFrame:
     """Column records of all files; executors read footers, never data."""
-    shape = files.sparkSession.createDataFrame([], INVENTORY_SCHEMA)
     arrow = pa.schema([
         ("file", pa.string()), ("name", pa.string()), ("path", pa.string()),
         ("max_definition_level", pa.int32()), ("max_repetition_level", pa.int32()),
@@ -80,7 +79,7 @@ def file_inventory(files: DataFrame) -> DataFrame:
             for uri in batch.column(0).to_pylist():
                 yield pa.RecordBatch.from_pylist(list(_footer_rows(uri)), schema=arrow)
 
-    return files.select("path").mapInArrow(read, shape.schema)
+    return files.select("path").mapInArrow(read, INVENTORY_SCHEMA)
 
 
 def type_conflicts(inventory: DataFrame) -> DataFrame:

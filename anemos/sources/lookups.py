@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.curves import CURVE_SCHEMA
+from ..session import small_table
 
 # Power (kW) of the two standard curves at wind 3.0, 3.5, … 25.0 m/s.
 CURVE_FIRST_WIND, CURVE_STEP = 3.0, 0.5
@@ -27,7 +28,7 @@ def standard_curves(spark: SparkSession, types: dict[str, tuple[float, ...]] | N
         (kind, CURVE_FIRST_WIND + CURVE_STEP * i, power)
         for kind, powers in types.items() for i, power in enumerate(powers)
     ]
-    return spark.createDataFrame(rows, CURVE_SCHEMA)
+    return small_table(spark, rows, CURVE_SCHEMA)
 
 
 def read_curves(spark: SparkSession, path: str) -> DataFrame:
