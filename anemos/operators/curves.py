@@ -12,6 +12,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import send_with_tasks
+
+send_with_tasks(__name__)
+
 CURVE_SCHEMA = "turbine_type string, wind double, power double"
 PIECE_SCHEMA = "turbine_type string, x0 double, x1 double, y0 double, y1 double"
 CUT_IN, CUT_OUT = 3.0, 25.0

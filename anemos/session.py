@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 from collections.abc import Sequence
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -45,7 +47,7 @@ def shared_folder(spark: SparkSession) -> str:
     Where the setting is absent a temporary folder is used, but only if the
     session runs in this one process; on a cluster that would lose data.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
@@ -85,3 +87,9 @@ def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> Data
         field.name: pa.array(column, to_arrow_type(field.dataType)) for field, column in zip(fields, columns)
     })
     return spark.createDataFrame(table, fields)
+
+
+def send_with_tasks(module: str) -> None:
+    """Ship the functions of a module along with the tasks that call them, so
+    that executors need not have this package installed."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])

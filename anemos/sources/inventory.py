@@ -8,6 +8,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import send_with_tasks
+
+send_with_tasks(__name__)
+
 _COLUMN = (
     "name string, path string, max_definition_level int, max_repetition_level int, physical_type string, "
     "logical_type string, compression string, total_uncompressed_size bigint, total_compressed_size bigint, "

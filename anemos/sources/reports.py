@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.buckets import naive
+from ..operators.metrics import REPORT_COLUMNS
 
 
 def report_rows(df: DataFrame, columns: Sequence[str], devices: Sequence[str],
@@ -23,4 +24,6 @@ def report_rows(df: DataFrame, columns: Sequence[str], devices: Sequence[str],
 
 def scan_reports(spark: SparkSession, store: str, kind: str) -> DataFrame:
     """All rows of one report kind, with the partition column ``dt``."""
+    if kind not in REPORT_COLUMNS:
+        raise ValueError(f"unknown report {kind!r}; use one of {', '.join(REPORT_COLUMNS)}")
     return spark.read.parquet(f"{store.rstrip('/')}/{kind}")

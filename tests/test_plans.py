@@ -127,3 +127,15 @@ def test_hot_key_duplicates(spark):
     assert "Window" not in plan(made)
     row = made.agg(F.count(F.lit(1)), F.countDistinct("v"), F.min("copies")).first()
     assert tuple(row) == (10_000, 10_000, 10_000)
+
+
+def test_tasks_need_no_installed_package():
+    """Python functions of tasks travel by value, whatever the workers' path is."""
+    from pyspark import cloudpickle
+
+    from anemos.operators import curves
+    from anemos.sources import inventory
+
+    for function in (curves.bootstrap_samples, inventory._footer_rows):
+        assert b"anemos" not in cloudpickle.dumps(function).replace(b"anemos.operators.curves", b"").replace(
+            b"anemos.sources.inventory", b"")
