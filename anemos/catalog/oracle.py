@@ -8,7 +8,7 @@ from ..operators.curves import SEED, TREES, bootstrap_samples
 from ..operators.rollup import merge_rule
 from ..sources.lookups import CURVE_10MW, CURVE_8MW, CURVE_FIRST_WIND, CURVE_STEP
 from . import fixtures as fx
-from .queries import BUCKETS, DIGITS, FIRST_DAY, FROM, LAST_DAY, ROLLUP_COLUMNS, UNTIL
+from .queries import BUCKETS, FIRST_DAY, FROM, LAST_DAY, NOISE, ROLLUP_COLUMNS, UNTIL
 
 TELEMETRY = fx.TELEMETRY_SQL.format(events="events")
 MESSAGES = fx.MESSAGES_SQL.format(events="events", millis=fx.DUCKDB_MILLIS)
@@ -19,7 +19,8 @@ def _names(devices):
 
 
 def _r(expression, alias):
-    return f"CAST(CAST(round(CAST({expression} AS DOUBLE), {DIGITS}) AS FLOAT) AS DOUBLE) AS {alias}"
+    value = f"CAST({expression} AS DOUBLE)"
+    return f"CASE WHEN abs({value}) < {NOISE} THEN 0e0 ELSE CAST(CAST({value} AS FLOAT) AS DOUBLE) END AS {alias}"
 
 
 def _with(*ctes, select):
@@ -378,7 +379,7 @@ def oracle_sql() -> dict[str, str]:
         "merge_same_schema": f"SELECT * REPLACE ({_r('o_totalprice', 'o_totalprice')}) FROM orders",
         "merge_by_name": """
             SELECT o_orderkey, o_custkey, o_orderstatus,
-              CASE WHEN o_orderkey % 2 = 0 THEN CAST(CAST(round(o_totalprice, 12) AS FLOAT) AS DOUBLE) END AS o_totalprice, o_orderdate,
+              CASE WHEN o_orderkey % 2 = 0 THEN CAST(CAST(o_totalprice AS FLOAT) AS DOUBLE) END AS o_totalprice, o_orderdate,
               CASE WHEN o_orderkey % 2 <> 0 THEN o_orderpriority END AS o_orderpriority FROM orders""",
         "duplicate_keys": """
             SELECT * FROM (SELECT l_orderkey, l_returnflag, count(*) OVER (PARTITION BY l_orderkey, l_returnflag) AS copies
@@ -457,7 +458,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT MessageId, FarmCode, Device, EventLevel FROM decoded WHERE {_WANTED} AND EndTime IS NULL"""),
         "events_flattened": _with(M, select="""
             SELECT MessageId, RelevantId, CAST(id - id % 5 AS VARCHAR) AS root_id, CAST(id % 5 AS INTEGER) AS depth,
-              list_aggregate(list_transform(range(id - id % 5, id + 1), lambda x: CAST(x AS VARCHAR)), 'string_agg', '/') AS path
+              array_to_string([CAST(x AS VARCHAR) for x in range(id - id % 5, id + 1)], '/') AS path
             FROM (SELECT *, CAST(MessageId AS BIGINT) AS id FROM messages)"""),
         "events_flattened_nested": _with(M, ("shape", """
             SELECT * FROM (VALUES (0, ''), (1, '.a'), (2, '.a.x'), (2, '.a.y'), (1, '.b')) AS s(depth, suffix)"""), select="""

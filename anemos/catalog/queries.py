@@ -23,7 +23,7 @@ from . import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-DIGITS = 12
+NOISE = 1e-12
 FROM, UNTIL = dt.datetime(2024, 1, 1, 2, 3), dt.datetime(2024, 1, 31, 1, 0)
 FIRST_DAY, LAST_DAY = dt.date(2023, 12, 30), dt.date(2024, 2, 1)
 BUCKETS = ("10 MINUTE", "5 HOUR", "2 DAY", "2 WEEK", "5 MONTH", "1 QUARTER", "2 YEAR")
@@ -70,11 +70,15 @@ def _query(function: Query) -> Query:
     """
     def settled(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = function(spark, sf_dir)
-        return df.select(*[
-            F.round(F.col(f"`{name}`"), DIGITS).cast("float").cast("double").alias(name) if kind == "double"
-            else F.col(f"`{name}`")
-            for name, kind in df.dtypes
-        ])
+
+        def kept(name: str, kind: str):
+            column = F.col(f"`{name}`")
+            if kind != "double":
+                return column
+            single = column.cast("float").cast("double")
+            return F.when(F.abs(column) < NOISE, F.lit(0.0)).otherwise(single).alias(name)
+
+        return df.select(*[kept(name, kind) for name, kind in df.dtypes])
 
     _registry[function.__name__.rstrip("_")] = settled
     return function
