@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.buckets import naive, parse_interval, time_bucket
+from ..session import small_table
 
 AGGREGATES: dict[str, Callable[[str], Column]] = {
     "avg": F.avg,
@@ -21,6 +22,21 @@ AGGREGATES: dict[str, Callable[[str], Column]] = {
 }
 
 
+# Up to this many devices a filter is pushed into the scan; more are joined.
+LISTED_DEVICES = 1_000
+
+
+def of_devices(df: DataFrame, devices: Sequence[str], column: str = "turbine") -> DataFrame:
+    """Rows of the given devices; an empty list keeps nothing."""
+    wanted = list(dict.fromkeys(devices))
+    if not wanted:
+        return df.where(F.lit(False))
+    if len(wanted) <= LISTED_DEVICES:
+        return df.where(F.col(column).isin(*wanted))
+    table = small_table(df.sparkSession, [(name,) for name in wanted], "_wanted string")
+    return df.join(table, F.col(column) == F.col("_wanted"), "left_semi")
+
+
 def in_range(df: DataFrame, start: dt.datetime | None, end: dt.datetime | None,
              devices: Sequence[str] | None) -> DataFrame:
     """Samples of the given turbines from ``start`` to ``end``, both included.
@@ -31,9 +47,7 @@ def in_range(df: DataFrame, start: dt.datetime | None, end: dt.datetime | None,
         df = df.where(F.col("time") >= naive(start))
     if end is not None:
         df = df.where(F.col("time") <= naive(end))
-    if devices is not None:
-        df = df.where(F.col("turbine").isin(*devices) if devices else F.lit(False))
-    return df
+    return df if devices is None else of_devices(df, devices)
 
 
 def aggregate_columns(signals: Mapping[str, Sequence[str]], columns: Sequence[str],

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.buckets import naive, time_bucket
 from ..operators import availability, conditions, energy, events, metrics, reports, rollup, schemas
+from ..operators.resample import of_devices
 from ..session import materialize
 from ..sinks import csv, tables
 
@@ -76,8 +77,8 @@ def ad_hoc_report(
 
     Slices without samples contribute nothing; a group without any keeps a row.
     """
-    devices = list({device for item in groups for names in item.values() for device in names})
-    picked = samples.where(F.col("turbine").isin(*devices)) if devices else samples.limit(0)
+    devices = [device for item in groups for names in item.values() for device in names]
+    picked = of_devices(samples, devices)
     return rollup.ad_hoc_rollup(ad_hoc_slices(picked, kind, start, end), groups, start, formulas)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.buckets import naive
 from ..operators.metrics import REPORT_COLUMNS
+from ..operators.resample import of_devices
 
 
 def report_rows(df: DataFrame, columns: Sequence[str], devices: Sequence[str],
@@ -17,9 +18,8 @@ def report_rows(df: DataFrame, columns: Sequence[str], devices: Sequence[str],
     """Chosen columns of report rows of some devices, from ``start`` until before ``end``."""
     if "dt" in df.columns:
         df = df.where(F.col("dt").between(F.lit(start.date()), F.lit(end.date())))
-    known = F.col("DeviceName").isin(*devices) if devices else F.lit(False)
-    picked = df.where((F.col("Time") >= naive(start)) & (F.col("Time") < naive(end)) & known)
-    return picked.select(*columns)
+    picked = df.where((F.col("Time") >= naive(start)) & (F.col("Time") < naive(end)))
+    return of_devices(picked, devices, "DeviceName").select(*columns)
 
 
 def scan_reports(spark: SparkSession, store: str, kind: str) -> DataFrame:

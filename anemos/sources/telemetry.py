@@ -5,14 +5,20 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.buckets import naive
 from ..functions.filenames import device_of, sample_time_of
 from ..operators.resample import in_range
 
 
+def _reader(spark: SparkSession, schema: T.StructType | None, merge_schema: bool = False) -> DataFrameReader:
+    reader = spark.read.option("mergeSchema", str(merge_schema).lower())
+    return reader if schema is None else reader.schema(schema)
+
+
 def scan_telemetry(
     spark: SparkSession,
     base: str,
@@ -21,15 +27,16 @@ def scan_telemetry(
     end: dt.datetime | None = None,
     devices: Sequence[str] | None = None,
     schema: T.StructType | None = None,
+    merge_schema: bool = False,
 ) -> DataFrame:
     """Samples of a table partitioned by ``dt`` (a date), both range ends included.
 
-    The range also bounds ``dt``, so days outside it are never listed; time and
-    turbine filters reach the Parquet scan. Give ``schema`` where files differ:
-    columns a file lacks are null and no footers are read up front.
+    The range also bounds ``dt``, so files of other days are not read; time and
+    turbine filters reach the Parquet scan. Where files differ, give ``schema``:
+    columns a file lacks are null. ``merge_schema`` finds it out instead, at the
+    price of reading all footers first.
     """
-    reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", "true")
-    df = reader.parquet(base)
+    df = _reader(spark, schema, merge_schema).parquet(base)
     if "dt" in df.columns:
         if start is not None:
             df = df.where(F.col("dt") >= F.lit(start.date()))
@@ -43,9 +50,8 @@ def scan_device_day(df: DataFrame, device: str, day: dt.date) -> DataFrame:
     if "dt" in df.columns:
         df = df.where(F.col("dt") == F.lit(day))
     from_day = dt.datetime.combine(day, dt.time())
-    return in_range(df, from_day, None, [device]).where(
-        F.col("time") < F.lit((from_day + dt.timedelta(days=1)).isoformat(sep=" ")).cast("timestamp_ntz")
-    )
+    next_day = naive(from_day + dt.timedelta(days=1))
+    return in_range(df, from_day, None, [device]).where(F.col("time") < next_day)
 
 
 def day_folder_glob(base: str, days: Sequence[dt.date], devices: Sequence[str] | None = None) -> str:
@@ -65,14 +71,14 @@ def scan_day_folders(
     devices: Sequence[str] | None = None,
     columns: Sequence[str] | None = None,
     schema: T.StructType | None = None,
+    merge_schema: bool = False,
 ) -> DataFrame:
     """Samples of the layout ``<base>/<yyyyMMdd>/<device>*.parquet``.
 
     Only folders of the days and files of the devices asked for are listed.
     """
     days = [first + dt.timedelta(days=n) for n in range((last - first).days + 1)]
-    reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", "true")
-    df = reader.parquet(day_folder_glob(base, days, devices))
+    df = _reader(spark, schema, merge_schema).parquet(day_folder_glob(base, days, devices))
     return df.select(*columns) if columns else df
 
 
@@ -84,8 +90,7 @@ def scan_files_named(spark: SparkSession, folder: str, part: str, columns: Seque
 
 def scan_arrivals(spark: SparkSession, *paths: str, schema: T.StructType | None = None) -> DataFrame:
     """Arriving files with the device and sample time their names tell."""
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(*paths).select(
+    return _reader(spark, schema).parquet(*paths).select(
         "*",
         device_of(F.col("_metadata.file_name")).alias("file_device"),
         sample_time_of(F.col("_metadata.file_path")).alias("file_time"),

@@ -95,6 +95,23 @@ def test_scan_range_is_closed(spark, stored_telemetry, telemetry):
     assert sources.scan_telemetry(spark, stored_telemetry, devices=[]).count() == 0
 
 
+def test_many_devices_are_joined(telemetry):
+    from anemos.operators.resample import LISTED_DEVICES, of_devices
+
+    names = [f"X{n}" for n in range(LISTED_DEVICES)] + ["WF01_001", "WF01_001"]
+    few, many = of_devices(telemetry, ["WF01_001"]), of_devices(telemetry, names)
+    assert few.count() == many.count() > 0 and many.exceptAll(few).count() == 0
+
+
+def test_files_with_other_columns(spark, tmp_path):
+    write_parquet(tmp_path / "20240109" / "A_1.parquet", time=times(1), turbine=["A"], v=[1.0])
+    write_parquet(tmp_path / "20240109" / "B_1.parquet", time=times(1), turbine=["B"], w=[2.0])
+    merged = sources.scan_day_folders(spark, str(tmp_path), DAY, DAY, merge_schema=True)
+    given = sources.scan_day_folders(spark, str(tmp_path), DAY, DAY, schema=merged.schema)
+    for df in (merged, given):
+        assert {(r.turbine, r.v, r.w) for r in df.collect()} == {("A", 1.0, None), ("B", None, 2.0)}
+
+
 def test_day_folders(spark, tmp_path):
     for day in (DAY, DAY + dt.timedelta(days=1), DAY + dt.timedelta(days=9)):
         for device in ("WF01_001", "WF01_002"):
