@@ -33,14 +33,22 @@ def store_form(rows: DataFrame, zero_nulls: bool = False) -> DataFrame:
     return rows.select(*[kept(field) for field in rows.schema.fields])
 
 
-def write_days(rows: DataFrame, path: str, day_of: str) -> None:
-    """Write rows partitioned by day; days present in ``rows`` replace those stored.
+def with_slices(rows: DataFrame, time: str, hours: bool = False) -> DataFrame:
+    """Add the partition columns ``dt`` and, if asked for, ``hr``."""
+    rows = rows.withColumn("dt", F.to_date(time))
+    return rows.withColumn("hr", F.hour(time)) if hours else rows
 
-    A rerun of a day therefore leaves no duplicates. Rows are rebalanced by day:
-    small days share a task, a day that holds much of the data is split.
+
+def write_days(rows: DataFrame, path: str, time: str, hours: bool = False) -> None:
+    """Write rows partitioned by day, or by day and hour; days (hours) present in
+    ``rows`` replace those stored.
+
+    A rerun of a day therefore leaves no duplicates. Rows are rebalanced by
+    partition: small ones share a task, one that holds much of the data is split.
     """
-    rows = rows.withColumn("dt", F.to_date(day_of)).hint("rebalance", "dt")
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(path)
+    keys = ["dt", "hr"] if hours else ["dt"]
+    rows = with_slices(rows, time, hours).hint("rebalance", *keys)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
 def write_report_store(rows: DataFrame, store: str, kind: str, zero_nulls: bool = False) -> None:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import metrics, reports
-from ..sinks.tables import write_days
+from ..session import materialize
+from ..sinks.tables import with_slices, write_days
 
 
 def read_arrivals(spark: SparkSession, folder: str, schema: T.StructType, name_glob: str = "*.parquet",
@@ -50,45 +52,62 @@ def write_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 
 
 def merge_arrivals(samples: DataFrame, table: str, checkpoint: str,
-                   late_table: str | None = None, delay: str = "10 minutes") -> StreamingQuery:
-    """Merge a stream of samples into a table partitioned by day.
+                   late_folder: str | None = None, delay: str = "10 minutes") -> StreamingQuery:
+    """Merge a stream of samples into a table partitioned by day and hour.
 
-    For each turbine and time the last arrival wins. Only the days a batch
+    For each turbine and time the last arrival wins. Only the hours a batch
     touches are read and replaced, so running a batch again changes nothing.
-    With ``late_table``, samples older than the newest stored one by more than
-    ``delay`` are also listed there, for a batch job to redo their windows.
+    With ``late_folder``, samples older than the newest of earlier batches by
+    more than ``delay`` are also listed in its table ``samples``, for a batch job
+    to redo their windows.
     """
     return (
         samples.writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, batch_id: _merge_batch(batch, batch_id, table, late_table, delay))
+        .foreachBatch(lambda batch, batch_id: merge_batch(batch, batch_id, table, late_folder, delay))
         .trigger(availableNow=True).start()
     )
 
 
-def _merge_batch(batch: DataFrame, batch_id: int, table: str, late_table: str | None, delay: str) -> None:
+def merge_batch(batch: DataFrame, batch_id: int, table: str,
+                late_folder: str | None = None, delay: str = "10 minutes") -> None:
+    """Merge one batch of samples; see :func:`merge_arrivals`."""
     spark = batch.sparkSession
-    fresh = batch.dropDuplicates(["turbine", "time"]).withColumn("dt", F.to_date("time"))
-    stored = _stored(spark, table, fresh)
-    if stored is None:
-        write_days(fresh.drop("dt"), table, "time")
-        return
-    if late_table is not None:
-        newest = spark.read.parquet(table).agg(F.max("time").alias("newest")).select("newest").scalar()
-        late = fresh.where(F.col("time") < newest - F.expr(f"INTERVAL {delay}"))
-        (late.withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(late_table))
-    touched = stored.join(fresh.select("dt").distinct(), "dt", "left_semi")
-    kept = touched.join(fresh.select("turbine", "time"), ["turbine", "time"], "left_anti")
-    merged = kept.unionByName(fresh.select(*kept.columns), allowMissingColumns=True)
-    write_days(merged.drop("dt"), table, "time")
-
-
-def _stored(spark: SparkSession, table: str, like: DataFrame) -> DataFrame | None:
+    fresh = materialize(with_slices(batch.dropDuplicates(["turbine", "time"]), "time", hours=True), "arrivals")
+    if late_folder is not None:
+        _list_late(fresh, batch_id, late_folder, delay)
+    stored = _stored(spark, table, fresh.schema)
+    merged = fresh
+    if stored is not None:
+        # hours of one batch are few; as literals they prune the table's folders
+        hours = [(row.dt, row.hr) for row in fresh.select("dt", "hr").distinct().collect()]
+        touched = F.lit(False)
+        for day in sorted({day for day, _ in hours}):
+            touched = touched | ((F.col("dt") == F.lit(day)) & F.col("hr").isin([h for d, h in hours if d == day]))
+        kept = stored.where(touched).join(fresh.select("turbine", "time"), ["turbine", "time"], "left_anti")
+        merged = kept.unionByName(fresh)
+    write_days(merged.drop("dt", "hr"), table, "time", hours=True)
+
+
+def _list_late(fresh: DataFrame, batch_id: int, folder: str, delay: str) -> None:
+    """Keep late samples and the newest time of each batch, both replaced when a batch runs again."""
+    spark = fresh.sparkSession
+    bounds = fresh.agg(F.max("time").alias("newest")).withColumn("batch", F.lit(batch_id).cast("bigint"))
+    earlier = _stored(spark, f"{folder}/bounds", bounds.schema)
+    if earlier is not None:
+        newest = earlier.where(F.col("batch") < batch_id).agg(F.max("newest").alias("newest")).scalar()
+        late = fresh.where(F.col("time") < newest - F.expr(f"INTERVAL {delay}")).drop("dt", "hr")
+        _replace_batch(late.withColumn("batch", F.lit(batch_id).cast("bigint")), f"{folder}/samples")
+    _replace_batch(bounds, f"{folder}/bounds")
+
+
+def _replace_batch(rows: DataFrame, path: str) -> None:
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+
+
+def _stored(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame | None:
     """The table so far, or None before the first batch."""
-    from pyspark.errors import AnalysisException
-
     try:
-        return spark.read.schema(like.schema).parquet(table)
+        return spark.read.schema(schema).parquet(table)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None

@@ -58,7 +58,7 @@ def test_merging_arrivals(spark, tmp_path):
     arrive(spark, source, [(second, "B", 30), (third, "A", 4), (first, "B", 5)])
     want = {(first, "A"): 1, (first, "B"): 5, (second, "A"): 2, (second, "B"): 30, (third, "A"): 4}
     assert run() == want
-    assert [(r.time, r.turbine) for r in spark.read.parquet(late).collect()] == [(first, "B")]
+    assert [(r.time, r.turbine) for r in spark.read.parquet(f"{late}/samples").collect()] == [(first, "B")]
     # all files once more, as after a lost checkpoint: no duplicates
     arrive(spark, source, [(second, "B", 30)])
     assert run() == want
@@ -66,10 +66,19 @@ def test_merging_arrivals(spark, tmp_path):
 
 
 def test_a_batch_may_run_again(spark, tmp_path):
-    from anemos.streaming.arrivals import _merge_batch
-
     table = str(tmp_path / "table")
     batch = spark.createDataFrame([(dt.datetime(2024, 5, 1), "A", 1), (dt.datetime(2024, 5, 1), "A", 1)], SAMPLE)
     for _ in range(3):
-        _merge_batch(batch, 0, table, str(tmp_path / "late"), "10 minutes")
+        streaming.merge_batch(batch, 0, table, str(tmp_path / "late"))
     assert spark.read.parquet(table).count() == 1
+
+
+def test_a_batch_reads_only_its_hours(spark, tmp_path):
+    """Hours the batch does not touch keep their files."""
+    table = tmp_path / "table"
+    noon, night = dt.datetime(2024, 5, 1, 12), dt.datetime(2024, 5, 1, 23)
+    streaming.merge_batch(spark.createDataFrame([(noon, "A", 1), (night, "A", 2)], SAMPLE), 0, str(table))
+    before = {p.name for p in table.glob("dt=2024-05-01/hr=12/*.parquet")}
+    streaming.merge_batch(spark.createDataFrame([(night, "B", 3)], SAMPLE), 1, str(table))
+    assert {p.name for p in table.glob("dt=2024-05-01/hr=12/*.parquet")} == before
+    assert sorted(r.v for r in spark.read.parquet(str(table)).collect()) == [1, 2, 3]
