@@ -71,14 +71,12 @@ def _query(function: Query) -> Query:
     def settled(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = function(spark, sf_dir)
 
-        def kept(name: str, kind: str):
-            column = F.col(f"`{name}`")
+        def kept(name: str, kind: str) -> str:
             if kind != "double":
-                return column
-            single = column.cast("float").cast("double")
-            return F.when(F.abs(column) < NOISE, F.lit(0.0)).otherwise(single).alias(name)
+                return f"`{name}`"
+            return f"CASE WHEN abs(`{name}`) < {NOISE} THEN 0D ELSE CAST(CAST(`{name}` AS FLOAT) AS DOUBLE) END AS `{name}`"
 
-        return df.select(*[kept(name, kind) for name, kind in df.dtypes])
+        return df.selectExpr(*[kept(name, kind) for name, kind in df.dtypes])
 
     _registry[function.__name__.rstrip("_")] = settled
     return function

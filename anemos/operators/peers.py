@@ -16,7 +16,8 @@ def mean_winds(rows: DataFrame) -> DataFrame:
 def nearest_peers(winds: DataFrame) -> DataFrame:
     """The nearest and second nearest turbine of the type by mean wind.
 
-    Ties go to the smaller name. A turbine with fewer than two others gets none.
+    Ties go to the smaller name. A turbine with fewer than two others, or of
+    unknown type, gets none.
     Sorted by wind, the two nearest are among the neighbours on either side, so
     no pairs are formed: of equal winds the first three names can matter, of the
     next values up and down the first two, of the values beyond only the first.
@@ -25,7 +26,7 @@ def nearest_peers(winds: DataFrame) -> DataFrame:
     same = Window.partitionBy(*kind, "wind").orderBy("turbine")
     values = Window.partitionBy(*kind).orderBy("wind")
     ranked = (
-        winds.where(F.col("wind").isNotNull())
+        winds.where(F.col("wind").isNotNull() & F.col("turbine_type").isNotNull())
         .withColumn("place", F.row_number().over(same))
         .withColumn("value", F.dense_rank().over(values))
         .withColumn("others", F.count(F.lit(1)).over(Window.partitionBy(*kind)) - 1)

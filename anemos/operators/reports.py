@@ -39,20 +39,25 @@ def file_totals(df: DataFrame) -> DataFrame:
 
 
 def _aggregate(df: DataFrame, keys: Sequence[Column]) -> DataFrame:
-    return df.groupBy(*keys).agg(*[column.alias(name) for name, column in metrics.totals().items()])
+    return df.groupBy(*keys).agg(*total_columns())
+
+
+def total_columns() -> list[Column]:
+    """The aggregates of a window; those a report does not use are pruned by Spark."""
+    return [F.expr(f"{aggregate} AS {name}") for name, aggregate in metrics.totals().items()]
 
 
 def _report(totals: DataFrame, columns: Sequence[str], count: str = "Count") -> DataFrame:
     formulas = metrics.derived()
 
-    def column(name: str) -> Column:
+    def column(name: str) -> str:
         if name in KEYS:
-            return F.col(name)
+            return name
         if name == "Count":
-            return F.col(count).alias("Count")
-        return formulas.get(name, F.col(name)).cast("double").alias(name)
+            return f"{count} AS Count"
+        return f"CAST({formulas.get(name, name)} AS DOUBLE) AS {name}"
 
-    return totals.select(*[column(name) for name in columns])
+    return totals.selectExpr(*[column(name) for name in columns])
 
 
 def summary(totals: DataFrame) -> DataFrame:

@@ -45,22 +45,20 @@ def merge_rule(column: str) -> str:
 def merge_columns(df: DataFrame, keep: Sequence[str], order: Sequence[str]) -> list[Column]:
     """Aggregates for all columns but ``keep``. A column that is no number keeps
     its first value in the given order."""
-    result = []
-    for field in df.schema.fields:
-        if field.name in keep:
-            continue
+    def merged(field: T.StructField) -> str:
         if isinstance(field.dataType, T.NumericType):
-            value = F.col(field.name).cast("double")
-            result.append(getattr(F, merge_rule(field.name))(value).alias(field.name))
-        else:
-            result.append(F.min_by(field.name, F.struct(*order)).alias(field.name))
-    return result
+            return f"{merge_rule(field.name)}(CAST(`{field.name}` AS DOUBLE)) AS `{field.name}`"
+        return f"min_by(`{field.name}`, struct({', '.join(order)})) AS `{field.name}`"
+
+    return [F.expr(merged(field)) for field in df.schema.fields if field.name not in keep]
 
 
 def add_formulas(df: DataFrame, formulas: Mapping[str, str], visible: Sequence[str] | None = None) -> DataFrame:
     """Add a column per formula. Formulas see the columns of ``df`` only, so
     their order does not matter."""
     visible = df.columns if visible is None else visible
+    if not formulas:
+        return df
     return df.withColumns({name: formula_column(text, visible) for name, text in formulas.items()})
 
 

@@ -15,6 +15,11 @@ from ..functions.text import cell_text
 from ..operators.events import check_columns
 
 BYTE_ORDER_MARK = "\ufeff"
+# Quotes are doubled and spaces kept; empty cells stay empty.
+_FORMAT = {
+    "header": True, "emptyValue": "", "nullValue": "", "escape": '"',
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
 _LEADING = ("Time", "DeviceName")
 
 
@@ -51,8 +56,8 @@ def _as_text(df: DataFrame, columns: Sequence[tuple[str, str, str | None]]) -> D
 
 
 def write_layout(layout: DataFrame, path: str) -> None:
-    """Write text rows as CSV with a header; empty cells stay empty."""
-    layout.write.mode("overwrite").csv(path, header=True, emptyValue="", nullValue="")
+    """Write text rows as CSV with a header."""
+    layout.write.mode("overwrite").csv(path, **_FORMAT)
 
 
 def write_resampled(df: DataFrame, path: str, per_device: bool = False) -> None:
@@ -60,7 +65,7 @@ def write_resampled(df: DataFrame, path: str, per_device: bool = False) -> None:
     writer = df.write
     if per_device:
         writer = df.withColumn("device", F.col("turbine")).write.partitionBy("device")
-    writer.mode("overwrite").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path, header=True)
+    writer.mode("overwrite").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path, **_FORMAT)
 
 
 def write_reports(rows: DataFrame, titles: Mapping[str, str], path: str, merge: bool = True) -> None:
@@ -72,4 +77,4 @@ def write_reports(rows: DataFrame, titles: Mapping[str, str], path: str, merge:
         write_layout(report_layout(rows, titles), path)
         return
     layout = report_layout(rows.withColumn("_group", F.col("DeviceName")), {**titles, "_group": "group"})
-    layout.write.mode("overwrite").partitionBy("group").csv(path, header=True, emptyValue="", nullValue="")
+    layout.write.mode("overwrite").partitionBy("group").csv(path, **_FORMAT)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import metrics, reports
+from ..operators import reports
 from ..session import materialize
 from ..sinks.tables import with_slices, write_days
 
@@ -31,7 +31,7 @@ def stream_totals(samples: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """
     timed = samples.withColumn("time", F.col("time").cast("timestamp")).withWatermark("time", delay)
     return timed.groupBy(F.window("time", "10 minutes"), F.col("turbine").alias("DeviceName")).agg(
-        *[column.alias(name) for name, column in metrics.totals().items()]
+        *reports.total_columns()
     )
 
 

@@ -187,6 +187,17 @@ def test_report_csv(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "each").iterdir() if p.is_dir()) == ["group=g,1", "group=h"]
 
 
+def test_csv_cells_are_read_back_as_they_were(spark, tmp_path):
+    import csv
+
+    cells = ['say "hi"', " spaced ", "a,b", "back\\slash", "", "two\nlines", "{\"k\": 69}"]
+    rows = spark.createDataFrame([(str(n), cell) for n, cell in enumerate(cells)], "n string, cell string")
+    sinks.write_layout(rows.coalesce(1), str(tmp_path / "out"))
+    (part,) = (tmp_path / "out").glob("*.csv")
+    with open(part, encoding="utf-8", newline="") as handle:
+        assert list(csv.reader(handle)) == [["n", "cell"], *[[str(n), cell] for n, cell in enumerate(cells)]]
+
+
 def test_resample_csv(spark, telemetry, tmp_path):
     df = resample.resample(telemetry, "1 DAY", {"MC004": ["max"]})
     sinks.write_resampled(df, str(tmp_path / "each"), per_device=True)
