@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,8 @@ from ..operators import reports
 from ..session import materialize
 from ..sinks.tables import with_slices, write_days
 
+LISTED_SLICES = 1_000
+
 
 def read_arrivals(spark: SparkSession, folder: str, schema: T.StructType, name_glob: str = "*.parquet",
                   files_per_batch: int | None = None) -> DataFrame:
@@ -78,16 +82,27 @@ def merge_batch(batch: DataFrame, batch_id: int, table: str,
     stored = _stored(spark, table, fresh.schema)
     merged = fresh
     if stored is not None:
-        # hours of one batch are few; as literals they prune the table's folders
-        hours = [(row.dt, row.hr) for row in fresh.select("dt", "hr").distinct().collect()]
-        touched = F.lit(False)
-        for day in sorted({day for day, _ in hours}):
-            touched = touched | ((F.col("dt") == F.lit(day)) & F.col("hr").isin([h for d, h in hours if d == day]))
-        kept = stored.where(touched).join(fresh.select("turbine", "time"), ["turbine", "time"], "left_anti")
+        touched = _touched(stored, fresh.select("dt", "hr").distinct())
+        kept = touched.join(fresh.select("turbine", "time"), ["turbine", "time"], "left_anti")
         merged = kept.unionByName(fresh)
     write_days(merged.drop("dt", "hr"), table, "time", hours=True)
 
 
+def _touched(stored: DataFrame, slices: DataFrame) -> DataFrame:
+    """Stored samples of the given hours. A batch usually has a few, which as
+    literals prune the table's folders; those of a long backfill are joined."""
+    listed = slices.limit(LISTED_SLICES + 1).collect()
+    if len(listed) > LISTED_SLICES:
+        return stored.join(slices, ["dt", "hr"], "left_semi")
+    hours: dict[dt.date, list[int]] = {}
+    for day, hour in listed:
+        hours.setdefault(day, []).append(hour)
+    wanted = F.lit(False)
+    for day, of_day in hours.items():
+        wanted = wanted | ((F.col("dt") == F.lit(day)) & F.col("hr").isin(of_day))
+    return stored.where(wanted)
+
+
 def _list_late(fresh: DataFrame, batch_id: int, folder: str, delay: str) -> None:
     """Keep late samples and the newest time of each batch, both replaced when a batch runs again."""
     spark = fresh.sparkSession

@@ -2,10 +2,12 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from anemos import streaming
 from anemos.operators import reports
+from anemos.streaming import arrivals
 
 
 def test_stream_is_the_batch_for_closed_windows(spark, telemetry, tmp_path):
@@ -73,8 +75,10 @@ def test_a_batch_may_run_again(spark, tmp_path):
     assert spark.read.parquet(table).count() == 1
 
 
-def test_a_batch_reads_only_its_hours(spark, tmp_path):
+@pytest.mark.parametrize("listed", [1_000, 0])
+def test_a_batch_reads_only_its_hours(spark, tmp_path, monkeypatch, listed):
     """Hours the batch does not touch keep their files."""
+    monkeypatch.setattr(arrivals, "LISTED_SLICES", listed)
     table = tmp_path / "table"
     noon, night = dt.datetime(2024, 5, 1, 12), dt.datetime(2024, 5, 1, 23)
     streaming.merge_batch(spark.createDataFrame([(noon, "A", 1), (night, "A", 2)], SAMPLE), 0, str(table))
