@@ -23,8 +23,12 @@ def sample_time_of(path: Column) -> Column:
     return F.to_timestamp_ntz(digits, F.lit("yyyyMMddHHmm"))
 
 
-def report_time_of(path: Column) -> Column:
-    """The ten-minute report a file belongs to."""
-    time = sample_time_of(path)
+def ten_minutes_of(time: Column) -> Column:
+    """Start of the ten minutes that hold ``time``, without a window expression."""
     minutes = F.floor(F.minute(time) / 10) * 10
     return F.date_trunc("HOUR", time).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), minutes.cast("int"))
+
+
+def report_time_of(path: Column) -> Column:
+    """The ten-minute report a file belongs to."""
+    return ten_minutes_of(sample_time_of(path))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.buckets import time_bucket
-from ..functions.filenames import device_of, report_time_of
+from ..functions.filenames import ten_minutes_of
 from . import metrics
 
 KEYS = ("Time", "DeviceName")
@@ -24,18 +24,15 @@ def window_totals(df: DataFrame, every: str = "10 MINUTE") -> DataFrame:
     return _aggregate(df, keys)
 
 
-def file_totals(df: DataFrame) -> DataFrame:
-    """Totals per arriving file; device and report time come from the file's path.
+def file_totals(arrivals: DataFrame) -> DataFrame:
+    """Totals per device and report of arriving files, told by their names.
 
-    ``df`` must be read straight from files. A path without twelve digits in a
-    row is an error, since its rows would belong to no report.
+    ``arrivals`` has the file keys of :func:`anemos.sources.with_file_keys`. A path
+    without twelve digits in a row is an error, as its rows belong to no report.
     """
-    path = F.col("_metadata.file_path")
-    time = F.coalesce(
-        report_time_of(path),
-        F.raise_error(F.concat(F.lit("no report time in path "), path)).cast("timestamp_ntz"),
-    )
-    return _aggregate(df, [time.alias("Time"), device_of(F.col("_metadata.file_name")).alias("DeviceName")])
+    unknown = F.raise_error(F.concat(F.lit("no report time in path "), F.col("file_path")))
+    time = F.coalesce(ten_minutes_of(F.col("file_time")), unknown.cast("timestamp_ntz"))
+    return _aggregate(arrivals, [time.alias("Time"), F.col("file_device").alias("DeviceName")])
 
 
 def _aggregate(df: DataFrame, keys: Sequence[Column]) -> DataFrame:

@@ -36,7 +36,7 @@ def ten_minute_reports(samples: DataFrame) -> dict[str, DataFrame]:
 
 
 def arrival_reports(arrivals: DataFrame) -> dict[str, DataFrame]:
-    """The three report tables of arriving files, one row per file and table."""
+    """The three report tables of arriving files, from :func:`anemos.sources.scan_arrivals`."""
     totals = materialize(reports.file_totals(arrivals), "report-totals")
     return _split(totals)
 
@@ -55,6 +55,12 @@ def store_reports(tables_by_kind: Mapping[str, DataFrame], store: str, zero_null
         tables.write_report_store(rows, store, kind, zero_nulls)
 
 
+def merge_reports(tables_by_kind: Mapping[str, DataFrame], store: str, zero_nulls: bool = False) -> None:
+    """Add report rows to the store, replacing those of the same device and time."""
+    for kind, rows in tables_by_kind.items():
+        tables.merge_report_store(rows, store, kind, zero_nulls)
+
+
 def ad_hoc_slices(samples: DataFrame, kind: str, start: dt.datetime, end: dt.datetime) -> DataFrame:
     """One report row per turbine and day of ``start`` … ``end`` (end excluded).
 

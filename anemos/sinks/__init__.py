@@ -2,10 +2,12 @@
 
 from .csv import event_layout, report_layout, write_layout, write_reports, write_resampled
 from .tables import (
-    append_rows, store_form, write_days, write_json_lines, write_report_store, write_sorted,
+    append_rows, merge_report_store, merge_slices, store_form, stored_table, write_days, write_json_lines,
+    write_report_store, write_sorted,
 )
 
 __all__ = [
-    "append_rows", "event_layout", "report_layout", "store_form", "write_days", "write_json_lines",
+    "append_rows", "event_layout", "merge_report_store", "merge_slices", "report_layout", "store_form",
+    "stored_table", "write_days", "write_json_lines",
     "write_layout", "write_report_store", "write_reports", "write_resampled", "write_sorted",
 ]

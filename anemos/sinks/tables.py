@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 STORE_DIGITS = 6
+LISTED_SLICES = 200
 
 
 def write_sorted(df: DataFrame, path: str, by: str = "time", partitions: int | None = None) -> None:
@@ -51,11 +55,59 @@ def write_days(rows: DataFrame, path: str, time: str, hours: bool = False) -> No
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
+def merge_slices(fresh: DataFrame, path: str, keys: Sequence[str], time: str, hours: bool = False) -> None:
+    """Merge rows into a table partitioned by day (and hour): a row replaces the
+    stored one with the same keys.
+
+    Only the days (hours) of ``fresh`` are read and written, and merging the same
+    rows again changes nothing. ``fresh`` is read several times: pass a table.
+    """
+    slices = ["dt", "hr"] if hours else ["dt"]
+    fresh = with_slices(fresh, time, hours)
+    stored = stored_table(fresh.sparkSession, path, fresh.schema)
+    merged = fresh
+    if stored is not None:
+        touched = _touched(stored, fresh.select(*slices).distinct())
+        merged = touched.join(fresh.select(*keys), list(keys), "left_anti").unionByName(fresh)
+    write_days(merged.drop(*slices), path, time, hours)
+
+
+def _touched(stored: DataFrame, slices: DataFrame) -> DataFrame:
+    """Stored rows of the given slices. There are usually few, which as literals
+    prune the table's folders; those of a long backfill are joined."""
+    listed = slices.limit(LISTED_SLICES + 1).collect()
+    if len(listed) > LISTED_SLICES:
+        return stored.join(slices, slices.columns, "left_semi")
+    wanted = F.lit(False)
+    for values in listed:
+        same = F.lit(True)
+        for name, value in values.asDict().items():
+            same = same & (F.col(name) == F.lit(value))
+        wanted = wanted | same
+    return stored.where(wanted)
+
+
+def stored_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """A table, or None if there is nothing at ``path`` yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def write_report_store(rows: DataFrame, store: str, kind: str, zero_nulls: bool = False) -> None:
     """Replace the days of ``rows`` in one report table of the store."""
     write_days(store_form(rows, zero_nulls), f"{store.rstrip('/')}/{kind}", "Time")
 
 
+def merge_report_store(rows: DataFrame, store: str, kind: str, zero_nulls: bool = False) -> None:
+    """Add rows to one report table of the store; a report of the same device and
+    time is replaced."""
+    merge_slices(store_form(rows, zero_nulls), f"{store.rstrip('/')}/{kind}", ["Time", "DeviceName"], "Time")
+
+
 def write_json_lines(rows: DataFrame, path: str) -> None:
     """Report rows as JSON lines."""
     rows.write.mode("append").json(path)

@@ -88,10 +88,18 @@ def scan_files_named(spark: SparkSession, folder: str, part: str, columns: Seque
     return df.select(*columns) if columns else df
 
 
-def scan_arrivals(spark: SparkSession, *paths: str, schema: T.StructType | None = None) -> DataFrame:
-    """Arriving files with the device and sample time their names tell."""
-    return _reader(spark, schema).parquet(*paths).select(
+def with_file_keys(df: DataFrame) -> DataFrame:
+    """Add path, device and sample time of the file each row comes from. Works on
+    a DataFrame read straight from files, in batch or as a stream."""
+    path = F.col("_metadata.file_path")
+    return df.select(
         "*",
+        path.alias("file_path"),
         device_of(F.col("_metadata.file_name")).alias("file_device"),
-        sample_time_of(F.col("_metadata.file_path")).alias("file_time"),
+        sample_time_of(path).alias("file_time"),
     )
+
+
+def scan_arrivals(spark: SparkSession, *paths: str, schema: T.StructType | None = None) -> DataFrame:
+    """Arriving files with the device and sample time their names tell."""
+    return with_file_keys(_reader(spark, schema).parquet(*paths))

@@ -2,28 +2,27 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import reports
+from ..plans import jobs
 from ..session import materialize
-from ..sinks.tables import with_slices, write_days
-
-LISTED_SLICES = 1_000
+from ..sinks.tables import merge_slices, stored_table
+from ..sources import with_file_keys
 
 
 def read_arrivals(spark: SparkSession, folder: str, schema: T.StructType, name_glob: str = "*.parquet",
-                  files_per_batch: int | None = None) -> DataFrame:
-    """A stream of the Parquet files that arrive in a folder."""
+                  files_per_batch: int | None = None, file_keys: bool = False) -> DataFrame:
+    """A stream of the Parquet files that arrive in a folder, with the device and
+    time their names tell if ``file_keys`` are asked for."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", name_glob)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)
+    samples = reader.parquet(folder)
+    return with_file_keys(samples) if file_keys else samples
 
 
 def stream_totals(samples: DataFrame, delay: str = "10 minutes") -> DataFrame:
@@ -75,42 +74,20 @@ def merge_arrivals(samples: DataFrame, table: str, checkpoint: str,
 def merge_batch(batch: DataFrame, batch_id: int, table: str,
                 late_folder: str | None = None, delay: str = "10 minutes") -> None:
     """Merge one batch of samples; see :func:`merge_arrivals`."""
-    spark = batch.sparkSession
-    fresh = materialize(with_slices(batch.dropDuplicates(["turbine", "time"]), "time", hours=True), "arrivals")
+    fresh = materialize(batch.dropDuplicates(["turbine", "time"]), "arrivals")
     if late_folder is not None:
         _list_late(fresh, batch_id, late_folder, delay)
-    stored = _stored(spark, table, fresh.schema)
-    merged = fresh
-    if stored is not None:
-        touched = _touched(stored, fresh.select("dt", "hr").distinct())
-        kept = touched.join(fresh.select("turbine", "time"), ["turbine", "time"], "left_anti")
-        merged = kept.unionByName(fresh)
-    write_days(merged.drop("dt", "hr"), table, "time", hours=True)
-
-
-def _touched(stored: DataFrame, slices: DataFrame) -> DataFrame:
-    """Stored samples of the given hours. A batch usually has a few, which as
-    literals prune the table's folders; those of a long backfill are joined."""
-    listed = slices.limit(LISTED_SLICES + 1).collect()
-    if len(listed) > LISTED_SLICES:
-        return stored.join(slices, ["dt", "hr"], "left_semi")
-    hours: dict[dt.date, list[int]] = {}
-    for day, hour in listed:
-        hours.setdefault(day, []).append(hour)
-    wanted = F.lit(False)
-    for day, of_day in hours.items():
-        wanted = wanted | ((F.col("dt") == F.lit(day)) & F.col("hr").isin(of_day))
-    return stored.where(wanted)
+    merge_slices(fresh, table, ["turbine", "time"], "time", hours=True)
 
 
 def _list_late(fresh: DataFrame, batch_id: int, folder: str, delay: str) -> None:
     """Keep late samples and the newest time of each batch, both replaced when a batch runs again."""
     spark = fresh.sparkSession
     bounds = fresh.agg(F.max("time").alias("newest")).withColumn("batch", F.lit(batch_id).cast("bigint"))
-    earlier = _stored(spark, f"{folder}/bounds", bounds.schema)
+    earlier = stored_table(spark, f"{folder}/bounds", bounds.schema)
     if earlier is not None:
         newest = earlier.where(F.col("batch") < batch_id).agg(F.max("newest").alias("newest")).scalar()
-        late = fresh.where(F.col("time") < newest - F.expr(f"INTERVAL {delay}")).drop("dt", "hr")
+        late = fresh.where(F.col("time") < newest - F.expr(f"INTERVAL {delay}"))
         _replace_batch(late.withColumn("batch", F.lit(batch_id).cast("bigint")), f"{folder}/samples")
     _replace_batch(bounds, f"{folder}/bounds")
 
@@ -119,11 +96,17 @@ def _replace_batch(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
 
 
-def _stored(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame | None:
-    """The table so far, or None before the first batch."""
-    try:
-        return spark.read.schema(schema).parquet(table)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+def store_arrivals(arrivals: DataFrame, store: str, checkpoint: str, zero_nulls: bool = False) -> StreamingQuery:
+    """Reports of arriving files into the report store, as files come in.
+
+    ``arrivals`` is a stream with the file keys of :func:`read_arrivals`. Each batch
+    makes the three tables in one pass and replaces rows of the same device and
+    time, so a batch that runs again, whole or in part, leaves no second copy.
+    """
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        jobs.merge_reports(jobs.arrival_reports(batch), store, zero_nulls)
+
+    return (
+        arrivals.writeStream.option("checkpointLocation", checkpoint).foreachBatch(merge)
+        .trigger(availableNow=True).start()
+    )

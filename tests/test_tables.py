@@ -132,7 +132,7 @@ def test_arriving_files(spark, telemetry, tmp_path):
     folder = str(tmp_path / "in")
     keyed = sources.scan_arrivals(spark, folder).select("file_device", "file_time").distinct()
     assert {(r.file_device, r.file_time.minute) for r in keyed.collect()} == {("WF01_007", 37), ("WF01_008", 49)}
-    made = jobs.arrival_reports(spark.read.parquet(folder))
+    made = jobs.arrival_reports(sources.scan_arrivals(spark, folder))
     rows = made["SummaryReport"].orderBy("Time").collect()
     assert [(r.DeviceName, r.Time, r.Count) for r in rows] == [
         ("WF01_007", dt.datetime(2024, 4, 10, 15, 30), 20), ("WF01_008", dt.datetime(2024, 4, 10, 15, 40), 20)]
@@ -141,7 +141,7 @@ def test_arriving_files(spark, telemetry, tmp_path):
 def test_a_file_without_a_time_is_an_error(spark, telemetry, tmp_path):
     telemetry.limit(1).write.parquet(str(tmp_path / "x"))
     with pytest.raises(Exception, match="no report time"):
-        reports.file_totals(spark.read.parquet(str(tmp_path / "x"))).collect()
+        reports.file_totals(sources.scan_arrivals(spark, str(tmp_path / "x"))).collect()
 
 
 def test_store_replaces_days(spark, telemetry, tmp_path):
