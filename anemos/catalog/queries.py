@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 from .. import sources
 from ..functions.filenames import device_of, report_time_of, sample_time_of
 from ..functions.levels import level_number, level_text
-from ..operators import availability, conditions, duplicates, energy, events, periods, reports, rollup, schemas
+from ..operators import availability, conditions, duplicates, energy, events, periods, reports, schemas
 from ..operators.peers import mean_winds, nearest_peers
 from ..operators.resample import in_range, resample
 from ..plans import jobs
 from ..session import materialize, scratch_path
 from ..sinks import event_layout, report_layout
 from ..sources import file_inventory, list_files, report_rows, standard_curves, type_conflicts
-from ..streaming import read_arrivals, stream_reports, write_stream
+from ..streaming import read_arrivals, stream_reports, stream_session, write_stream
 from . import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -453,9 +453,10 @@ def event_csv_layout(spark, sf_dir):
 
 @_query
 def stream_ten_minute(spark, sf_dir):
+    session = stream_session(spark)
     schema = fx.table(spark, sf_dir, "events").schema
-    arriving = read_arrivals(spark, sf_dir, schema, name_glob="events.parquet")
-    samples = spark.sql(fx.TELEMETRY_SQL, events=arriving)
+    arriving = read_arrivals(session, sf_dir, schema, name_glob="events.parquet")
+    samples = session.sql(fx.TELEMETRY_SQL, events=arriving)
     out, state = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-state")
     rows = stream_reports(samples)
     write_stream(rows, out, state).awaitTermination()

@@ -1,5 +1,11 @@
 """Structured Streaming forms of the jobs that run once per arriving file."""
 
-from .arrivals import merge_arrivals, merge_batch, read_arrivals, store_arrivals, stream_reports, stream_totals, write_stream
+from .arrivals import (
+    merge_arrivals, merge_batch, read_arrivals, store_arrivals, stream_reports, stream_session,
+    stream_totals, write_stream,
+)
 
-__all__ = ["merge_arrivals", "merge_batch", "read_arrivals", "store_arrivals", "stream_reports", "stream_totals", "write_stream"]
+__all__ = [
+    "merge_arrivals", "merge_batch", "read_arrivals", "store_arrivals", "stream_reports", "stream_session",
+    "stream_totals", "write_stream",
+]

@@ -14,6 +14,22 @@ from ..sinks.tables import merge_slices, stored_table
 from ..sources import with_file_keys
 
 
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A session for a stream with state, which shares the cluster and all settings
+    that matter but has its own number of state partitions.
+
+    Batch jobs get along with many shuffle partitions, as small ones are put
+    together at run time; a stream opens a state store for each, in every batch,
+    and keeps their number for the life of its checkpoint. The totals of open
+    windows are small, so one partition per core is the default.
+    """
+    session = spark.newSession()
+    for name in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
+        session.conf.set(name, spark.conf.get(name))
+    session.conf.set("spark.sql.shuffle.partitions", state_partitions or spark.sparkContext.defaultParallelism)
+    return session
+
+
 def read_arrivals(spark: SparkSession, folder: str, schema: T.StructType, name_glob: str = "*.parquet",
                   files_per_batch: int | None = None, file_keys: bool = False) -> DataFrame:
     """A stream of the Parquet files that arrive in a folder, with the device and
@@ -58,8 +74,9 @@ def merge_arrivals(samples: DataFrame, table: str, checkpoint: str,
                    late_folder: str | None = None, delay: str = "10 minutes") -> StreamingQuery:
     """Merge a stream of samples into a table partitioned by day and hour.
 
-    For each turbine and time the last arrival wins. Only the hours a batch
-    touches are read and replaced, so running a batch again changes nothing.
+    For each turbine and time the last arrival wins; of copies within one batch
+    any one is kept. Only the hours a batch touches are read and replaced, so
+    running a batch again leaves no second copy.
     With ``late_folder``, samples older than the newest of earlier batches by
     more than ``delay`` are also listed in its table ``samples``, for a batch job
     to redo their windows.
