@@ -118,3 +118,11 @@ def test_reports_of_arriving_files(spark, telemetry, tmp_path):
     # a batch once more, as after a failure between the tables
     jobs.merge_reports(jobs.arrival_reports(scan_arrivals(spark, str(source / "WF01_001_202405020000_a.parquet"))), store)
     assert run() == want
+
+
+def test_stream_session_leaves_the_other_alone(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    session = streaming.stream_session(spark, 3)
+    assert session.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert session.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
