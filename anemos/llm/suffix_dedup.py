@@ -36,7 +36,7 @@ from ..session import materialize, send_with_tasks
 from .text import whole
 
 LENGTH = 100
-GRAM = 16
+GRAM = 32
 CHUNK = 1 << 20
 GROUP = 20_000
 BUCKET_BYTES = 1 << 21
@@ -190,23 +190,24 @@ class RunIndex:
         codes = joined.astype(np.int64) + m
         codes[ends] = np.arange(m)
         n = len(codes)
-        rank, size, at_half = codes, 1, None
         half = 1 << ((length - 1).bit_length() - 1)
         longest = int(sizes.max()) + 1
+        rank, size, at_half = codes, 1, None
+        # As many codes as fit into one number need no sorting.
+        while size < half and (top := int(rank.max()) + 2) < 1 << 31:
+            rank = self._paired(rank, size, top)
+            size *= 2
+        key = rank
         while True:
+            order = np.argsort(key)
+            ordered = key[order]
+            rank = np.empty(n, np.int64)
+            rank[order] = np.concatenate(([0], np.cumsum(ordered[1:] != ordered[:-1])))
             if size == half:
                 at_half = rank
             if size >= longest and at_half is not None:
                 break
-            top = int(rank.max()) + 2
-            key = rank * top
-            if size < n:
-                key[:-size] += rank[size:] + 1
-            order = np.argsort(key, kind="stable")
-            ordered = key[order]
-            steps = np.concatenate(([0], np.cumsum(ordered[1:] != ordered[:-1])))
-            rank = np.empty(n, np.int64)
-            rank[order] = steps
+            key = self._paired(rank, size, n + 1)
             size *= 2
         suffixes = np.empty(n, np.int64)
         suffixes[rank] = np.arange(n)
@@ -230,20 +231,27 @@ class RunIndex:
         self.sample_ranks, self.sample_places = ranks[by_place], places[by_place]
         self.ends, self.n, self.length = ends, n, length
 
+    @staticmethod
+    def _paired(rank: np.ndarray, size: int, top: int) -> np.ndarray:
+        """Keys in the order of twice as many codes."""
+        key = rank * top
+        key[:len(key) - size] += rank[size:] + 1
+        return key
+
     def stepped(self, ranks: np.ndarray) -> np.ndarray:
         """Ranks of the suffixes that start one place earlier."""
         run = np.searchsorted(self.run_starts, ranks, "right") - 1
         return self.sent_to[run] + ranks - self.run_starts[run]
 
-    def classes(self) -> np.ndarray:
-        """Class of the suffix at every place, streamed backwards from all samples at once."""
+    def ranks(self) -> np.ndarray:
+        """Rank of the suffix at every place, streamed backwards from all samples at once."""
         found = np.empty(self.n, np.int64)
         gaps = np.diff(np.concatenate(([-1], self.sample_places)))
         order = np.argsort(-gaps, kind="stable")
         ranks, places, gaps = self.sample_ranks[order], self.sample_places[order], gaps[order]
         step = 0
         while len(ranks):
-            found[places - step] = np.searchsorted(self.class_starts, ranks, "right") - 1
+            found[places - step] = ranks
             step += 1
             going = int(np.searchsorted(-gaps, -step, "left"))
             ranks, places, gaps = self.stepped(ranks[:going]), places[:going], gaps[:going]
@@ -254,20 +262,12 @@ class RunIndex:
         sizes = np.diff(np.concatenate(([-1], self.ends))) - 1
         text_end = np.repeat(self.ends, sizes + 1)
         windows = np.flatnonzero(np.arange(self.n) + self.length <= text_end)
-        found = self.classes()[windows]
+        found = np.searchsorted(self.class_starts, self.ranks()[windows], "right") - 1
         first = np.full(len(self.class_starts), self.n, np.int64)
         first[found[::-1]] = windows[::-1]
         return windows[windows > first[found]]
 
 
-def _spans(places: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the runs that windows at sorted places cover."""
-    if not len(places):
-        return places, places
-    cut = np.flatnonzero(places[1:] > places[:-1] + length)
-    return places[np.concatenate(([0], cut + 1))], places[np.append(cut, len(places) - 1)] + length
-
-
 def bucket_matches(stretch: pd.DataFrame, length: int) -> pd.DataFrame:
     """doc, start and end of what the stretches (doc, start, body) of a bucket repeat of earlier ones."""
     stretch = stretch.sort_values(["doc", "start"], ignore_index=True)
@@ -381,7 +381,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, **options) -> DataFram
     Earlier means a smaller id, or an earlier start in the same document. Rows that
     share an id are documents of their own, in the order of their texts, and null ids come last. Texts
     shorter than ``length`` are left alone. No documents give no rows; other columns are not read.
-    ``length`` is 32 or more.
+    ``length`` is 64 or more.
     """
     if length < 2 * GRAM:
         raise ValueError(f"length is {2 * GRAM} or more")
