@@ -12,6 +12,7 @@ task does not grow with the corpus.
 from __future__ import annotations
 
 import itertools
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -29,16 +30,23 @@ LENGTH = 4096
 END_ID = 1
 GROUP_ITEMS = 20_000
 SLACK = 8
-MEMO_WORDS = 1_000_000
-SPACE = " \t\n\x0b\x0c\r"
-
-
-class WordTokenizer:
-    """Ids of texts by a tokenizer that never joins words across white space.
-
-    The ids of a text are those of its words in a row, so words are looked up and only
-    new ones are tokenised. The memory of words is emptied when it holds
-    ``MEMO_WORDS``. Strings of special tokens in a text are ordinary text.
+MEMO_PIECES = 1_000_000
+TOKENISED_BYTES = 1 << 20
+_LETTERS, _SIGNS = "a-zß-öø-ÿ", "!-&(-/:-@\\[-`{-~"
+_PIECES = re.compile(f"[{_LETTERS}]+|[0-9]|[{_SIGNS}]+")
+_PLAIN = re.compile(f"[{_LETTERS}]+|[{_SIGNS}]+")
+_SIMPLE = re.compile(f"[A-ZÀ-ÖØ-Þ{_LETTERS}0-9{_SIGNS} \\t\\n\\x0b\\x0c\\r]*")
+
+
+class PieceTokenizer:
+    """Ids of texts by a tokenizer that reads runs of letters, runs of signs and digits one
+    by one, ignores case, and joins nothing across them.
+
+    The ids of a text are those of its pieces in a row, so pieces are looked up and only
+    new ones are tokenised, many at a time. That goes for texts of Latin letters, digits and ASCII signs
+    without apostrophes; a text with other characters is taken apart at white space
+    only. The memory is emptied when it holds ``MEMO_PIECES``. Strings of special
+    tokens in a text are ordinary text.
     """
 
     def __init__(self, path: str):
@@ -51,32 +59,79 @@ class WordTokenizer:
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
 
-    def ids(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit numbers."""
-        for break_ in SPACE[1:]:
-            text = text.replace(break_, " ")
-        found = text.split(" ")
-        known = self.known
-        new = [word for word in set(found) if word not in known]
+    def _learn(self, new: list[str]) -> None:
+        if len(self.known) + len(new) > MEMO_PIECES:
+            self.known.clear()
+        plain = [piece for piece in new if _PLAIN.fullmatch(piece)]
+        code = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
+        ids, places = np.asarray(code.ids, "<u4"), np.asarray(code.word_ids, np.int64)
+        if len(plain) != (places[-1] + 1 if len(places) else 0):
+            raise ValueError("the tokenizer does not read such pieces one by one")
+        ends = np.searchsorted(places, np.arange(len(plain)), "right") * 4
+        data, start = ids.tobytes(), 0
+        for piece, end in zip(plain, ends.tolist()):
+            self.known[piece] = data[start:end]
+            start = end
+        odd = [piece for piece in new if not _PLAIN.fullmatch(piece)]
+        for piece, code in zip(odd, self.tokenizer.encode_batch(odd, add_special_tokens=False)):
+            self.known[piece] = np.asarray(code.ids, "<u4").tobytes()
+
+    def ids(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of texts in UTF-8, as little-endian unsigned 32-bit numbers."""
+        found, new = [], set()
+        for text in texts:
+            words = text.decode("utf-8")
+            if _SIMPLE.fullmatch(words):
+                pieces = _PIECES.findall(words.lower())
+            else:
+                pieces = [word.decode("utf-8") for word in text.split()]
+            codes = list(map(self.known.get, pieces))
+            if None in codes:
+                new.update(piece for piece, code in zip(pieces, codes) if code is None)
+                found.append((pieces, codes))
+            else:
+                found.append((None, codes))
         if new:
-            if len(known) + len(new) > MEMO_WORDS:
-                known.clear()
-                new = list(set(found))
-            for word, code in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                known[word] = np.asarray(code.ids, "<u4").tobytes()
-        return b"".join(map(known.__getitem__, found))
+            self._learn(list(new))
+        return [
+            b"".join(codes if pieces is None else [
+                self.known[piece] if code is None else code for piece, code in zip(pieces, codes)])
+            for pieces, codes in found]
+
+
+def shared_tokenizer(path: str) -> PieceTokenizer:
+    """One tokenizer, with what it knows, per Python worker. It is kept with the module of the
+    tokenizers, which lasts as long as the worker; this module may come with each task anew."""
+    import tokenizers
+
+    kept = vars(tokenizers).setdefault("_piece_tokenizers", {})
+    if path not in kept:
+        kept[path] = PieceTokenizer(path)
+    return kept[path]
 
 
 def tokenised_pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
     """doc_id, piece, start, length and ids_crc32 of every piece of every document; row tells equal pieces apart."""
     send_with_tasks(__name__)
 
+    def groups(texts: pa.Array) -> Iterator[list[bytes]]:
+        """Texts of about ``TOKENISED_BYTES`` together."""
+        group, size = [], 0
+        for text in texts:
+            group.append(text.as_buffer().to_pybytes())
+            size += len(group[-1])
+            if size >= TOKENISED_BYTES:
+                yield group
+                group, size = [], 0
+        yield group
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokenizer(tokenizer)
+        words, end = shared_tokenizer(tokenizer), struct.pack("<I", END_ID)
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                ids = words.ids(text.as_py()) + struct.pack("<I", END_ID)
+            texts = itertools.chain.from_iterable(words.ids(group) for group in groups(batch.column("text")))
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), texts):
+                ids += end
                 for piece, at in enumerate(range(0, len(ids), 4 * length)):
                     part = ids[at:at + 4 * length]
                     rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
@@ -85,7 +140,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> D
                 [pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole(F.col("text")).alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole(F.col("text")).cast("binary").alias("text"))
     pieces = rows.mapInArrow(cut, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
     return materialize(pieces.withColumn("row", F.monotonically_increasing_id()), "packing-pieces")
 
