@@ -91,9 +91,10 @@ def count_features(docs: DataFrame, good_ids: np.ndarray) -> tuple[np.ndarray, n
         yield pa.RecordBatch.from_arrays([pa.array(held), *(pa.array(row[held]) for row in counts)], names=["feature", "n_raw", "n_good"])
 
     summed = _rows(docs).mapInArrow(count, "feature bigint, n_raw bigint, n_good bigint").groupBy("feature").agg(
-        F.sum("n_raw").alias("n_raw"), F.sum("n_good").alias("n_good")).toPandas()
+        F.sum("n_raw").alias("n_raw"), F.sum("n_good").alias("n_good")).toArrow()
+    at, n_raw, n_good = (summed.column(name).to_numpy() for name in ("feature", "n_raw", "n_good"))
     raw, good = np.zeros(N_FEATURES + 1, np.int64), np.zeros(N_FEATURES + 1, np.int64)
-    raw[summed["feature"]], good[summed["feature"]] = summed["n_raw"], summed["n_good"]
+    raw[at], good[at] = n_raw, n_good
     return raw[:-1], good[:-1], int(raw[-1]), int(good[-1])
 
 
@@ -155,7 +156,7 @@ def select_documents(docs: DataFrame, labels: DataFrame, k: int | None = None, s
     rows. Other columns are not read.
     """
     good = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct()
-    chosen = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled).toPandas()["doc_id"].to_numpy(np.int64)
+    chosen = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled).toArrow().column("doc_id").to_numpy()
     ratio = log_ratios(*count_features(docs, chosen))
     scored = log_weights(docs, ratio).withColumn(
         "perturbed", F.lit(SHARPNESS) * F.col("log_weight") + gumbel(F.col("doc_id"), seed))
