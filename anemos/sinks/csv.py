@@ -64,7 +64,7 @@ def write_resampled(df: DataFrame, path: str, per_device: bool = False) -> None:
     """Resampled signals as CSV: one folder, or one folder per turbine."""
     writer = df.write
     if per_device:
-        writer = df.withColumn("device", F.col("turbine")).write.partitionBy("device")
+        writer = df.withColumn("device", F.col("turbine")).hint("rebalance", "device").write.partitionBy("device")
     writer.mode("overwrite").option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path, **_FORMAT)
 
 

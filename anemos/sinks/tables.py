@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.schemas import SchemaConflict, conflicts_between
+
 STORE_DIGITS = 6
-LISTED_SLICES = 200
 
 
 def write_sorted(df: DataFrame, path: str, by: str = "time", partitions: int | None = None) -> None:
@@ -59,32 +60,41 @@ def merge_slices(fresh: DataFrame, path: str, keys: Sequence[str], time: str, ho
     """Merge rows into a table partitioned by day (and hour): a row replaces the
     stored one with the same keys.
 
-    Only the days (hours) of ``fresh`` are read and written, and merging the same
+    Columns are merged by name: those that only the stored or only the fresh rows
+    have stay, null for the others; one with two types is an error. Only the days (hours) of ``fresh`` are read and written, and merging the same
     rows again changes nothing. ``fresh`` is read several times: pass a table.
     """
     slices = ["dt", "hr"] if hours else ["dt"]
     fresh = with_slices(fresh, time, hours)
-    stored = stored_table(fresh.sparkSession, path, fresh.schema)
+    stored = stored_rows(fresh.sparkSession, path)
     merged = fresh
     if stored is not None:
+        conflicts = conflicts_between(stored.schema, fresh.schema)
+        if conflicts:
+            raise SchemaConflict(conflicts)
         touched = _touched(stored, fresh.select(*slices).distinct())
-        merged = touched.join(fresh.select(*keys), list(keys), "left_anti").unionByName(fresh)
+        kept = touched.join(fresh.select(*keys), list(keys), "left_anti")
+        merged = kept.unionByName(fresh, allowMissingColumns=True)
     write_days(merged.drop(*slices), path, time, hours)
 
 
 def _touched(stored: DataFrame, slices: DataFrame) -> DataFrame:
-    """Stored rows of the given slices. There are usually few, which as literals
-    prune the table's folders; those of a long backfill are joined."""
-    listed = slices.limit(LISTED_SLICES + 1).collect()
-    if len(listed) > LISTED_SLICES:
-        return stored.join(slices, slices.columns, "left_semi")
-    wanted = F.lit(False)
-    for values in listed:
-        same = F.lit(True)
-        for name, value in values.asDict().items():
-            same = same & (F.col(name) == F.lit(value))
-        wanted = wanted | same
-    return stored.where(wanted)
+    """Stored rows of the given slices. The first and last day prune the table's
+    folders, however many slices there are; the slices themselves are joined."""
+    first, last = slices.agg(F.min("dt"), F.max("dt")).first()
+    if first is None:
+        return stored.where(F.lit(False))
+    return stored.where(F.col("dt").between(F.lit(first), F.lit(last))).join(slices, slices.columns, "left_semi")
+
+
+def stored_rows(spark: SparkSession, path: str) -> DataFrame | None:
+    """A table with all columns that any of its files has, or None if there is nothing at ``path`` yet."""
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def stored_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:

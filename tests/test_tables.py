@@ -95,12 +95,60 @@ def test_scan_range_is_closed(spark, stored_telemetry, telemetry):
     assert sources.scan_telemetry(spark, stored_telemetry, devices=[]).count() == 0
 
 
-def test_many_devices_are_joined(telemetry):
-    from anemos.operators.resample import LISTED_DEVICES, of_devices
+def test_many_devices_reach_the_scan(spark, stored_telemetry):
+    from anemos.operators.resample import of_devices
 
-    names = [f"X{n}" for n in range(LISTED_DEVICES)] + ["WF01_001", "WF01_001"]
-    few, many = of_devices(telemetry, ["WF01_001"]), of_devices(telemetry, names)
+    stored = spark.read.parquet(stored_telemetry)
+    names = [f"X{n}" for n in range(3_000)] + ["WF01_001", "WF01_001"]
+    few, many = of_devices(stored, ["WF01_001"]), of_devices(stored, names)
     assert few.count() == many.count() > 0 and many.exceptAll(few).count() == 0
+    pushed = many._jdf.queryExecution().executedPlan().toString()
+    assert "In(turbine" in pushed.split("PushedFilters")[1]
+
+
+def test_merging_keeps_columns_of_either_side(spark, tmp_path):
+    from anemos.operators.schemas import SchemaConflict
+    from anemos.sinks import merge_slices
+
+    path, noon = str(tmp_path / "t"), dt.datetime(2024, 5, 1, 12)
+    merge_slices(spark.createDataFrame([(noon, "A", 1, 7.5)], "time timestamp_ntz, turbine string, v int, extra double"), path, ["turbine", "time"], "time", True)
+    merge_slices(spark.createDataFrame([(noon, "B", 2)], "time timestamp_ntz, turbine string, v int"), path, ["turbine", "time"], "time", True)
+    merge_slices(spark.createDataFrame([(noon, "C", 3, "x")], "time timestamp_ntz, turbine string, v int, more string"), path, ["turbine", "time"], "time", True)
+    rows = spark.read.option("mergeSchema", "true").parquet(path).select("turbine", "v", "extra", "more").collect()
+    assert sorted(map(tuple, rows)) == [("A", 1, 7.5, None), ("B", 2, None, None), ("C", 3, None, "x")]
+    with pytest.raises(SchemaConflict):
+        merge_slices(spark.createDataFrame([(noon, "D", "4")], "time timestamp_ntz, turbine string, v string"), path, ["turbine", "time"], "time", True)
+
+
+def test_many_touched_hours_prune_days(spark, tmp_path):
+    from anemos.sinks import tables
+
+    path = str(tmp_path / "t")
+    hours = spark.range(5_000).selectExpr("timestampadd(HOUR, id, timestamp_ntz'2024-01-01') time", "'A' turbine", "id v")
+    tables.write_days(hours.where("v < 48"), path, "time", hours=True)
+    stored = tables.stored_rows(spark, path)
+    touched = tables._touched(stored, tables.with_slices(hours, "time", True).select("dt", "hr").distinct())
+    filters = touched._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1]
+    assert "dt" in filters.split("]")[0] and ">=" in filters.split("PushedFilters")[0]
+    assert touched.count() == 48
+
+
+def test_merge_with_a_first_table_that_is_not_there(spark, tmp_path):
+    from anemos.plans import jobs
+
+    write_parquet(tmp_path / "b.parquet", time=times(1), turbine=["A"], v=[1.0])
+    jobs.merge_files(spark, str(tmp_path / "none"), str(tmp_path / "b.parquet"), str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def test_one_file_per_small_device(spark, tmp_path):
+    import glob
+
+    from anemos.sinks.csv import write_resampled
+
+    rows = spark.range(400).selectExpr("concat('T', id % 4) turbine", "id v").repartition(50)
+    write_resampled(rows, str(tmp_path / "csv"), per_device=True)
+    assert len(glob.glob(str(tmp_path / "csv" / "device=*" / "*.csv"))) == 4
 
 
 def test_files_with_other_columns(spark, tmp_path):
