@@ -25,10 +25,6 @@ EVENT_FIELDS = (
 _TIMES = ("StartTime", "EndTime", "ConfirmedTime")
 ORDERS = {"asc": F.asc, "desc": F.desc}
 
-# Pages that end before this row are found by a plain top-k.
-SHALLOW_ROWS = 10_000
-
-
 @dataclass(frozen=True)
 class EventQuery:
     """What to export. Empty lists and ``None`` ask for everything.
@@ -72,6 +68,8 @@ def filter_events(events: DataFrame, query: EventQuery) -> DataFrame:
                         ("FirstEvent", query.first), ("Confirmed", query.confirmed)):
         if value is not None:
             wanted = wanted & (F.col(name) == value)
+    if query.devices:
+        wanted = wanted & F.col("FarmCode").isin(*dict.fromkeys(farm for farm, _ in query.devices))
     if query.levels:
         wanted = wanted & F.col("EventLevel").isin(*query.levels)
     if query.start is not None:
@@ -95,12 +93,12 @@ def open_events(events: DataFrame, query: EventQuery) -> DataFrame:
     return filter_events(events, query).where(F.coalesce(_moment(events, "EndTime"), never) == never)
 
 
-def page_of(events: DataFrame, page: int, size: int, order: str = "asc", shallow: int = SHALLOW_ROWS) -> DataFrame:
+def page_of(events: DataFrame, page: int, size: int, order: str = "asc") -> DataFrame:
     """One page in order of start time and message id.
 
-    Pages that end by row ``shallow`` are a top-k. For late ones the events are counted per minute, the
-    minutes the page falls into are found from the running count, and only their
-    events are ranked, so that no task ever holds all events before the page.
+    Events are counted per day and then, in the days that the page touches, per
+    minute. The page is then a top-k among the minutes it lies in, however late it
+    is; no task holds the events before it. The counts are run when the page is asked for.
     """
     if order not in ORDERS:
         raise ValueError(f"order must be one of {', '.join(ORDERS)}")
@@ -109,25 +107,31 @@ def page_of(events: DataFrame, page: int, size: int, order: str = "asc", shallow
     direction = ORDERS[order]
     skipped = (page - 1) * size
     keys = [direction("StartTime"), direction("MessageId")]
-    if skipped + size <= shallow:
-        return events.orderBy(*keys).offset(skipped).limit(size)
-    minute = F.date_trunc("MINUTE", _moment(events, "StartTime"))
-    minutes = events.groupBy(minute.alias("_at")).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.orderBy(direction("_at")).rowsBetween(Window.unboundedPreceding, -1)
-    touched = (
-        minutes.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        .where((F.col("_before") < skipped + size) & (F.col("_before") + F.col("_n") > skipped))
-        .select("_at", "_before")
-    )
-    rank = F.col("_before") + F.row_number().over(Window.partitionBy("_minute").orderBy(*keys))
-    return (
-        events.withColumn("_minute", minute)
-        .join(touched, F.col("_minute").eqNullSafe(F.col("_at")))
-        .withColumn("_rank", rank)
-        .where((F.col("_rank") > skipped) & (F.col("_rank") <= skipped + size))
-        .orderBy(*keys)
-        .select(*events.columns)
-    )
+    found = events
+    for unit in ("DAY", "MINUTE"):
+        at = F.date_trunc(unit, _moment(events, "StartTime")).cast("timestamp_ntz")
+        counts = [(row["at"], row["n"]) for row in found.groupBy(at.alias("at")).agg(F.count(F.lit(1)).alias("n")).collect()]
+        # Spark puts null times first in ascending order and last in descending order.
+        counts.sort(key=lambda row: (row[0] is not None, row[0] or dt.datetime.min), reverse=order == "desc")
+        touched, before = [], 0
+        for moment, n in counts:
+            if before < skipped + size and before + n > skipped:
+                if not touched:
+                    first = before
+                touched.append(moment)
+            before += n
+        if not touched:
+            return events.where(F.lit(False))
+        skipped -= first
+        within = F.lit(False)
+        times = [moment for moment in touched if moment is not None]
+        if times:
+            step = dt.timedelta(days=1) if unit == "DAY" else dt.timedelta(minutes=1)
+            within = (F.col("StartTime") >= _bound(events, min(times))) & (F.col("StartTime") < _bound(events, max(times) + step))
+        if len(times) < len(touched):
+            within = within | F.col("StartTime").isNull()
+        found = found.where(within)
+    return found.orderBy(*keys).offset(skipped).limit(size)
 
 
 def history(events: DataFrame, query: EventQuery) -> DataFrame:
@@ -166,9 +170,10 @@ def flatten_nested(messages: DataFrame, children: str = "Relevant") -> DataFrame
 
     Adds ``root_id``, ``depth`` and ``position`` (place within the message). One
     generator per row and no shuffle; the nesting may be as deep as the schema.
+    Where the schema keeps the related events of its last level as text, text there is an error.
     """
     def related(data_type: T.StructType) -> T.StructType | None:
-        if children not in data_type.fieldNames():
+        if children not in data_type.fieldNames() or isinstance(data_type[children].dataType, T.StringType):
             return None
         return data_type[children].dataType.elementType
 
@@ -183,7 +188,11 @@ def flatten_nested(messages: DataFrame, children: str = "Relevant") -> DataFrame
         own = F.array(F.struct(F.lit(depth).alias("depth"), *values))
         below = related(data_type)
         if below is None:
-            return own
+            if children not in data_type.fieldNames():
+                return own
+            nothing = F.coalesce(message[children], F.lit("[]")).isin("[]", "null", "")
+            deeper = F.raise_error(F.lit("messages are nested deeper than the schema; read them with a larger depth"))
+            return F.when(nothing, own).otherwise(deeper)
         rows = F.flatten(F.transform(message[children], lambda child: unfold(child, below, depth + 1)))
         return F.concat(own, F.coalesce(rows, F.slice(own, 1, 0)))
 
@@ -194,7 +203,7 @@ def flatten_nested(messages: DataFrame, children: str = "Relevant") -> DataFrame
     return listed.select("root_id", "position", "_event.*")
 
 
-def flatten_by_parent(events: DataFrame, max_depth: int = 64) -> DataFrame:
+def flatten_by_parent(events: DataFrame) -> DataFrame:
     """Events that name their parent in ``RelevantId``, with root, depth and path.
 
     ``path`` lists the ids from the root down; sorting by it puts each parent
@@ -204,17 +213,19 @@ def flatten_by_parent(events: DataFrame, max_depth: int = 64) -> DataFrame:
     it is joined to that ancestor and takes over its path, which doubles the
     reach, so a few equi-joins do for any depth. Only events still on their way
     take part; each round is written out, so a lost executor repeats one round.
-    Events deeper than ``max_depth``, or related in a circle, are an error.
+    Events related in a circle are an error: an id returns in its own path. An
+    event delivered more than once counts once.
     """
+    events = events.dropDuplicates(["MessageId"])
     ancestor = F.nullif(F.col("RelevantId"), F.lit(""))
     climbing = materialize(
         events.select("MessageId", ancestor.alias("ancestor"), F.array("MessageId").alias("path")), "event-paths"
     )
-    arrived, reach = [climbing.where(F.col("ancestor").isNull())], 1
+    arrived = [climbing.where(F.col("ancestor").isNull())]
     climbing = climbing.where(F.col("ancestor").isNotNull())
     while not climbing.isEmpty():
-        if reach > 2 * max_depth:
-            raise ValueError(f"events are related over more than {max_depth} levels or in a circle")
+        if not climbing.where(F.size(F.array_distinct("path")) < F.size("path")).isEmpty():
+            raise ValueError("events are related in a circle")
         known = climbing
         for part in arrived:
             known = known.unionByName(part)
@@ -229,7 +240,7 @@ def flatten_by_parent(events: DataFrame, max_depth: int = 64) -> DataFrame:
             "event-paths",
         )
         arrived.append(moved.where(F.col("ancestor").isNull()))
-        climbing, reach = moved.where(F.col("ancestor").isNotNull()), reach * 2
+        climbing = moved.where(F.col("ancestor").isNotNull())
     paths = arrived[0]
     for part in arrived[1:]:
         paths = paths.unionByName(part)

@@ -12,15 +12,16 @@ _NUMBERS = ("EventLevel", "FirstEvent", "Confirmed")
 
 
 def message_schema(depth: int) -> T.StructType:
-    """An event message with related messages nested ``depth`` levels deep."""
+    """An event message with related messages nested ``depth`` levels deep; what lies
+    deeper is kept as text, which :func:`flatten_nested` refuses to drop."""
     fields = [T.StructField(name, T.StringType()) for name in _TEXT]
     fields += [T.StructField(name, T.LongType()) for name in _MILLISECONDS]
     fields += [T.StructField(name, T.IntegerType()) for name in _NUMBERS]
-    if depth > 0:
-        fields.append(T.StructField("Relevant", T.ArrayType(message_schema(depth - 1))))
+    below = T.ArrayType(message_schema(depth - 1)) if depth > 0 else T.StringType()
+    fields.append(T.StructField("Relevant", below))
     return T.StructType(fields)
 
 
-def read_messages(spark: SparkSession, path: str, depth: int = 3, fmt: str = "json") -> DataFrame:
+def read_messages(spark: SparkSession, path: str, depth: int = 8, fmt: str = "json") -> DataFrame:
     """Event messages from JSON lines or Parquet."""
     return spark.read.format(fmt).schema(message_schema(depth)).load(path)

@@ -63,7 +63,26 @@ def test_a_long_chain(spark):
 def test_events_in_a_circle(spark):
     rows = spark.createDataFrame([("a", "b"), ("b", "a")], "MessageId string, RelevantId string")
     with pytest.raises(ValueError, match="circle"):
-        events.flatten_by_parent(rows, max_depth=4)
+        events.flatten_by_parent(rows)
+
+
+def test_a_very_long_chain_and_a_second_delivery(spark):
+    rows = [(str(n), str(n - 1) if n else None) for n in range(1_000)] + [("5", "4"), ("0", None)]
+    got = events.flatten_by_parent(spark.createDataFrame(rows, "MessageId string, RelevantId string"))
+    assert {r.MessageId: r.depth for r in got.collect()} == {str(n): n for n in range(1_000)} and got.count() == 1_000
+
+
+def test_deep_messages_are_read_whole_or_refused(spark, tmp_path):
+    import json
+
+    message = None
+    for n in range(6, -1, -1):
+        message = {"MessageId": str(n), "Relevant": [message] if message else []}
+    (tmp_path / "m.json").write_text(json.dumps(message))
+    deep = events.flatten_nested(read_messages(spark, str(tmp_path / "m.json")))
+    assert [r.MessageId for r in deep.orderBy("position").collect()] == [str(n) for n in range(7)]
+    with pytest.raises(Exception, match="nested deeper"):
+        events.flatten_nested(read_messages(spark, str(tmp_path / "m.json"), depth=3)).collect()
 
 
 def test_empty_conditions_keep_everything(decoded):
@@ -87,17 +106,19 @@ def test_range_holds_start_but_not_end(decoded):
 @pytest.mark.parametrize("order", ["asc", "desc"])
 @pytest.mark.parametrize("page, size", [(1, 7), (3, 40), (1, 2000), (26, 40), (99, 40)])
 def test_late_pages_agree_with_early_ones(decoded, order, page, size):
-    plain = events.page_of(decoded, page, size, order).select("MessageId").collect()
-    ranked = events.page_of(decoded, page, size, order, shallow=0).select("MessageId").collect()
-    assert [r.MessageId for r in plain] == [r.MessageId for r in ranked]
+    keys = [events.ORDERS[order](key) for key in ("StartTime", "MessageId")]
+    plain = decoded.orderBy(*keys).offset((page - 1) * size).limit(size).select("MessageId").collect()
+    found = events.page_of(decoded, page, size, order).select("MessageId")
+    assert "SinglePartition" not in found._jdf.queryExecution().executedPlan().toString().replace("TakeOrdered", "")
+    assert [r.MessageId for r in plain] == [r.MessageId for r in found.collect()]
 
 
 def test_late_pages_with_many_events_at_one_time(spark):
     rows = [(f"m{n:03d}", dt.datetime(2024, 5, 1, 0, n % 3)) for n in range(90)] + [("none", None)]
     df = spark.createDataFrame(rows, "MessageId string, StartTime timestamp_ntz")
     for page in range(1, 8):
-        plain = events.page_of(df, page, 15).collect()
-        assert plain == events.page_of(df, page, 15, shallow=0).collect()
+        plain = df.orderBy("StartTime", "MessageId").offset((page - 1) * 15).limit(15).collect()
+        assert plain == events.page_of(df, page, 15).collect()
 
 
 @pytest.mark.parametrize("page, size, order", [(0, 10, "asc"), (1, 0, "asc"), (1, 10, "sideways")])
