@@ -30,6 +30,7 @@ _COMPARE = {
     ast.Gt: lambda a, b: a > b,
     ast.GtE: lambda a, b: a >= b,
 }
+_STRING = re.compile(r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*\"""")
 _LOGIC_WORDS = ((r"&&", " and "), (r"\|\|", " or "), (r"!(?!=)", " not "))
 
 
@@ -51,8 +52,16 @@ def _conditional(flat: str) -> str:
 
 
 def _as_python(text: str) -> str:
-    """The formula in Python's spelling, worked out from the innermost parentheses."""
+    """The formula in Python's spelling, worked out from the innermost parentheses.
+    Strings are set aside first, so nothing inside them is rewritten."""
     inner: list[str] = []
+    strings: list[str] = []
+
+    def keep(match: re.Match) -> str:
+        strings.append(match[0])
+        return f"\1{len(strings) - 1}\1"
+
+    text = _STRING.sub(keep, text)
 
     def put_aside(match: re.Match) -> str:
         inner.append(f"({_conditional(match[1])})")
@@ -65,7 +74,7 @@ def _as_python(text: str) -> str:
         text = re.sub("\0(\\d+)\0", lambda match: inner[int(match[1])], text)
     for pattern, word in _LOGIC_WORDS:
         text = re.sub(pattern, word, text)
-    return text.strip()
+    return re.sub("\1(\\d+)\1", lambda match: strings[int(match[1])], text).strip()
 
 
 def formula_column(text: str, columns: Iterable[str]) -> Column:
@@ -104,7 +113,7 @@ def formula_column(text: str, columns: Iterable[str]) -> Column:
         raise FormulaError(f"not supported in a formula: {ast.unparse(node)!r}")
 
     try:
-        tree = ast.parse(_as_python(text.replace("\0", "")), mode="eval")
+        tree = ast.parse(_as_python(text.replace("\0", "").replace("\1", "")), mode="eval")
     except SyntaxError as error:
         raise FormulaError(f"cannot read formula {text!r}") from error
     return build(tree.body)

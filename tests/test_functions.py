@@ -77,7 +77,7 @@ def test_cell_text(spark):
 
 
 def test_file_keys(spark):
-    name = F.lit("WF01_012_202404101537_WindFarmData.parquet")
+    name = F.lit("WF01_012_202404101537_samples.parquet")
     assert one(spark, device_of(name)) == "WF01_012"
     assert one(spark, sample_time_of(name)) == dt.datetime(2024, 4, 10, 15, 37)
     assert one(spark, report_time_of(name)) == dt.datetime(2024, 4, 10, 15, 30)
@@ -109,3 +109,11 @@ def test_formula(spark, text, expected):
 def test_formula_refused(text):
     with pytest.raises(FormulaError):
         formula_column(text, ["a", "b"])
+
+
+@pytest.mark.parametrize("value", ["A!B", "x&&y", "a(b", "p?q:r", "u||v", "c)", "it"])
+def test_strings_in_formulas_stay_as_they_are(spark, value):
+    for quote in "'\"":
+        text = f"(n == {quote}{value}{quote}) && !(n == 'other') ? 1 : 0"
+        assert one(spark, formula_column(text, ["n"]), n=value) == 1.0
+        assert one(spark, formula_column(text, ["n"]), n=value + " ") == 0.0
