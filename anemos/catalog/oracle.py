@@ -343,7 +343,7 @@ def oracle_sql() -> dict[str, str]:
             WHERE Time >= TIMESTAMP '{FROM}' AND Time < TIMESTAMP '{UNTIL}'
               AND DeviceName IN ({_names(fx.DEVICES[2:])})"""),
         "file_report_time": _with(T, select=f"""
-            SELECT concat(turbine, '_', strftime(time, '%Y%m%d%H%M'), '_WindFarmData.parquet') AS file,
+            SELECT concat(turbine, '_', strftime(time, '%Y%m%d%H%M'), '_samples.parquet') AS file,
               turbine AS device, date_trunc('minute', time) AS sample_time, {TEN} AS report_time FROM telemetry"""),
         "time_bucket": _with(T, select=f"""
             SELECT {TEN} AS b0, count(*) AS samples,

@@ -111,7 +111,7 @@ def report_scan(spark, sf_dir):
 @_query
 def file_report_time(spark, sf_dir):
     names = fx.telemetry(spark, sf_dir).select(
-        F.concat("turbine", F.lit("_"), F.date_format("time", "yyyyMMddHHmm"), F.lit("_WindFarmData.parquet")).alias("file")
+        F.concat("turbine", F.lit("_"), F.date_format("time", "yyyyMMddHHmm"), F.lit("_samples.parquet")).alias("file")
     )
     keyed = names.select(
         "file", device_of(F.col("file")).alias("device"), sample_time_of(F.col("file")).alias("sample_time")
@@ -407,8 +407,7 @@ def events_page(spark, sf_dir):
 @_query
 def events_page_late(spark, sf_dir):
     """The page around the middle of all events, past the rows a top-k is used for."""
-    size = events.SHALLOW_ROWS // 4
-    return events.page_of(_decoded(spark, sf_dir), 4, size, "asc", shallow=size).select("MessageId", "StartTime")
+    return events.page_of(_decoded(spark, sf_dir), 4, 2_500, "asc").select("MessageId", "StartTime")
 
 
 @_query

@@ -18,12 +18,13 @@ from ..sinks import csv, tables
 def merge_files(spark: SparkSession, first: str | None, second: str, target: str, by: str = "time") -> None:
     """Merge two Parquet tables by column name into ``target``, in time order.
 
-    Without a first table the second is taken as it is. A target that is also an
+    Without a first table, or with a path where there is none, the second is taken as it is. A target that is also an
     input is replaced only after the merged rows are written elsewhere.
     """
     merged = spark.read.parquet(second)
-    if first is not None:
-        merged = schemas.merge_by_name(spark.read.parquet(first), merged)
+    earlier = tables.stored_rows(spark, first) if first is not None else None
+    if earlier is not None:
+        merged = schemas.merge_by_name(earlier, merged)
     if target in (first, second):
         merged = materialize(merged, "merge")
     tables.write_sorted(merged, target, by)
@@ -94,10 +95,16 @@ def stored_report(
 ) -> DataFrame:
     """Stored ten-minute rows rolled up per group and period, in output order."""
     if "dt" in rows.columns:
-        rows = rows.where(F.col("dt").between(F.lit(start.date().replace(day=1)), F.lit(_after(end, period)))).drop("dt")
+        rows = rows.where(F.col("dt").between(F.lit(_before(start, period)), F.lit(_after(end, period)))).drop("dt")
+    rows = of_devices(rows, [device for item in groups for names in item.values() for device in names], "DeviceName")
     return rollup.rollup(rows, groups, period, start, end, columns, formulas).orderBy("group_ord", "Time")
 
 
+def _before(start: dt.datetime, period: str) -> dt.date:
+    """The first day of the period that holds ``start``."""
+    return start.date().replace(day=1) if period in ("month", "year") else start.date()
+
+
 def _after(end: dt.datetime, period: str) -> dt.date:
     """A date no period that holds ``end`` reaches beyond."""
     longest = {"month": 31, "year": 366}.get(period, 1)
@@ -106,12 +113,22 @@ def _after(end: dt.datetime, period: str) -> dt.date:
 
 def tba(samples: DataFrame, first: dt.date, last: dt.date, farm: str = "farm") -> DataFrame:
     """Minutes per turbine, day and condition over the days of a request."""
+    samples = _of_days(samples, first, last)
     minutes = materialize(availability.daily_minutes(conditions.condition_sums(samples, "1 DAY")), "daily-minutes")
     return availability.availability_calendar(minutes, first, last, farm)
 
 
+def _of_days(samples: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+    """Samples of the days of a request, both included."""
+    day = dt.timedelta(days=1)
+    picked = samples.where(
+        (F.col("time") >= naive(dt.datetime.combine(first, dt.time())))
+        & (F.col("time") < naive(dt.datetime.combine(last + day, dt.time()))))
+    return picked.where(F.col("dt").between(F.lit(first), F.lit(last))) if "dt" in samples.columns else picked
+
+
 def pba_rows(sums: DataFrame, info: DataFrame, curve_points: DataFrame,
-             international: DataFrame | None = None, fit: str = "forest") -> DataFrame:
+             international: DataFrame | None = None, fit: str = "line") -> DataFrame:
     """Five-minute and ten-minute rows with expected energy, as a table."""
     both = energy.five_minute_rows(sums).unionByName(energy.ten_minute_rows(sums))
     return materialize(energy.with_expected(both, info, curve_points, international, fit), "energy-rows")
@@ -119,14 +136,15 @@ def pba_rows(sums: DataFrame, info: DataFrame, curve_points: DataFrame,
 
 def tba_and_pba(
     samples: DataFrame, info: DataFrame, curve_points: DataFrame, first: dt.date, last: dt.date,
-    farm: str = "farm", international: DataFrame | None = None, fit: str = "forest",
+    farm: str = "farm", international: DataFrame | None = None, fit: str = "line",
 ) -> tuple[DataFrame, DataFrame]:
-    """Both availability tables. Samples are read once: everything is made from
+    """Both availability tables of the days of a request. Samples are read once: everything is made from
     the sums per turbine, five minutes and label.
 
-    ``fit`` tells how curves are read between their points: through a regression
-    forest, or along straight lines (``"line"``).
+    ``fit`` tells how curves are read between their points: along straight lines, or
+    through a regression forest (``"forest"``).
     """
+    samples = _of_days(samples, first, last)
     sums = materialize(conditions.condition_sums(samples), "condition-sums")
     minutes = materialize(availability.daily_minutes(sums), "daily-minutes")
     rows = pba_rows(sums, info, curve_points, international, fit)
