@@ -14,15 +14,21 @@ NORMAL = 120
 NO_DATA = 1000
 
 
+def farm_key(df: DataFrame) -> list[str]:
+    """The key of the farm: a column ``farm`` if the rows have one. Turbines of the
+    same name in two farms are two turbines, and nothing is shared between farms."""
+    return ["farm"] if "farm" in df.columns else []
+
+
 def condition_sums(df: DataFrame, every: str = "5 MINUTE") -> DataFrame:
-    """Sums per turbine, window and label: the only pass over samples.
+    """Sums per turbine (of a farm, if samples name it), window and label: the only pass over samples.
 
     From five-minute sums, five-minute rows, ten-minute rows and minutes per day
     are all made by adding up; for minutes alone, sums per day are enough. Only
     the signals in use are read.
     """
     window = time_bucket("time", every).alias("w")
-    return df.groupBy("turbine", window, F.col("MC531").alias("label")).agg(
+    return df.groupBy(*farm_key(df), "turbine", window, F.col("MC531").alias("label")).agg(
         F.count("time").alias("samples"),
         F.sum("MC004").alias("wind_sum"),
         F.count("MC004").alias("wind_rows"),
@@ -50,5 +56,6 @@ def label_mode(sums: DataFrame) -> DataFrame:
     Missing labels have no vote. The counts come out of a hash aggregate, so no
     samples are sorted and no list of labels is collected.
     """
-    counted = sums.groupBy("turbine", "w", "label").agg(F.sum("samples").alias("samples"))
-    return counted.groupBy("turbine", "w").agg(prevailing_label().alias("label"))
+    farm = farm_key(sums)
+    counted = sums.groupBy(*farm, "turbine", "w", "label").agg(F.sum("samples").alias("samples"))
+    return counted.groupBy(*farm, "turbine", "w").agg(prevailing_label().alias("label"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.buckets import time_bucket
-from .conditions import NORMAL, prevailing_label, valid
+from .conditions import NORMAL, farm_key, prevailing_label, valid
 from .curves import CUT_IN, CUT_OUT, expected_power
 from .peers import mean_winds, nearest_peers
 
@@ -29,20 +29,20 @@ def _window_rows(groups, *extra: Column) -> DataFrame:
 
 def five_minute_rows(sums: DataFrame) -> DataFrame:
     """Mean wind and power, seconds and prevailing label per turbine and five minutes."""
-    rows = _window_rows(valid(sums).groupBy("turbine", "w"), prevailing_label().alias("label"))
+    rows = _window_rows(valid(sums).groupBy(*farm_key(sums), "turbine", "w"), prevailing_label().alias("label"))
     return _energy(rows, FIVE)
 
 
 def ten_minute_rows(sums: DataFrame) -> DataFrame:
     """The same per turbine, ten minutes and label."""
     window = time_bucket("w", "10 MINUTE").alias("w")
-    rows = _window_rows(valid(sums).where(F.col("label").isNotNull()).groupBy("turbine", window, "label"))
+    rows = _window_rows(valid(sums).where(F.col("label").isNotNull()).groupBy(*farm_key(sums), "turbine", window, "label"))
     return _energy(rows, TEN)
 
 
 def _energy(rows: DataFrame, method: str) -> DataFrame:
     return rows.where(F.col("wind_speed").isNotNull()).select(
-        F.lit(method).alias("method"), "turbine", "w", "label", "wind_speed", "power", "seconds",
+        F.lit(method).alias("method"), *farm_key(rows), "turbine", "w", "label", "wind_speed", "power", "seconds",
         (F.col("power") * F.col("seconds") / HOUR).alias("actual"),
     )
 
@@ -52,8 +52,9 @@ def with_turbine_info(rows: DataFrame, info: DataFrame) -> DataFrame:
     def speed(name: str, default: float) -> Column:
         return F.coalesce(F.col(name).cast("int").cast("double"), F.lit(default)).alias(name)
 
-    known = info.select("turbine", "turbine_type", speed("cut_in", CUT_IN), speed("cut_out", CUT_OUT))
-    return rows.join(known, "turbine", "left").fillna({"cut_in": CUT_IN, "cut_out": CUT_OUT})
+    own = [*(name for name in farm_key(info) if name in rows.columns), "turbine"]
+    known = info.select(*own, "turbine_type", speed("cut_in", CUT_IN), speed("cut_out", CUT_OUT))
+    return rows.join(known, own, "left").fillna({"cut_in": CUT_IN, "cut_out": CUT_OUT})
 
 
 def with_expected(rows: DataFrame, info: DataFrame, curves: DataFrame,
@@ -80,30 +81,31 @@ def with_potential(rows: DataFrame) -> DataFrame:
     pass a table, not a plan over samples. Only rows out of normal state are
     joined; normal rows pass through.
     """
+    farm = farm_key(rows)
     normal = rows.where(F.col("label") == NORMAL)
     other = rows.where((F.col("label") != NORMAL) | F.col("label").isNull())
     peers = nearest_peers(mean_winds(rows.where(F.col("method") == FIVE))).select(
-        "method", "turbine", "nearest", "second"
+        "method", *farm, "turbine", "nearest", "second"
     )
-    made = normal.select("method", "turbine", "w", "actual", "seconds")
-    per_type = normal.groupBy("method", "turbine_type", "w").agg(
+    made = normal.select("method", *farm, "turbine", "w", "actual", "seconds")
+    per_type = normal.groupBy("method", *farm, "turbine_type", "w").agg(
         F.sum("actual").alias("_actual"), F.count("actual").alias("_actual_rows"),
         F.sum("seconds").alias("_seconds"), F.count("seconds").alias("_seconds_rows"),
     )
 
     def peer(name: str) -> DataFrame:
         return made.select(
-            "method", "w", F.col("turbine").alias(name),
+            "method", *farm, "w", F.col("turbine").alias(name),
             F.col("actual").alias(f"{name}_actual"), F.col("seconds").alias(f"{name}_seconds"),
         )
 
     joined = (
-        other.join(peers, ["method", "turbine"], "left")
-        .join(peer("nearest"), ["method", "w", "nearest"], "left")
-        .join(peer("second"), ["method", "w", "second"], "left")
-        .join(made.select("method", "w", "turbine", F.col("actual").alias("own_actual"),
-                          F.col("seconds").alias("own_seconds")), ["method", "w", "turbine"], "left")
-        .join(per_type, ["method", "turbine_type", "w"], "left")
+        other.join(peers, ["method", *farm, "turbine"], "left")
+        .join(peer("nearest"), ["method", *farm, "w", "nearest"], "left")
+        .join(peer("second"), ["method", *farm, "w", "second"], "left")
+        .join(made.select("method", *farm, "w", "turbine", F.col("actual").alias("own_actual"),
+                          F.col("seconds").alias("own_seconds")), ["method", *farm, "w", "turbine"], "left")
+        .join(per_type, ["method", *farm, "turbine_type", "w"], "left")
     )
 
     def of_others(name: str) -> Column:
@@ -152,13 +154,13 @@ def daily_energy(rows: DataFrame, farm: str = "farm") -> DataFrame:
     intl_loss = F.greatest(F.col("intl_potential") - F.col("actual"), F.lit(0.0))
     sums = [F.coalesce(F.sum(name), F.lit(0).cast("double" if name != "seconds" else "bigint")).alias(title)
             for name, title in _SUMS.items()]
-    return (
+    daily = (
         rows.where(F.col("label").isNotNull())
         .withColumns({"loss": loss, "intl_loss": intl_loss, "record_date": F.to_date("w")})
         .groupBy(
             F.date_format("record_date", "yyyy-MM").alias("record_month"), "record_date",
-            F.lit("PBA").alias("record_type"), F.col("method").alias("standard_abbr"), "turbine", "label",
+            F.lit("PBA").alias("record_type"), F.col("method").alias("standard_abbr"), *farm_key(rows), "turbine", "label",
         )
         .agg(F.avg("wind_speed").alias("wind_speed"), *sums)
-        .withColumn("farm", F.lit(farm))
     )
+    return daily if farm_key(rows) else daily.withColumn("farm", F.lit(farm))

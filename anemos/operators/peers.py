@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .conditions import farm_key
+
 WANTED = 2
 
 
 def mean_winds(rows: DataFrame) -> DataFrame:
-    """Mean wind per method, type and turbine: a mean of window means."""
-    return rows.groupBy("method", "turbine_type", "turbine").agg(F.avg("wind_speed").alias("wind"))
+    """Mean wind per method, farm, type and turbine: a mean of window means."""
+    return rows.groupBy("method", *farm_key(rows), "turbine_type", "turbine").agg(F.avg("wind_speed").alias("wind"))
 
 
 def nearest_peers(winds: DataFrame) -> DataFrame:
-    """The nearest and second nearest turbine of the type by mean wind.
+    """The nearest and second nearest turbine of the type (and farm) by mean wind.
 
     Ties go to the smaller name. A turbine with fewer than two others, or of
     unknown type, gets none.
@@ -22,7 +24,7 @@ def nearest_peers(winds: DataFrame) -> DataFrame:
     no pairs are formed: of equal winds the first three names can matter, of the
     next values up and down the first two, of the values beyond only the first.
     """
-    kind = ["method", "turbine_type"]
+    kind = ["method", *farm_key(winds), "turbine_type"]
     same = Window.partitionBy(*kind, "wind").orderBy("turbine")
     values = Window.partitionBy(*kind).orderBy("wind")
     ranked = (

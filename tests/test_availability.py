@@ -234,3 +234,35 @@ def test_both_tables_in_one_job(spark, telemetry):
     assert tba.exceptAll(jobs.tba(telemetry, first, last)).count() == 0
     assert pba.where("loss_amount < 0 or intl_loss_amount < 0").count() == 0
     assert {r.standard_abbr for r in pba.select("standard_abbr").distinct().collect()} == {"five_minute", "ten_minute"}
+
+
+def test_two_farms_are_two_runs(spark, telemetry):
+    """Turbines of one type and of the same names in two farms share nothing."""
+    from anemos.catalog import fixtures
+
+    first, last = dt.date(2024, 1, 9), dt.date(2024, 1, 11)
+    info, curve_points = fixtures.turbine_info(spark), standard_curves(spark)
+    other = telemetry.withColumns({"MC004": F.col("MC004") * 0.8 + 1, "time": F.expr("time + INTERVAL '3' HOUR")}).where("turbine <> 'WF01_001'")
+    both = telemetry.withColumn("farm", F.lit("north")).unionByName(other.withColumn("farm", F.lit("south")))
+    together = jobs.tba_and_pba(both, info, curve_points, first, last)
+    parts = [jobs.tba_and_pba(df, info, curve_points, first, last, name) for df, name in ((telemetry, "north"), (other, "south"))]
+
+    def rows(df):
+        names = sorted(df.columns)
+        return sorted(tuple(f"{v:.9g}" if isinstance(v, float) else str(v) for v in row) for row in df.select(names).collect())
+
+    for place, joint in enumerate(together):
+        apart = [part[place] for part in parts]
+        assert sorted(joint.columns) == sorted(apart[0].columns)
+        assert rows(joint) == sorted(rows(apart[0]) + rows(apart[1])) != []
+
+
+def test_a_request_reads_and_returns_its_days(spark, stored_telemetry):
+    from anemos.catalog import fixtures
+
+    stored = spark.read.parquet(stored_telemetry)
+    day = stored.select(F.min("dt")).first()[0] + dt.timedelta(days=2)
+    _, energies = jobs.tba_and_pba(stored, fixtures.turbine_info(spark), standard_curves(spark), day, day)
+    assert {r.record_date for r in energies.select("record_date").distinct().collect()} == {day}
+    filters = jobs._of_days(stored, day, day)._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1]
+    assert "dt" in filters.split("PushedFilters")[0] and str(day) in filters.split("PushedFilters")[0]
