@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.buckets import naive, time_bucket
 from ..operators import availability, conditions, energy, events, metrics, reports, rollup, schemas
 from ..operators.resample import of_devices
-from ..session import materialize
+from ..session import materialize, scratch_scope
 from ..sinks import csv, tables
 
 
@@ -25,9 +25,10 @@ def merge_files(spark: SparkSession, first: str | None, second: str, target: str
     earlier = tables.stored_rows(spark, first) if first is not None else None
     if earlier is not None:
         merged = schemas.merge_by_name(earlier, merged)
-    if target in (first, second):
-        merged = materialize(merged, "merge")
-    tables.write_sorted(merged, target, by)
+    with scratch_scope(spark):
+        if target in (first, second):
+            merged = materialize(merged, "merge")
+        tables.write_sorted(merged, target, by)
 
 
 def ten_minute_reports(samples: DataFrame) -> dict[str, DataFrame]:

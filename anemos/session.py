@@ -5,8 +5,10 @@ from __future__ import annotations
 import re
 import sys
 import tempfile
+import threading
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -24,6 +26,7 @@ _DEFAULTS = {
     "spark.ui.enabled": "false",
 }
 
+_scope = threading.local()
 _local_scratch: tempfile.TemporaryDirectory | None = None
 
 
@@ -64,14 +67,36 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a table or folder in whatever store it lies; nothing happens if it is not there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside are deleted at the end. For jobs that write
+    their result inside; a DataFrame handed out would lose the tables it reads."""
+    outer, _scope.paths = getattr(_scope, "paths", None), []
+    try:
+        yield
+    finally:
+        for path in _scope.paths:
+            delete_path(spark, path)
+        _scope.paths = outer
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where several branches of a plan need the same reduced rows: column
     pruning makes the branches differ, so Spark would otherwise scan the raw
-    data once per branch. The table outlives lost executors and cuts lineage.
+    data once per branch. The table outlives lost executors and cuts lineage. It
+    stays until the end of the :func:`scratch_scope` around the call, if there is one.
     """
     path = scratch_path(df.sparkSession, label)
+    if getattr(_scope, "paths", None) is not None:
+        _scope.paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

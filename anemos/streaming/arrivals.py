@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import reports
 from ..plans import jobs
-from ..session import materialize
+from ..session import delete_path, materialize, scratch_scope
 from ..sinks.tables import merge_slices, stored_table
 from ..sources import with_file_keys
 
@@ -75,7 +75,7 @@ def merge_arrivals(samples: DataFrame, table: str, checkpoint: str,
     """Merge a stream of samples into a table partitioned by day and hour.
 
     For each turbine and time the last arrival wins; of copies within one batch
-    any one is kept. Only the hours a batch touches are read and replaced, so
+    the greatest, column by column, is kept. Only the hours a batch touches are read and replaced, so
     running a batch again leaves no second copy.
     With ``late_folder``, samples older than the newest of earlier batches by
     more than ``delay`` are also listed in its table ``samples``, for a batch job
@@ -91,22 +91,32 @@ def merge_arrivals(samples: DataFrame, table: str, checkpoint: str,
 def merge_batch(batch: DataFrame, batch_id: int, table: str,
                 late_folder: str | None = None, delay: str = "10 minutes") -> None:
     """Merge one batch of samples; see :func:`merge_arrivals`."""
-    fresh = materialize(batch.dropDuplicates(["turbine", "time"]), "arrivals")
-    if late_folder is not None:
-        _list_late(fresh, batch_id, late_folder, delay)
-    merge_slices(fresh, table, ["turbine", "time"], "time", hours=True)
+    keys = ["turbine", "time"]
+    others = [name for name in batch.columns if name not in keys]
+    single = batch.groupBy(*keys).agg(F.max(F.struct(*others)).alias("_row")).select(*keys, "_row.*").select(*batch.columns)
+    with scratch_scope(batch.sparkSession):
+        fresh = materialize(single, "arrivals")
+        if late_folder is not None:
+            _list_late(fresh, batch_id, late_folder, delay)
+        merge_slices(fresh, table, keys, "time", hours=True)
 
 
 def _list_late(fresh: DataFrame, batch_id: int, folder: str, delay: str) -> None:
-    """Keep late samples and the newest time of each batch, both replaced when a batch runs again."""
+    """Keep late samples, replaced when the batch runs again, and the newest time so far.
+
+    That time is one row per batch, of which the last two are kept: a batch that runs
+    again needs its predecessor's.
+    """
     spark = fresh.sparkSession
-    bounds = fresh.agg(F.max("time").alias("newest")).withColumn("batch", F.lit(batch_id).cast("bigint"))
-    earlier = stored_table(spark, f"{folder}/bounds", bounds.schema)
+    newest = fresh.agg(F.max("time").alias("newest"))
+    earlier = stored_table(spark, f"{folder}/bounds/batch={batch_id - 1}", newest.schema)
     if earlier is not None:
-        newest = earlier.where(F.col("batch") < batch_id).agg(F.max("newest").alias("newest")).scalar()
-        late = fresh.where(F.col("time") < newest - F.expr(f"INTERVAL {delay}"))
+        bound = earlier.agg(F.max("newest")).scalar()
+        late = fresh.where(F.col("time") < bound - F.expr(f"INTERVAL {delay}"))
         _replace_batch(late.withColumn("batch", F.lit(batch_id).cast("bigint")), f"{folder}/samples")
-    _replace_batch(bounds, f"{folder}/bounds")
+        newest = newest.unionByName(earlier).agg(F.max("newest").alias("newest"))
+    newest.write.mode("overwrite").parquet(f"{folder}/bounds/batch={batch_id}")
+    delete_path(spark, f"{folder}/bounds/batch={batch_id - 2}")
 
 
 def _replace_batch(rows: DataFrame, path: str) -> None:
@@ -121,7 +131,8 @@ def store_arrivals(arrivals: DataFrame, store: str, checkpoint: str, zero_nulls:
     time, so a batch that runs again, whole or in part, leaves no second copy.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
-        jobs.merge_reports(jobs.arrival_reports(batch), store, zero_nulls)
+        with scratch_scope(batch.sparkSession):
+            jobs.merge_reports(jobs.arrival_reports(batch), store, zero_nulls)
 
     return (
         arrivals.writeStream.option("checkpointLocation", checkpoint).foreachBatch(merge)

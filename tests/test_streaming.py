@@ -89,6 +89,26 @@ def test_a_batch_reads_only_its_hours(spark, tmp_path):
     assert sorted(r.v for r in spark.read.parquet(str(table)).collect()) == [1, 2, 3]
 
 
+def test_batches_leave_nothing_behind(spark, tmp_path):
+    from anemos import session
+
+    made, plain = [], session.scratch_path
+    session.scratch_path = lambda *args: made.append(plain(*args)) or made[-1]
+    try:
+        noon = dt.datetime(2024, 5, 1, 12)
+        for batch_id in range(4):
+            batch = spark.createDataFrame([(noon + dt.timedelta(days=batch_id), "A", 1), (noon, "B", batch_id), (noon, "B", 7)], SAMPLE)
+            streaming.merge_batch(batch, batch_id, str(tmp_path / "t"), str(tmp_path / "late"))
+    finally:
+        session.scratch_path = plain
+    import os
+
+    assert made and not any(os.path.exists(path.removeprefix("file:")) for path in made)
+    assert len(list((tmp_path / "late" / "bounds").glob("batch=*"))) == 2
+    assert {r.v for r in spark.read.parquet(str(tmp_path / "t")).where("turbine = 'B'").collect()} == {7}
+    assert spark.read.parquet(str(tmp_path / "late" / "samples")).count() == 2
+
+
 def test_reports_of_arriving_files(spark, telemetry, tmp_path):
     """Two batches of files; the second brings one device and time again."""
     source, store = tmp_path / "in", str(tmp_path / "store")
