@@ -26,7 +26,7 @@ SPREAD = 6.0
 ACCURACY = 10_000
 LEAST = 100
 # Measures and the slack of each.
-SLACK = {"symbol_share": 0.03, "dup_line_share": 0.3, "repeat_share": 0.1, "shout_share": 0.1, "word_length": 4.0}
+SLACK = {"symbol_share": 0.03, "dup_line_share": 0.5, "repeat_share": 0.2, "shout_share": 0.1, "word_length": 4.0}
 
 
 def _repeated_words(found: Column) -> Column:
