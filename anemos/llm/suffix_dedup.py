@@ -14,8 +14,9 @@ where only the repetitive part is left, without losing a match:
    where the longest common prefix falls below ``length``, and streams the stretches
    backwards from the sampled run ends: every step tells the interval of suffixes
    that match the window at hand, and the first place in it.
-3. An anchor with more than ``GROUP`` rows is too large for a bucket. Its windows are
-   matched by 128-bit hash in a shuffle instead.
+3. An anchor with more than ``GROUP`` rows is too large for a task. Its equal stretches are combined
+   before they meet and joined back, and the windows of what is left are matched by 128-bit hash in
+   a shuffle instead.
 
 The matches of a document are merged and cut out. Stretches are told apart by the
 128 bits of anchor and stretch hash; the index compares bytes.
@@ -307,6 +308,36 @@ def _window_matches(wide: DataFrame, length: int) -> DataFrame:
         "doc", "start", (F.col("start") + length).alias("end"))
 
 
+def _few(found: DataFrame, length: int) -> DataFrame:
+    """doc, start, size, matched, a and crowded of the stretches that match as a whole or go on, for anchors of
+    few rows: the rows of an anchor meet in one partition."""
+    by_anchor = Window.partitionBy("a")
+    equal = Window.partitionBy("a", "h").orderBy("doc", "start")
+    rows = found.select(
+        "*", F.row_number().over(equal).alias("copy"),
+        F.min("h").over(by_anchor).alias("least"), F.max("h").over(by_anchor).alias("most"))
+    return rows.where("n < 0 or copy > 1 or least <> most").select(
+        "doc", "start", F.expr(f"if(n < 0, -n, n + {length - 1})").alias("size"),
+        F.expr("n < 0 or copy > 1").alias("matched"), "a", F.lit(False).alias("crowded"))
+
+
+def _many(found: DataFrame, length: int) -> DataFrame:
+    """The same for anchors of many rows: equal stretches are combined in each task before they meet, and
+    what is left is joined back, which a hot key does not hold up as joins can be split."""
+    size = F.lit(length - 1)
+    classes = materialize(
+        found.groupBy("a", "h").agg(F.min(F.struct("doc", "start", "n")).alias("first"), F.count(F.lit(1)).alias("times")),
+        "suffix-classes")
+    several = classes.groupBy("a").count().where("count > 1").select("a")
+    copies = found.join(classes.where("times > 1").select("a", "h", "first"), ["a", "h"]).where(
+        F.struct("doc", "start") > F.struct("first.doc", "first.start"))
+    return copies.select(
+        "doc", "start", (F.col("n") + size).alias("size"), F.lit(True).alias("matched"), "a", F.lit(True).alias("crowded"),
+    ).unionByName(classes.join(several, "a", "left_semi").select(
+        "first.doc", "first.start", (F.col("first.n") + size).alias("size"), F.lit(False).alias("matched"), "a",
+        F.lit(True).alias("crowded")))
+
+
 def find_matches(texts: DataFrame, length: int = LENGTH, group: int = GROUP, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """doc, start, end: byte ranges, possibly overlapping, whose union is what goes.
 
@@ -320,29 +351,26 @@ def find_matches(texts: DataFrame, length: int = LENGTH, group: int = GROUP, buc
             columns = batch_stretches(batch.column("body"), batch.column("doc").to_numpy(), length, powers)
             yield pa.RecordBatch.from_pydict({name: pa.array(column) for name, column in columns.items()})
 
-    rows = texts.select("doc", "body").mapInArrow(emit, "a bigint, h bigint, doc bigint, start bigint, n bigint")
-    by_anchor = Window.partitionBy("a")
-    equal = Window.partitionBy("a", "h").orderBy("doc", "start")
-    rows = rows.select(
-        "*", F.count(F.lit(1)).over(by_anchor).alias("rows"), F.row_number().over(equal).alias("copy"),
-        F.min("h").over(by_anchor).alias("least"), F.max("h").over(by_anchor).alias("most"))
-    rows = rows.where("n < 0 or copy > 1 or least <> most").select(
-        "doc", "start", F.expr("if(n < 0, -n, n + {})".format(length - 1)).alias("size"),
-        F.expr("n < 0 or copy > 1").alias("matched"), "a", "rows")
+    found = materialize(
+        texts.select("doc", "body").mapInArrow(emit, "a bigint, h bigint, doc bigint, start bigint, n bigint"),
+        "suffix-found")
+    crowded = materialize(found.groupBy("a").count().where(F.col("count") > group).select("a"), "suffix-crowded")
+    rows = _few(found.join(crowded, "a", "left_anti"), length).unionByName(
+        _many(found.join(crowded, "a", "left_semi"), length))
     rows = materialize(rows, "suffix-stretches")
     matches = rows.where("matched").select("doc", "start", (F.col("start") + F.col("size")).alias("end"))
 
     open_ = rows.where("not matched")
     total = open_.agg(F.sum("size")).first()[0] or 0
-    asked = open_.groupBy("doc").agg(F.collect_list(F.struct("start", "size", "a", "rows")).alias("asked"))
+    asked = open_.groupBy("doc").agg(F.collect_list(F.struct("start", "size", "a", "crowded")).alias("asked"))
     bodies = texts.join(asked, "doc").select("doc", "body", F.inline("asked")).select(
-        "doc", "start", F.expr("substring(body, cast(start + 1 as int), cast(size as int))").alias("body"), "a", "rows")
+        "doc", "start", F.expr("substring(body, cast(start + 1 as int), cast(size as int))").alias("body"), "a", "crowded")
     bodies = materialize(bodies, "suffix-bodies")
     buckets = max(1, -(-total // bucket_bytes))
-    small = bodies.where(F.col("rows") <= group).withColumn("bucket", F.pmod(F.xxhash64("a"), F.lit(buckets)))
+    small = bodies.where("not crowded").withColumn("bucket", F.pmod(F.xxhash64("a"), F.lit(buckets)))
     indexed = small.select("bucket", "doc", "start", "body").groupBy("bucket").applyInPandas(
         _bucket_fitter(length), "doc bigint, start bigint, end bigint")
-    return matches.unionByName(indexed).unionByName(_window_matches(bodies.where(F.col("rows") > group), length))
+    return matches.unionByName(indexed).unionByName(_window_matches(bodies.where("crowded"), length))
 
 
 def _bucket_fitter(length: int):
