@@ -2,13 +2,38 @@
 
 from __future__ import annotations
 
-from ..functions.levels import CONFIRMED_TEXT, FIRST_TEXT, LEVEL_TEXT
 from ..operators import metrics
 from ..operators.curves import SEED, TREES, bootstrap_samples
-from ..operators.rollup import merge_rule
 from ..sources.lookups import CURVE_10MW, CURVE_8MW, CURVE_FIRST_WIND, CURVE_STEP
 from . import fixtures as fx
-from .queries import BUCKETS, FIRST_DAY, FROM, LAST_DAY, NOISE, ROLLUP_COLUMNS, UNTIL
+from .queries import BUCKETS, FIRST_DAY, FROM, LAST_DAY, NOISE, REQUEST_DAYS, ROLLUP_COLUMNS, STREAM_CUT, UNTIL
+
+# Fixed values, stated here once more so that an error in the library shows.
+MEASURED = {
+    "Met1sWSpd": "MC004", "Met30sWSpd": "MC082", "Met600sWSpd": "MC083", "GriActivePowerTotal": "MC061",
+    "GriReactivePowerTotal": "MD002", "CnvGenPower30s": "MC085", "CnvGenPower600s": "MC086",
+    "MetTmp": "MC015", "NacTmp": "MC014", "TowCbtTmp": "MC091",
+}
+STATES = {
+    "FaultShutdown": 40, "Overhaul": 50, "Maintenance": 60, "GridShutdown": 70, "LocalShutdown": 81, "RemoteShutdown": 80,
+    "WeatherShutdown": 90, "LimitPower": 110, "LimitShutdown": 111, "Standby": 100, "NormalGeneration": 120,
+}
+COUNTERS = (
+    "FaultShutdownTimes", "OverhaulTimes", "MaintenanceTimes", "GridShutdownTimes", "LocalShutdownTimes",
+    "RemoteShutdownTimes", "WeatherShutdownTimes", "LimitPowerTimes", "LimitShutdownTimes", "StandbyTimes",
+    "NormalGenerationTimes", "InterruptionTimes",
+)
+LOSSES = (
+    "FaultLossGeneration", "OverhaulLossGeneration", "MaintainLossGeneration", "GridLossGeneration",
+    "LocalLossGeneration", "RemoteLossGeneration", "WeatherLossGeneration", "LimitLossGeneration",
+)
+LEVEL_TEXT = {1: "提示", 2: "告警", 3: "预警", 4: "故障"}
+FIRST_TEXT = {True: "是", False: "否"}
+CONFIRMED_TEXT = {True: "已确认", False: "未确认"}
+SUMMED = (
+    "YawCwTimesSum", "GenReactQLimitStateTimesSum", "GriActiveEnergyDelTotal", "YawHoursTotal",
+    "PreTotalGenerationFirst", "PreTotalEleConsumptionFirst",
+)
 
 TELEMETRY = fx.TELEMETRY_SQL.format(events="events")
 MESSAGES = fx.MESSAGES_SQL.format(events="events", millis=fx.DUCKDB_MILLIS)
@@ -46,10 +71,10 @@ def _totals(bucket=TEN, where="TRUE"):
     ]
     parts += [f"sum({x}) AS s_{x}" for x in (
         "IsEffectWind", "Generation", "Consumption", "YawCwTimes", "GenReactQLimitStateTimes",
-        "TheoreticalGeneration", *metrics.ENTRY_COUNTERS, *metrics.LOSSES)]
-    for signal in metrics.MEASURED.values():
+        "TheoreticalGeneration", *COUNTERS, *LOSSES)]
+    for signal in MEASURED.values():
         parts += [f"{f}({signal}) AS {f}_{signal}" for f in ("avg", "max", "min")]
-    parts += [f"count(*) FILTER (WHERE MC143 = {state.code}) AS n_{state.code}" for state in metrics.STATES]
+    parts += [f"count(*) FILTER (WHERE MC143 = {code}) AS n_{code}" for code in STATES.values()]
     return (
         "totals",
         f"SELECT {bucket} AS w, turbine AS d, {', '.join(parts)} FROM telemetry WHERE {where} GROUP BY 1, 2",
@@ -57,9 +82,9 @@ def _totals(bucket=TEN, where="TRUE"):
 
 
 def _formulas():
-    loss = " + ".join(f"s_{x}" for x in metrics.LOSSES if x != "LimitLossGeneration")
+    loss = " + ".join(f"s_{x}" for x in LOSSES if x != "LimitLossGeneration")
     made = "(meter_last - meter_before)"
-    up = " + ".join(f"n_{s.code}" for s in metrics.STATES if s.available)
+    up = " + ".join(f"n_{code}" for code in STATES.values() if code not in (40, 50))
     result = {
         "EffectWindHours": "s_IsEffectWind", "MetAirDensityAvg": "a_MC093", "RatedPowerData": "rated",
         "PreTotalGenerationFirst": "lo_meter", "GriActiveEnergyDelLast": "hi_meter",
@@ -79,12 +104,12 @@ def _formulas():
         "EnergyAvailability": f"{made} / nullif(s_TheoreticalGeneration, 0) * 3600e0 * 100e0",
         "Discrepancy": f"(1.0e0 - {made} / nullif({made} + ({loss}) / 3600e0, 0)) * 100e0",
     }
-    for stem, signal in metrics.MEASURED.items():
+    for stem, signal in MEASURED.items():
         result |= {f"{stem}Avg": f"avg_{signal}", f"{stem}Max": f"max_{signal}", f"{stem}Min": f"min_{signal}"}
-    for state in metrics.STATES:
-        result[f"{state.stem}Duration"] = f"n_{state.code}"
-    result |= {x: f"s_{x}" for x in metrics.ENTRY_COUNTERS}
-    result |= {x: f"s_{x} / 3600e0 / 10000e0" for x in metrics.LOSSES}
+    for stem, code in STATES.items():
+        result[f"{stem}Duration"] = f"n_{code}"
+    result |= {x: f"s_{x}" for x in COUNTERS}
+    result |= {x: f"s_{x} / 3600e0 / 10000e0" for x in LOSSES}
     return result
 
 
@@ -116,7 +141,14 @@ _GRID = {
     "10min": ("minute", "INTERVAL 10 MINUTE"), "hour": ("hour", "INTERVAL 1 HOUR"), "day": ("day", "INTERVAL 1 DAY"),
     "month": ("month", "INTERVAL 1 MONTH"), "year": ("month", "INTERVAL 1 YEAR"),
 }
-_AGG = {"max": "max", "min": "min", "avg": "avg", "sum": "sum"}
+
+
+def _merged(name, of):
+    """How a column merges: by the end of its name, or as a sum where it is listed, else as a mean."""
+    for ending, function in (("Max", "max"), ("Min", "min"), ("Avg", "avg")):
+        if name.endswith(ending):
+            return f"{function}({of})"
+    return f"sum({of})" if name in SUMMED else f"avg({of})"
 
 
 def _grid(period):
@@ -128,7 +160,7 @@ def _grid(period):
 
 
 def _rollup_cte(period):
-    merged = ", ".join(f"{_AGG[merge_rule(x)]}(r.{x}) AS {x}" for x in ROLLUP_COLUMNS)
+    merged = ", ".join(f"{_merged(x, f'r.{x}')} AS {x}" for x in ROLLUP_COLUMNS)
     return [
         T, _totals(), ("r", _report(("Time", "DeviceName", *ROLLUP_COLUMNS), rounded=False)), _groups(), _grid(period),
         ("rolled", f"""
@@ -149,7 +181,7 @@ def _ad_hoc(kind, count):
     rename = {"YawHours": "YawHoursTotal"}
     columns = metrics.REPORT_COLUMNS[kind]
     values = [rename.get(x, x) for x in columns[2:]]
-    merged = ", ".join(_r(f"{_AGG[merge_rule(x)]}(CAST(r.{x} AS DOUBLE))", x) for x in values)
+    merged = ", ".join(_r(_merged(x, f"CAST(r.{x} AS DOUBLE)"), x) for x in values)
     where = f"time >= TIMESTAMP '{FROM}' AND time < TIMESTAMP '{UNTIL}'"
     return _with(
         T, _totals("date_trunc('day', time)", where), ("r", _report(columns, count, False, rename)), _groups(),
@@ -292,6 +324,41 @@ def _potential(method):
     return _with(*_ENERGY, select=f"SELECT {columns} FROM potential WHERE method = '{method}'")
 
 
+def _daily(farm):
+    return f"""
+        SELECT strftime(w, '%Y-%m') AS record_month, CAST(w AS DATE) AS record_date, 'PBA' AS record_type,
+        method AS standard_abbr, turbine, label, {_r('avg(wind_speed)', 'wind_speed')},
+        {_r('coalesce(sum(actual), 0)', 'actual_generation')},
+        {_r('coalesce(sum(expected), 0)', 'theoretical_generation')}, CAST(sum(seconds) AS BIGINT) AS seconds,
+        {_r('coalesce(sum(intl_expected), 0)', 'intl_theoretical_generation')},
+        {_r('coalesce(sum(potential), 0)', 'potential_generation')},
+        {_r('coalesce(sum(intl_potential), 0)', 'intl_potential_generation')},
+        {_r('coalesce(sum(greatest(potential - actual, 0e0)), 0)', 'loss_amount')},
+        {_r('coalesce(sum(greatest(intl_potential - actual, 0e0)), 0)', 'intl_loss_amount')}, '{farm}' AS farm
+        FROM potential GROUP BY 1, 2, 3, 4, 5, 6"""
+
+
+def _of_two_farms(select):
+    """``select`` (farm → a query with its CTEs' text) of the days of a request, once per farm."""
+    days = "CAST(time AS DATE) BETWEEN DATE '{}' AND DATE '{}'".format(*REQUEST_DAYS)
+    parts = []
+    for farm, kept in (("north", "TRUE"), ("south", "MC006 % 3 = 0")):
+        own = ("telemetry", f"SELECT * FROM ({TELEMETRY}) WHERE {days} AND {kept}")
+        parts.append(f"SELECT * FROM ({select(own, farm)})")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _tba_of(farm):
+    first, last = REQUEST_DAYS
+    return f"""
+        SELECT '{farm}' AS farm, d.turbine, d.record_date, coalesce(m.label, 1000) AS label,
+          coalesce(m.duration, 1440e0) AS duration
+        FROM (SELECT DISTINCT turbine, CAST(unnest(generate_series(DATE '{first}', DATE '{last}', INTERVAL 1 DAY)) AS DATE)
+                AS record_date FROM minutes) AS d
+        LEFT JOIN minutes AS m ON m.turbine = d.turbine AND m.record_date = d.record_date
+        WHERE d.record_date >= (SELECT min(record_date) FROM minutes WHERE label <> 1000)"""
+
+
 # --- events --------------------------------------------------------------
 
 M = ("messages", MESSAGES)
@@ -333,10 +400,10 @@ def oracle_sql() -> dict[str, str]:
     number = "regexp_replace(CAST({} AS VARCHAR), '\\.0$', '')"
     return {
         "scan_filtered": _with(T, select=f"""
-            SELECT time, turbine, {_r('MC004', 'MC004')}, MC006, MC143 FROM telemetry
+            SELECT time, turbine, MC004, MC006, MC143 FROM telemetry
             WHERE {between} AND turbine IN ({_names(fx.DEVICES[:4])})"""),
         "scan_device_day": _with(T, select=f"""
-            SELECT time, turbine, {_r('MC004', 'MC004')}, MC531 FROM telemetry
+            SELECT time, turbine, MC004, MC531 FROM telemetry
             WHERE turbine = '{fx.DEVICES[1]}' AND CAST(time AS DATE) = DATE '2024-01-09'"""),
         "report_scan": _with(T, _totals(), ("r", summary), select=f"""
             SELECT Time, DeviceName, Met1sWSpdAvg, YawHours FROM r
@@ -376,10 +443,10 @@ def oracle_sql() -> dict[str, str]:
               WHERE c < "end" """), select="""
             SELECT turbine, label, "start", "end", c AS period_start, n AS period_end FROM (
               SELECT *, lead(c) OVER (PARTITION BY turbine, label ORDER BY c) AS n FROM cuts) WHERE n IS NOT NULL"""),
-        "merge_same_schema": f"SELECT * REPLACE ({_r('o_totalprice', 'o_totalprice')}) FROM orders",
+        "merge_same_schema": "SELECT * FROM orders",
         "merge_by_name": """
             SELECT o_orderkey, o_custkey, o_orderstatus,
-              CASE WHEN o_orderkey % 2 = 0 THEN CAST(CAST(o_totalprice AS FLOAT) AS DOUBLE) END AS o_totalprice, o_orderdate,
+              CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice END AS o_totalprice, o_orderdate,
               CASE WHEN o_orderkey % 2 <> 0 THEN o_orderpriority END AS o_orderpriority FROM orders""",
         "duplicate_keys": """
             SELECT * FROM (SELECT l_orderkey, l_returnflag, count(*) OVER (PARTITION BY l_orderkey, l_returnflag) AS copies
@@ -411,9 +478,9 @@ def oracle_sql() -> dict[str, str]:
         "ad_hoc_availability": _ad_hoc("TurbineAvailabilityMetrics", "n"),
         "ad_hoc_efficiency": _ad_hoc("EfficiencyMetrics", "n_meter"),
         "label_mode": _with(T, MODE, select="SELECT turbine, w, label FROM mode5"),
-        "tba_minutes": _with(T, MINUTES, select=f"SELECT turbine, record_date, label, {_r('duration', 'duration')} FROM minutes"),
+        "tba_minutes": _with(T, MINUTES, select=f"SELECT turbine, record_date, label, duration FROM minutes"),
         "tba_calendar": _with(T, MINUTES, select=f"""
-            SELECT d.record_date, coalesce(m.label, 1000) AS label, {_r('coalesce(m.duration, 1440e0)', 'duration')},
+            SELECT d.record_date, coalesce(m.label, 1000) AS label, coalesce(m.duration, 1440e0) AS duration,
               strftime(m.record_date, '%Y-%m') AS record_month, d.turbine, 'farm' AS farm
             FROM (SELECT DISTINCT turbine, CAST(unnest(generate_series(DATE '{FIRST_DAY}', DATE '{LAST_DAY}', INTERVAL 1 DAY)) AS DATE)
                     AS record_date FROM minutes) AS d
@@ -431,17 +498,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT method, turbine_type, turbine, {_r('wind', 'wind')}, nearest, second FROM peers"""),
         "pba_potential": _potential("five_minute"),
         "pba_potential_ten": _potential("ten_minute"),
-        "pba_daily": _with(*_ENERGY, select=f"""
-            SELECT strftime(w, '%Y-%m') AS record_month, CAST(w AS DATE) AS record_date, 'PBA' AS record_type,
-              method AS standard_abbr, turbine, label, {_r('avg(wind_speed)', 'wind_speed')},
-              {_r('coalesce(sum(actual), 0)', 'actual_generation')},
-              {_r('coalesce(sum(expected), 0)', 'theoretical_generation')}, CAST(sum(seconds) AS BIGINT) AS seconds,
-              {_r('coalesce(sum(intl_expected), 0)', 'intl_theoretical_generation')},
-              {_r('coalesce(sum(potential), 0)', 'potential_generation')},
-              {_r('coalesce(sum(intl_potential), 0)', 'intl_potential_generation')},
-              {_r('coalesce(sum(greatest(potential - actual, 0e0)), 0)', 'loss_amount')},
-              {_r('coalesce(sum(greatest(intl_potential - actual, 0e0)), 0)', 'intl_loss_amount')}, 'farm' AS farm
-            FROM potential GROUP BY 1, 2, 3, 4, 5, 6"""),
+        "pba_daily": _with(*_ENERGY, select=_daily("farm")),
         "events_decoded": _with(M, D, select=f"""
             SELECT MessageId, FarmCode, System, Category, Device, DeviceType, Part, StartTime, EndTime, EventLevel,
               EventLevelStr, EventCode, EventDesc, FirstEvent, FirstEventStr, RelevantId, Confirmed, ConfirmedStr,
@@ -474,7 +531,49 @@ def oracle_sql() -> dict[str, str]:
         "stream_ten_minute": _with(T, _totals(), ("r", _report(metrics.COMBINED_COLUMNS)), select="""
             SELECT * FROM r WHERE Time + INTERVAL 10 MINUTE
               <= (SELECT date_trunc('millisecond', max(time)) FROM telemetry) - INTERVAL 10 MINUTE"""),
+        "files_named": "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag FROM lineitem",
+        "merge_files": """
+            SELECT o_orderkey, o_custkey, o_orderstatus,
+              CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice END AS o_totalprice, o_orderdate,
+              CASE WHEN o_orderkey % 2 <> 0 THEN o_orderpriority END AS o_orderpriority FROM orders""",
+        "merge_arrivals_by_name": _with(T, ("one", _arrived(2, "MC143")), ("two", _arrived(0, "MC006")), select=f"""
+            SELECT * FROM (
+              SELECT time, turbine, MC004, NULL AS MC143, MC006 FROM two
+              UNION ALL SELECT time, turbine, MC004, MC143, NULL FROM one ANTI JOIN two USING (time, turbine))
+            WHERE {between}"""),
+        "late_samples": _with(T, select=f"""
+            SELECT time, turbine, max(MC143) AS MC143 FROM telemetry
+            WHERE turbine = '{fx.DEVICES[1]}' AND time < (
+              SELECT max(time) FROM telemetry WHERE turbine = '{fx.DEVICES[0]}' AND time >= TIMESTAMP '{STREAM_CUT}')
+              - INTERVAL 10 MINUTE
+            GROUP BY 1, 2"""),
+        "report_store": _with(T, _totals(), ("r", _report(
+            ("Time", "DeviceName", "Count", "YawHours", "Met1sWSpdMax"), rounded=False)), select=f"""
+            SELECT Time, DeviceName, Count, YawHours, {_r('round(Met1sWSpdMax, 6)', 'Met1sWSpdMax')} FROM r
+            WHERE Time >= TIMESTAMP '{FROM}' AND Time < TIMESTAMP '{UNTIL}' AND DeviceName IN ({_names(fx.DEVICES[1:])})"""),
+        "report_json_lines": _with(T, _totals(), select=_report(("Time", "DeviceName", "Count", "Met1sWSpdAvg"))),
+        "events_exported": _with(M, D, select=f"""
+            SELECT MessageId, strftime(StartTime, '%Y-%m-%d %H:%M:%S') AS StartTime,
+              coalesce(strftime(EndTime, '{_RFC}'), '') AS EndTime, EventLevelStr, ConfirmedTimeStr,
+              CAST(FirstEvent AS VARCHAR) AS FirstEvent, '' AS Missing FROM decoded WHERE {_WANTED}"""),
+        "turbine_info_file": """
+            SELECT s_name AS turbine, CASE WHEN s_suppkey % 2 = 0 THEN '8MW' ELSE '10MW' END AS turbine_type,
+              CAST(s_suppkey % 4 AS DOUBLE) AS cut_in, CASE WHEN s_suppkey % 5 <> 0 THEN 25e0 END AS cut_out
+            FROM supplier WHERE s_nationkey % 3 = 1""",
+        "grid_dates_file": """
+            SELECT 't' || event_id AS turbine, date_trunc('second', ts) AS on_grid,
+              CAST(date_trunc('day', ts) AS TIMESTAMP) AS trial_end FROM events WHERE event_id % 3 <> 0""",
+        "pba_two_farms": _of_two_farms(lambda own, farm: _with(own, *_ENERGY[1:], select=_daily(farm))),
+        "tba_two_farms": _of_two_farms(lambda own, farm: _with(own, MINUTES, select=_tba_of(farm))),
     }
 
 
+def _arrived(left_out, column):
+    """A batch of samples: of copies of a turbine and time the greatest."""
+    return f"""
+        SELECT time, turbine, MC004, {column} FROM (
+          SELECT *, row_number() OVER (PARTITION BY time, turbine ORDER BY MC004 DESC, {column} DESC) AS rn
+          FROM telemetry WHERE MC006 % 3 <> {left_out}) WHERE rn = 1"""
+
+
 _SPANS = """SELECT turbine, MC531 AS label, min(time) AS "start", max(time) AS "end" FROM telemetry GROUP BY 1, 2"""

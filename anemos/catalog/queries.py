@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import sources
+from ..functions.buckets import time_bucket
 from ..functions.filenames import device_of, report_time_of, sample_time_of
 from ..functions.levels import level_number, level_text
 from ..operators import availability, conditions, duplicates, energy, events, periods, reports, schemas
@@ -17,14 +18,21 @@ from ..operators.resample import in_range, resample
 from ..plans import jobs
 from ..session import materialize, scratch_path
 from ..sinks import event_layout, report_layout
-from ..sources import file_inventory, list_files, report_rows, standard_curves, type_conflicts
+from ..sinks.tables import append_rows, write_json_lines
+from ..sources import (
+    file_inventory, list_files, read_grid_dates, read_turbine_info, report_rows, scan_files_named, scan_reports,
+    scan_telemetry, standard_curves, type_conflicts,
+)
 from ..streaming import read_arrivals, stream_reports, stream_session, write_stream
+from ..streaming.arrivals import merge_batch
 from . import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 NOISE = 1e-12
 FROM, UNTIL = dt.datetime(2024, 1, 1, 2, 3), dt.datetime(2024, 1, 31, 1, 0)
+STREAM_CUT = dt.datetime(2024, 1, 12)
+REQUEST_DAYS = dt.date(2024, 1, 4), dt.date(2024, 1, 21)
 FIRST_DAY, LAST_DAY = dt.date(2023, 12, 30), dt.date(2024, 2, 1)
 BUCKETS = ("10 MINUTE", "5 HOUR", "2 DAY", "2 WEEK", "5 MONTH", "1 QUARTER", "2 YEAR")
 FORMULAS = {
@@ -62,7 +70,7 @@ _registry: dict[str, Query] = {}
 
 
 def _query(function: Query) -> Query:
-    """Register a query.
+    """Register a query that adds doubles up.
 
     Two engines add doubles in different orders and differ in the last digits.
     Results are compared at single precision, which both engines round to in
@@ -82,6 +90,12 @@ def _query(function: Query) -> Query:
     return function
 
 
+def _exact(function: Query) -> Query:
+    """Register a query whose doubles both engines make alike to the last bit."""
+    _registry[function.__name__.rstrip("_")] = function
+    return function
+
+
 def queries() -> dict[str, Query]:
     return dict(_registry)
 
@@ -89,13 +103,13 @@ def queries() -> dict[str, Query]:
 # --- scans ---------------------------------------------------------------
 
 
-@_query
+@_exact
 def scan_filtered(spark, sf_dir):
     picked = in_range(fx.telemetry(spark, sf_dir), FROM, UNTIL, fx.DEVICES[:4])
     return picked.select("time", "turbine", "MC004", "MC006", "MC143")
 
 
-@_query
+@_exact
 def scan_device_day(spark, sf_dir):
     return sources.scan_device_day(fx.telemetry(spark, sf_dir), fx.DEVICES[1], dt.date(2024, 1, 9)).select(
         "time", "turbine", "MC004", "MC531"
@@ -108,7 +122,7 @@ def report_scan(spark, sf_dir):
     return report_rows(rows, ["Time", "DeviceName", "Met1sWSpdAvg", "YawHours"], fx.DEVICES[2:], FROM, UNTIL)
 
 
-@_query
+@_exact
 def file_report_time(spark, sf_dir):
     names = fx.telemetry(spark, sf_dir).select(
         F.concat("turbine", F.lit("_"), F.date_format("time", "yyyyMMddHHmm"), F.lit("_samples.parquet")).alias("file")
@@ -119,12 +133,12 @@ def file_report_time(spark, sf_dir):
     return keyed.withColumn("report_time", report_time_of(F.col("file")))
 
 
-@_query
+@_exact
 def file_columns(spark, sf_dir):
     return file_inventory(list_files(spark, sf_dir, [sf_dir]))
 
 
-@_query
+@_exact
 def schema_conflicts(spark, sf_dir):
     return type_conflicts(file_inventory(list_files(spark, sf_dir)))
 
@@ -132,9 +146,22 @@ def schema_conflicts(spark, sf_dir):
 # --- time and resample ---------------------------------------------------
 
 
-@_query
+def _bucket_counts(samples: DataFrame, every: Sequence[str]) -> DataFrame:
+    """Samples per combination of buckets, finest width first.
+
+    Samples are grouped once by the finest bucket; the coarser ones, which must
+    be multiples of it, are taken from its start.
+    """
+    finest, *coarser = every
+    counted = samples.groupBy(time_bucket("time", finest).alias("b0")).agg(F.count(F.lit(1)).alias("samples"))
+    for place, width in enumerate(coarser, 1):
+        counted = counted.withColumn(f"b{place}", time_bucket("b0", width))
+    return counted
+
+
+@_exact
 def time_bucket_(spark, sf_dir):
-    return jobs.bucket_counts(fx.telemetry(spark, sf_dir), BUCKETS)
+    return _bucket_counts(fx.telemetry(spark, sf_dir), BUCKETS)
 
 
 @_query
@@ -156,7 +183,7 @@ def _spans(spark, sf_dir):
     )
 
 
-@_query
+@_exact
 def period_grid(spark, sf_dir):
     spans = _spans(spark, sf_dir)
     grids = [periods.period_grid(spans.withColumn("period", F.lit(p)), p) for p in ("hour", "day", "month", "year")]
@@ -166,7 +193,7 @@ def period_grid(spark, sf_dir):
     return result
 
 
-@_query
+@_exact
 def period_grid_days(spark, sf_dir):
     return periods.day_grid(_spans(spark, sf_dir))
 
@@ -179,12 +206,12 @@ def _halves(spark, sf_dir):
     return orders.where("o_orderkey % 2 = 0"), orders.where("o_orderkey % 2 <> 0")
 
 
-@_query
+@_exact
 def merge_same_schema(spark, sf_dir):
     return schemas.merge_by_name(*_halves(spark, sf_dir)).orderBy("o_orderdate")
 
 
-@_query
+@_exact
 def merge_by_name(spark, sf_dir):
     even, odd = _halves(spark, sf_dir)
     return schemas.merge_by_name(
@@ -196,12 +223,12 @@ def _flags(spark, sf_dir):
     return fx.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag")
 
 
-@_query
+@_exact
 def duplicate_keys(spark, sf_dir):
     return duplicates.duplicate_keys(_flags(spark, sf_dir), ["l_orderkey", "l_returnflag"])
 
 
-@_query
+@_exact
 def distinct_rows(spark, sf_dir):
     return duplicates.distinct_rows(_flags(spark, sf_dir))
 
@@ -269,7 +296,7 @@ def report_expressions(spark, sf_dir):
     return _rollup(spark, sf_dir, "day", FORMULAS).select("Time", "DeviceName", *FORMULAS)
 
 
-@_query
+@_exact
 def report_csv_layout(spark, sf_dir):
     rows = reports.combined(_totals(spark, sf_dir)).select(
         "Time", "DeviceName", "Count", "YawHours",
@@ -304,17 +331,17 @@ def _sums(spark, sf_dir):
     return conditions.condition_sums(fx.telemetry(spark, sf_dir))
 
 
-@_query
+@_exact
 def label_mode(spark, sf_dir):
     return conditions.label_mode(conditions.valid(_sums(spark, sf_dir)))
 
 
-@_query
+@_exact
 def tba_minutes(spark, sf_dir):
     return availability.daily_minutes(conditions.condition_sums(fx.telemetry(spark, sf_dir), "1 DAY"))
 
 
-@_query
+@_exact
 def tba_calendar(spark, sf_dir):
     return jobs.tba(fx.telemetry(spark, sf_dir), FIRST_DAY, LAST_DAY)
 
@@ -378,7 +405,7 @@ def _decoded(spark, sf_dir):
     return events.decode(fx.messages(spark, sf_dir))
 
 
-@_query
+@_exact
 def events_decoded(spark, sf_dir):
     decoded = _decoded(spark, sf_dir)
     return events.select_fields(decoded).withColumns({
@@ -389,33 +416,33 @@ def events_decoded(spark, sf_dir):
     })
 
 
-@_query
+@_exact
 def events_history(spark, sf_dir):
     return events.select_fields(events.history(_decoded(spark, sf_dir), EVENT_QUERY), ["MessageId", "StartTime", "Device"])
 
 
-@_query
+@_exact
 def events_history_total(spark, sf_dir):
     return events.history_total(_decoded(spark, sf_dir), EVENT_QUERY)
 
 
-@_query
+@_exact
 def events_page(spark, sf_dir):
     return events.page_of(_decoded(spark, sf_dir), 3, 25, "desc").select("MessageId", "StartTime")
 
 
-@_query
+@_exact
 def events_page_late(spark, sf_dir):
     """The page around the middle of all events, past the rows a top-k is used for."""
     return events.page_of(_decoded(spark, sf_dir), 4, 2_500, "asc").select("MessageId", "StartTime")
 
 
-@_query
+@_exact
 def events_open(spark, sf_dir):
     return events.open_events(_decoded(spark, sf_dir), EVENT_QUERY).select("MessageId", "FarmCode", "Device", "EventLevel")
 
 
-@_query
+@_exact
 def events_flattened(spark, sf_dir):
     flat = events.flatten_by_parent(fx.messages(spark, sf_dir))
     return flat.select("MessageId", "RelevantId", "root_id", "depth", F.array_join("path", "/").alias("path"))
@@ -436,13 +463,13 @@ def _nested(spark, sf_dir):
     return flat.withColumn("Relevant", outer)
 
 
-@_query
+@_exact
 def events_flattened_nested(spark, sf_dir):
     flat = events.flatten_nested(_nested(spark, sf_dir))
     return flat.select("root_id", "position", "depth", "MessageId", "RelevantId", "EventLevel", "StartTime")
 
 
-@_query
+@_exact
 def event_csv_layout(spark, sf_dir):
     return event_layout(_decoded(spark, sf_dir), EVENT_COLUMNS)
 
@@ -460,3 +487,122 @@ def stream_ten_minute(spark, sf_dir):
     rows = stream_reports(samples)
     write_stream(rows, out, state).awaitTermination()
     return spark.read.schema(rows.schema).parquet(out)
+
+
+# --- tables written and read back ----------------------------------------
+
+
+@_exact
+def files_named(spark, sf_dir):
+    return scan_files_named(
+        spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag"])
+
+
+@_exact
+def merge_files_(spark, sf_dir):
+    """Two files with different columns merged into the first, which starts as a copy by the same job."""
+    even, odd = _halves(spark, sf_dir)
+    absent, first, second = (scratch_path(spark, name) for name in ("merge-absent", "merge-first", "merge-second"))
+    append_rows(even.drop("o_orderpriority"), second)
+    jobs.merge_files(spark, absent, second, first, "o_orderdate")
+    second = scratch_path(spark, "merge-second")
+    append_rows(odd.where("o_orderkey % 4 = 1").drop("o_totalprice"), second)
+    append_rows(odd.where("o_orderkey % 4 <> 1").drop("o_totalprice"), second)
+    jobs.merge_files(spark, first, second, first, "o_orderdate")
+    return spark.read.parquet(first)
+
+
+@_exact
+def merge_arrivals_by_name(spark, sf_dir):
+    """Two batches with columns of their own and turbine-seconds in common."""
+    samples, table = fx.telemetry(spark, sf_dir), scratch_path(spark, "arrivals-table")
+    merge_batch(samples.where("MC006 % 3 <> 2").select("time", "turbine", "MC004", "MC143"), 0, table)
+    merge_batch(samples.where("MC006 % 3 <> 0").select("time", "turbine", "MC004", "MC006"), 1, table)
+    return scan_telemetry(spark, table, start=FROM, end=UNTIL, merge_schema=True).select(
+        "time", "turbine", "MC004", "MC143", "MC006")
+
+
+@_exact
+def late_samples(spark, sf_dir):
+    """What a batch brings that is older than the batch before it allows."""
+    samples = fx.telemetry(spark, sf_dir).select("time", "turbine", "MC143")
+    table, late = scratch_path(spark, "late-table"), scratch_path(spark, "late")
+    newer = F.col("time") >= F.lit(STREAM_CUT.isoformat(sep=" ")).cast("timestamp_ntz")
+    merge_batch(samples.where(newer & (F.col("turbine") == fx.DEVICES[0])), 0, table, late)
+    merge_batch(samples.where(F.col("turbine") == fx.DEVICES[1]), 1, table, late)
+    return spark.read.parquet(f"{late}/samples").select("time", "turbine", "MC143")
+
+
+@_query
+def report_store(spark, sf_dir):
+    """All samples reported and stored, half of them once more; each window is there once."""
+    samples, store = fx.telemetry(spark, sf_dir), scratch_path(spark, "store")
+    made = jobs.ten_minute_reports(samples)
+    jobs.store_reports(made, store)
+    jobs.merge_reports({kind: rows.where(F.col("DeviceName") <= fx.DEVICES[2]) for kind, rows in made.items()}, store)
+    columns = ["Time", "DeviceName", "Count", "YawHours", "Met1sWSpdMax"]
+    return report_rows(scan_reports(spark, store, "SummaryReport"), columns, fx.DEVICES[1:], FROM, UNTIL)
+
+
+@_query
+def report_json_lines(spark, sf_dir):
+    rows = reports.summary(_totals(spark, sf_dir)).select("Time", "DeviceName", "Count", "Met1sWSpdAvg")
+    path = scratch_path(spark, "report-lines")
+    write_json_lines(rows, path)
+    return spark.read.schema(rows.schema).json(path)
+
+
+@_exact
+def events_exported(spark, sf_dir):
+    path = scratch_path(spark, "events-csv")
+    jobs.export_events(fx.messages(spark, sf_dir), EVENT_QUERY, EVENT_COLUMNS, path)
+    names = [column["field"] for column in EVENT_COLUMNS]
+    cells = spark.read.csv(path, header=True, schema=", ".join(f"{name} string" for name in names))
+    return cells.fillna("")
+
+
+@_exact
+def turbine_info_file(spark, sf_dir):
+    """One farm of a file of all farms."""
+    path = scratch_path(spark, "turbines")
+    fx.table(spark, sf_dir, "supplier").selectExpr(
+        "concat('farm', s_nationkey % 3) AS farm", "s_name AS turbine", "if(s_suppkey % 2 = 0, '8MW', '10MW') AS turbine_type",
+        "s_suppkey % 4 AS cut_in", "if(s_suppkey % 5 = 0, null, 25) AS cut_out",
+    ).write.csv(path, header=True)
+    return read_turbine_info(spark, path, "farm1")
+
+
+@_exact
+def grid_dates_file(spark, sf_dir):
+    path = scratch_path(spark, "grid-dates")
+    fx.table(spark, sf_dir, "events").selectExpr(
+        "concat('t', event_id) AS turbine", "date_trunc('second', ts) AS on_grid",
+        "if(event_id % 3 = 0, null, date_trunc('day', ts)) AS trial_end",
+    ).write.csv(path, header=True, timestampFormat="yyyy-MM-dd HH:mm:ss")
+    return read_grid_dates(spark, path)
+
+
+# --- whole jobs ----------------------------------------------------------
+
+
+def _two_farms(spark, sf_dir):
+    samples = fx.telemetry(spark, sf_dir)
+    return samples.withColumn("farm", F.lit("north")).unionByName(
+        samples.where("MC006 % 3 = 0").withColumn("farm", F.lit("south")))
+
+
+def _requested(spark, sf_dir):
+    international = standard_curves(spark).where("turbine_type = '10MW'")
+    return jobs.tba_and_pba(
+        _two_farms(spark, sf_dir), fx.turbine_info(spark), standard_curves(spark), *REQUEST_DAYS, international=international)
+
+
+@_query
+def pba_two_farms(spark, sf_dir):
+    """Energy of the days of a request, of two farms that have turbines of one type."""
+    return _requested(spark, sf_dir)[1]
+
+
+@_exact
+def tba_two_farms(spark, sf_dir):
+    return _requested(spark, sf_dir)[0].select("farm", "turbine", "record_date", "label", "duration")

@@ -1,11 +1,11 @@
 """Whole jobs."""
 
 from .jobs import (
-    ad_hoc_report, ad_hoc_slices, arrival_reports, bucket_counts, export_events, merge_files, merge_reports, pba_rows,
+    ad_hoc_report, ad_hoc_slices, arrival_reports, export_events, merge_files, merge_reports, pba_rows,
     store_reports, stored_report, tba, tba_and_pba, ten_minute_reports,
 )
 
 __all__ = [
-    "ad_hoc_report", "ad_hoc_slices", "arrival_reports", "bucket_counts", "export_events", "merge_files", "merge_reports",
+    "ad_hoc_report", "ad_hoc_slices", "arrival_reports", "export_events", "merge_files", "merge_reports",
     "pba_rows", "store_reports", "stored_report", "tba", "tba_and_pba", "ten_minute_reports",
 ]
