@@ -385,12 +385,14 @@ def pba_nearest_peers(spark, sf_dir):
 
 @_query
 def pba_potential(spark, sf_dir):
-    return energy.with_potential(_energy_rows(spark, sf_dir)).where(F.col("method") == energy.FIVE)
+    rows = _expected(spark, energy.five_minute_rows(_sums(spark, sf_dir)))
+    return energy.with_potential(materialize(rows, "energy-rows"))
 
 
 @_query
 def pba_potential_ten(spark, sf_dir):
-    return energy.with_potential(_energy_rows(spark, sf_dir)).where(F.col("method") == energy.TEN)
+    rows = _expected(spark, energy.ten_minute_rows(_sums(spark, sf_dir)))
+    return energy.with_potential(materialize(rows, "energy-rows"))
 
 
 @_query

@@ -87,30 +87,22 @@ def with_potential(rows: DataFrame) -> DataFrame:
     peers = nearest_peers(mean_winds(rows.where(F.col("method") == FIVE))).select(
         "method", *farm, "turbine", "nearest", "second"
     )
-    made = normal.select("method", *farm, "turbine", "w", "actual", "seconds")
+    # What each normal turbine of the type made in the window: as many entries as a farm has turbines.
+    entry = F.when(F.col("turbine").isNotNull(), F.struct(F.col("turbine"), F.struct("actual", "seconds")))
     per_type = normal.groupBy("method", *farm, "turbine_type", "w").agg(
         F.sum("actual").alias("_actual"), F.count("actual").alias("_actual_rows"),
         F.sum("seconds").alias("_seconds"), F.count("seconds").alias("_seconds_rows"),
+        F.map_from_entries(F.collect_list(entry)).alias("_made"),
     )
+    joined = other.join(peers, ["method", *farm, "turbine"], "left").join(
+        per_type, ["method", *farm, "turbine_type", "w"], "left")
 
-    def peer(name: str) -> DataFrame:
-        return made.select(
-            "method", *farm, "w", F.col("turbine").alias(name),
-            F.col("actual").alias(f"{name}_actual"), F.col("seconds").alias(f"{name}_seconds"),
-        )
-
-    joined = (
-        other.join(peers, ["method", *farm, "turbine"], "left")
-        .join(peer("nearest"), ["method", *farm, "w", "nearest"], "left")
-        .join(peer("second"), ["method", *farm, "w", "second"], "left")
-        .join(made.select("method", *farm, "w", "turbine", F.col("actual").alias("own_actual"),
-                          F.col("seconds").alias("own_seconds")), ["method", *farm, "w", "turbine"], "left")
-        .join(per_type, ["method", *farm, "turbine_type", "w"], "left")
-    )
+    def made(turbine: str, name: str) -> Column:
+        return F.try_element_at("_made", F.col(turbine))[name]
 
     def of_others(name: str) -> Column:
         """Mean over the type without the turbine's own normal row of the window."""
-        own = F.col(f"own_{name}")
+        own = made("turbine", name)
         total = F.col(f"_{name}") - F.coalesce(own, F.lit(0))
         return F.try_divide(total, F.col(f"_{name}_rows") - F.when(own.isNotNull(), 1).otherwise(0))
 
@@ -118,8 +110,8 @@ def with_potential(rows: DataFrame) -> DataFrame:
         return F.try_divide(energy * F.col("seconds"), seconds.cast("double"))
 
     by_peer = F.coalesce(
-        scaled(F.col("nearest_actual"), F.col("nearest_seconds")),
-        scaled(F.col("second_actual"), F.col("second_seconds")),
+        scaled(made("nearest", "actual"), made("nearest", "seconds")),
+        scaled(made("second", "actual"), made("second", "seconds")),
         scaled(of_others("actual"), of_others("seconds")),
     )
     filled = joined.select(
