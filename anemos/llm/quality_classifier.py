@@ -4,8 +4,10 @@ Texts become sets of hashed n-grams: words, pairs of words, the shapes of words,
 how often pairs repeat. Two generative models say how likely a text holds each: the
 raw model is the share of all documents that do, the target model that of documents
 labelled good. The log ratio of the two, added up over a text, is its importance
-weight. An n-gram whose count among the good documents is within ``SIGNIFICANT``
-standard deviations of what the raw model expects counts as equally likely in both.
+weight. An n-gram whose count among the good documents is as near to what the raw model
+expects as chance brings counts as equally likely in both: the largest of m deviations
+by chance is about sqrt(2 ln m) standard deviations, m being the n-grams of its kind
+that occur. Otherwise small errors would add up in long texts and hide what is bad in them.
 
 The sample is drawn by Gumbel top-k: the k highest of ``SHARPNESS`` times the log weight plus Gumbel
 noise, which a hash of the id gives. k is the number of documents that reach the
@@ -29,11 +31,12 @@ from .text import whole
 WORD_BITS = 18
 SHAPE_BITS = 12
 REPEATS = 1 << 9
-N_FEATURES = 2 * (1 << WORD_BITS) + (1 << SHAPE_BITS) + REPEATS
+# How many n-grams there are of each kind: words, pairs, shapes, repeats.
+KINDS = (1 << WORD_BITS, 1 << WORD_BITS, 1 << SHAPE_BITS, REPEATS)
+N_FEATURES = sum(KINDS)
 # At most so many labelled documents fit the target model: the first in the order of a hash.
 LABELLED = 100_000
 PRIOR = 0.5
-SIGNIFICANT = 3.0
 SHARPNESS = 5.0
 MISSED = 0.01
 MEMO_WORDS = 1_000_000
@@ -102,7 +105,9 @@ def log_ratios(raw: np.ndarray, good: np.ndarray, n_raw: int, n_good: int) -> np
     """Log ratio of target to raw probability of each n-gram."""
     expected = raw * (n_good / max(n_raw, 1))
     ratio = np.log((good + PRIOR) / (expected + PRIOR))
-    ratio[np.abs(good - expected) < SIGNIFICANT * np.sqrt(expected + 1)] = 0
+    seen = [max(int(np.count_nonzero(kind)), 2) for kind in np.split(raw, np.cumsum(KINDS)[:-1])]
+    chance = np.repeat(np.sqrt(2 * np.log(seen)), KINDS)
+    ratio[np.abs(good - expected) < chance * np.sqrt(expected + 1)] = 0
     return ratio
 
 
