@@ -177,6 +177,36 @@ def _rollup(period):
     return _with(*_rollup_cte(period), select=f"SELECT group_ord, Time, DeviceName, {columns} FROM rolled")
 
 
+def _added():
+    """Totals of ten minutes added up per group and day, and ratios of the sums."""
+    up = " + ".join(f"n_{code}" for code in STATES.values() if code not in (40, 50))
+    lost = " + ".join(f"s_{x}" for x in LOSSES if x != "LimitLossGeneration")
+    known = "FILTER (WHERE s_TheoreticalGeneration <> 0 AND made IS NOT NULL)"
+    columns = {
+        "Count": "sum(n_wind)", "Met1sWSpdAvg": "avg(avg_MC004)", "Met1sWSpdMax": "max(max_MC004)",
+        "FaultShutdownDuration": "sum(n_40)", "FaultShutdownTimes": "sum(s_FaultShutdownTimes)",
+        "AvailableTime": f"sum({up})", "YawHours": "sum(n_acw + n_cw)",
+        "GriActiveEnergyDelTotal": "sum(hi_meter - lo_meter)", "GriActiveEnergyDelLast": "max(hi_meter)",
+        "PreTotalGenerationFirst": "min(lo_meter)", "TheoreticalGeneration": "sum(s_TheoreticalGeneration)",
+        "FaultLossGeneration": "sum(s_FaultLossGeneration) / 3600e0 / 10000e0",
+        "EquivalentHours": "sum((hi_meter - lo_meter) / nullif(rated, 0) * 3600e0)",
+        "Availability": "1e0 - CAST(sum(n_40 + n_50) AS DOUBLE) / nullif(sum(n), 0)",
+        "MTBFDuration": "CAST(sum(n - n_40) AS DOUBLE) / nullif(sum(s_FaultShutdownTimes), 0)",
+        "MTTRDuration": "CAST(sum(n_40) AS DOUBLE) / nullif(sum(s_FaultShutdownTimes), 0)",
+        "EnergyAvailability": f"sum(made) {known} / nullif(sum(s_TheoreticalGeneration) {known}, 0) * 3600e0 * 100e0",
+        "Discrepancy": f"(1e0 - sum(made) {known} / nullif(sum(made) {known} + sum({lost}) {known} / 3600e0, 0)) * 100e0",
+    }
+    values = ", ".join(_r(f"CAST({x} AS DOUBLE)", name) for name, x in columns.items())
+    return _with(
+        T, _totals(), _groups(), _grid("day"),
+        select=f"""
+        SELECT g.group_ord, p.ps AS Time, g.group_name AS DeviceName, {values}
+        FROM (SELECT DISTINCT group_ord, group_name FROM groups) AS g CROSS JOIN grid AS p
+        LEFT JOIN (SELECT group_ord AS o, meter_last - meter_before AS made, totals.* FROM totals JOIN groups ON d = device) AS r
+          ON r.o = g.group_ord AND r.w >= p.ps AND r.w < p.pe
+        GROUP BY 1, 2, 3""")
+
+
 def _ad_hoc(kind, count):
     rename = {"YawHours": "YawHoursTotal"}
     columns = metrics.REPORT_COLUMNS[kind]
@@ -460,6 +490,7 @@ def oracle_sql() -> dict[str, str]:
         "report_rollup_hour": _rollup("hour"),
         "report_rollup": _rollup("day"),
         "report_rollup_month": _rollup("month"),
+        "report_rollup_additive": _added(),
         "report_rollup_year": _rollup("year"),
         "report_expressions": _with(*_rollup_cte("day"), select=f"""
             SELECT Time, DeviceName,

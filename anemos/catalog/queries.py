@@ -46,6 +46,12 @@ ROLLUP_COLUMNS = (
     "PreTotalGenerationFirst", "YawCwTimesSum", "FaultShutdownDuration", "MTBFDuration", "Availability",
     "FaultLossGeneration", "EnergyAvailability",
 )
+ADDED_COLUMNS = (
+    "Count", "Met1sWSpdAvg", "Met1sWSpdMax", "FaultShutdownDuration", "FaultShutdownTimes", "AvailableTime", "YawHours",
+    "GriActiveEnergyDelTotal", "GriActiveEnergyDelLast", "PreTotalGenerationFirst", "TheoreticalGeneration",
+    "FaultLossGeneration", "EquivalentHours", "Availability", "MTBFDuration", "MTTRDuration", "EnergyAvailability",
+    "Discrepancy",
+)
 SIGNALS = {"MC004": ["avg", "max"], "MC006": ["last", "first"], "MC132": ["count"], "Generation": ["sum", "min"]}
 SIGNAL_TITLES = {"MC004": "wind_", "MC006": "meter_", "Generation": "made_"}
 EVENT_QUERY = events.EventQuery(
@@ -291,6 +297,12 @@ def report_rollup_year(spark, sf_dir):
     return _rollup(spark, sf_dir, "year")
 
 
+@_query
+def report_rollup_additive(spark, sf_dir):
+    rows = reports.combined(_totals(spark, sf_dir))
+    return jobs.stored_report(rows, fx.GROUPS, "day", FROM, UNTIL, ADDED_COLUMNS, rules="additive")
+
+
 @_query
 def report_expressions(spark, sf_dir):
     return _rollup(spark, sf_dir, "day", FORMULAS).select("Time", "DeviceName", *FORMULAS)

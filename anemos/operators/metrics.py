@@ -166,3 +166,44 @@ def derived() -> dict[str, str]:
     }
     result |= {loss: f"_{loss} / 3600 / 10000" for loss in LOSSES}
     return result
+
+
+# Rows that add up when periods or turbines merge: seconds, counts and energies.
+ADDITIVE = (
+    ("Count", "EffectWindHours", "FullLoadDurationDay", "EquivalentHours", "TheoreticalGeneration",
+     "GriActiveEnergyDelTotal", "GriActiveEnergyRcvSection", "GriActiveEnergyDelUnit", "GriActiveEnergyRcvUnit",
+     "YawAcwHours", "YawAcwTimes", "YawCwHours", "YawCwTimesSum", "YawHours", "YawHoursTotal",
+     "GenReactQLimitStateDuration", "GenReactQLimitStateTimesSum",
+     "AvailableTime", "UnAvailableTime", "InterruptionDurationCalculated")
+    + tuple(f"{state.stem}Duration" for state in STATES) + ENTRY_COUNTERS + LOSSES
+)
+
+
+def additive() -> dict[str, tuple[str, tuple[str, ...]]]:
+    """Aggregates that merge report rows by adding: expression by column, and the columns that it reads.
+
+    Ratios are made anew from sums. What a row leaves out is told by what it has: the
+    seconds seen by those that are missing, the energy made by its share of the
+    theoretical one. Meter readings merge as the first and the last one.
+    """
+    result = {name: (f"sum({name})", (name,)) for name in ADDITIVE}
+    for name in ("PreTotalGenerationFirst", "PreTotalEleConsumptionFirst"):
+        result[name] = (f"min({name})", (name,))
+    for name in ("GriActiveEnergyDelLast", "GriActiveEnergyRcvLast"):
+        result[name] = (f"max({name})", (name,))
+    seen = f"sum({FULL_WINDOW_SECONDS} - InterruptionDurationCalculated)"
+    made = "EnergyAvailability * TheoreticalGeneration / 3600 / 100"
+    lost = [loss for loss in LOSSES if loss != "LimitLossGeneration"]
+    all_lost = f"sum(CASE WHEN EnergyAvailability IS NOT NULL THEN ({' + '.join(lost)}) * 10000 END)"
+    expected = "sum(CASE WHEN EnergyAvailability IS NOT NULL THEN TheoreticalGeneration END)"
+    shutdowns = ("FaultShutdownDuration", "FaultShutdownTimes")
+    energies = ("EnergyAvailability", "TheoreticalGeneration")
+    result |= {
+        "Availability": (f"1 - {_ratio('sum(UnAvailableTime)', seen)}", ("UnAvailableTime", "InterruptionDurationCalculated")),
+        "MTBFDuration": (_ratio(f"({seen} - sum(FaultShutdownDuration))", "sum(FaultShutdownTimes)"),
+                         ("InterruptionDurationCalculated", *shutdowns)),
+        "MTTRDuration": (_ratio("sum(FaultShutdownDuration)", "sum(FaultShutdownTimes)"), shutdowns),
+        "EnergyAvailability": (f"{_ratio(f'sum({made})', expected)} * 3600 * 100", energies),
+        "Discrepancy": (f"(1 - {_ratio(f'sum({made})', f'(sum({made}) + {all_lost})')}) * 100", (*energies, *lost)),
+    }
+    return result

@@ -12,10 +12,14 @@ from pyspark.sql import types as T
 from ..functions.buckets import naive
 from ..functions.formulas import formula_column
 from ..session import small_table
+from . import metrics
 from .periods import PERIODS, grid_start, period_grid, period_of
 
 Groups = Sequence[Mapping[str, Sequence[str]]]
 
+KEYS = ("Time", "DeviceName")
+RULES = ("by_name", "additive")
+
 
 def group_table(spark: SparkSession, groups: Groups) -> DataFrame:
     """A request's groups as (group_ord, group_name, device), each device once per group."""
@@ -42,15 +46,28 @@ def merge_rule(column: str) -> str:
     return "sum" if "sum" in name or "total" in name else "avg"
 
 
-def merge_columns(df: DataFrame, keep: Sequence[str], order: Sequence[str]) -> list[Column]:
-    """Aggregates for all columns but ``keep``. A column that is no number keeps
-    its first value in the given order."""
-    def merged(field: T.StructField) -> str:
-        if isinstance(field.dataType, T.NumericType):
-            return f"{merge_rule(field.name)}(CAST(`{field.name}` AS DOUBLE)) AS `{field.name}`"
-        return f"min_by(`{field.name}`, struct({', '.join(order)})) AS `{field.name}`"
+def merge_columns(df: DataFrame, columns: Sequence[str], rules: str = "by_name") -> list[Column]:
+    """Aggregates for ``columns``. A column that is no number keeps its first value by
+    time and device. ``rules`` is ``"by_name"`` (see :func:`merge_rule`) or
+    ``"additive"``: what the report's own columns count is added up and their ratios
+    are made anew from sums, for which all that they read must be in ``df``; other
+    columns merge by name."""
+    if rules not in RULES:
+        raise ValueError(f"unknown rules {rules!r}")
+    added = metrics.additive() if rules == "additive" else {}
+
+    def merged(name: str) -> str:
+        if not isinstance(df.schema[name].dataType, T.NumericType):
+            return f"min_by(`{name}`, struct({', '.join(KEYS)}))"
+        if name not in added:
+            return f"{merge_rule(name)}(CAST(`{name}` AS DOUBLE))"
+        expression, inputs = added[name]
+        missing = sorted(set(inputs) - set(df.columns))
+        if missing:
+            raise ValueError(f"{name} cannot be added up without {', '.join(missing)}")
+        return f"CAST({expression} AS DOUBLE)"
 
-    return [F.expr(merged(field)) for field in df.schema.fields if field.name not in keep]
+    return [F.expr(f"{merged(name)} AS `{name}`") for name in columns]
 
 
 def add_formulas(df: DataFrame, formulas: Mapping[str, str], visible: Sequence[str] | None = None) -> DataFrame:
@@ -70,13 +87,13 @@ def rollup(
     end: dt.datetime,
     columns: Sequence[str] | None = None,
     formulas: Mapping[str, str] | None = None,
+    rules: str = "by_name",
 ) -> DataFrame:
-    """Stored ten-minute rows merged per group and period.
+    """Stored ten-minute rows merged per group and period, by the rules of :func:`merge_columns`.
 
     Each group gets a row for every period of the grid, also where it has no data.
     """
-    if columns is not None:
-        rows = rows.select(*dict.fromkeys(["Time", "DeviceName", *columns]))
+    values = [name for name in dict.fromkeys(rows.columns if columns is None else columns) if name not in KEYS]
     devices = group_table(rows.sparkSession, groups)
     grid = period_grid(
         group_names(rows.sparkSession, groups).select(
@@ -90,9 +107,8 @@ def rollup(
         picked.join(devices, F.col("DeviceName") == F.col("device"))
         .withColumn("period_start", period_of(F.col("Time"), naive(start), period))
         .groupBy("group_ord", "period_start")
-        .agg(*merge_columns(picked, ("Time", "DeviceName"), ("Time", "DeviceName")))
+        .agg(*merge_columns(picked, values, rules))
     )
-    values = [name for name in merged.columns if name not in ("group_ord", "period_start")]
     result = grid.join(merged, ["group_ord", "period_start"], "left").select(
         "group_ord", F.col("period_start").alias("Time"), F.col("group_name").alias("DeviceName"), *values
     )
@@ -114,12 +130,12 @@ def ad_hoc_rollup(slices: DataFrame, groups: Groups, start: dt.datetime,
                   formulas: Mapping[str, str] | None = None) -> DataFrame:
     """Per-device daily slices merged to one row per group, stamped with ``start``."""
     devices = group_table(slices.sparkSession, groups)
+    values = [name for name in slices.columns if name not in KEYS]
     merged = (
         slices.join(devices, F.col("DeviceName") == F.col("device"))
         .groupBy("group_ord")
-        .agg(*merge_columns(slices, ("Time", "DeviceName"), ("Time", "DeviceName")))
+        .agg(*merge_columns(slices, values))
     )
-    values = [name for name in merged.columns if name != "group_ord"]
     names = group_names(slices.sparkSession, groups)
     result = names.join(merged, "group_ord", "left").select(
         "group_ord", naive(start).alias("Time"), F.col("group_name").alias("DeviceName"), *values

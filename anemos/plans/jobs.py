@@ -92,13 +92,13 @@ def ad_hoc_report(
 
 def stored_report(
     rows: DataFrame, groups: rollup.Groups, period: str, start: dt.datetime, end: dt.datetime,
-    columns: Sequence[str] | None = None, formulas: Mapping[str, str] | None = None,
+    columns: Sequence[str] | None = None, formulas: Mapping[str, str] | None = None, rules: str = "by_name",
 ) -> DataFrame:
     """Stored ten-minute rows rolled up per group and period, in output order."""
     if "dt" in rows.columns:
         rows = rows.where(F.col("dt").between(F.lit(_before(start, period)), F.lit(_after(end, period)))).drop("dt")
     rows = of_devices(rows, [device for item in groups for names in item.values() for device in names], "DeviceName")
-    return rollup.rollup(rows, groups, period, start, end, columns, formulas).orderBy("group_ord", "Time")
+    return rollup.rollup(rows, groups, period, start, end, columns, formulas, rules).orderBy("group_ord", "Time")
 
 
 def _before(start: dt.datetime, period: str) -> dt.date:

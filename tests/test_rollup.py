@@ -112,6 +112,23 @@ def test_one_device_one_period_is_its_row(spark, telemetry):
         assert rolled[name] == pytest.approx(row[name]), name
 
 
+def test_additive_rules_of_one_window_give_its_row(spark, telemetry):
+    rows = reports.combined(reports.window_totals(telemetry))
+    row = rows.where("TheoreticalGeneration > 0 and FaultShutdownTimes > 0").orderBy("Time").first() or rows.orderBy("Time").first()
+    rolled = rollup.rollup(
+        rows, [{"g": [row.DeviceName]}], "10min", row.Time, row.Time + dt.timedelta(minutes=10), rules="additive").first()
+    for name in metrics.COMBINED_COLUMNS[2:]:
+        assert rolled[name] == pytest.approx(row[name]), name
+
+
+def test_additive_rules_need_their_inputs(spark, telemetry):
+    rows = reports.efficiency(reports.window_totals(telemetry))
+    with pytest.raises(ValueError, match="TheoreticalGeneration"):
+        rollup.rollup(rows, [{"g": ["x"]}], "day", day(1), day(2), rules="additive")
+    with pytest.raises(ValueError, match="rules"):
+        rollup.rollup(rows, [{"g": ["x"]}], "day", day(1), day(2), rules="odd")
+
+
 def test_groups_keep_order_and_drop_doubles(spark):
     table = rollup.group_table(spark, [{"b": ["2", "2", "1"]}, {"a": ["2"]}])
     assert [tuple(r) for r in table.collect()] == [(0, "b", "2"), (0, "b", "1"), (1, "a", "2")]
