@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import small_table
 
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
 FARM = "WF01"
 DEVICES = [f"{FARM}_{number:03d}" for number in range(1, 7)]
 GROUPS = [{"all": DEVICES}, {"pair": [DEVICES[0], DEVICES[1], DEVICES[1]]}, {"none": [f"{FARM}_099"]}]

@@ -491,6 +491,14 @@ def oracle_sql() -> dict[str, str]:
         "report_rollup": _rollup("day"),
         "report_rollup_month": _rollup("month"),
         "report_rollup_additive": _added(),
+        "schema_conflicts": f"""
+            SELECT column_name AS "column", count(*) AS files, string_agg(DISTINCT kind, ', ' ORDER BY kind) AS types,
+              min(kind) <> max(kind) AS conflict
+            FROM (SELECT column_name, CASE data_type
+                    WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+                    WHEN 'FLOAT[]' THEN 'array<float>' ELSE lower(data_type) END AS kind
+                  FROM information_schema.columns WHERE table_name IN ({_names(fx.TABLES)}))
+            GROUP BY 1""",
         "report_rollup_year": _rollup("year"),
         "report_expressions": _with(*_rollup_cte("day"), select=f"""
             SELECT Time, DeviceName,

@@ -21,7 +21,7 @@ from ..sinks import event_layout, report_layout
 from ..sinks.tables import append_rows, write_json_lines
 from ..sources import (
     file_inventory, list_files, read_grid_dates, read_turbine_info, report_rows, scan_files_named, scan_reports,
-    scan_telemetry, standard_curves, type_conflicts,
+    scan_telemetry, standard_curves,
 )
 from ..streaming import read_arrivals, stream_reports, stream_session, write_stream
 from ..streaming.arrivals import merge_batch
@@ -146,7 +146,7 @@ def file_columns(spark, sf_dir):
 
 @_exact
 def schema_conflicts(spark, sf_dir):
-    return type_conflicts(file_inventory(list_files(spark, sf_dir)))
+    return schemas.schema_conflicts(spark, [fx.table(spark, sf_dir, name).schema for name in fx.TABLES])
 
 
 # --- time and resample ---------------------------------------------------

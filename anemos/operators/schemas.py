@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import small_table
+
 
 class Conflict(NamedTuple):
     """A column that two schemas give different types."""
@@ -53,3 +56,14 @@ def merge_by_name(left: DataFrame, right: DataFrame) -> DataFrame:
     if set(left.columns) == set(right.columns):
         return left.select(*names).unionByName(right.select(*names))
     return left.unionByName(right, allowMissingColumns=True).select(*names)
+
+
+def schema_conflicts(spark: SparkSession, schemas: Iterable[T.StructType]) -> DataFrame:
+    """Columns of any number of inputs, how many have them, with which types, and whether
+    that keeps them from being merged."""
+    rows = [(field.name, field.dataType.simpleString()) for schema in schemas for field in schema.fields]
+    return small_table(spark, rows, "column string, type string").groupBy("column").agg(
+        F.count(F.lit(1)).alias("files"),
+        F.array_join(F.array_sort(F.collect_set("type")), ", ").alias("types"),
+        (F.min("type") != F.max("type")).alias("conflict"),
+    )
