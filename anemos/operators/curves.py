@@ -7,6 +7,8 @@ on a wind bin, so that no row is compared with all pieces.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -17,7 +19,6 @@ from ..session import send_with_tasks
 send_with_tasks(__name__)
 
 CURVE_SCHEMA = "turbine_type string, wind double, power double"
-PIECE_SCHEMA = "turbine_type string, x0 double, x1 double, y0 double, y1 double"
 CUT_IN, CUT_OUT = 3.0, 25.0
 LOW_WIND = 0.8
 BIN = 0.5
@@ -55,33 +56,44 @@ def forest_pieces(curves: DataFrame, trees: int = TREES, seed: int = SEED) -> Da
     """The curves as a regression forest over wind speed fits them.
 
     A tree grown to the end gives every wind the power of the nearest point it
-    was grown on, and the lower one half way, so the forest is the mean of that
-    over its trees: constant between the midpoints of pairs of points. One small
-    task per turbine type, on the points of its curve alone.
+    was grown on, and the lower one half way. So it is a staircase that jumps
+    between neighbours, and the forest is the running sum of the jumps of all trees.
     """
-    def fit(points: pd.DataFrame) -> pd.DataFrame:
-        # points stay in table order: which of them a tree draws depends on it
-        wind = points["wind"].to_numpy(dtype=np.float32).astype(float)
-        power = points["power"].to_numpy()
-        edges = np.unique((wind[:, None] + wind[None, :]) / 2)
-        edges = np.concatenate([[wind.min() - BIN], edges[edges >= wind.min()]])
-        centers = (edges[:-1] + edges[1:]) / 2
-        centers[0] = wind.min()
-        fitted = np.zeros(len(centers))
-        for drawn in bootstrap_samples(len(wind), trees, seed):
-            order = np.argsort(wind[drawn], kind="stable")
-            x, y = wind[drawn][order], power[drawn][order]
-            fitted += y[np.searchsorted((x[:-1] + x[1:]) / 2, centers, side="left")]
-        fitted /= trees
-        return pd.DataFrame({
-            "turbine_type": points["turbine_type"].iloc[0],
-            "x0": edges[:-1], "x1": edges[1:], "y0": fitted, "y1": fitted,
-        })
-
-    return curves.dropna().groupBy("turbine_type").applyInPandas(
-        lambda points: fit(points.sort_values("wind")), PIECE_SCHEMA
+    curve = Window.partitionBy("turbine_type")
+    points = curves.dropna().select(
+        "turbine_type", F.col("wind").cast("float").cast("double").alias("wind"),
+        # decimals, as jumps up and down must cancel out
+        F.col("power").cast("decimal(28,10)").alias("power"),
+        F.count(F.lit(1)).over(curve).alias("n"), F.min("wind").over(curve).cast("float").cast("double").alias("lowest"),
+        F.max("wind").over(curve).cast("float").cast("double").alias("highest"),
+        # which points a tree draws depends on their order
+        (F.row_number().over(curve.orderBy("wind", "power")) - 1).cast("long").alias("place"),
     )
 
+    def draw(sizes: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in sizes:
+            for n in batch["n"]:
+                tree, place = np.nonzero(bootstrap_samples(int(n), trees, seed))
+                yield pd.DataFrame({"n": n, "tree": tree, "place": place})
+
+    drawn = points.join(
+        points.select("n").distinct().mapInPandas(draw, "n bigint, tree bigint, place bigint"), ["n", "place"])
+    tree = Window.partitionBy("turbine_type", "tree").orderBy("wind", "place")
+    before = F.lag("wind").over(tree)
+    jumps = drawn.select(
+        "turbine_type", "highest",
+        F.coalesce((before + F.col("wind")) / 2, F.col("lowest") - BIN).alias("x0"),
+        (F.col("power") - F.coalesce(F.lag("power").over(tree), F.lit(0).cast("decimal(28,10)"))).alias("jump"),
+    ).unionByName(points.where("place = 0").select(
+        "turbine_type", "highest", F.col("lowest").alias("x0"), F.lit(0).cast("decimal(29,10)").alias("jump")))
+    stairs = jumps.groupBy("turbine_type", "highest", "x0").agg(F.sum("jump").alias("jump"))
+    along = curve.orderBy("x0")
+    height = F.sum("jump").over(along).cast("double") / trees
+    return stairs.select(
+        "turbine_type", "x0", F.coalesce(F.lead("x0").over(along), "highest").alias("x1"),
+        height.alias("y0"), height.alias("y1"),
+    ).where("x0 < x1")
+
 
 FITS = {"line": line_pieces, "forest": forest_pieces}
 
