@@ -170,6 +170,20 @@ def test_permutation(spark, n):
     assert n < 100 or got != list(range(n))
 
 
+def test_classifier_tells_chance_from_evidence():
+    """Among 20,000 n-grams that have nothing to do with quality hardly any counts, and those that do all count."""
+    rng = np.random.default_rng(5)
+    n_raw, n_good, odd = 4000, 1000, 20
+    raw, good = np.zeros((2, quality_classifier.N_FEATURES), np.int64)
+    raw[:20_000] = rng.integers(1, n_raw, 20_000)
+    good[:20_000] = rng.hypergeometric(n_good, n_raw - n_good, raw[:20_000])
+    raw[:odd], good[:odd] = 400, 0
+    raw[odd:2 * odd], good[odd:2 * odd] = 400, 300
+    ratio = quality_classifier.log_ratios(raw, good, n_raw, n_good)
+    assert ratio[:odd] == pytest.approx(np.log(0.5 / 100.5)) and ratio[odd:2 * odd] == pytest.approx(np.log(300.5 / 100.5))
+    assert np.count_nonzero(ratio[2 * odd:]) <= 2
+
+
 def test_classifier(spark, docs):
     rng = random.Random(5)
     good = ["calm", "river", "stone", "bread", "light", "paper", "north", "green"]
