@@ -9,6 +9,14 @@ expects as chance brings counts as equally likely in both: the largest of m devi
 by chance is about sqrt(2 ln m) standard deviations, m being the n-grams of its kind
 that occur. Otherwise small errors would add up in long texts and hide what is bad in them.
 
+With few labels that test finds next to nothing, so the others are tested again among
+labelled documents alone, where a word that only bad ones hold stands out after a few: its log
+likelihood ratio against the share of good ones must exceed 2 ln m, and the weaker it is
+the more the log ratio is shrunk, as copies of one text are no independent evidence.
+
+Labels are dealt into ``FOLDS`` folds in the order of a hash. A labelled document is weighed by a model
+without its own fold, so the cut below comes from documents that their model has not seen.
+
 The sample is drawn by Gumbel top-k: the k highest of ``SHARPNESS`` times the log weight plus Gumbel
 noise, which a hash of the id gives. k is the number of documents that reach the
 perturbed weight which all but ``MISSED`` of the labelled good ones reach.
@@ -34,8 +42,9 @@ REPEATS = 1 << 9
 # How many n-grams there are of each kind: words, pairs, shapes, repeats.
 KINDS = (1 << WORD_BITS, 1 << WORD_BITS, 1 << SHAPE_BITS, REPEATS)
 N_FEATURES = sum(KINDS)
-# At most so many labelled documents fit the target model: the first in the order of a hash.
+# At most so many good documents, and so many others, fit the model: the first in the order of a hash.
 LABELLED = 100_000
+FOLDS = 5
 PRIOR = 0.5
 SHARPNESS = 5.0
 MISSED = 0.01
@@ -77,49 +86,105 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole(F.col("text")).cast("binary").alias("text"))
 
 
-def count_features(docs: DataFrame, good_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, int, int]:
-    """Documents that hold each n-gram, among all and among the good; and how many of either there are."""
+class Labels:
+    """Ids of labelled documents, which are good, and the fold of each; ids come in the order of a hash, the good first."""
+
+    def __init__(self, good: np.ndarray, other: np.ndarray):
+        order = np.argsort(ids := np.concatenate((good, other)).astype(np.int64))
+        fold = np.concatenate((np.arange(len(good)), np.arange(len(other)))) % FOLDS
+        self.ids, self.good, self.fold = ids[order], (np.arange(len(ids)) < len(good))[order], fold[order]
+
+    def find(self, ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The fold of each document, -1 without a label, and whether it is good."""
+        if not len(self.ids):
+            return np.full(len(ids), -1), np.zeros(len(ids), bool)
+        known = ids.is_valid().to_numpy(zero_copy_only=False)
+        ids = ids.fill_null(0).to_numpy(zero_copy_only=False)
+        at = np.minimum(np.searchsorted(self.ids, ids), len(self.ids) - 1)
+        known &= self.ids[at] == ids
+        return np.where(known, self.fold[at], -1), known & self.good[at]
+
+
+def count_features(docs: DataFrame, labels: Labels) -> np.ndarray:
+    """Documents that hold each n-gram, and at the end all: a row for all documents, for the
+    labelled of each fold and for the good of each fold."""
     send_with_tasks(__name__)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, counts = Words(), np.zeros((2, N_FEATURES + 1), np.int64)
+        words, counts = Words(), np.zeros((1 + 2 * FOLDS, N_FEATURES + 1), np.int64)
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            for good, text in zip(np.isin(ids, good_ids), batch.column("text")):
+            for fold, good, text in zip(*labels.find(batch.column("doc_id")), batch.column("text")):
                 held = np.append(features(text.as_buffer().to_pybytes(), words), N_FEATURES)
                 counts[0, held] += 1
+                if fold >= 0:
+                    counts[1 + fold, held] += 1
                 if good:
-                    counts[1, held] += 1
+                    counts[1 + FOLDS + fold, held] += 1
         held = np.flatnonzero(counts[0])
-        yield pa.RecordBatch.from_arrays([pa.array(held), *(pa.array(row[held]) for row in counts)], names=["feature", "n_raw", "n_good"])
+        yield pa.RecordBatch.from_arrays([pa.array(held), *(pa.array(row[held]) for row in counts)], names=["feature", *names])
 
-    summed = _rows(docs).mapInArrow(count, "feature bigint, n_raw bigint, n_good bigint").groupBy("feature").agg(
-        F.sum("n_raw").alias("n_raw"), F.sum("n_good").alias("n_good")).toArrow()
-    at, n_raw, n_good = (summed.column(name).to_numpy() for name in ("feature", "n_raw", "n_good"))
-    raw, good = np.zeros(N_FEATURES + 1, np.int64), np.zeros(N_FEATURES + 1, np.int64)
-    raw[at], good[at] = n_raw, n_good
-    return raw[:-1], good[:-1], int(raw[-1]), int(good[-1])
+    names = [f"n{row}" for row in range(1 + 2 * FOLDS)]
+    summed = _rows(docs).mapInArrow(count, ", ".join(f"{name} bigint" for name in ["feature", *names])).groupBy("feature").agg(
+        *[F.sum(name).alias(name) for name in names]).toArrow()
+    counts = np.zeros((len(names), N_FEATURES + 1), np.int64)
+    for row, name in zip(counts, names):
+        row[summed.column("feature").to_numpy()] = summed.column(name).to_numpy()
+    return counts
 
 
 def log_ratios(raw: np.ndarray, good: np.ndarray, n_raw: int, n_good: int) -> np.ndarray:
     """Log ratio of target to raw probability of each n-gram."""
     expected = raw * (n_good / max(n_raw, 1))
     ratio = np.log((good + PRIOR) / (expected + PRIOR))
-    seen = [max(int(np.count_nonzero(kind)), 2) for kind in np.split(raw, np.cumsum(KINDS)[:-1])]
-    chance = np.repeat(np.sqrt(2 * np.log(seen)), KINDS)
-    ratio[np.abs(good - expected) < chance * np.sqrt(expected + 1)] = 0
+    ratio[np.abs(good - expected) < np.sqrt(_chance(raw)) * np.sqrt(expected + 1)] = 0
     return ratio
 
 
-def log_weights(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
-    """doc_id and log_weight of every document."""
+def _chance(counts: np.ndarray) -> np.ndarray:
+    """2 ln m for each n-gram, m being the n-grams of its kind that occur."""
+    seen = [max(int(np.count_nonzero(kind)), 2) for kind in np.split(counts, np.cumsum(KINDS)[:-1])]
+    return np.repeat(2 * np.log(seen), KINDS)
+
+
+def shrunk_ratios(raw: np.ndarray, labelled: np.ndarray, good: np.ndarray, n_raw: int, n_labelled: int, n_good: int) -> np.ndarray:
+    """Log ratio of each n-gram, shrunk by how far the good are from their share among the labelled that hold it."""
+    share, bad = n_good / max(n_labelled, 1), labelled - good
+    surprise = 2 * (_surprise(good, labelled * share) + _surprise(bad, labelled * (1 - share)))
+    chance = _chance(labelled)
+    ratio = np.log((good + PRIOR) / (raw * (n_good / max(n_raw, 1)) + PRIOR)) * (surprise / (surprise + chance)) ** 2
+    ratio[surprise < chance] = 0
+    return ratio
+
+
+def _surprise(found: np.ndarray, expected: np.ndarray) -> np.ndarray:
+    return found * np.log(np.where(found > 0, found, 1) / np.where(found > 0, expected, 1))
+
+
+def fold_ratios(counts: np.ndarray) -> np.ndarray:
+    """Log ratios by the labels of all folds but one, a row for each; and last, by all labels."""
+    raw, labelled, good = counts[0], counts[1:1 + FOLDS], counts[1 + FOLDS:]
+    ratios = []
+    for left_out in range(FOLDS + 1):
+        rest = [fold for fold in range(FOLDS) if fold != left_out]
+        some, fine = labelled[rest].sum(0), good[rest].sum(0)
+        sure = log_ratios(raw[:-1], fine[:-1], int(raw[-1]), int(fine[-1]))
+        shrunk = shrunk_ratios(raw[:-1], some[:-1], fine[:-1], int(raw[-1]), int(some[-1]), int(fine[-1]))
+        # Without good documents there is no target model.
+        ratios.append(np.where(sure != 0, sure, shrunk) if fine[-1] else np.zeros(N_FEATURES))
+    return np.stack(ratios)
+
+
+def log_weights(docs: DataFrame, ratios: np.ndarray, labels: Labels) -> DataFrame:
+    """doc_id and log_weight of every document, of labelled ones by the model without their fold."""
     send_with_tasks(__name__)
-    shared = docs.sparkSession.sparkContext.broadcast(ratio)
+    shared = docs.sparkSession.sparkContext.broadcast(ratios)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, ratio = Words(), shared.value
+        words, ratios = Words(), shared.value
         for batch in batches:
-            sums = [float(ratio[features(text.as_buffer().to_pybytes(), words)].sum()) for text in batch.column("text")]
+            folds, _ = labels.find(batch.column("doc_id"))
+            sums = [float(ratios[fold, features(text.as_buffer().to_pybytes(), words)].sum())
+                    for fold, text in zip(folds, batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sums, pa.float64())], names=["doc_id", "log_weight"])
 
     return _rows(docs).mapInArrow(weigh, "doc_id bigint, log_weight double")
@@ -152,7 +217,7 @@ def select_documents(docs: DataFrame, labels: DataFrame, k: int | None = None, s
 
     ``labels`` holds doc_id, quality and toxic; a document is good if it has quality 1
     and is not toxic. All documents make the raw model, up to ``labelled`` good ones the
-    target model. ``k`` rows are kept, and those tied with the k-th; without ``k`` it is
+    target model, and up to as many others help to tell chance from evidence. ``k`` rows are kept, and those tied with the k-th; without ``k`` it is
     reckoned from the labels as above.
 
     A null text is an empty one, with weight 0. Null ids have no label; repeated rows
@@ -161,15 +226,18 @@ def select_documents(docs: DataFrame, labels: DataFrame, k: int | None = None, s
     rows. Other columns are not read.
     """
     good = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct()
-    chosen = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled).toArrow().column("doc_id").to_numpy()
-    ratio = log_ratios(*count_features(docs, chosen))
-    scored = log_weights(docs, ratio).withColumn(
+    other = labels.where("(quality <> 1 or toxic <> 0) and doc_id is not null").select("doc_id").distinct().join(
+        good, "doc_id", "left_anti")
+    chosen = Labels(*(
+        ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled).toArrow().column("doc_id").to_numpy() for ids in (good, other)))
+    ratios = fold_ratios(count_features(docs, chosen))
+    scored = log_weights(docs, ratios, chosen).withColumn(
         "perturbed", F.lit(SHARPNESS) * F.col("log_weight") + gumbel(F.col("doc_id"), seed))
     scored = materialize(scored, "quality-weights")
     if k is None:
         cut = scored.join(good, "doc_id", "left_semi").agg(F.percentile_approx("perturbed", MISSED, 10_000)).first()[0]
         k = scored.where(F.col("perturbed") >= cut).count() if cut is not None else scored.count()
-        if not ratio.any():
+        if not ratios.any():
             k = scored.count()
     least = kth_largest(scored, "perturbed", k) if k > 0 else None
     kept = F.col("perturbed") >= least if least is not None else F.lit(False)

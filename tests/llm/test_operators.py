@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -212,6 +213,40 @@ def test_classifier(spark, docs):
     assert quality_classifier.select_documents(docs, marks).count() == len(ROWS)
 
 
+def test_classifier_with_few_labels(spark):
+    """A word of 3 % of the documents counts with a hundred labels, and none that says nothing."""
+    rng = random.Random(11)
+    vocabulary = [f"w{n}" for n in range(300)]
+    rows = []
+    for doc_id in range(1500):
+        words = [rng.choice(vocabulary) for _ in range(50)]
+        for at in (5, 25) if doc_id % 33 == 0 else ():
+            words[at] = "moron"
+        rows.append((doc_id, " ".join(words)))
+    marks = [(doc_id, 1, int(doc_id % 33 == 0)) for doc_id in range(1500) if doc_id % 4 == 0]
+    got = quality_classifier.select_documents(
+        spark.createDataFrame(rows, "doc_id long, text string"),
+        spark.createDataFrame(marks, "doc_id long, quality int, toxic int")).collect()
+    unlabelled = [r for r in got if r["doc_id"] % 4]
+    toxic = [r["kept"] for r in unlabelled if r["doc_id"] % 33 == 0]
+    good = [r["kept"] for r in unlabelled if r["doc_id"] % 33]
+    assert sum(toxic) <= 0.1 * len(toxic) and sum(good) >= 0.95 * len(good)
+
+
+def test_classifier_leaves_the_fold_out():
+    """A labelled document is weighed without its own fold; an unlabelled one by all."""
+    counts = np.zeros((1 + 2 * quality_classifier.FOLDS, quality_classifier.N_FEATURES + 1), np.int64)
+    counts[0, :5000], counts[0, :2], counts[0, -1] = 1, (40, 100), 1000
+    counts[1:, -1] = [100] * quality_classifier.FOLDS + [80] * quality_classifier.FOLDS
+    counts[1, 0] = 40
+    counts[1:1 + quality_classifier.FOLDS, 1] = 8
+    ratios = quality_classifier.fold_ratios(counts)
+    assert ratios[0, 0] == 0 and (ratios[1:, 0] < 0).all() and (ratios[:, 1] < 0).all()
+    labels = quality_classifier.Labels(np.array([9, 2]), np.array([5]))
+    folds, good = labels.find(pa.array([2, None, 5, 7, 9]))
+    assert folds.tolist() == [1, -1, 0, -1, 0] and good.tolist() == [True, False, False, False, True]
+
+
 def _repeats(words):
     seen = {}
     for at in range(len(words) - 4):
