@@ -213,8 +213,9 @@ def read_archives(archives: DataFrame, folder: str, payloads: bool = True) -> Da
                 if rows:
                     yield batch(rows)
 
-    spread = archives.select("path").repartition("path")
-    return spread.mapInArrow(read, RECORDS)
+    # With a number of its own the shuffle is not coalesced: the list is small, what it lists is not.
+    paths = archives.select("path")
+    return paths.repartition(max(paths.count(), 1), "path").mapInArrow(read, RECORDS)
 
 
 def round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame:

@@ -348,6 +348,16 @@ def test_warc(spark, tmp_path):
                     None if r["payload"] is None else bytes(r["payload"])) for r in records) == want
 
 
+def test_warc_reads_in_many_tasks(spark, tmp_path):
+    table = spark.createDataFrame([(i, "u", f"page {i} " * 30) for i in range(400)], "page_id long, url string, html string")
+    folder = f"file://{tmp_path}/w"
+    archives = warc.write_archives(table.repartition(20), folder)
+    records = warc.read_archives(archives, folder, payloads=False)
+    tasks = records.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(row["count"] for row in tasks) == 400
+    assert len(tasks) > min(archives.count(), 8) / 2
+
+
 def test_warc_verifies():
     data = warc.record_bytes(1, "http://a", b"x" * 200, hashlib.sha256(b"x" * 200).hexdigest(), None, False)
     import io
