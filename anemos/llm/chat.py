@@ -5,7 +5,8 @@ any string: a control string inside gets a backslash after its first character (
 more than it already has there), which reading takes away again.
 
 The turns of a conversation lie one after another on a line, each as long as its
-tokens; prefix sums give their places. The line is cut every ``span`` tokens. Turns
+tokens; prefix sums give their places. Tokens are an estimate, a quarter of the characters, unless another
+count is given: ``piece_tokens`` is nearer where a character is a token or more. The line is cut every ``span`` tokens. Turns
 between the same two cuts make a window; a turn across a cut has a window of its own.
 So no window brings more than ``span`` new tokens, but for a single turn longer than
 that, and each turn is new in one window. Before its new turns a window repeats the
@@ -15,6 +16,8 @@ before it. Only the new assistant turns are under the loss mask.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,7 +47,18 @@ def formatted_turn(role: Column, text: Column) -> Column:
     return F.concat(F.lit(START), escaped(whole(role)), F.lit(SEP), escaped(whole(text)), F.lit(END))
 
 
-def placed_turns(turns: DataFrame) -> DataFrame:
+def estimated_tokens(piece: Column) -> Column:
+    """A token for each four characters, rounded up."""
+    return F.ceil(F.length(piece) / F.lit(CHARS_PER_TOKEN)).cast("long")
+
+
+def piece_tokens(piece: Column) -> Column:
+    """Runs of letters, and single digits, signs and characters of scripts without spaces."""
+    single = "\\p{IsHan}\\p{IsHiragana}\\p{IsKatakana}\\p{IsThai}"
+    return F.regexp_count(piece, F.lit(f"[\\p{{L}}&&[^{single}]]+|[^\\s\\p{{L}}]|[{single}]")).cast("long")
+
+
+def placed_turns(turns: DataFrame, tokens: Callable[[Column], Column] = estimated_tokens) -> DataFrame:
     """conv_id, turn, role, piece (the formatted turn), start and end on the conversation's line.
 
     Prefix sums are taken within runs of ``CHUNK`` turn numbers and over the runs, so a
@@ -53,7 +67,7 @@ def placed_turns(turns: DataFrame) -> DataFrame:
     piece = formatted_turn(F.col("role"), F.col("text"))
     rows = turns.select("conv_id", "turn", "role", piece.alias("piece"))
     rows = rows.withColumns({
-        "tokens": F.ceil(F.length("piece") / F.lit(CHARS_PER_TOKEN)).cast("long"),
+        "tokens": tokens(F.col("piece")),
         "run": F.coalesce(F.floor(F.col("turn") / CHUNK), F.lit(-(2**62))).cast("long"),
     })
     runs = rows.groupBy("conv_id", "run").agg(F.sum("tokens").alias("run_tokens"))
@@ -69,7 +83,8 @@ def placed_turns(turns: DataFrame) -> DataFrame:
         "conv_id", "turn", "role", "piece", (F.col("end") - F.col("tokens")).alias("start"), "end")
 
 
-def format_conversations(turns: DataFrame, span: int = SPAN, history: int = HISTORY) -> DataFrame:
+def format_conversations(turns: DataFrame, span: int = SPAN, history: int = HISTORY,
+                         tokens: Callable[[Column], Column] = estimated_tokens) -> DataFrame:
     """One row per window: conv_id, window (increasing within a conversation), text,
     n_context (repeated turns at its head), n_turns (new ones), tokens, and loss, the
     stretches (start, length in code points) of ``text`` under the loss mask.
@@ -77,11 +92,13 @@ def format_conversations(turns: DataFrame, span: int = SPAN, history: int = HIST
     ``turns`` holds conv_id, turn, role, text; turns are put in order of turn, role and text, null
     turns first. Null roles and texts are empty, a null conv_id is a conversation of its
     own, repeated rows are repeated turns. A conversation has at least one turn, so no
-    rows give no windows. Other columns are not read. ``history`` is at most ``span``.
+    rows give no windows. Other columns are not read. ``history`` is at most ``span``;
+    both are in the unit of ``tokens``, a native expression that counts the tokens of a formatted
+    turn, at least one.
     """
     if not 0 <= history <= span:
         raise ValueError("history is at most span")
-    rows = placed_turns(turns)
+    rows = placed_turns(turns, tokens)
     cell = F.call_function("div", F.col("start"), F.lit(span).cast("long"))
     last = F.call_function("div", F.col("end") - 1, F.lit(span).cast("long"))
     rows = rows.withColumn("window", cell * 2 + (cell != last).cast("int"))
@@ -135,8 +152,7 @@ def format_conversations(turns: DataFrame, span: int = SPAN, history: int = HIST
         "conv_id", "window", text.alias("text"),
         F.size(F.filter("parts", lambda p: p["part"] < 2)).alias("n_context"),
         F.size(F.filter("parts", lambda p: p["part"] == 2)).alias("n_turns"),
-        F.aggregate("parts", F.lit(0).cast("long"), lambda n, p: n + F.ceil(
-            F.length(p["piece"]) / F.lit(CHARS_PER_TOKEN)).cast("long")).alias("tokens"),
+        F.aggregate("parts", F.lit(0).cast("long"), lambda n, p: n + tokens(p["piece"])).alias("tokens"),
         masked(F.col("parts")).alias("loss"),
     )
 

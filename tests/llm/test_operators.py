@@ -444,6 +444,21 @@ def test_chat(spark):
     assert windows.where("n_context > 0").count() > 10
 
 
+def test_chat_counts_tokens(spark):
+    """With a count of tokens, windows of digits and Chinese keep the span that the estimate overruns."""
+    turns = [(1, turn, "user", text) for turn in range(40) for text in [("7" * 30, "中文" * 15, "plain words here", "a-b")[turn % 4]]]
+    table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    counts = table.select(chat.piece_tokens(F.col("text")).alias("n")).limit(4).collect()
+    assert [r["n"] for r in counts] == [30, 30, 3, 3]
+
+    def most(**options):
+        windows = chat.format_conversations(table, span=120, history=0, **options)
+        assert windows.agg(F.sum("n_turns")).first()[0] == 40
+        return windows.agg(F.max(chat.piece_tokens(F.col("text")))).first()[0]
+
+    assert most(tokens=chat.piece_tokens) <= 120 < most()
+
+
 def _brute_repeats(rows, length):
     seen, out = set(), []
     for doc_id, text in rows:
