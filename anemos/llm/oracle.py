@@ -47,6 +47,24 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM w LEFT JOIN extra USING (conv_id) GROUP BY conv_id
 """
 
+OP13 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS lines FROM d),
+n AS (SELECT *, CAST(len(lines) AS BIGINT) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+             CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM u),
+p AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS lo, greatest(h1 % (n + 1), h2 % (n + 1)) AS hi,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                  WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM n),
+q AS (SELECT *, array_to_string(lines[1:lo], '') AS pre, array_to_string(lines[lo + 1:hi], '') AS mid,
+             array_to_string(lines[hi + 1:n], '') AS suf FROM p)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN t ELSE pre || mid || suf END) AS restored_sha256
+FROM q
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1, "op7_warc": OP7, "op9_chat": OP9}
+    return {"op1_exact_dedup": OP1, "op7_warc": OP7, "op9_chat": OP9, "op13_fill_middle": OP13}
