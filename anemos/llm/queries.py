@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import small_table
-from . import chat, exact_dedup, fill_middle, mixing, packing, quality_classifier, quality_rules, sharding, simhash, suffix_dedup, warc
+from . import (
+    chat, exact_dedup, fill_middle, mixing, packing, quality_classifier, quality_rules, sharding, simhash, suffix_dedup,
+    token_alignment, warc,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,6 +81,17 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def vocabularies() -> token_alignment.Vocabularies:
+    import public_tokenizers
+
+    return token_alignment.Vocabularies(
+        public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.document_alignments(table(spark, sf_dir, "documents"), vocabularies())
+
+
 def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.document_digests(table(spark, sf_dir, "documents"), fill_middle.Rates(seed=7, transformed=100, spm=50))
 
@@ -86,6 +100,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_exact_dedup, op2_mixing, op3_sharding, op4_quality_classifier, op5_quality_rules, op6_simhash,
         op7_warc, op8_packing, op9_chat, op10_suffix_dedup,
-        op13_fill_middle,
+        op12_token_alignment, op13_fill_middle,
     ]
     return {query.__name__: query for query in found}
