@@ -33,7 +33,9 @@ PREFIX, SUFFIX, MIDDLE = b"<P>", b"<S>", b"<M>"
 #: Parts in the order of the text, and the sentinel of each.
 PARTS = (PREFIX, MIDDLE, SUFFIX)
 CHUNK = 1 << 16
-PARTITION_BYTES = 1 << 26
+#: Text of a partition, and the most partitions; beyond them partitions grow and their sorts spill.
+PARTITION_BYTES = 1 << 25
+MOST_PARTITIONS = 1 << 16
 COLUMNS = "doc_id bigint, n bigint, form string, prefix_chars bigint, middle_chars bigint"
 _HEADER, _END = -1, len(PARTS)
 
@@ -123,7 +125,7 @@ def output_stream(docs: DataFrame, rates: Rates = Rates()) -> RDD:
             for place, piece in enumerate(pieces, 1):
                 yield (document, place), piece
 
-    partitions = max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // PARTITION_BYTES))
+    partitions = min(max(1, -(-size // PARTITION_BYTES)), MOST_PARTITIONS)
     return _sorted(rows.rdd.mapPartitionsWithIndex(emit), partitions)
 
 

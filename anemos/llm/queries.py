@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..session import small_table
 from . import (
     chat, exact_dedup, fill_middle, mixing, packing, quality_classifier, quality_rules, sharding, simhash, suffix_dedup,
-    token_alignment, warc,
+    token_alignment, toxicity, warc,
 )
 
 
@@ -81,6 +81,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxic_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def vocabularies() -> token_alignment.Vocabularies:
     import public_tokenizers
 
@@ -100,6 +104,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_exact_dedup, op2_mixing, op3_sharding, op4_quality_classifier, op5_quality_rules, op6_simhash,
         op7_warc, op8_packing, op9_chat, op10_suffix_dedup,
-        op12_token_alignment, op13_fill_middle,
+        op11_toxicity, op12_token_alignment, op13_fill_middle,
     ]
     return {query.__name__: query for query in found}
