@@ -93,6 +93,9 @@ COMBINED_COLUMNS = SUMMARY_COLUMNS + AVAILABILITY_COLUMNS[3:] + EFFICIENCY_COLUM
 
 FULL_WINDOW_SECONDS = 600
 
+# Report columns that are means over the samples of a window.
+AVERAGES = ("MetAirDensityAvg", *(f"{stem}Avg" for stem in MEASURED))
+
 
 def totals() -> dict[str, str]:
     """Aggregate expressions by name; all combine map-side, none needs a sort.
@@ -182,11 +185,15 @@ ADDITIVE = (
 def additive() -> dict[str, tuple[str, tuple[str, ...]]]:
     """Aggregates that merge report rows by adding: expression by column, and the columns that it reads.
 
-    Ratios are made anew from sums. What a row leaves out is told by what it has: the
+    Means weigh by ``Count``. Ratios are made anew from sums. What a row leaves out is told by what it has: the
     seconds seen by those that are missing, the energy made by its share of the
-    theoretical one. Meter readings merge as the first and the last one.
+    theoretical one. Meter readings merge as the first and the last one. A mean is exact as far as the
+    signal is there in the seconds that ``Count`` counts; :mod:`anemos.operators.blocks` keeps what is exact always.
     """
     result = {name: (f"sum({name})", (name,)) for name in ADDITIVE}
+    for name in AVERAGES:
+        counted = f"sum(CASE WHEN {name} IS NOT NULL THEN Count END)"
+        result[name] = (_ratio(f"sum({name} * Count)", counted), (name, "Count"))
     for name in ("PreTotalGenerationFirst", "PreTotalEleConsumptionFirst"):
         result[name] = (f"min({name})", (name,))
     for name in ("GriActiveEnergyDelLast", "GriActiveEnergyRcvLast"):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,9 +30,14 @@ def file_totals(arrivals: DataFrame) -> DataFrame:
     ``arrivals`` has the file keys of :func:`anemos.sources.with_file_keys`. A path
     without twelve digits in a row is an error, as its rows belong to no report.
     """
+    return _aggregate(arrivals, file_keys())
+
+
+def file_keys() -> list[Column]:
+    """Report time and device of rows with the file keys; a path without a time is an error."""
     unknown = F.raise_error(F.concat(F.lit("no report time in path "), F.col("file_path")))
     time = F.coalesce(ten_minutes_of(F.col("file_time")), unknown.cast("timestamp_ntz"))
-    return _aggregate(arrivals, [time.alias("Time"), F.col("file_device").alias("DeviceName")])
+    return [time.alias("Time"), F.col("file_device").alias("DeviceName")]
 
 
 def _aggregate(df: DataFrame, keys: Sequence[Column]) -> DataFrame:
@@ -44,12 +49,14 @@ def total_columns() -> list[Column]:
     return [F.expr(f"{aggregate} AS {name}") for name, aggregate in metrics.totals().items()]
 
 
-def _report(totals: DataFrame, columns: Sequence[str], count: str = "Count") -> DataFrame:
-    formulas = metrics.derived()
+def report_of(totals: DataFrame, columns: Sequence[str], count: str = "Count",
+              formulas: Mapping[str, str] | None = None) -> DataFrame:
+    """Report columns from totals, by ``formulas`` (those of a window, unless given)."""
+    formulas = metrics.derived() if formulas is None else formulas
 
     def column(name: str) -> str:
         if name in KEYS:
-            return name
+            return f"`{name}`"
         if name == "Count":
             return f"{count} AS Count"
         return f"CAST({formulas.get(name, name)} AS DOUBLE) AS {name}"
@@ -59,22 +66,22 @@ def _report(totals: DataFrame, columns: Sequence[str], count: str = "Count") ->
 
 def summary(totals: DataFrame) -> DataFrame:
     """The 54-column summary report."""
-    return _report(totals, metrics.SUMMARY_COLUMNS)
+    return report_of(totals, metrics.SUMMARY_COLUMNS)
 
 
 def availability(totals: DataFrame) -> DataFrame:
     """The 32-column availability report."""
-    return _report(totals, metrics.AVAILABILITY_COLUMNS)
+    return report_of(totals, metrics.AVAILABILITY_COLUMNS)
 
 
 def efficiency(totals: DataFrame) -> DataFrame:
     """The 13-column efficiency report."""
-    return _report(totals, metrics.EFFICIENCY_COLUMNS)
+    return report_of(totals, metrics.EFFICIENCY_COLUMNS)
 
 
 def combined(totals: DataFrame) -> DataFrame:
     """All three reports side by side, computed in one aggregate."""
-    return _report(totals, metrics.COMBINED_COLUMNS)
+    return report_of(totals, metrics.COMBINED_COLUMNS)
 
 
 # What ``Count`` counts when a report is made straight from samples.
@@ -93,5 +100,5 @@ def ad_hoc_rows(totals: DataFrame, kind: str) -> DataFrame:
     """
     if kind not in _AD_HOC_COUNT:
         raise ValueError(f"unknown report {kind!r}")
-    rows = _report(totals, metrics.REPORT_COLUMNS[kind], _AD_HOC_COUNT[kind])
+    rows = report_of(totals, metrics.REPORT_COLUMNS[kind], _AD_HOC_COUNT[kind])
     return rows.withColumnRenamed("YawHours", "YawHoursTotal")

@@ -11,24 +11,26 @@ from pyspark.sql import functions as F
 from ..functions.buckets import naive
 from ..operators import availability, conditions, energy, events, metrics, reports, rollup, schemas
 from ..operators.resample import of_devices
-from ..session import materialize, scratch_scope
+from ..session import materialize
 from ..sinks import csv, tables
+from ..sinks.snapshots import snapshot
 
 
 def merge_files(spark: SparkSession, first: str | None, second: str, target: str, by: str = "time") -> None:
     """Merge two Parquet tables by column name into ``target``, in time order.
 
-    Without a first table, or with a path where there is none, the second is taken as it is. A target that is also an
-    input is replaced only after the merged rows are written elsewhere.
+    Without a first table, or with a path where there is none, the second is taken as it is. The target is a table
+    with a log (:mod:`anemos.sinks.snapshots`), replaced in one commit, so it may be an input, too: until then, and
+    after a failure, it has its old rows. If another job changes it meanwhile, the merge is an error.
     """
-    merged = spark.read.parquet(second)
+    base = snapshot(spark, target)
+    merged = tables.stored_rows(spark, second)
+    if merged is None:
+        raise FileNotFoundError(second)
     earlier = tables.stored_rows(spark, first) if first is not None else None
     if earlier is not None:
         merged = schemas.merge_by_name(earlier, merged)
-    with scratch_scope(spark):
-        if target in (first, second):
-            merged = materialize(merged, "merge")
-        tables.write_sorted(merged, target, by)
+    tables.write_sorted(merged, target, by, base=base)
 
 
 def ten_minute_reports(samples: DataFrame) -> dict[str, DataFrame]:

@@ -10,14 +10,28 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.schemas import SchemaConflict, conflicts_between
+from .snapshots import Snapshot, commit, is_table, open_files, read_table, snapshot
 
 STORE_DIGITS = 6
 
 
-def write_sorted(df: DataFrame, path: str, by: str = "time", partitions: int | None = None) -> None:
-    """Replace a table by rows in time order: ordered over and within the files."""
+def write_sorted(df: DataFrame, path: str, by: str = "time", partitions: int | None = None,
+                 base: Snapshot | None = None) -> None:
+    """Replace a table by rows in time order: ordered over and within the files.
+
+    Readers see the old rows until all new ones are written. Parquet files that lay in the folder without a log go afterwards.
+    """
     ranged = df.repartitionByRange(partitions, by) if partitions else df.repartitionByRange(by)
-    ranged.sortWithinPartitions(by).write.mode("overwrite").parquet(path)
+    commit(ranged.sortWithinPartitions(by), path, time=by, replace="all", base=base)
+    _remove_plain(df.sparkSession, path)
+
+
+def _remove_plain(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in store.listStatus(where):
+        if status.getPath().getName()[:1] not in "_.":
+            store.delete(status.getPath(), True)
 
 
 def append_rows(df: DataFrame, path: str) -> None:
@@ -45,10 +59,11 @@ def with_slices(rows: DataFrame, time: str, hours: bool = False) -> DataFrame:
 
 
 def write_days(rows: DataFrame, path: str, time: str, hours: bool = False) -> None:
-    """Write rows partitioned by day, or by day and hour; days (hours) present in
+    """Write rows as plain Parquet partitioned by day, or by day and hour; days (hours) present in
     ``rows`` replace those stored.
 
-    A rerun of a day therefore leaves no duplicates. Rows are rebalanced by
+    A rerun of a day therefore leaves no duplicates. Folders are replaced one by one, so a reader may see some of
+    the days; :func:`commit_slices` replaces them at once. Rows are rebalanced by
     partition: small ones share a task, one that holds much of the data is split.
     """
     keys = ["dt", "hr"] if hours else ["dt"]
@@ -56,39 +71,48 @@ def write_days(rows: DataFrame, path: str, time: str, hours: bool = False) -> No
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
-def merge_slices(fresh: DataFrame, path: str, keys: Sequence[str], time: str, hours: bool = False) -> None:
-    """Merge rows into a table partitioned by day (and hour): a row replaces the
-    stored one with the same keys.
+def _slices(hours: bool) -> list[str]:
+    return ["dt", "hr"] if hours else ["dt"]
+
+
+def commit_slices(rows: DataFrame, path: str, time: str, hours: bool = False, base: Snapshot | None = None,
+                  mark: tuple[str, int] | None = None) -> Snapshot:
+    """Replace the days (hours) that ``rows`` has, in one commit; see :func:`anemos.sinks.snapshots.commit`.
+
+    Rows are rebalanced by partition: small ones share a task, one that holds much of the data is split.
+    """
+    rows = with_slices(rows, time, hours).hint("rebalance", *_slices(hours))
+    return commit(rows, path, time, _slices(hours), "slices", base, mark)
+
+
+def merge_slices(fresh: DataFrame, path: str, keys: Sequence[str], time: str, hours: bool = False,
+                 mark: tuple[str, int] | None = None) -> Snapshot:
+    """Merge rows into a table with a log, by day (and hour): a row replaces the stored one with the same keys.
 
     Columns are merged by name: those that only the stored or only the fresh rows
-    have stay, null for the others; one with two types is an error. Only the days (hours) of ``fresh`` are read and written, and merging the same
-    rows again changes nothing. ``fresh`` is read several times: pass a table.
+    have stay, null for the others; one with two types is an error. Only the days (hours) of ``fresh`` are read and
+    written, which the log names; merging the same rows again changes nothing. If another writer changes one of
+    them meanwhile, the merge is an error and nothing is written. ``fresh`` is read several times: pass a table.
     """
-    slices = ["dt", "hr"] if hours else ["dt"]
+    spark, slices = fresh.sparkSession, _slices(hours)
     fresh = with_slices(fresh, time, hours)
-    stored = stored_rows(fresh.sparkSession, path)
+    state = snapshot(spark, path) or Snapshot(-1, fresh.schema, tuple(slices), time, {}, {})
     merged = fresh
-    if stored is not None:
-        conflicts = conflicts_between(stored.schema, fresh.schema)
+    if state.files:
+        touched = ["/".join(f"{name}={row[name]}" for name in slices) for row in fresh.select(*slices).distinct().collect()]
+        files = [file for name in touched for file in state.files.get(name, [])]
+        conflicts = conflicts_between(state.schema, fresh.schema)
         if conflicts:
             raise SchemaConflict(conflicts)
-        touched = _touched(stored, fresh.select(*slices).distinct())
-        kept = touched.join(fresh.select(*keys), list(keys), "left_anti")
+        kept = open_files(spark, path, state, files).join(fresh.select(*keys), list(keys), "left_anti")
         merged = kept.unionByName(fresh, allowMissingColumns=True)
-    write_days(merged.drop(*slices), path, time, hours)
-
-
-def _touched(stored: DataFrame, slices: DataFrame) -> DataFrame:
-    """Stored rows of the given slices. The first and last day prune the table's
-    folders, however many slices there are; the slices themselves are joined."""
-    first, last = slices.agg(F.min("dt"), F.max("dt")).first()
-    if first is None:
-        return stored.where(F.lit(False))
-    return stored.where(F.col("dt").between(F.lit(first), F.lit(last))).join(slices, slices.columns, "left_semi")
+    return commit_slices(merged.drop(*slices), path, time, hours, state, mark)
 
 
 def stored_rows(spark: SparkSession, path: str) -> DataFrame | None:
     """A table with all columns that any of its files has, or None if there is nothing at ``path`` yet."""
+    if is_table(spark, path):
+        return read_table(spark, path)
     try:
         return spark.read.option("mergeSchema", "true").parquet(path)
     except AnalysisException as error:
@@ -109,7 +133,7 @@ def stored_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 def write_report_store(rows: DataFrame, store: str, kind: str, zero_nulls: bool = False) -> None:
     """Replace the days of ``rows`` in one report table of the store."""
-    write_days(store_form(rows, zero_nulls), f"{store.rstrip('/')}/{kind}", "Time")
+    commit_slices(store_form(rows, zero_nulls), f"{store.rstrip('/')}/{kind}", "Time")
 
 
 def merge_report_store(rows: DataFrame, store: str, kind: str, zero_nulls: bool = False) -> None:

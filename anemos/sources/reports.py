@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.buckets import naive
 from ..operators.metrics import REPORT_COLUMNS
 from ..operators.resample import of_devices
+from ..sinks.snapshots import read_table
 
 
 def report_rows(df: DataFrame, columns: Sequence[str], devices: Sequence[str],
@@ -26,4 +27,7 @@ def scan_reports(spark: SparkSession, store: str, kind: str) -> DataFrame:
     """All rows of one report kind, with the partition column ``dt``."""
     if kind not in REPORT_COLUMNS:
         raise ValueError(f"unknown report {kind!r}; use one of {', '.join(REPORT_COLUMNS)}")
-    return spark.read.parquet(f"{store.rstrip('/')}/{kind}")
+    rows = read_table(spark, f"{store.rstrip('/')}/{kind}")
+    if rows is None:
+        raise FileNotFoundError(f"{store} has no {kind}")
+    return rows

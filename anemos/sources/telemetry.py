@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from ..functions.buckets import naive
 from ..functions.filenames import device_of, sample_time_of
 from ..operators.resample import in_range
+from ..sinks.snapshots import is_table, read_table
 
 
 def _reader(spark: SparkSession, schema: T.StructType | None, merge_schema: bool = False) -> DataFrameReader:
@@ -34,9 +35,13 @@ def scan_telemetry(
     The range also bounds ``dt``, so files of other days are not read; time and
     turbine filters reach the Parquet scan. Where files differ, give ``schema``:
     columns a file lacks are null. ``merge_schema`` finds it out instead, at the
-    price of reading all footers first.
+    price of reading all footers first. A table with a log (:mod:`anemos.sinks.snapshots`) needs neither: the log has the
+    schema, and names the files of the range.
     """
-    df = _reader(spark, schema, merge_schema).parquet(base)
+    if is_table(spark, base):
+        df = read_table(spark, base, start, end)
+    else:
+        df = _reader(spark, schema, merge_schema).parquet(base)
     if "dt" in df.columns:
         if start is not None:
             df = df.where(F.col("dt") >= F.lit(start.date()))

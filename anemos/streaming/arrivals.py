@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import reports
-from ..plans import jobs
+from ..plans import upkeep
 from ..session import delete_path, materialize, scratch_scope
 from ..sinks.tables import merge_slices, stored_table
 from ..sources import with_file_keys
@@ -70,26 +70,27 @@ def write_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
-def merge_arrivals(samples: DataFrame, table: str, checkpoint: str,
-                   late_folder: str | None = None, delay: str = "10 minutes") -> StreamingQuery:
-    """Merge a stream of samples into a table partitioned by day and hour.
+def merge_arrivals(samples: DataFrame, table: str, checkpoint: str, late_folder: str | None = None,
+                   delay: str = "10 minutes", store: str | None = None, hours: bool = False) -> StreamingQuery:
+    """Merge a stream of samples into a table with a log, by day, or by day and ``hours`` where days are large.
 
     For each turbine and time the last arrival wins; of copies within one batch
-    the greatest, column by column, is kept. Only the hours a batch touches are read and replaced, so
+    the greatest, column by column, is kept. Only the days (hours) a batch touches are read and replaced, in one commit, so
     running a batch again leaves no second copy.
     With ``late_folder``, samples older than the newest of earlier batches by
-    more than ``delay`` are also listed in its table ``samples``, for a batch job
-    to redo their windows.
+    more than ``delay`` are also listed in its table ``samples``; :func:`anemos.plans.redo_late` redoes their windows.
+    With ``store``, blocks and reports of all windows that a batch touches are made anew at once, late ones
+    as others (:func:`anemos.plans.redo_windows`).
     """
     return (
         samples.writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, batch_id: merge_batch(batch, batch_id, table, late_folder, delay))
+        .foreachBatch(lambda batch, batch_id: merge_batch(batch, batch_id, table, late_folder, delay, store, hours))
         .trigger(availableNow=True).start()
     )
 
 
-def merge_batch(batch: DataFrame, batch_id: int, table: str,
-                late_folder: str | None = None, delay: str = "10 minutes") -> None:
+def merge_batch(batch: DataFrame, batch_id: int, table: str, late_folder: str | None = None,
+                delay: str = "10 minutes", store: str | None = None, hours: bool = False) -> None:
     """Merge one batch of samples; see :func:`merge_arrivals`."""
     keys = ["turbine", "time"]
     others = [name for name in batch.columns if name not in keys]
@@ -98,7 +99,9 @@ def merge_batch(batch: DataFrame, batch_id: int, table: str,
         fresh = materialize(single, "arrivals")
         if late_folder is not None:
             _list_late(fresh, batch_id, late_folder, delay)
-        merge_slices(fresh, table, keys, "time", hours=True)
+        merge_slices(fresh, table, keys, "time", hours)
+        if store is not None:
+            upkeep.redo_windows(materialize(upkeep.touched_windows(fresh), "windows"), table, store)
 
 
 def _list_late(fresh: DataFrame, batch_id: int, folder: str, delay: str) -> None:
@@ -126,13 +129,12 @@ def _replace_batch(rows: DataFrame, path: str) -> None:
 def store_arrivals(arrivals: DataFrame, store: str, checkpoint: str, zero_nulls: bool = False) -> StreamingQuery:
     """Reports of arriving files into the report store, as files come in.
 
-    ``arrivals`` is a stream with the file keys of :func:`read_arrivals`. Each batch
-    makes the three tables in one pass and replaces rows of the same device and
-    time, so a batch that runs again, whole or in part, leaves no second copy.
+    ``arrivals`` is a stream with the file keys of :func:`read_arrivals`. A report is made from all files of its
+    device and ten minutes, whichever batches they came in, and a batch that runs again, whole or in part, leaves no
+    second copy; see :func:`anemos.plans.merge_file_reports`.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
-        with scratch_scope(batch.sparkSession):
-            jobs.merge_reports(jobs.arrival_reports(batch), store, zero_nulls)
+        upkeep.merge_file_reports(batch, store, zero_nulls)
 
     return (
         arrivals.writeStream.option("checkpointLocation", checkpoint).foreachBatch(merge)

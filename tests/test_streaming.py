@@ -6,10 +6,10 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from anemos import plans as jobs
 from anemos import streaming
 from anemos.operators import reports
-from anemos.plans import jobs
-from anemos.sinks import tables
+from anemos.sinks import read_table, snapshot
 from anemos.sources import scan_arrivals, scan_reports
 
 
@@ -54,7 +54,7 @@ def test_merging_arrivals(spark, tmp_path):
     def run(state_dir=state):
         stream = streaming.read_arrivals(spark, source, schema)
         streaming.merge_arrivals(stream, table, state_dir, late).awaitTermination()
-        return {(r.time, r.turbine): r.v for r in spark.read.parquet(table).collect()}
+        return {(r.time, r.turbine): r.v for r in read_table(spark, table).collect()}
 
     arrive(spark, source, [(first, "A", 1), (second, "A", 2), (second, "B", 3)])
     assert run() == {(first, "A"): 1, (second, "A"): 2, (second, "B"): 3}
@@ -67,7 +67,7 @@ def test_merging_arrivals(spark, tmp_path):
     # all files once more, as after a lost checkpoint: no duplicates
     arrive(spark, source, [(second, "B", 30)])
     assert run() == want
-    assert len(spark.read.parquet(table).collect()) == 5
+    assert read_table(spark, table).count() == 5
 
 
 def test_a_batch_may_run_again(spark, tmp_path):
@@ -75,18 +75,20 @@ def test_a_batch_may_run_again(spark, tmp_path):
     batch = spark.createDataFrame([(dt.datetime(2024, 5, 1), "A", 1), (dt.datetime(2024, 5, 1), "A", 1)], SAMPLE)
     for _ in range(3):
         streaming.merge_batch(batch, 0, table, str(tmp_path / "late"))
-    assert spark.read.parquet(table).count() == 1
+    assert read_table(spark, table).count() == 1
 
 
 def test_a_batch_reads_only_its_hours(spark, tmp_path):
     """Hours the batch does not touch keep their files."""
     table = tmp_path / "table"
     noon, night = dt.datetime(2024, 5, 1, 12), dt.datetime(2024, 5, 1, 23)
-    streaming.merge_batch(spark.createDataFrame([(noon, "A", 1), (night, "A", 2)], SAMPLE), 0, str(table))
-    before = {p.name for p in table.glob("dt=2024-05-01/hr=12/*.parquet")}
-    streaming.merge_batch(spark.createDataFrame([(night, "B", 3)], SAMPLE), 1, str(table))
-    assert {p.name for p in table.glob("dt=2024-05-01/hr=12/*.parquet")} == before
-    assert sorted(r.v for r in spark.read.parquet(str(table)).collect()) == [1, 2, 3]
+    streaming.merge_batch(spark.createDataFrame([(noon, "A", 1), (night, "A", 2)], SAMPLE), 0, str(table), hours=True)
+    before = snapshot(spark, str(table)).files
+    streaming.merge_batch(spark.createDataFrame([(night, "B", 3)], SAMPLE), 1, str(table), hours=True)
+    after = snapshot(spark, str(table)).files
+    assert after["dt=2024-05-01/hr=12"] == before["dt=2024-05-01/hr=12"]
+    assert after["dt=2024-05-01/hr=23"] != before["dt=2024-05-01/hr=23"]
+    assert sorted(r.v for r in read_table(spark, str(table)).collect()) == [1, 2, 3]
 
 
 def test_batches_leave_nothing_behind(spark, tmp_path):
@@ -105,7 +107,7 @@ def test_batches_leave_nothing_behind(spark, tmp_path):
 
     assert made and not any(os.path.exists(path.removeprefix("file:")) for path in made)
     assert len(list((tmp_path / "late" / "bounds").glob("batch=*"))) == 2
-    assert {r.v for r in spark.read.parquet(str(tmp_path / "t")).where("turbine = 'B'").collect()} == {7}
+    assert {r.v for r in read_table(spark, str(tmp_path / "t")).where("turbine = 'B'").collect()} == {7}
     assert spark.read.parquet(str(tmp_path / "late" / "samples")).count() == 2
 
 
@@ -129,12 +131,13 @@ def test_reports_of_arriving_files(spark, telemetry, tmp_path):
     arrive_as("WF01_002_202405010017_a.parquet", samples.slice(5, 3))
     want = {("WF01_001", "2024-05-01T00:00:00"): 5, ("WF01_002", "2024-05-01T00:10:00"): 3}
     assert run() == want
-    arrive_as("WF01_001_202405010008_b.parquet", samples.slice(0, 9))
+    # a second file of the first report's ten minutes adds to it
+    arrive_as("WF01_001_202405010008_b.parquet", samples.slice(5, 4))
     arrive_as("WF01_001_202405020000_a.parquet", samples.slice(0, 2))
     want |= {("WF01_001", "2024-05-01T00:00:00"): 9, ("WF01_001", "2024-05-02T00:00:00"): 2}
     assert run() == want
     # a batch once more, as after a failure between the tables
-    jobs.merge_reports(jobs.arrival_reports(scan_arrivals(spark, str(source / "WF01_001_202405020000_a.parquet"))), store)
+    jobs.merge_file_reports(scan_arrivals(spark, str(source / "WF01_001_202405020000_a.parquet")), store)
     assert run() == want
 
 

@@ -52,7 +52,7 @@ def test_merge_files_with_other_columns(spark, tmp_path):
     second = write_parquet(tmp_path / "WF01_001_b.parquet", time=times(2), power=[7.0])
     target = str(tmp_path / "merged")
     jobs.merge_files(spark, first, second, target)
-    merged = spark.read.parquet(target)
+    merged = sinks.read_table(spark, target)
     assert set(merged.columns) == {"time", "wind", "power"}
     rows = merged.orderBy("time").select("wind", "power").collect()
     assert [tuple(r) for r in rows] == [(1.0, None), (None, 7.0), (3.0, None)]
@@ -62,9 +62,9 @@ def test_merge_into_an_input(spark, tmp_path):
     first = write_parquet(tmp_path / "day" / "a.parquet", time=times(5), wind=[5.0]).removesuffix("/a.parquet")
     second = write_parquet(tmp_path / "b.parquet", time=times(4), wind=[4.0])
     jobs.merge_files(spark, first, second, first)
-    assert [r.wind for r in spark.read.parquet(first).orderBy("time").collect()] == [4.0, 5.0]
+    assert [r.wind for r in sinks.read_table(spark, first).orderBy("time").collect()] == [4.0, 5.0]
     jobs.merge_files(spark, None, second, str(tmp_path / "copy"))
-    assert spark.read.parquet(str(tmp_path / "copy")).count() == 1
+    assert sinks.read_table(spark, str(tmp_path / "copy")).count() == 1
 
 
 def test_merge_refuses_two_types(spark):
@@ -77,7 +77,7 @@ def test_merge_refuses_two_types(spark):
 
 def test_sorted_table_is_in_time_order(spark, telemetry, tmp_path):
     sinks.write_sorted(telemetry.select("time", "turbine"), str(tmp_path / "t"), partitions=4)
-    bounds = (spark.read.parquet(str(tmp_path / "t")).groupBy(F.input_file_name().alias("f"))
+    bounds = (sinks.read_table(spark, str(tmp_path / "t")).groupBy(F.input_file_name().alias("f"))
               .agg(F.min("time").alias("a"), F.max("time").alias("z")).orderBy("f").collect())
     assert len(bounds) > 1 and all(x.z <= y.a for x, y in zip(bounds, bounds[1:]))
 
@@ -114,23 +114,23 @@ def test_merging_keeps_columns_of_either_side(spark, tmp_path):
     merge_slices(spark.createDataFrame([(noon, "A", 1, 7.5)], "time timestamp_ntz, turbine string, v int, extra double"), path, ["turbine", "time"], "time", True)
     merge_slices(spark.createDataFrame([(noon, "B", 2)], "time timestamp_ntz, turbine string, v int"), path, ["turbine", "time"], "time", True)
     merge_slices(spark.createDataFrame([(noon, "C", 3, "x")], "time timestamp_ntz, turbine string, v int, more string"), path, ["turbine", "time"], "time", True)
-    rows = spark.read.option("mergeSchema", "true").parquet(path).select("turbine", "v", "extra", "more").collect()
+    rows = sinks.read_table(spark, path).select("turbine", "v", "extra", "more").collect()
     assert sorted(map(tuple, rows)) == [("A", 1, 7.5, None), ("B", 2, None, None), ("C", 3, None, "x")]
     with pytest.raises(SchemaConflict):
         merge_slices(spark.createDataFrame([(noon, "D", "4")], "time timestamp_ntz, turbine string, v string"), path, ["turbine", "time"], "time", True)
 
 
-def test_many_touched_hours_prune_days(spark, tmp_path):
+def test_a_merge_opens_only_touched_hours(spark, tmp_path, monkeypatch):
     from anemos.sinks import tables
 
     path = str(tmp_path / "t")
-    hours = spark.range(5_000).selectExpr("timestampadd(HOUR, id, timestamp_ntz'2024-01-01') time", "'A' turbine", "id v")
-    tables.write_days(hours.where("v < 48"), path, "time", hours=True)
-    stored = tables.stored_rows(spark, path)
-    touched = tables._touched(stored, tables.with_slices(hours, "time", True).select("dt", "hr").distinct())
-    filters = touched._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1]
-    assert "dt" in filters.split("]")[0] and ">=" in filters.split("PushedFilters")[0]
-    assert touched.count() == 48
+    hours = spark.range(200).selectExpr("timestampadd(HOUR, id, timestamp_ntz'2024-01-01') time", "'A' turbine", "id v")
+    tables.commit_slices(hours, path, "time", hours=True)
+    opened, plain = [], tables.open_files
+    monkeypatch.setattr(tables, "open_files", lambda spark, path, state, files: opened.extend(files) or plain(spark, path, state, files))
+    tables.merge_slices(hours.where("v in (7, 150)").withColumn("v", F.lit(-1).cast("long")), path, ["time", "turbine"], "time", True)
+    assert sorted(file.slice for file in opened) == ["dt=2024-01-01/hr=7", "dt=2024-01-07/hr=6"]
+    assert sinks.read_table(spark, path).agg(F.count("v"), F.sum("v")).first()[0] == 200
 
 
 def test_merge_with_a_first_table_that_is_not_there(spark, tmp_path):
@@ -138,7 +138,7 @@ def test_merge_with_a_first_table_that_is_not_there(spark, tmp_path):
 
     write_parquet(tmp_path / "b.parquet", time=times(1), turbine=["A"], v=[1.0])
     jobs.merge_files(spark, str(tmp_path / "none"), str(tmp_path / "b.parquet"), str(tmp_path / "out"))
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+    assert sinks.read_table(spark, str(tmp_path / "out")).count() == 1
 
 
 def test_one_file_per_small_device(spark, tmp_path):
