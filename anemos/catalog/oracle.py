@@ -6,7 +6,9 @@ from ..operators import metrics
 from ..operators.curves import SEED, TREES, bootstrap_samples
 from ..sources.lookups import CURVE_10MW, CURVE_8MW, CURVE_FIRST_WIND, CURVE_STEP
 from . import fixtures as fx
-from .queries import BUCKETS, FIRST_DAY, FROM, LAST_DAY, NOISE, REQUEST_DAYS, ROLLUP_COLUMNS, STREAM_CUT, UNTIL
+from .queries import (
+    BLOCK_RANGE, BUCKETS, FIRST_DAY, FROM, LAST_DAY, NOISE, REQUEST_DAYS, ROLLUP_COLUMNS, STORED_COLUMNS, STREAM_CUT, UNTIL,
+)
 
 # Fixed values, stated here once more so that an error in the library shows.
 MEASURED = {
@@ -183,7 +185,7 @@ def _added():
     lost = " + ".join(f"s_{x}" for x in LOSSES if x != "LimitLossGeneration")
     known = "FILTER (WHERE s_TheoreticalGeneration <> 0 AND made IS NOT NULL)"
     columns = {
-        "Count": "sum(n_wind)", "Met1sWSpdAvg": "avg(avg_MC004)", "Met1sWSpdMax": "max(max_MC004)",
+        "Count": "sum(n_wind)", "Met1sWSpdAvg": "sum(avg_MC004 * n_wind) / nullif(sum(n_wind) FILTER (WHERE avg_MC004 IS NOT NULL), 0)", "Met1sWSpdMax": "max(max_MC004)",
         "FaultShutdownDuration": "sum(n_40)", "FaultShutdownTimes": "sum(s_FaultShutdownTimes)",
         "AvailableTime": f"sum({up})", "YawHours": "sum(n_acw + n_cw)",
         "GriActiveEnergyDelTotal": "sum(hi_meter - lo_meter)", "GriActiveEnergyDelLast": "max(hi_meter)",
@@ -207,6 +209,52 @@ def _added():
         GROUP BY 1, 2, 3""")
 
 
+_LEVEL_STARTS = {level: f"CAST(date_trunc('{level}', time) AS TIMESTAMP)" for level in ("hour", "day", "month")}
+
+
+def _of_levels(levels, columns):
+    """Reports straight from the samples of each hour, day or month; what is missing counts for each ten minutes with samples."""
+    parts = []
+    for level in levels:
+        name, totals = _totals(_LEVEL_STARTS[level])
+        totals = totals.replace("turbine AS d, ", f"turbine AS d, count(DISTINCT {TEN}) AS n_ten, ", 1)
+        report = _report(("Time", "DeviceName", *columns)).replace("600 - n AS", "600 * n_ten - n AS").replace("(600 - n ", "(600 * n_ten - n ")
+        parts.append(f"SELECT '{level}' AS level, * FROM ({_with((name, totals), select=report)})")
+    return _with(T, select="\nUNION ALL\n".join(parts))
+
+
+def _exact_groups(bucket, where, grid):
+    """Per turbine and period straight from the samples, then added up over the turbines of a group."""
+    up = " + ".join(f"n_{code}" for code in STATES.values() if code not in (40, 50))
+    lost = " + ".join(f"s_{x}" for x in LOSSES if x != "LimitLossGeneration")
+    known = "FILTER (WHERE made IS NOT NULL)"
+    columns = {
+        "Count": "CAST(sum(n_wind) AS BIGINT)", "Met1sWSpdAvg": "sum(sum_MC004) / nullif(sum(n_MC004), 0)", "Met1sWSpdMax": "max(max_MC004)",
+        "FaultShutdownDuration": "sum(n_40)", "FaultShutdownTimes": "sum(s_FaultShutdownTimes)",
+        "AvailableTime": f"sum({up})", "YawHours": "sum(n_acw + n_cw)", "GriActiveEnergyDelTotal": "sum(hi_meter - lo_meter)",
+        "GriActiveEnergyDelLast": "max(hi_meter)", "PreTotalGenerationFirst": "min(lo_meter)",
+        "TheoreticalGeneration": "sum(s_TheoreticalGeneration)",
+        "FaultLossGeneration": "sum(s_FaultLossGeneration) / 3600e0 / 10000e0",
+        "EquivalentHours": "sum((hi_meter - lo_meter) / nullif(rated, 0) * 3600e0)",
+        "Availability": "1e0 - CAST(sum(n_40 + n_50) AS DOUBLE) / nullif(sum(n), 0)",
+        "MTBFDuration": "CAST(sum(n) - sum(n_40) AS DOUBLE) / nullif(sum(s_FaultShutdownTimes), 0)",
+        "MTTRDuration": "CAST(sum(n_40) AS DOUBLE) / nullif(sum(s_FaultShutdownTimes), 0)",
+        "EnergyAvailability": f"sum(made) / nullif(sum(s_TheoreticalGeneration) {known}, 0) * 3600e0 * 100e0",
+        "Discrepancy": f"(1e0 - sum(made) / nullif(sum(made) + sum({lost}) {known} / 3600e0, 0)) * 100e0",
+    }
+    values = ", ".join(f"{x} AS Count" if name == "Count" else _r(f"CAST({x} AS DOUBLE)", name) for name, x in columns.items())
+    name, totals = _totals(bucket, where)
+    totals = totals.replace("turbine AS d, ", "turbine AS d, sum(MC004) AS sum_MC004, count(MC004) AS n_MC004, ", 1)
+    return _with(
+        T, (name, totals), _groups(), grid,
+        select=f"""
+        SELECT g.group_ord, p.ps AS Time, g.group_name AS DeviceName, {values}
+        FROM (SELECT DISTINCT group_ord, group_name FROM groups) AS g CROSS JOIN grid AS p
+        LEFT JOIN (SELECT group_ord AS o, meter_last - meter_before AS made, totals.* FROM totals JOIN groups ON d = device) AS r
+          ON r.o = g.group_ord AND r.w >= p.ps AND r.w < p.pe
+        GROUP BY 1, 2, 3""")
+
+
 def _ad_hoc(kind, count):
     rename = {"YawHours": "YawHoursTotal"}
     columns = metrics.REPORT_COLUMNS[kind]
@@ -505,7 +553,12 @@ def oracle_sql() -> dict[str, str]:
               {_r('FaultLossGeneration / nullif(GriActiveEnergyDelTotal + FaultLossGeneration, 0) * 100', 'LossShare')},
               CASE WHEN Count > 1 AND FaultShutdownDuration < 1 THEN 1.0e0 ELSE 0.0e0 END AS Busy,
               {_r('GriActiveEnergyDelLast - PreTotalGenerationFirst', 'MeterRange')},
-              CAST(NULL AS DOUBLE) AS PerZero
+              CAST(NULL AS DOUBLE) AS PerZero, {_r('coalesce(MTTRDuration, -1)', 'Repair')},
+              CASE WHEN YawCwTimesSum IN (0, 1) OR YawCwTimesSum = GriActiveEnergyDelTotal - GriActiveEnergyDelTotal
+                THEN 1e0 ELSE 0e0 END AS Rare,
+              DeviceName = 'pair' AS OfTwo, DeviceName || ': ' || coalesce({number.format('YawCwTimesSum')}, '') AS Title,
+              CAST(xor((CAST(YawCwTimesSum AS BIGINT) & 6) | 1, 4) AS DOUBLE) AS Bits,
+              CASE WHEN Time >= TIMESTAMP '2024-01-10' THEN 'new' ELSE 'old' END AS Since, CAST(2 AS DOUBLE) AS Climb
             FROM rolled"""),
         "report_csv_layout": _with(T, _totals(), ("r", _report(
             ("Time", "DeviceName", "Count", "YawHours", "Met1sWSpdAvg", "EquivalentHours"), rounded=False)), select=f"""
@@ -582,10 +635,20 @@ def oracle_sql() -> dict[str, str]:
             WHERE {between}"""),
         "late_samples": _with(T, select=f"""
             SELECT time, turbine, max(MC143) AS MC143 FROM telemetry
-            WHERE turbine = '{fx.DEVICES[1]}' AND time < (
-              SELECT max(time) FROM telemetry WHERE turbine = '{fx.DEVICES[0]}' AND time >= TIMESTAMP '{STREAM_CUT}')
-              - INTERVAL 10 MINUTE
+            WHERE time < TIMESTAMP '{STREAM_CUT}' AND time < (
+              SELECT max(time) FROM telemetry WHERE time >= TIMESTAMP '{STREAM_CUT}') - INTERVAL 10 MINUTE
             GROUP BY 1, 2"""),
+        "late_windows": _stored_reports(),
+        "file_reports": _stored_reports(),
+        "late_blocks": _of_levels(("day", "month"), STORED_COLUMNS),
+        "report_blocks": _of_levels(("hour", "day", "month"), metrics.COMBINED_COLUMNS[2:]),
+        "report_rollup_exact": _exact_groups(
+            "CAST(date_trunc('day', time) AS TIMESTAMP)",
+            f"time >= date_trunc('day', TIMESTAMP '{FROM}') AND time < date_trunc('day', TIMESTAMP '{UNTIL}') + INTERVAL 1 DAY",
+            _grid("day")),
+        "report_range_exact": _exact_groups(
+            f"TIMESTAMP '{BLOCK_RANGE[0]}'", f"time >= TIMESTAMP '{BLOCK_RANGE[0]}' AND time < TIMESTAMP '{BLOCK_RANGE[1]}'",
+            ("grid", f"SELECT TIMESTAMP '{BLOCK_RANGE[0]}' AS ps, TIMESTAMP '{BLOCK_RANGE[1]}' AS pe")),
         "report_store": _with(T, _totals(), ("r", _report(
             ("Time", "DeviceName", "Count", "YawHours", "Met1sWSpdMax"), rounded=False)), select=f"""
             SELECT Time, DeviceName, Count, YawHours, {_r('round(Met1sWSpdMax, 6)', 'Met1sWSpdMax')} FROM r
@@ -615,4 +678,11 @@ def _arrived(left_out, column):
           FROM telemetry WHERE MC006 % 3 <> {left_out}) WHERE rn = 1"""
 
 
+def _stored_reports():
+    """What the report store holds of all windows: six decimals."""
+    columns = ("Time", "DeviceName", *STORED_COLUMNS)
+    values = ", ".join("Count" if name == "Count" else _r(f"round({name}, 6)", name) for name in STORED_COLUMNS)
+    return _with(T, _totals(), ("r", _report(columns, rounded=False)), select=f"SELECT Time, DeviceName, {values} FROM r")
+
+
 _SPANS = """SELECT turbine, MC531 AS label, min(time) AS "start", max(time) AS "end" FROM telemetry GROUP BY 1, 2"""

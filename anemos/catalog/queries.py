@@ -9,15 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import sources
-from ..functions.buckets import time_bucket
+from ..functions.buckets import naive, time_bucket
 from ..functions.filenames import device_of, report_time_of, sample_time_of
 from ..functions.levels import level_number, level_text
-from ..operators import availability, conditions, duplicates, energy, events, periods, reports, schemas
+from ..operators import availability, blocks, conditions, duplicates, energy, events, metrics, periods, reports, schemas
 from ..operators.peers import mean_winds, nearest_peers
 from ..operators.resample import in_range, resample
-from ..plans import jobs
+from ..plans import jobs, upkeep
 from ..session import materialize, scratch_path
 from ..sinks import event_layout, report_layout
+from ..sinks.snapshots import read_table
 from ..sinks.tables import append_rows, write_json_lines
 from ..sources import (
     file_inventory, list_files, read_grid_dates, read_turbine_info, report_rows, scan_files_named, scan_reports,
@@ -31,7 +32,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 NOISE = 1e-12
 FROM, UNTIL = dt.datetime(2024, 1, 1, 2, 3), dt.datetime(2024, 1, 31, 1, 0)
-STREAM_CUT = dt.datetime(2024, 1, 12)
+STREAM_CUT = dt.datetime(2024, 1, 12, 0, 5)
 REQUEST_DAYS = dt.date(2024, 1, 4), dt.date(2024, 1, 21)
 FIRST_DAY, LAST_DAY = dt.date(2023, 12, 30), dt.date(2024, 2, 1)
 BUCKETS = ("10 MINUTE", "5 HOUR", "2 DAY", "2 WEEK", "5 MONTH", "1 QUARTER", "2 YEAR")
@@ -40,10 +41,17 @@ FORMULAS = {
     "Busy": "Count > 1 && FaultShutdownDuration < 1 ? 1 : 0",
     "MeterRange": "GriActiveEnergyDelLast - PreTotalGenerationFirst",
     "PerZero": "Count / (Count - Count)",
+    "Repair": "MTTRDuration ?? 0 - 1",
+    "Rare": "YawCwTimesSum in (0, 1, GriActiveEnergyDelTotal - GriActiveEnergyDelTotal) ? 1 : 0",
+    "OfTwo": "DeviceName =~ '^p.*r$' && DeviceName !~ 'x|y'",
+    "Title": "[DeviceName] + ': ' + YawCwTimesSum",
+    "Bits": "(YawCwTimesSum & 6 | 1) ^ 2 << 1",
+    "Since": "Time >= '2024-01-10 00:00:00' ? 'new' : 'old'",
+    "Climb": "-2 ** 2 ** 0 + +3 * 2 % 4 - ~1",
 }
 ROLLUP_COLUMNS = (
     "Count", "Met1sWSpdAvg", "Met1sWSpdMax", "Met1sWSpdMin", "GriActiveEnergyDelTotal", "GriActiveEnergyDelLast",
-    "PreTotalGenerationFirst", "YawCwTimesSum", "FaultShutdownDuration", "MTBFDuration", "Availability",
+    "PreTotalGenerationFirst", "YawCwTimesSum", "FaultShutdownDuration", "MTBFDuration", "MTTRDuration", "Availability",
     "FaultLossGeneration", "EnergyAvailability",
 )
 ADDED_COLUMNS = (
@@ -52,6 +60,8 @@ ADDED_COLUMNS = (
     "FaultLossGeneration", "EquivalentHours", "Availability", "MTBFDuration", "MTTRDuration", "EnergyAvailability",
     "Discrepancy",
 )
+STORED_COLUMNS = ("Count", "YawHours", "Met1sWSpdAvg", "Met1sWSpdMax", "GriActiveEnergyDelTotal", "Availability", "MTBFDuration")
+BLOCK_RANGE = dt.datetime(2024, 1, 1, 2, 10), dt.datetime(2024, 1, 31, 1, 20)
 SIGNALS = {"MC004": ["avg", "max"], "MC006": ["last", "first"], "MC132": ["count"], "Generation": ["sum", "min"]}
 SIGNAL_TITLES = {"MC004": "wind_", "MC006": "meter_", "Generation": "made_"}
 EVENT_QUERY = events.EventQuery(
@@ -303,6 +313,42 @@ def report_rollup_additive(spark, sf_dir):
     return jobs.stored_report(rows, fx.GROUPS, "day", FROM, UNTIL, ADDED_COLUMNS, rules="additive")
 
 
+def _level_reports(levels, names, columns):
+    """Report rows of blocks of several levels."""
+    rows = None
+    for name in names:
+        made = blocks.block_reports(levels[name], ["Time", "DeviceName", *columns]).select(F.lit(name).alias("level"), "*")
+        rows = made if rows is None else rows.unionByName(made)
+    return rows
+
+
+def _stored_blocks(spark, sf_dir):
+    store = scratch_path(spark, "block-store")
+    upkeep.store_blocks(fx.telemetry(spark, sf_dir), store)
+    return store
+
+
+@_query
+def report_blocks(spark, sf_dir):
+    """All report columns of hours, days and months, from stored blocks."""
+    levels = upkeep.scan_blocks(spark, _stored_blocks(spark, sf_dir))
+    return _level_reports(levels, ["hour", "day", "month"], metrics.COMBINED_COLUMNS[2:])
+
+
+@_query
+def report_rollup_exact(spark, sf_dir):
+    """Days of groups of turbines, from stored blocks."""
+    store = _stored_blocks(spark, sf_dir)
+    return jobs.exact_report(spark, store, fx.GROUPS, "day", FROM, UNTIL, ADDED_COLUMNS)
+
+
+@_query
+def report_range_exact(spark, sf_dir):
+    """One row per group for a range, from the fewest stored blocks that cover it."""
+    store = _stored_blocks(spark, sf_dir)
+    return jobs.exact_range_report(spark, store, fx.GROUPS, *BLOCK_RANGE, ADDED_COLUMNS)
+
+
 @_query
 def report_expressions(spark, sf_dir):
     return _rollup(spark, sf_dir, "day", FORMULAS).select("Time", "DeviceName", *FORMULAS)
@@ -523,7 +569,7 @@ def merge_files_(spark, sf_dir):
     append_rows(odd.where("o_orderkey % 4 = 1").drop("o_totalprice"), second)
     append_rows(odd.where("o_orderkey % 4 <> 1").drop("o_totalprice"), second)
     jobs.merge_files(spark, first, second, first, "o_orderdate")
-    return spark.read.parquet(first)
+    return read_table(spark, first)
 
 
 @_exact
@@ -532,7 +578,7 @@ def merge_arrivals_by_name(spark, sf_dir):
     samples, table = fx.telemetry(spark, sf_dir), scratch_path(spark, "arrivals-table")
     merge_batch(samples.where("MC006 % 3 <> 2").select("time", "turbine", "MC004", "MC143"), 0, table)
     merge_batch(samples.where("MC006 % 3 <> 0").select("time", "turbine", "MC004", "MC006"), 1, table)
-    return scan_telemetry(spark, table, start=FROM, end=UNTIL, merge_schema=True).select(
+    return scan_telemetry(spark, table, start=FROM, end=UNTIL).select(
         "time", "turbine", "MC004", "MC143", "MC006")
 
 
@@ -541,12 +587,52 @@ def late_samples(spark, sf_dir):
     """What a batch brings that is older than the batch before it allows."""
     samples = fx.telemetry(spark, sf_dir).select("time", "turbine", "MC143")
     table, late = scratch_path(spark, "late-table"), scratch_path(spark, "late")
-    newer = F.col("time") >= F.lit(STREAM_CUT.isoformat(sep=" ")).cast("timestamp_ntz")
-    merge_batch(samples.where(newer & (F.col("turbine") == fx.DEVICES[0])), 0, table, late)
-    merge_batch(samples.where(F.col("turbine") == fx.DEVICES[1]), 1, table, late)
+    newer = F.col("time") >= naive(STREAM_CUT)
+    merge_batch(samples.where(newer), 0, table, late)
+    merge_batch(samples.where(~newer), 1, table, late)
     return spark.read.parquet(f"{late}/samples").select("time", "turbine", "MC143")
 
 
+def _stored(spark, store):
+    """Columns of two of the stored reports, row by row."""
+    rows = scan_reports(spark, store, "SummaryReport").join(
+        scan_reports(spark, store, "TurbineAvailabilityMetrics").drop("Count", "dt"), ["Time", "DeviceName"])
+    return rows.select("Time", "DeviceName", *STORED_COLUMNS)
+
+
+@_query
+def late_windows(spark, sf_dir):
+    """The report store after two batches, the second of which is late and in windows that the first has, too."""
+    samples, table, store = fx.telemetry(spark, sf_dir), scratch_path(spark, "late-table"), scratch_path(spark, "late-store")
+    first = (F.col("time") >= naive(STREAM_CUT)) | (F.col("MC006") % 2 == 0)
+    merge_batch(samples.where(first), 0, table, store=store)
+    merge_batch(samples.where(~first), 1, table, store=store)
+    return _stored(spark, store)
+
+
+@_query
+def late_blocks(spark, sf_dir):
+    """Blocks of days and months after the same two batches, the late windows redone from the list of late samples."""
+    samples, (table, late, store) = fx.telemetry(spark, sf_dir), [scratch_path(spark, f"redo-{name}") for name in ("table", "late", "store")]
+    first = (F.col("time") >= naive(STREAM_CUT)) | (F.col("MC006") % 2 == 0)
+    merge_batch(samples.where(first), 0, table, late, store=store)
+    merge_batch(samples.where(~first), 1, table, late)
+    upkeep.redo_late(spark, late, table, store)
+    return _level_reports(upkeep.scan_blocks(spark, store), ["day", "month"], STORED_COLUMNS)
+
+
+@_query
+def file_reports(spark, sf_dir):
+    """Reports of files that come in two batches, two files for each ten minutes; some come again."""
+    samples, store = fx.telemetry(spark, sf_dir), scratch_path(spark, "file-store")
+    name = F.concat("turbine", F.lit("_"), F.date_format("time", "yyyyMMddHHmm"), F.lit("_"), F.col("MC006") % 2, F.lit(".parquet"))
+    arrived = samples.withColumn("file_path", name).withColumns({
+        "file_device": device_of(F.col("file_path")), "file_time": sample_time_of(F.col("file_path"))})
+    upkeep.merge_file_reports(arrived.where("MC006 % 2 = 0"), store)
+    upkeep.merge_file_reports(arrived.where((F.col("MC006") % 2 == 1) | (F.col("turbine") == fx.DEVICES[0])), store)
+    return _stored(spark, store)
+
+
 @_query
 def report_store(spark, sf_dir):
     """All samples reported and stored, half of them once more; each window is there once."""

@@ -76,7 +76,8 @@ def add_formulas(df: DataFrame, formulas: Mapping[str, str], visible: Sequence[s
     visible = df.columns if visible is None else visible
     if not formulas:
         return df
-    return df.withColumns({name: formula_column(text, visible) for name, text in formulas.items()})
+    kinds = {name: kind for name, kind in df.dtypes if name in set(visible)}
+    return df.withColumns({name: formula_column(text, kinds) for name, text in formulas.items()})
 
 
 def rollup(

@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.buckets import naive
-from ..operators import availability, conditions, energy, events, metrics, reports, rollup, schemas
+from ..operators import availability, blocks, conditions, energy, events, metrics, reports, rollup, schemas
 from ..operators.resample import of_devices
 from ..session import materialize
 from ..sinks import csv, tables
 from ..sinks.snapshots import snapshot
+from . import upkeep
 
 
 def merge_files(spark: SparkSession, first: str | None, second: str, target: str, by: str = "time") -> None:
@@ -103,6 +104,25 @@ def stored_report(
     return rollup.rollup(rows, groups, period, start, end, columns, formulas, rules).orderBy("group_ord", "Time")
 
 
+def exact_report(
+    spark: SparkSession, store: str, groups: rollup.Groups, period: str, start: dt.datetime, end: dt.datetime,
+    columns: Sequence[str], formulas: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Stored blocks rolled up per group and period, each value as the samples would give it, in output order."""
+    stored = upkeep.scan_blocks(
+        spark, store, dt.datetime.combine(_before(start, period), dt.time()), dt.datetime.combine(_after(end, period), dt.time()))
+    return blocks.exact_rollup(stored, groups, period, start, end, columns, formulas).orderBy("group_ord", "Time")
+
+
+def exact_range_report(
+    spark: SparkSession, store: str, groups: rollup.Groups, start: dt.datetime, end: dt.datetime,
+    columns: Sequence[str], formulas: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """One row per group for a range that begins and ends on ten minutes, from the fewest stored blocks."""
+    stored = upkeep.scan_blocks(spark, store, start, end)
+    return blocks.exact_range(stored, groups, start, end, columns, formulas).orderBy("group_ord")
+
+
 def _before(start: dt.datetime, period: str) -> dt.date:
     """The first day of the period that holds ``start``."""
     return start.date().replace(day=1) if period in ("month", "year") else start.date()

@@ -9,8 +9,10 @@ in whatever order samples came, and a batch that runs again changes nothing.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,8 +36,9 @@ def _sliced(rows: DataFrame, level: str) -> DataFrame:
     return rows.withColumn("_slice", day)
 
 
-def _merge_level(rows: DataFrame, store: str, level: str) -> None:
-    tables.merge_slices(_sliced(rows, level), _level_path(store, level), list(reports.KEYS), "_slice")
+def _merge_level(rows: DataFrame, store: str, level: str, keys: DataFrame | None = None) -> None:
+    touched = None if keys is None else _sliced(keys, level)
+    tables.merge_slices(_sliced(rows, level), _level_path(store, level), list(reports.KEYS), "_slice", touched=touched)
 
 
 def scan_blocks(spark: SparkSession, store: str, start: dt.datetime | None = None, end: dt.datetime | None = None) -> dict[str, DataFrame]:
@@ -84,25 +87,33 @@ def redo_windows(windows: DataFrame, table: str, store: str, zero_nulls: bool =
         touched = windows.select(F.col("Time").alias("_window"), F.col("DeviceName").alias("turbine"))
         samples = samples.join(touched, ["_window", "turbine"], "left_semi").drop("_window")
         rows = materialize(blocks.sample_blocks(samples), "blocks")
-        _merge_level(rows, store, "10min")
-        made = blocks.block_reports(rows)
-        for kind in kinds:
-            tables.merge_report_store(made.select(*metrics.REPORT_COLUMNS[kind]), store, kind, zero_nulls)
+        _merge_reports(rows, store, zero_nulls, kinds, lambda: _merge_level(rows, store, "10min"))
         levels = list(blocks.LEVELS)
         for shorter, level in zip(levels, levels[1:]):
-            keys = windows.select(time_bucket("Time", blocks.LEVELS[level]).alias("_block"), F.col("DeviceName").alias("_device")).distinct()
-            whole = _blocks_of(spark, store, shorter, keys, level)
-            _merge_level(materialize(blocks.longer_blocks(whole, level), f"blocks-{level}"), store, level)
+            keys = windows.select(time_bucket("Time", blocks.LEVELS[level]).alias("Time"), "DeviceName").distinct()
+            _merge_level(blocks.longer_blocks(_blocks_of(spark, store, shorter, keys, level), level), store, level, keys)
+
+
+def _merge_reports(rows: DataFrame, store: str, zero_nulls: bool, kinds: Sequence[str], *others: Callable[[], None]) -> None:
+    """Reports of ten-minute blocks into their tables, all at the same time, as these do not depend on each other."""
+    made = blocks.block_reports(rows)
+
+    def merge(kind: str) -> None:
+        tables.merge_report_store(made.select(*metrics.REPORT_COLUMNS[kind]), store, kind, zero_nulls)
+
+    jobs = [*others, *(lambda kind=kind: merge(kind) for kind in kinds)]
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        for done in [pool.submit(inheritable_thread_target(rows.sparkSession)(job)) for job in jobs]:
+            done.result()
 
 
 def _blocks_of(spark: SparkSession, store: str, shorter: str, keys: DataFrame, level: str) -> DataFrame:
     """Stored blocks of a level that lie in the longer blocks named."""
-    first, last = keys.agg(F.min("_block"), F.max("_block")).first()
+    first, last = keys.agg(F.min("Time"), F.max("Time")).first()
     end = last + {"hour": dt.timedelta(hours=1), "day": dt.timedelta(days=1), "month": dt.timedelta(days=31)}[level]
     rows = scan_blocks(spark, store, first, end)[shorter]
     rows = rows.withColumn("_block", time_bucket("Time", blocks.LEVELS[level]))
-    joined = (rows["_block"] == keys["_block"]) & (rows["DeviceName"] == keys["_device"])
-    return rows.join(keys, joined, "left_semi").drop("_block")
+    return rows.join(keys.withColumnRenamed("Time", "_block"), ["_block", "DeviceName"], "left_semi").drop("_block")
 
 
 def redo_late(spark: SparkSession, late_folder: str, table: str, store: str, after_batch: int = -1, zero_nulls: bool = False) -> int:
@@ -137,6 +148,4 @@ def merge_file_reports(arrivals: DataFrame, store: str, zero_nulls: bool = False
             return
         every = read_table(spark, path, first, last).join(fresh.select(*reports.KEYS).distinct(), list(reports.KEYS), "left_semi")
         rows = blocks.merged_blocks(every, *reports.KEYS).withColumn("_windows", F.lit(1).cast("bigint"))
-        made = materialize(blocks.block_reports(rows), "file-reports")
-        for kind, columns in metrics.REPORT_COLUMNS.items():
-            tables.merge_report_store(made.select(*columns), store, kind, zero_nulls)
+        _merge_reports(materialize(rows, "file-reports"), store, zero_nulls, list(metrics.REPORT_COLUMNS))

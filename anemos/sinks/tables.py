@@ -86,25 +86,27 @@ def commit_slices(rows: DataFrame, path: str, time: str, hours: bool = False, ba
 
 
 def merge_slices(fresh: DataFrame, path: str, keys: Sequence[str], time: str, hours: bool = False,
-                 mark: tuple[str, int] | None = None) -> Snapshot:
+                 mark: tuple[str, int] | None = None, touched: DataFrame | None = None) -> Snapshot:
     """Merge rows into a table with a log, by day (and hour): a row replaces the stored one with the same keys.
 
     Columns are merged by name: those that only the stored or only the fresh rows
     have stay, null for the others; one with two types is an error. Only the days (hours) of ``fresh`` are read and
     written, which the log names; merging the same rows again changes nothing. If another writer changes one of
-    them meanwhile, the merge is an error and nothing is written. ``fresh`` is read several times: pass a table.
+    them meanwhile, the merge is an error and nothing is written. ``fresh`` is read several times: pass a table, or
+    with ``touched`` the keys and times of all that it replaces, which are then read in its place.
     """
     spark, slices = fresh.sparkSession, _slices(hours)
+    touched = with_slices(fresh if touched is None else touched, time, hours)
     fresh = with_slices(fresh, time, hours)
     state = snapshot(spark, path) or Snapshot(-1, fresh.schema, tuple(slices), time, {}, {})
     merged = fresh
     if state.files:
-        touched = ["/".join(f"{name}={row[name]}" for name in slices) for row in fresh.select(*slices).distinct().collect()]
-        files = [file for name in touched for file in state.files.get(name, [])]
+        found = ["/".join(f"{name}={row[name]}" for name in slices) for row in touched.select(*slices).distinct().collect()]
+        files = [file for name in found for file in state.files.get(name, [])]
         conflicts = conflicts_between(state.schema, fresh.schema)
         if conflicts:
             raise SchemaConflict(conflicts)
-        kept = open_files(spark, path, state, files).join(fresh.select(*keys), list(keys), "left_anti")
+        kept = open_files(spark, path, state, files).join(touched.select(*keys), list(keys), "left_anti")
         merged = kept.unionByName(fresh, allowMissingColumns=True)
     return commit_slices(merged.drop(*slices), path, time, hours, state, mark)
 

@@ -98,13 +98,18 @@ def test_level_text(spark):
     ("a + b * 2", 10.0), ("(a + b) / c", 2.0), ("a / 0", None), ("b % 2 == 1", True), ("a ** 2", 16.0),
     ("a > 3 && b < 4 ? 1 : 2", 1.0), ("a > 5 ? 1 : b > 2 ? 2 : 3", 2.0), ("!(a > 3) || b == 3", True),
     ("-a + [b]", -1.0), ("a != 4", False), ("a > 9 ? (b > 1 ? 5 : 6) + 1 : 7", 7.0), ("b % 0", None),
+    ("a / 0 ?? b / 0 ?? 7", 7.0), ("a ?? 1", 4.0), ("a in (1, 2, b + 1)", True), ("b in (1, 2)", False), ("a > 9 ? 1", None),
+    ("2 ** 3 ** 2", 512.0), ("-a ** 2", 16.0), ("a - b - 1", 0.0), ("a - b * 2 ** 2 / 3 % 3", 3.0), ("1 + 2 << 1", 6.0),
+    ("6 & 3 | 8 ^ 1", 11.0), ("~0", -1.0), ("a & b == 0 && c > 3", True), ("a > 1 || b > 9 && c > 9", True), ("0x1F + .5 + 1e1", 41.5),
+    ("a > 1 == true", True), ("a > 5 ? 1 : a > 3 ? b > 5 ? 2 : 3 : 4", 3.0),
 ])
 def test_formula(spark, text, expected):
     assert one(spark, formula_column(text, ["a", "b", "c"]), a=4.0, b=3.0, c=3.5) == expected
 
 
 @pytest.mark.parametrize("text", [
-    "a + d", "abs(a)", "a.b", "a[0]", "lambda: 1", "a +", "a; b", "__import__('os')", "a if b", "a << 2", "{1: a}", "",
+    "a + d", "abs(a)", "a.b", "a[0]", "lambda: 1", "a +", "a; b", "__import__('os')", "a if b", "{1: a}", "",
+    "a in b", "a in ()", "a in (1", "(a", "a ? b :", "a =~ 1", "a + + + ", "'open", "a && 1 < 'x'", "true + 1", "[a", "in (1)",
 ])
 def test_formula_refused(text):
     with pytest.raises(FormulaError):
@@ -117,3 +122,25 @@ def test_strings_in_formulas_stay_as_they_are(spark, value):
         text = f"(n == {quote}{value}{quote}) && !(n == 'other') ? 1 : 0"
         assert one(spark, formula_column(text, ["n"]), n=value) == 1.0
         assert one(spark, formula_column(text, ["n"]), n=value + " ") == 0.0
+
+
+def typed(spark, text, **row):
+    df = spark.createDataFrame([tuple(row.values())], ", ".join(
+        f"`{name}` {'string' if isinstance(value, str) else 'timestamp_ntz' if isinstance(value, dt.datetime) else 'double'}"
+        for name, value in row.items()))
+    return df.select(formula_column(text, dict(df.dtypes))).first()[0]
+
+
+@pytest.mark.parametrize("text, expected", [
+    ("n + '-' + a", "T1-4.5"), ("a + a + n", "9T1"), ("n =~ '[0-9]$'", True), ("n !~ '^t'", True), ("n in ('T1', 'T2')", True),
+    ("n == 'T1' ? 'yes' : 'no'", "yes"), ("t < '2024-05-02' && t >= '2024-05-01 12:00:00'", True), ("[odd name] * 2", 6.0),
+    ("n + '\\'q'", "T1'q"),
+])
+def test_formulas_that_know_types(spark, text, expected):
+    assert typed(spark, text, n="T1", a=4.5, t=dt.datetime(2024, 5, 1, 12), **{"odd name": 3.0}) == expected
+
+
+@pytest.mark.parametrize("text", ["n * 2", "n && true", "a =~ 'x'", "n < 3", "n ?? 1", "n > 'a' ? 1 : 'x'", "-n", "!a", "n in (1)", "a | n"])
+def test_wrong_kinds_are_refused(spark, text):
+    with pytest.raises(FormulaError):
+        formula_column(text, {"n": "string", "a": "double"})
