@@ -91,8 +91,13 @@ def _by_text(keyed: DataFrame, shared: DataFrame) -> DataFrame:
 
 
 def drop_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    id_col = options.get("id_col", "doc_id")
-    groups = duplicate_groups(docs, **options).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    stay = docs.join(groups, docs[id_col].eqNullSafe(groups["_kept_id"]), "left_semi")
-    return stay
+    """The documents that stay, with all their columns.
+
+    A row stays if ``kept`` says so of its id and text together, so two texts under one id, or under null ids, are judged
+    each by its own group. Rows that repeat an id and its text stay or go together.
+    """
+    id_col, text_col, digest = options.get("id_col", "doc_id"), options.get("text_col", "text"), options.get("digest", sha256)
+    groups = duplicate_groups(docs, **options).where("kept").select(
+        F.col("doc_id").alias("_kept_id"), F.unhex("digest").alias("_kept_digest")).distinct()
+    same = docs[id_col].eqNullSafe(groups["_kept_id"]) & (digest(single_spaced(docs[text_col])) == groups["_kept_digest"])
+    return docs.join(groups, same, "left_semi")

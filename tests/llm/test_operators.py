@@ -107,6 +107,55 @@ def test_exact_drop(docs):
     assert 11 not in ids and 13 not in ids and 4 in ids and None in ids
 
 
+# Two texts under one id, copies under null ids, repeated rows.
+TANGLED = [(3, "B text of five words"), (5, "A other words stand here"), (5, "B text of five words"), (None, "x"), (None, "B text of five words"),
+           (None, "y"), (5, "A other words stand here"), (7, "A other words stand here"), (None, "x")]
+
+
+def test_drops_go_by_row_not_by_id(spark):
+    """Of equal texts the row with the smallest id stays, whatever else bears that id."""
+    docs = spark.createDataFrame([row + (1, "z") for row in TANGLED], "doc_id long, text string, _kept_id long, digest string")
+    groups = {}
+    for doc_id, text in TANGLED:
+        groups.setdefault(text, []).append(doc_id)
+    keep = {text: min((i for i in ids if i is not None), default=None) for text, ids in groups.items()}
+    want = Counter(row for row in TANGLED if row[0] == keep[row[1]])
+    assert Counter((r["doc_id"], r["text"]) for r in exact_dedup.drop_duplicates(docs).collect()) == want
+    assert want == Counter({(3, "B text of five words"): 1, (5, "A other words stand here"): 2, (None, "x"): 2, (None, "y"): 1})
+
+
+def test_near_duplicates_go_by_row_not_by_id(spark):
+    docs = spark.createDataFrame([row + (1, "z") for row in TANGLED], "doc_id long, text string, _kept_id long, fp string")
+    codes = {text: _brute_fingerprint(text) for _, text in TANGLED}
+    root = _brute_components(set(codes.values()))
+    kept = simhash.drop_near_duplicates(docs).collect()
+    assert kept[0].__fields__ == docs.columns
+    found = Counter((r["doc_id"], r["text"]) for r in kept)
+    for group in set(root.values()):
+        members = [row for row in TANGLED if root[codes[row[1]]] == group]
+        first = min(((i is None, i or 0) for i, _ in members))
+        (stays,) = {row for row in found if root[codes[row[1]]] == group}
+        assert (stays[0] is None, stays[0] or 0) == first and found[stays] == members.count(stays)
+
+
+def test_unequal_parts(spark):
+    """Where bits say the same, parts of equal information have unequal widths and far fewer candidates."""
+    rng = random.Random(2)
+    codes = set()
+    while len(codes) < 3000:
+        code = sum((0b1111 if rng.random() < 0.5 else 0) << at for at in range(0, 32, 4)) | rng.getrandbits(32) << 32
+        codes.add(code ^ (1 << rng.randrange(64) if rng.random() < 0.2 else 0))
+    fps = spark.createDataFrame([(c - (1 << 64) if c >> 63 else c,) for c in codes], "fp long").cache()
+    n, together = simhash.bit_statistics(fps)
+    groups = simhash.grouped_bits(n, together, 4, even=False)
+    assert sorted(bit for group in groups for bit in group) == list(range(64)) and len({len(group) for group in groups}) > 1
+    even = [(0xFFFF << at, 0) for at in range(0, 64, 16)]
+    assert 4 * simhash.candidates(fps, simhash.allocation(fps)) < simhash.candidates(fps, even)
+    signed = {r["fp"] for r in fps.collect()}
+    want = {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & (2**64 - 1)).bit_count() <= 3}
+    assert {tuple(r) for r in simhash.links(fps, 3).collect()} == want
+
+
 def test_mix(docs):
     total = Counter()
     for row in ROWS:
