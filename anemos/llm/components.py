@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .salts import per_salt, salt, salts_present
 
 
 def _both_ways(links: DataFrame) -> DataFrame:
@@ -14,9 +15,11 @@ def _both_ways(links: DataFrame) -> DataFrame:
 
 def _contract(near: DataFrame, smaller: bool) -> DataFrame:
     """Link the neighbours of each node (those below it, or those above) with the least node around."""
-    least = near.groupBy("a").agg(F.min("b").alias("least"))
-    least = least.withColumn("least", F.least("a", "least"))
-    rows = near.join(least, "a")
+    # The hub of a large component has very many neighbours, so they are salted.
+    near = near.withColumn("salt", salt("b"))
+    least = near.groupBy("a").agg(F.min("b").alias("least"), salts_present().alias("salts"))
+    least = per_salt(least.withColumn("least", F.least("a", "least")))
+    rows = near.join(least, ["a", "salt"])
     if smaller:
         rows = rows.select(F.col("b").alias("node"), "least").unionByName(rows.select(F.col("a").alias("node"), "least"))
     else:

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, send_with_tasks
 from .components import components
+from .salts import per_salt, salt, salts_present
 from .text import whole
 
 SHINGLE = 3
@@ -34,7 +35,7 @@ SEED = 42
 BITS = 64
 CHUNK = 1 << 14
 DISTANCE = 3
-PARTS = (2, 3, 4)
+PARTS = (2, 3, 4, 5, 6)
 # Cost of a row looked up, against one candidate verified.
 LOOKUP_COST = 20.0
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -64,18 +65,25 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
+def text_key(text: Column) -> Column:
+    """A hash that tells texts of one id apart."""
+    return F.xxhash64(whole(text))
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp (the 64 bits as a signed number) of every document."""
+    """doc_id, text_key and fp (the 64 bits as a signed number) of every document."""
     send_with_tasks(__name__)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.fromiter((fingerprint(text.as_buffer().to_pybytes(), shingle) for text in batch.column("text")), "<u8", batch.num_rows)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(found.view("<i8"))], names=["doc_id", "fp"])
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(found.view("<i8"))], names=["doc_id", "text_key", "fp"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole(F.col("text")).cast("binary").alias("text"))
-    return rows.mapInArrow(hashed, "doc_id bigint, fp bigint")
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key"),
+        whole(F.col("text")).cast("binary").alias("text"))
+    return rows.mapInArrow(hashed, "doc_id bigint, text_key bigint, fp bigint")
 
 
 def _signed(mask: int) -> int:
@@ -104,20 +112,43 @@ def bit_statistics(fps: DataFrame) -> tuple[int, np.ndarray]:
     return int(cells[-1]), cells[:-1].reshape(BITS, BITS)
 
 
-def grouped_bits(n: int, together: np.ndarray, parts: int) -> list[list[int]]:
-    """Bits in ``parts`` groups of equal size, each grown by the bit most correlated with it."""
+def _correlation(n: int, together: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Frequency of each bit and the correlation of each two."""
     n = max(n, 1)
     p = np.diag(together) / n
     spread = np.sqrt(np.maximum(p * (1 - p), 1e-12))
-    correlation = np.abs((together / n - np.outer(p, p)) / np.outer(spread, spread))
-    np.fill_diagonal(correlation, 0)
+    correlation = (together / n - np.outer(p, p)) / np.outer(spread, spread)
+    np.fill_diagonal(correlation, 1)
+    return p, np.clip(correlation, -1, 1)
+
+
+def information(bits: list[int], p: np.ndarray, correlation: np.ndarray) -> float:
+    """About how many bits of information a group of bits has: what they have alone less what they share."""
+    q = np.clip(p[bits], 1e-9, 1 - 1e-9)
+    alone = float(-(q * np.log2(q) + (1 - q) * np.log2(1 - q)).sum())
+    _, shared = np.linalg.slogdet(correlation[np.ix_(bits, bits)] + 1e-6 * np.eye(len(bits)))
+    return max(alone + 0.5 * shared / np.log(2), 0.0)
+
+
+def grouped_bits(n: int, together: np.ndarray, parts: int, even: bool = True) -> list[list[int]]:
+    """Bits in ``parts`` groups, each grown by the bit most correlated with it: of equal size, or, not ``even``, as wide
+    as it takes for equal information, so that bits which say the same make a wide group."""
+    p, correlation = _correlation(n, together)
+    strength = np.abs(correlation) - np.eye(BITS)
     free, groups = list(range(BITS)), []
     for part in range(parts):
         room = BITS // parts + (part < BITS % parts)
-        group = [max(free, key=lambda bit: correlation[bit, free].sum())]
+        group = [max(free, key=lambda bit: strength[bit, free].sum())]
         free.remove(group[0])
-        while len(group) < room:
-            best = max(free, key=lambda bit: correlation[bit, group].sum())
+        share = information([*group, *free], p, correlation) / (parts - part)
+
+        def full() -> bool:
+            if even:
+                return len(group) >= room
+            return part + 1 < parts and (information(group, p, correlation) >= share or len(free) <= parts - part - 1)
+
+        while free and not full():
+            best = max(free, key=lambda bit: strength[bit, group].sum())
             group.append(best)
             free.remove(best)
         groups.append(sorted(group))
@@ -151,12 +182,13 @@ def _agreeing(fps: DataFrame, masks: list[int]) -> list[float]:
 
 
 def allocation(fps: DataFrame, distance: int = DISTANCE, parts: tuple[int, ...] = PARTS) -> list[tuple[int, int]]:
-    """(mask, radius) of the parts that are looked up, of the cheapest plan."""
+    """(mask, radius) of the parts that are looked up, of the cheapest plan. Parts are of equal width, or of equal
+    information; with more than ``distance`` + 1 of them some are not looked up."""
     n, together = bit_statistics(fps)
     p = np.diag(together) / max(n, 1)
     plans = []
-    for count in parts:
-        groups = grouped_bits(n, together, count)
+    for count, even in itertools.product(parts, (True, False)):
+        groups = grouped_bits(n, together, count, even)
         masks = [sum(1 << bit for bit in group) for group in groups]
         plans.append((groups, masks))
     agreeing = iter(_agreeing(fps, [mask for _, masks in plans for mask in masks]))
@@ -188,10 +220,25 @@ def allocation(fps: DataFrame, distance: int = DISTANCE, parts: tuple[int, ...]
     return best[1]
 
 
+def candidates(fps: DataFrame, plan: list[tuple[int, int]]) -> int:
+    """How many pairs a plan verifies: those that meet in a part, each time they do."""
+    kept, asked = _met(fps, plan)
+    met = kept.join(asked, (kept["part"] == asked["part"]) & (kept["value"] == asked["value"]) & (F.col("a") < F.col("b")))
+    return met.count()
+
+
 def links(fps: DataFrame, distance: int = DISTANCE, parts: tuple[int, ...] = PARTS) -> DataFrame:
     """a < b: pairs of different fingerprints that differ in ``distance`` bits or fewer
     (a pair may come more than once). ``fps`` holds distinct fingerprints; pass a table."""
-    plan = allocation(fps, distance, parts)
+    kept, asked = _met(fps, allocation(fps, distance, parts))
+    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
+    found = kept.join(asked, (kept["part"] == asked["part"]) & (kept["value"] == asked["value"])
+                      & (F.col("a") < F.col("b")) & near)
+    return found.select("a", "b")
+
+
+def _met(fps: DataFrame, plan: list[tuple[int, int]]) -> tuple[DataFrame, DataFrame]:
+    """Fingerprints by the parts of a plan: as they are (a), and with all that is looked up for them (b)."""
     fp = F.col("fp")
 
     def key(part: int, value: Column) -> Column:
@@ -206,12 +253,7 @@ def links(fps: DataFrame, distance: int = DISTANCE, parts: tuple[int, ...] = PAR
 
     index = F.array(*[key(at, own(mask)) for at, (mask, _) in enumerate(plan)])
     probe = F.flatten(F.array(*[around(at, mask, radius) for at, (mask, radius) in enumerate(plan)]))
-    kept = fps.select(fp.alias("a"), F.inline(index))
-    asked = fps.select(fp.alias("b"), F.inline(probe))
-    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
-    found = kept.join(asked, (kept["part"] == asked["part"]) & (kept["value"] == asked["value"])
-                      & (F.col("a") < F.col("b")) & near)
-    return found.select("a", "b")
+    return fps.select(fp.alias("a"), F.inline(index)), fps.select(fp.alias("b"), F.inline(probe))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
@@ -223,22 +265,36 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     ``component_id`` only if no other is there. Repeated rows and ids share a component.
     No documents give no rows; other columns are not read.
     """
-    rows = materialize(fingerprints(docs, shingle), "simhash-fingerprints")
-    classes = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-classes")
+    return _judged(docs, shingle, distance).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("first.doc_id").alias("component_id"))
+
+
+def _judged(docs: DataFrame, shingle: int, distance: int) -> DataFrame:
+    """doc_id, text_key, fp and the first row (without_id, doc_id, text_key) of the component, of every document.
+
+    Fingerprints and components that very many documents share are joined back by salt.
+    """
+    keyed = fingerprints(docs, shingle).withColumn("salt", salt("doc_id"))
+    rows = materialize(keyed, "simhash-fingerprints")
+    place = F.struct(F.col("doc_id").isNull().alias("without_id"), "doc_id", "text_key")
+    classes = materialize(
+        rows.groupBy("fp").agg(F.min(place).alias("first"), salts_present().alias("salts")), "simhash-classes")
     roots = components(links(classes.select("fp"), distance), "simhash-links")
     rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = rooted.join(named, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "fp", "first", "salts", F.coalesce("root", "fp").alias("root"), salt("fp").alias("_salt"))
+    rooted = materialize(rooted, "simhash-rooted")
+    named = rooted.groupBy("root").agg(F.min("first").alias("first"), salts_present("_salt").alias("_salts"))
+    named = rooted.drop("first").join(per_salt(named, "_salts", "_salt"), ["root", "_salt"])
+    return rows.join(per_salt(named.select("fp", "first", "salts")), ["fp", "salt"]).select("doc_id", "text_key", "fp", "first")
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """The documents that stay, with all their columns: of each component the one with the smallest id.
+    """The documents that stay, with all their columns: of each component the one with the smallest id, null ids last.
 
-    Rows that repeat its id stay with it; of a component of null ids every row stays.
+    Of several texts under that id the one with the smallest hash stays. Rows that repeat its id and text stay with it.
     """
-    groups = near_duplicates(docs, **options)
-    groups = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(groups, docs["doc_id"].eqNullSafe(groups["_kept_id"]), "left_semi")
+    judged = _judged(docs, options.get("shingle", SHINGLE), options.get("distance", DISTANCE))
+    first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
+    kept = judged.where(first).select(F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_key")).distinct()
+    same = docs["doc_id"].cast("long").eqNullSafe(kept["_kept_id"]) & (text_key(docs["text"]) == kept["_kept_key"])
+    return docs.join(kept, same, "left_semi")

@@ -28,10 +28,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize, send_with_tasks
+from .salts import per_salt, salt, salts_present
 from .text import whole
 
 HEAD = 1 << 16
-SALTS = 32
 #: Bytes of texts that are aligned together, and pairs that a task adds up before it gives them out.
 BATCH_BYTES = 1 << 20
 PENDING_PAIRS = 1 << 21
@@ -169,10 +169,6 @@ def unpacked_pairs(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(steps), links
 
 
-def _salt(doc_id: Column) -> Column:
-    return F.pmod(F.xxhash64(doc_id), F.lit(SALTS)).cast("int")
-
-
 def _digest(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
@@ -190,9 +186,8 @@ def aligned_texts(docs: DataFrame, files: Vocabularies, groups: bool = False) ->
     both tokenizers has zeros, no pairs and '' for its groups and their digest.
     """
     send_with_tasks(__name__)
-    salted = docs.select(whole(F.col("text")).alias("text"), _salt(F.col("doc_id")).alias("salt"))
-    texts = salted.groupBy("text").agg(
-        F.count(F.lit(1)).alias("copies"), F.bit_or(F.expr("shiftleft(1L, salt)")).alias("salts"))
+    salted = docs.select(whole(F.col("text")).alias("text"), salt("doc_id").alias("salt"))
+    texts = salted.groupBy("text").agg(F.count(F.lit(1)).alias("copies"), salts_present().alias("salts"))
     rows = texts.select(_digest(F.col("text")).alias("digest"), "copies", "salts", F.col("text").cast("binary").alias("text"))
     shown = ["groups"] if groups else []
 
@@ -315,11 +310,7 @@ def document_alignments(docs: DataFrame, files: Vocabularies, head: int = HEAD)
     texts = aligned.drop("pairs").join(sums, "row", "left").select(
         "digest", "salts", *MEASURES, *[F.coalesce(name, F.lit(0)).cast("long").alias(name) for name in ("n_best", "count_sum")],
         "groups_sha256")
-    present = F.filter(
-        F.sequence(F.lit(0), F.lit(SALTS - 1)),
-        lambda salt: F.call_function("shiftright", F.col("salts"), salt).bitwiseAND(F.lit(1)) == 1)
-    texts = texts.select(F.explode(present).alias("salt"), "*").drop("salts")
     keyed = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), _digest(whole(F.col("text"))).alias("digest"), _salt(F.col("doc_id")).alias("salt"))
-    return keyed.join(texts, ["digest", "salt"]).select(
+        F.col("doc_id").cast("long").alias("doc_id"), _digest(whole(F.col("text"))).alias("digest"), salt("doc_id").alias("salt"))
+    return keyed.join(per_salt(texts), ["digest", "salt"]).select(
         "doc_id", *MEASURES, "n_best", "count_sum", "groups_sha256")
