@@ -18,8 +18,9 @@ Labels are dealt into ``FOLDS`` folds in the order of a hash. A labelled documen
 without its own fold, so the cut below comes from documents that their model has not seen.
 
 The sample is drawn by Gumbel top-k: the k highest of ``SHARPNESS`` times the log weight plus Gumbel
-noise, which a hash of the id gives. k is the number of documents that reach the
-perturbed weight which all but ``MISSED`` of the labelled good ones reach.
+noise, which a hash of the id gives. k is a parameter, or as many as it takes to hold all but ``MISSED`` of the good
+documents: how many of a range of weights are good is the share of the labelled ones in it, times all in it, and
+ranges are taken from the highest on.
 """
 
 from __future__ import annotations
@@ -48,6 +49,8 @@ FOLDS = 5
 PRIOR = 0.5
 SHARPNESS = 5.0
 MISSED = 0.01
+# Labelled documents in a range of weights, and the most ranges.
+RANGE_LABELS, RANGES = 25, 64
 MEMO_WORDS = 1_000_000
 _MARKS = b".,;:!?()[]\"'"
 _SHAPE = bytes(
@@ -82,8 +85,15 @@ def features(text: bytes, words: Words) -> np.ndarray:
         np.unique(repeats) + (2 << WORD_BITS) + (1 << SHAPE_BITS)))
 
 
+def text_key(text: Column) -> Column:
+    """A hash that tells texts of one id apart."""
+    return F.xxhash64(whole(text))
+
+
 def _rows(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole(F.col("text")).cast("binary").alias("text"))
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key"),
+        whole(F.col("text")).cast("binary").alias("text"))
 
 
 class Labels:
@@ -175,7 +185,7 @@ def fold_ratios(counts: np.ndarray) -> np.ndarray:
 
 
 def log_weights(docs: DataFrame, ratios: np.ndarray, labels: Labels) -> DataFrame:
-    """doc_id and log_weight of every document, of labelled ones by the model without their fold."""
+    """doc_id, text_key and log_weight of every document, of labelled ones by the model without their fold."""
     send_with_tasks(__name__)
     shared = docs.sparkSession.sparkContext.broadcast(ratios)
 
@@ -185,9 +195,35 @@ def log_weights(docs: DataFrame, ratios: np.ndarray, labels: Labels) -> DataFram
             folds, _ = labels.find(batch.column("doc_id"))
             sums = [float(ratios[fold, features(text.as_buffer().to_pybytes(), words)].sum())
                     for fold, text in zip(folds, batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sums, pa.float64())], names=["doc_id", "log_weight"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(sums, pa.float64())], names=["doc_id", "text_key", "log_weight"])
+
+    return _rows(docs).mapInArrow(weigh, "doc_id bigint, text_key bigint, log_weight double")
+
 
-    return _rows(docs).mapInArrow(weigh, "doc_id bigint, log_weight double")
+def sample_size(scored: DataFrame, good: DataFrame, other: DataFrame, missed: float = MISSED) -> int:
+    """How many documents of the highest weights hold all but a share of the good ones, from the labelled (doc_id).
+
+    Ranges hold about ``RANGE_LABELS`` labelled documents each. Nothing but their counts goes to the driver.
+    """
+    marks = good.select(F.col("doc_id").alias("_marked"), F.lit(1).alias("good")).unionByName(
+        other.select(F.col("doc_id").alias("_marked"), F.lit(0).alias("good")))
+    marked = scored.join(marks, F.col("doc_id") == F.col("_marked"), "left").select("log_weight", "good")
+    labelled = marked.where("good is not null")
+    ranges = min(labelled.count() // RANGE_LABELS, RANGES)
+    edges = labelled.agg(F.percentile_approx("log_weight", [at / ranges for at in range(1, ranges)], 10_000)).first()[0] if ranges > 1 else []
+    place = F.size(F.filter(F.array(*[F.lit(float(edge)) for edge in edges]), lambda edge: edge <= F.col("log_weight"))) if edges else F.lit(0)
+    found = marked.groupBy(place.alias("range")).agg(
+        F.count(F.lit(1)).alias("n"), F.count("good").alias("labelled"), F.coalesce(F.sum("good"), F.lit(0)).alias("good")).collect()
+    share = sum(row["good"] for row in found) / max(sum(row["labelled"] for row in found), 1)
+    held = [(row["n"], row["n"] * (row["good"] / row["labelled"] if row["labelled"] else share))
+            for row in sorted(found, key=lambda row: -row["range"])]
+    size, left = 0.0, (1 - missed) * sum(target for _, target in held)
+    for n, target in held:
+        if target >= left:
+            return round(size + n * (left / target if target else 0))
+        size, left = size + n, left - target
+    return round(size)
 
 
 def gumbel(key: Column, seed: int) -> Column:
@@ -220,11 +256,16 @@ def select_documents(docs: DataFrame, labels: DataFrame, k: int | None = None, s
     target model, and up to as many others help to tell chance from evidence. ``k`` rows are kept, and those tied with the k-th; without ``k`` it is
     reckoned from the labels as above.
 
-    A null text is an empty one, with weight 0. Null ids have no label; repeated rows
-    and ids are judged alike. Without good documents, or if no text tells them from the
+    A null text is an empty one, with weight 0. Null ids have no label. Rows that repeat an id and its text are judged
+    alike; several texts under one id, or under null ids, each by its own weight. Without good documents, or if no text tells them from the
     others, every weight is 0 and without ``k`` all documents stay. No documents give no
     rows. Other columns are not read.
     """
+    return _judged(docs, labels, k, seed, labelled).drop("text_key")
+
+
+def _judged(docs: DataFrame, labels: DataFrame, k: int | None, seed: int, labelled: int) -> DataFrame:
+    """As :func:`select_documents`, with text_key."""
     good = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct()
     other = labels.where("(quality <> 1 or toxic <> 0) and doc_id is not null").select("doc_id").distinct().join(
         good, "doc_id", "left_anti")
@@ -235,16 +276,16 @@ def select_documents(docs: DataFrame, labels: DataFrame, k: int | None = None, s
         "perturbed", F.lit(SHARPNESS) * F.col("log_weight") + gumbel(F.col("doc_id"), seed))
     scored = materialize(scored, "quality-weights")
     if k is None:
-        cut = scored.join(good, "doc_id", "left_semi").agg(F.percentile_approx("perturbed", MISSED, 10_000)).first()[0]
-        k = scored.where(F.col("perturbed") >= cut).count() if cut is not None else scored.count()
-        if not ratios.any():
-            k = scored.count()
+        n = scored.count()
+        k = sample_size(scored, good, other) if ratios.any() else n
     least = kth_largest(scored, "perturbed", k) if k > 0 else None
     kept = F.col("perturbed") >= least if least is not None else F.lit(False)
     return scored.select("*", kept.alias("kept"))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    judged = select_documents(docs, labels, **options).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(judged, docs["doc_id"].eqNullSafe(judged["_kept_id"]), "left_semi")
+def keep_good(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int = 0, labelled: int = LABELLED) -> DataFrame:
+    """The documents that stay, with all their columns: those that ``kept`` names by id and text."""
+    judged = _judged(docs, labels, k, seed, labelled).where("kept").select(
+        F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_key")).distinct()
+    same = docs["doc_id"].cast("long").eqNullSafe(judged["_kept_id"]) & (text_key(docs["text"]) == judged["_kept_key"])
+    return docs.join(judged, same, "left_semi")
