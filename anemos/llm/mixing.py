@@ -7,7 +7,9 @@ cumulative weights the golden-ratio point frac(k * phi) falls, and the slot's ra
 among the slots of its source says which block it takes. So every run of slots, long
 or short, has close to the target shares.
 
-Blocks hold about ``block`` tokens: a source's target divided by the slots it got.
+All blocks are of one length, so a source gives as many words as it got slots times that. The points are so
+even that this is its target but for a few blocks; there are at least ``SLOTS`` slots if the words suffice, so a
+few blocks are little. Only what would repeat a source more often than allowed is left out.
 Ranks and places are prefix sums over pieces of the schedule and over hash ranges, so
 a source that holds most of the rows is not one task's work. What is gathered in one
 place has one row per source.
@@ -24,11 +26,13 @@ from pyspark.sql import functions as F
 from ..session import materialize, small_table
 from .text import BREAKS, whole, words
 
-BLOCK = 1024
+# The longest and the shortest block, and the slots that a mix has at least in between.
+BLOCK, SHORT_BLOCK, SLOTS = 1024, 4, 1 << 18
 WEIGHTS = (1, 2, 3)
 MAX_REPEAT = 3
 PIECE = 1 << 16
-RANGE_BITS = 12
+# Documents in a range of the shuffle, about.
+RANGE_ROWS = 50_000
 WIDTH = 1 << 31
 STEP = int((math.sqrt(5) - 1) / 2 * WIDTH) | 1
 
@@ -64,6 +68,11 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, max_rep
     return sources
 
 
+def block_length(sources: list[dict]) -> int:
+    """Words of a block: as many as leave ``SLOTS`` slots, between the shortest and the longest."""
+    return min(max(sum(math.floor(s["target"]) for s in sources) // SLOTS, SHORT_BLOCK), BLOCK)
+
+
 def schedule(spark, sources: list[dict], block: int = BLOCK) -> DataFrame:
     """slot, at (index of the source), rank: which source fills each slot, and with which of its blocks.
 
@@ -90,14 +99,14 @@ def schedule(spark, sources: list[dict], block: int = BLOCK) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat: int = MAX_REPEAT,
-        block: int = BLOCK, seed: int = 0, row_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+        block: int | None = None, seed: int = 0, row_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The mix and the sized documents.
 
     The mix has a row per piece of a document that a slot takes: slot, row, doc_id,
     pass_, first and n (words ``first`` to ``first + n - 1`` of the text, in the given pass
     over its source). The documents have row (a number that tells rows apart: ``row_col`` if
     given), doc_id, source, size in words, source_size and target. Per source, the words
-    taken are its target, rounded down.
+    taken are those of its slots; ``block`` is the length of one (:func:`block_length` if not given).
 
     Null sources are one source, which comes last; null texts are empty and take no
     place. Repeated rows and ids are documents of their own. No documents, or only empty
@@ -110,22 +119,25 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat: int = M
         F.xxhash64(F.lit(seed), "doc_id", "text").alias("key"), number.alias("row"))
     sized = materialize(sized, "mixing")
     sources = source_targets(sized, weights, max_repeat)
+    block = block or block_length(sources)
     slots = materialize(schedule(spark, sources, block), "mixing-slots")
     per_source = {row["at"]: row["count"] for row in slots.groupBy("at").count().collect()}
     missed = [at for at, s in enumerate(sources) if s["target"] >= 1 and at not in per_source]
     last = sum(per_source.values())
     slots = slots.unionByName(small_table(
         spark, [(last + i, at, 0) for i, at in enumerate(missed)], "slot bigint, at int, rank bigint"))
+    # A source that no point hit gives its one block, but no more than its target.
+    wanted = [min(per_source[at] * block, max_repeat * s["size"]) if at in per_source else min(block, math.floor(s["target"]))
+              for at, s in enumerate(sources)]
     listed = small_table(
-        spark,
-        [(at, s["source"], s["size"], float(s["target"]), math.floor(s["target"]), per_source.get(at, 1))
-         for at, s in enumerate(sources)],
-        "at int, _source string, source_size bigint, target double, wanted bigint, blocks bigint")
+        spark, [(at, s["source"], s["size"], float(s["target"]), wanted[at]) for at, s in enumerate(sources)],
+        "at int, _source string, source_size bigint, target double, wanted bigint")
+    bits = max(4, (sized.count() // RANGE_ROWS).bit_length())
     sized = sized.join(listed, F.col("source").eqNullSafe(F.col("_source")))
 
     # Where each document stands in its source's row.
     rows = sized.where("size > 0 and wanted > 0")
-    rows = rows.withColumn("range", F.shiftrightunsigned("key", 64 - RANGE_BITS).cast("int"))
+    rows = rows.withColumn("range", F.shiftrightunsigned("key", 64 - bits))
     ahead = Window.partitionBy("at").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     ranges = rows.groupBy("at", "range").agg(F.sum("size").alias("n")).select(
         "at", "range", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("offset"))
@@ -133,19 +145,13 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_repeat: int = M
     start = F.col("offset") + F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
     placed = rows.join(ranges, ["at", "range"]).withColumn("start", start).where("start < wanted")
 
-    # Each pass over the source, and the blocks a document reaches into. The first
-    # ``longer`` blocks of a source hold one word more than the others.
+    # Each pass over the source, and the blocks a document reaches into.
     passes = F.sequence(F.lit(0).cast("long"), F.expr("(wanted - start - 1) div source_size"))
-    taken = placed.withColumn("pass_", F.explode(passes)).withColumns({
-        "length": F.expr("wanted div blocks"), "longer": F.expr("wanted % blocks"),
-        "from_": F.expr("pass_ * source_size + start")})
+    taken = placed.withColumn("pass_", F.explode(passes)).withColumn("from_", F.expr("pass_ * source_size + start"))
     taken = taken.withColumn("to_", F.expr("least(from_ + size, wanted)"))
-    rank = ("if({0} < longer * (length + 1), {0} div (length + 1), "
-            "longer + ({0} - longer * (length + 1)) div greatest(length, 1))")
-    reached = F.sequence(F.expr(rank.format("from_")), F.expr(rank.format("(to_ - 1)")))
+    reached = F.sequence(F.expr(f"from_ div {block}"), F.expr(f"(to_ - 1) div {block}"))
     pieces = taken.withColumn("rank", F.explode(reached)).withColumns({
-        "begin": F.expr("greatest(from_, rank * length + least(rank, longer))"),
-        "end": F.expr("least(to_, (rank + 1) * length + least(rank + 1, longer))")})
+        "begin": F.expr(f"greatest(from_, rank * {block})"), "end": F.expr(f"least(to_, (rank + 1) * {block})")})
     pieces = pieces.select(
         "at", "rank", "row", "doc_id", "pass_", F.expr("begin - from_").alias("first"), F.expr("end - begin").alias("n"))
     mixed = slots.join(pieces, ["at", "rank"]).select("slot", "row", "doc_id", "pass_", "first", "n")
@@ -161,19 +167,23 @@ def taken_words(docs: DataFrame, **options) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The documents of the mix, with their columns: one row per pass that takes one.
+    """The documents of the mix, with their columns: one row per pass that takes one, in the order of the first slot
+    that takes of it (over and within the partitions).
 
     A pass that ends within a document takes its first words, joined by single spaces;
-    ``n_chars``, if there is one, is then counted anew.
+    ``n_chars``, if there is one, is then counted anew. Documents without words, as null texts are, take no slot and are
+    not in the mix. Null and repeated ids and repeated rows are documents of their own. No documents give no rows. Columns
+    of any name go through as they are.
     """
     number = "_mix_row"
     while number in docs.columns:
         number += "_"
     numbered = materialize(docs.withColumn(number, F.monotonically_increasing_id()), "mixing-documents")
     mixed, sized = mix(numbered, row_col=number, **options)
-    copies = mixed.groupBy("row", "pass_").agg(F.sum("n").alias("_taken_words"))
+    copies = mixed.groupBy("row", "pass_").agg(F.sum("n").alias("_taken_words"), F.min("slot").alias("_first_slot"))
     copies = copies.join(sized.select("row", F.col("size").alias("_all_words")), "row")
     rows = numbered.join(copies.withColumnRenamed("row", "_copy_row"), F.col(number) == F.col("_copy_row"))
+    rows = rows.repartitionByRange("_first_slot", number).sortWithinPartitions("_first_slot", number)
     cut = F.col("_taken_words") < F.col("_all_words")
     first = F.array_join(F.slice(words(F.col("text")), F.lit(1), F.col("_taken_words").cast("int")), " ")
     rows = rows.withColumn("text", F.when(cut, first).otherwise(F.col("text")))
