@@ -51,7 +51,9 @@ SHARPNESS = 5.0
 MISSED = 0.01
 # Labelled documents in a range of weights, and the most ranges.
 RANGE_LABELS, RANGES = 25, 64
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 300_000
+# Rows of counts that a task gives out at a time.
+COUNT_ROWS = 1 << 16
 _MARKS = b".,;:!?()[]\"'"
 _SHAPE = bytes(
     ord("A") if 65 <= b <= 90 else ord("a") if 97 <= b <= 122 or b >= 128 else ord("0") if 48 <= b <= 57 else b
@@ -121,7 +123,7 @@ def count_features(docs: DataFrame, labels: Labels) -> np.ndarray:
     send_with_tasks(__name__)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, counts = Words(), np.zeros((1 + 2 * FOLDS, N_FEATURES + 1), np.int64)
+        words, counts = Words(), np.zeros((1 + 2 * FOLDS, N_FEATURES + 1), np.int32)
         for batch in batches:
             for fold, good, text in zip(*labels.find(batch.column("doc_id")), batch.column("text")):
                 held = np.append(features(text.as_buffer().to_pybytes(), words), N_FEATURES)
@@ -130,8 +132,11 @@ def count_features(docs: DataFrame, labels: Labels) -> np.ndarray:
                     counts[1 + fold, held] += 1
                 if good:
                     counts[1 + FOLDS + fold, held] += 1
-        held = np.flatnonzero(counts[0])
-        yield pa.RecordBatch.from_arrays([pa.array(held), *(pa.array(row[held]) for row in counts)], names=["feature", *names])
+        every = np.flatnonzero(counts[0])
+        for at in range(0, len(every), COUNT_ROWS):
+            held = every[at:at + COUNT_ROWS]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(held), *(pa.array(row[held], pa.int64()) for row in counts)], names=["feature", *names])
 
     names = [f"n{row}" for row in range(1 + 2 * FOLDS)]
     summed = _rows(docs).mapInArrow(count, ", ".join(f"{name} bigint" for name in ["feature", *names])).groupBy("feature").agg(
