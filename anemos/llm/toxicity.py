@@ -34,8 +34,8 @@ LABELLED = 20_000
 HELD_OUT = 5
 STEMS = range(4, 9)
 CANDIDATES = 4096
-HELD_FEATURES = 300_000
-MEMO_WORDS = 500_000
+HELD_FEATURES = 150_000
+MEMO_WORDS = 250_000
 SCOPE, REACH = 4, 3
 RIDGE = 1.0
 THREAT_WEIGHT = 2.0
