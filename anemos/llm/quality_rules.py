@@ -2,12 +2,13 @@
 
 The measures of every text are computed in one pass and written as a narrow table.
 Mergeable quantile sketches (``percentile_approx``, combined in each task before the
-shuffle) give the lower decile and the median of each measure per (language, source)
-and per language. The limit of a measure is its median plus six times the distance
-from decile to median, so up to half of a source may be junk without moving it, plus
-a slack that keeps a stray character from condemning a text. The limits are joined to
-the rows; groups under ``least`` rows use those of their language, and languages
-under it those of the corpus.
+shuffle) give the median and the upper fifth of each measure per (language, source),
+per language and overall. The limit of a measure is the upper fifth plus three times its distance
+from the median, so up to a fifth of a source may be junk without moving it. A group's limit is drawn
+to that of its language, and this to the overall one, as if ``prior`` rows more had said so.
+The limits are joined to the rows. There is no fixed slack: a text fails if what it counts is further above
+the limit than chance brings in a text of its length (``CHANCE`` standard deviations, and one count at least),
+so a stray character condemns no text, and a long text is held to the limit more closely than a short one.
 """
 
 from __future__ import annotations
@@ -22,22 +23,35 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
-SPREAD = 6.0
+MIDDLE, UPPER = 0.5, 0.8
+SPREAD = 3.0
+CHANCE = 4.0
+PRIOR = 100
 ACCURACY = 10_000
-LEAST = 100
-# Measures and the slack of each.
-SLACK = {"symbol_share": 0.03, "dup_line_share": 0.5, "repeat_share": 0.2, "shout_share": 0.1, "word_length": 4.0}
+# Measures: what is counted, out of what, and how many counts come together (a repeat is two windows).
+MEASURES = {
+    "symbol_share": ("n_symbols", "word_chars", 1), "dup_line_share": ("n_dup_lines", "n_lines", 1),
+    "repeat_share": ("n_repeat_words", "n_words", 2 * WINDOW), "shout_share": ("n_shouts", "word_chars", 1),
+    "word_length": ("word_chars", "n_words", 0),
+}
 
 
 def _repeated_words(found: Column) -> Column:
-    """Words that lie in a window of five words which the text has twice or more."""
+    """Words that lie in a window of five words which the text has twice or more.
+
+    Windows are told apart by 64 bits of hash, and by their words where hashes meet.
+    """
     starts = F.sequence(F.lit(1), F.size(found) - (WINDOW - 1))
     windows = F.transform(
-        starts, lambda at: F.struct(F.concat_ws(" ", F.slice(found, at, WINDOW)).alias("w"), at.alias("at")))
+        starts, lambda at: F.struct(F.xxhash64(F.slice(found, at, WINDOW)).alias("w"), at.alias("at")))
 
     def places(ordered: Column) -> Column:
+        def words_at(place: Column) -> Column:
+            return F.slice(found, F.get(ordered, place)["at"], WINDOW)
+
         def same(one: Column, other: Column) -> Column:
-            return F.coalesce(F.get(ordered, one)["w"] == F.get(ordered, other)["w"], F.lit(False))
+            met = F.coalesce(F.get(ordered, one)["w"] == F.get(ordered, other)["w"], F.lit(False))
+            return F.when(met, words_at(one) == words_at(other)).otherwise(False)
 
         hits = F.filter(
             F.transform(ordered, lambda row, at: F.when(same(at, at - 1) | same(at, at + 1), row["at"])),
@@ -81,31 +95,56 @@ def text_measures(docs: DataFrame) -> DataFrame:
         F.length(F.regexp_replace(whole(text), "[^\\p{Lu}!]+", "")).cast("long").alias("n_shouts"),
     )
 
-    def share(part: str, of: str) -> Column:
-        return F.col(part) / F.greatest(F.col(of), F.lit(1))
-
     return counted.withColumns({
-        "symbol_share": share("n_symbols", "word_chars"), "dup_line_share": share("n_dup_lines", "n_lines"),
-        "repeat_share": share("n_repeat_words", "n_words"), "shout_share": share("n_shouts", "word_chars"),
-        "word_length": share("word_chars", "n_words"),
-    })
+        name: F.col(part) / F.greatest(F.col(of), F.lit(1)) for name, (part, of, _) in MEASURES.items()})
 
 
 def limits(measured: DataFrame, keys: list[str], spread: float = SPREAD) -> DataFrame:
-    """Per group: its size and the limit of each measure, NULL keys being a group too."""
+    """Per group: its size and the limit of each measure as its own rows have it, NULL keys being a group too."""
     sketches = measured.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.percentile_approx(name, [0.1, 0.5], ACCURACY).alias(name) for name in SLACK],
+        *[F.percentile_approx(name, [MIDDLE, UPPER], ACCURACY).alias(name) for name in MEASURES],
     )
     return sketches.select(
         *keys, "n",
-        *[(F.col(name)[1] + F.lit(spread) * (F.col(name)[1] - F.col(name)[0]) + slack).alias(name)
-          for name, slack in SLACK.items()],
+        *[(F.col(name)[1] + F.lit(spread) * (F.col(name)[1] - F.col(name)[0])).alias(name) for name in MEASURES],
     )
 
 
-def apply_rules(docs: DataFrame, least: int = LEAST, spread: float = SPREAD) -> DataFrame:
-    """The measures of every document with base_failed, kept and the rule that decided.
+def group_limits(measured: DataFrame, prior: int = PRIOR, spread: float = SPREAD) -> DataFrame:
+    """lang, source and the limits of each group, drawn to those of its language and of all by ``prior`` rows.
+
+    One row per language and source, from tables of that size; texts without words do not count.
+    """
+    sound = measured.where("n_words > 0")
+    overall = limits(sound, [], spread).first()
+    by_lang = limits(sound, ["lang"], spread).select(
+        F.col("lang").alias("_lang"), F.col("n").alias("_lang_n"), *[F.col(name).alias(f"_lang_{name}") for name in MEASURES])
+
+    def drawn(own: Column, n: Column, to: Column) -> Column:
+        return (F.coalesce(own * n, F.lit(0.0)) + to * prior) / (F.coalesce(n, F.lit(0)) + prior)
+
+    groups = measured.select("lang", "source").distinct().join(
+        limits(sound, ["lang", "source"], spread).withColumnsRenamed({"lang": "_own_lang", "source": "_own_source"}),
+        F.col("lang").eqNullSafe(F.col("_own_lang")) & F.col("source").eqNullSafe(F.col("_own_source")), "left")
+    groups = groups.join(by_lang, F.col("lang").eqNullSafe(F.col("_lang")), "left")
+    return groups.select("lang", "source", *[
+        drawn(F.col(name), F.col("n"), drawn(F.col(f"_lang_{name}"), F.col("_lang_n"), F.lit(float(overall[name] or 0)))).alias(f"{name}_limit")
+        for name in MEASURES])
+
+
+def above(name: str) -> Column:
+    """Whether a text is further above the limit of a measure than chance brings."""
+    part, of, unit = MEASURES[name]
+    expected = F.col(f"{name}_limit") * F.col(of)
+    if not unit:
+        # A mean: words differ in length by about as much as they are long.
+        return F.col(part) > expected + F.lit(CHANCE) * F.col(f"{name}_limit") * F.sqrt(F.col(of))
+    return F.col(part) / unit > expected / unit + F.lit(CHANCE) * F.sqrt(expected / unit + 1)
+
+
+def apply_rules(docs: DataFrame, prior: int = PRIOR, spread: float = SPREAD) -> DataFrame:
+    """The measures of every document with the limits of its group, base_failed, kept and the rule that decided.
 
     ``base_failed``: fewer than ten words, or more than a fifth of the words lie in
     repeated windows. ``failed_rule`` names the first measure above its limit.
@@ -115,27 +154,11 @@ def apply_rules(docs: DataFrame, least: int = LEAST, spread: float = SPREAD) ->
     rows; other columns are not read.
     """
     measured = materialize(text_measures(docs), "quality-rules")
-    sound = measured.where("n_words > 0")
-    overall = limits(sound, [], spread).first()
-    rows = measured
-    for level, keys in enumerate((["lang", "source"], ["lang"])):
-        table = limits(sound, keys, spread)
-        named = table.select(
-            *[F.col(name).alias(f"_{level}_{name}") for name in keys],
-            F.struct("n", *SLACK).alias(f"_limits_{level}"))
-        match = F.lit(True)
-        for name in keys:
-            match = match & F.col(name).eqNullSafe(F.col(f"_{level}_{name}"))
-        rows = rows.join(named, match, "left")
-    chosen = F.struct(F.lit(overall["n"]).alias("n"), *[F.lit(overall[name]).cast("double").alias(name) for name in SLACK])
-    for level in (1, 0):
-        chosen = F.when(F.col(f"_limits_{level}")["n"] >= least, F.col(f"_limits_{level}")).otherwise(chosen)
-    rows = rows.withColumn("_limits", chosen)
-    failed = F.coalesce(*[
-        F.when(F.col(name) > F.col("_limits")[name], F.lit(name)) for name in SLACK
-    ])
+    table = group_limits(measured, prior, spread).withColumnsRenamed({"lang": "_lang", "source": "_source"})
+    rows = measured.join(table, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")))
+    failed = F.coalesce(*[F.when(above(name), F.lit(name)) for name in MEASURES])
     base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return rows.select(
-        *measured.columns, base.alias("base_failed"), failed.alias("failed_rule"),
+        *measured.columns, *[f"{name}_limit" for name in MEASURES], base.alias("base_failed"), failed.alias("failed_rule"),
         (~base & failed.isNull()).alias("kept"),
     )

@@ -359,7 +359,7 @@ def test_rules(docs):
         repeats = _repeats(words)
         want[(row[0], len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), repeats,
               len(words) < 10 or 100 * repeats > 20 * len(words))] += 1
-    judged = quality_rules.apply_rules(docs, least=5)
+    judged = quality_rules.apply_rules(docs, prior=5)
     got = judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed").collect()
     assert Counter(map(tuple, got)) == want
     verdict = {r["doc_id"]: r for r in judged.collect()}
@@ -367,6 +367,86 @@ def test_rules(docs):
     assert all(not r["kept"] for r in verdict.values() if r["base_failed"])
 
 
+def _fractions(row):
+    return {name: row[part] / max(row[of], 1) for name, (part, of, _) in quality_rules.MEASURES.items()}
+
+
+def _verdicts(rows, prior):
+    """(limits, failed rule) of each measured row, by sorting whole groups."""
+    def own(group):
+        found = {}
+        for name in quality_rules.MEASURES:
+            values = sorted(_fractions(row)[name] for row in group)
+            middle, upper = (values[max(int(np.ceil(p * len(values))) - 1, 0)] for p in (0.5, 0.8))
+            found[name] = upper + 3 * (upper - middle)
+        return found
+
+    sound = [row for row in rows if row["n_words"]]
+    overall = own(sound)
+    for row in rows:
+        limit = dict(overall)
+        for same in ([r for r in sound if r["lang"] == row["lang"]],
+                     [r for r in sound if (r["lang"], r["source"]) == (row["lang"], row["source"])]):
+            if same:
+                mine = own(same)
+                limit = {name: (mine[name] * len(same) + limit[name] * prior) / (len(same) + prior) for name in limit}
+        failed = None
+        for name, (part, of, unit) in reversed(quality_rules.MEASURES.items()):
+            expected, spread = limit[name] * row[of], 4 * limit[name] * row[of] ** 0.5
+            if unit:
+                spread = 4 * (expected / unit + 1) ** 0.5 * unit
+            if row[part] > expected + spread:
+                failed = name
+        yield limit, failed
+
+
+def test_rules_by_brute_force(docs):
+    rows = quality_rules.apply_rules(docs, prior=7).collect()
+    for row, (limit, failed) in zip(rows, _verdicts(rows, 7)):
+        assert all(row[f"{name}_limit"] == pytest.approx(limit[name]) for name in limit)
+        assert row["failed_rule"] == failed and row["kept"] == (failed is None and not row["base_failed"])
+
+
+def test_limits_follow_the_source_and_every_rule_rejects(spark):
+    """What is usual in one source is too much in another; no rule does nothing."""
+    rng = random.Random(17)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 7))) for _ in range(300)]
+
+    def text(n=120):
+        return [rng.choice(vocabulary) for _ in range(n)]
+
+    def joined(found):
+        return "\n".join(" ".join(found[at:at + 8]) for at in range(0, len(found), 8))
+
+    rows = []
+    for n in range(300):
+        words = text()
+        rows.append((n, joined(words), "en", "plain"))
+        for at in rng.sample(range(120), 15):
+            words[at] = rng.choice("#*$%&|<>") + words[at]
+        rows.append((1000 + n, joined(words), "en", "code"))
+    signs = text()
+    for at in range(0, 120, 3):
+        signs[at] = "#" + signs[at]
+    phrase = text(5)
+    rare = text(400)
+    for at in range(0, 40, 5):
+        rare[at * 10:at * 10 + 5] = phrase
+    cases = {
+        2000: ("symbol_share", joined(signs)), 2001: ("dup_line_share", joined(text(400)) + "\nsame line here" * 12),
+        2002: ("repeat_share", " ".join(rare)), 2003: ("shout_share", " ".join(text()[:60] + [w.upper() for w in text()[:60]])),
+        2004: ("word_length", " ".join(w * 3 for w in text())),
+    }
+    rows += [(n, body, "en", "plain") for n, (_, body) in cases.items()] + [(3000, joined(signs), "en", "code")]
+    judged = {r["doc_id"]: r for r in quality_rules.apply_rules(
+        spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert judged[3]["symbol_share_limit"] < 0.6 * judged[1003]["symbol_share_limit"]
+    for n, (rule, _) in cases.items():
+        assert not judged[n]["base_failed"] and judged[n]["failed_rule"] == rule, (n, rule, judged[n])
+    assert judged[3000]["kept"]
+    assert sum(not judged[n]["kept"] for n in [*range(300), *range(1000, 1300)]) <= 6
+
+
 def _brute_fingerprint(text):
     import xxhash
 
