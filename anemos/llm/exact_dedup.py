@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .text import single_spaced
+from .text import keep_rows, single_spaced
 
 SALTS = 32
 
@@ -97,7 +97,5 @@ def drop_duplicates(docs: DataFrame, **options) -> DataFrame:
     each by its own group. Rows that repeat an id and its text stay or go together.
     """
     id_col, text_col, digest = options.get("id_col", "doc_id"), options.get("text_col", "text"), options.get("digest", sha256)
-    groups = duplicate_groups(docs, **options).where("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.unhex("digest").alias("_kept_digest")).distinct()
-    same = docs[id_col].eqNullSafe(groups["_kept_id"]) & (digest(single_spaced(docs[text_col])) == groups["_kept_digest"])
-    return docs.join(groups, same, "left_semi")
+    groups = duplicate_groups(docs, **options).where("kept").select("doc_id", F.unhex("digest"))
+    return keep_rows(docs, groups, id_col, digest(single_spaced(F.col(text_col))))

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, send_with_tasks
-from .text import whole
+from .text import keep_rows, whole
 
 WORD_BITS = 18
 SHAPE_BITS = 12
@@ -139,11 +139,15 @@ def count_features(docs: DataFrame, labels: Labels) -> np.ndarray:
                 [pa.array(held), *(pa.array(row[held], pa.int64()) for row in counts)], names=["feature", *names])
 
     names = [f"n{row}" for row in range(1 + 2 * FOLDS)]
+    # Counts of labelled documents are at most twice LABELLED.
     summed = _rows(docs).mapInArrow(count, ", ".join(f"{name} bigint" for name in ["feature", *names])).groupBy("feature").agg(
-        *[F.sum(name).alias(name) for name in names]).toArrow()
+        F.sum(names[0]).alias(names[0]), *[F.sum(name).cast("int").alias(name) for name in names[1:]])
+    summed = summed.withColumn("feature", F.col("feature").cast("int")).toArrow()
     counts = np.zeros((len(names), N_FEATURES + 1), np.int64)
+    places = summed.column("feature").to_numpy()
     for row, name in zip(counts, names):
-        row[summed.column("feature").to_numpy()] = summed.column(name).to_numpy()
+        row[places] = summed.column(name).to_numpy()
+        summed = summed.drop_columns([name])
     return counts
 
 
@@ -178,15 +182,16 @@ def _surprise(found: np.ndarray, expected: np.ndarray) -> np.ndarray:
 def fold_ratios(counts: np.ndarray) -> np.ndarray:
     """Log ratios by the labels of all folds but one, a row for each; and last, by all labels."""
     raw, labelled, good = counts[0], counts[1:1 + FOLDS], counts[1 + FOLDS:]
-    ratios = []
+    ratios = np.zeros((FOLDS + 1, N_FEATURES))
     for left_out in range(FOLDS + 1):
         rest = [fold for fold in range(FOLDS) if fold != left_out]
         some, fine = labelled[rest].sum(0), good[rest].sum(0)
         sure = log_ratios(raw[:-1], fine[:-1], int(raw[-1]), int(fine[-1]))
         shrunk = shrunk_ratios(raw[:-1], some[:-1], fine[:-1], int(raw[-1]), int(some[-1]), int(fine[-1]))
         # Without good documents there is no target model.
-        ratios.append(np.where(sure != 0, sure, shrunk) if fine[-1] else np.zeros(N_FEATURES))
-    return np.stack(ratios)
+        if fine[-1]:
+            ratios[left_out] = np.where(sure != 0, sure, shrunk)
+    return ratios
 
 
 def log_weights(docs: DataFrame, ratios: np.ndarray, labels: Labels) -> DataFrame:
@@ -290,7 +295,5 @@ def _judged(docs: DataFrame, labels: DataFrame, k: int | None, seed: int, labell
 
 def keep_good(docs: DataFrame, labels: DataFrame, k: int | None = None, seed: int = 0, labelled: int = LABELLED) -> DataFrame:
     """The documents that stay, with all their columns: those that ``kept`` names by id and text."""
-    judged = _judged(docs, labels, k, seed, labelled).where("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_key")).distinct()
-    same = docs["doc_id"].cast("long").eqNullSafe(judged["_kept_id"]) & (text_key(docs["text"]) == judged["_kept_key"])
-    return docs.join(judged, same, "left_semi")
+    judged = _judged(docs, labels, k, seed, labelled).where("kept")
+    return keep_rows(docs, judged.select("doc_id", "text_key"), "doc_id", text_key(F.col("text")))

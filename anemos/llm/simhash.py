@@ -28,14 +28,14 @@ from pyspark.sql import functions as F
 from ..session import materialize, send_with_tasks
 from .components import components
 from .salts import per_salt, salt, salts_present
-from .text import whole
+from .text import keep_rows, whole
 
 SHINGLE = 3
 SEED = 42
 BITS = 64
 CHUNK = 1 << 14
 DISTANCE = 3
-PARTS = (2, 3, 4, 5, 6)
+PARTS = (2, 3, 4, 5)
 # Cost of a row looked up, against one candidate verified.
 LOOKUP_COST = 20.0
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -295,6 +295,4 @@ def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """
     judged = _judged(docs, options.get("shingle", SHINGLE), options.get("distance", DISTANCE))
     first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key"))
-    kept = judged.where(first).select(F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_key")).distinct()
-    same = docs["doc_id"].cast("long").eqNullSafe(kept["_kept_id"]) & (text_key(docs["text"]) == kept["_kept_key"])
-    return docs.join(kept, same, "left_semi")
+    return keep_rows(docs, judged.where(first).select("doc_id", "text_key"), "doc_id", text_key(F.col("text")))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BREAKS = "\t\n\x0b\x0c\r"
@@ -43,5 +43,16 @@ def word_chars(text: Column) -> Column:
     return F.length(F.translate(whole(text), " " + BREAKS, "")).cast("long")
 
 
+def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str, key: Column) -> DataFrame:
+    """The rows of ``docs`` whose id and key ``kept`` (two columns) has. The key of a row is computed once."""
+    name = "_row_key"
+    while name in docs.columns:
+        name += "_"
+    keyed = docs.withColumn(name, key)
+    kept = kept.toDF("_kept_id", "_kept_key").distinct()
+    same = keyed[id_col].eqNullSafe(kept["_kept_id"]) & (keyed[name] == kept["_kept_key"])
+    return keyed.join(kept, same, "left_semi").select(*[F.col(f"`{column}`") for column in docs.columns])
+
+
 def utf8_bytes(text: Column) -> Column:
     return F.octet_length(whole(text)).cast("long")

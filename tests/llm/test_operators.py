@@ -430,7 +430,7 @@ def test_limits_follow_the_source_and_every_rule_rejects(spark):
         signs[at] = "#" + signs[at]
     phrase = text(5)
     rare = text(400)
-    for at in range(0, 40, 5):
+    for at in range(0, 39, 3):
         rare[at * 10:at * 10 + 5] = phrase
     cases = {
         2000: ("symbol_share", joined(signs)), 2001: ("dup_line_share", joined(text(400)) + "\nsame line here" * 12),
