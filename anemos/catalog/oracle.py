@@ -504,6 +504,13 @@ def oracle_sql() -> dict[str, str]:
               arg_max(MC006, time) AS meter_last, arg_min(MC006, time) AS meter_first, count(MC132) AS MC132count,
               {_r('sum(Generation)', 'made_sum')}, {_r('min(Generation)', 'made_min')}, turbine
             FROM telemetry WHERE {between} GROUP BY 1, turbine ORDER BY 1, turbine"""),
+        "resample_csv": _with(T, select=f"""
+            SELECT date_trunc('hour', time) AS interval, {_r('avg(MC004)', 'wind_avg')}, {_r('max(MC004)', 'wind_max')},
+              arg_max(MC006, time) AS meter_last, arg_min(MC006, time) AS meter_first, count(MC132) AS MC132count,
+              {_r('sum(Generation)', 'made_sum')}, {_r('min(Generation)', 'made_min')}, turbine
+            FROM telemetry WHERE {between} GROUP BY 1, turbine ORDER BY 1, turbine"""),
+        "arriving_files": _with(T, select="""
+            SELECT turbine AS file_device, CAST(date_trunc('day', time) AS TIMESTAMP) AS file_time, time, MC004 FROM telemetry"""),
         "resample_weeks": _with(T, select=f"""
             SELECT time_bucket(INTERVAL '14 days', time, TIMESTAMP '1970-01-05') AS interval,
               {_r('avg(MC004)', 'MC004avg')}, {_r('max(MC004)', 'MC004max')}, count(MC132) AS MC132count, turbine
@@ -603,6 +610,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT MessageId, StartTime FROM decoded ORDER BY StartTime DESC, MessageId DESC LIMIT 25 OFFSET 50"""),
         "events_page_late": _with(M, D, select="""
             SELECT MessageId, StartTime FROM decoded ORDER BY StartTime, MessageId LIMIT 2500 OFFSET 7500"""),
+        "events_page_stored": _with(M, D, select=f"""
+            SELECT MessageId, StartTime FROM decoded WHERE {_WANTED} ORDER BY StartTime DESC, MessageId DESC LIMIT 50 OFFSET 150"""),
         "events_open": _with(M, D, select=f"""
             SELECT MessageId, FarmCode, Device, EventLevel FROM decoded WHERE {_WANTED} AND EndTime IS NULL"""),
         "events_flattened": _with(M, select="""
@@ -623,6 +632,8 @@ def oracle_sql() -> dict[str, str]:
         "stream_ten_minute": _with(T, _totals(), ("r", _report(metrics.COMBINED_COLUMNS)), select="""
             SELECT * FROM r WHERE Time + INTERVAL 10 MINUTE
               <= (SELECT date_trunc('millisecond', max(time)) FROM telemetry) - INTERVAL 10 MINUTE"""),
+        "events_open_stream": _with(M, select=_OPEN_NOW),
+        "events_open_now": _with(M, select=_OPEN_NOW),
         "files_named": "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag FROM lineitem",
         "merge_files": """
             SELECT o_orderkey, o_custkey, o_orderstatus,
@@ -633,6 +644,8 @@ def oracle_sql() -> dict[str, str]:
               SELECT time, turbine, MC004, NULL AS MC143, MC006 FROM two
               UNION ALL SELECT time, turbine, MC004, MC143, NULL FROM one ANTI JOIN two USING (time, turbine))
             WHERE {between}"""),
+        "device_month": _with(T, select=f"""
+            SELECT time, turbine, MC004, MC143 FROM telemetry WHERE {between} AND turbine IN ({_names(fx.DEVICES[1:3])})"""),
         "late_samples": _with(T, select=f"""
             SELECT time, turbine, max(MC143) AS MC143 FROM telemetry
             WHERE time < TIMESTAMP '{STREAM_CUT}' AND time < (
@@ -678,6 +691,11 @@ def _arrived(left_out, column):
           FROM telemetry WHERE MC006 % 3 <> {left_out}) WHERE rn = 1"""
 
 
+_OPEN_NOW = """
+            SELECT MessageId, FarmCode, Device, EventLevel, StartTime, EndTime, ConfirmedTime FROM messages
+            WHERE EndTime IS NULL AND NOT (CAST(MessageId AS BIGINT) % 10 = 2 AND CAST(MessageId AS BIGINT) % 3 <> 0)"""
+
+
 def _stored_reports():
     """What the report store holds of all windows: six decimals."""
     columns = ("Time", "DeviceName", *STORED_COLUMNS)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,16 +16,17 @@ from ..functions.levels import level_number, level_text
 from ..operators import availability, blocks, conditions, duplicates, energy, events, metrics, periods, reports, schemas
 from ..operators.peers import mean_winds, nearest_peers
 from ..operators.resample import in_range, resample
-from ..plans import jobs, upkeep
+from ..plans import event_store, jobs, upkeep
 from ..session import materialize, scratch_path
-from ..sinks import event_layout, report_layout
-from ..sinks.snapshots import read_table
+from ..sinks import event_layout, report_layout, write_resampled
+from ..sinks.layout import recluster
+from ..sinks.snapshots import commit, read_table
 from ..sinks.tables import append_rows, write_json_lines
 from ..sources import (
-    file_inventory, list_files, read_grid_dates, read_turbine_info, report_rows, scan_files_named, scan_reports,
+    file_inventory, file_schemas, list_files, read_grid_dates, read_turbine_info, report_rows, scan_arrivals, scan_files_named, scan_reports,
     scan_telemetry, standard_curves,
 )
-from ..streaming import read_arrivals, stream_reports, stream_session, write_stream
+from ..streaming import keep_open_events, open_event_session, read_arrivals, stream_reports, stream_session, write_stream
 from ..streaming.arrivals import merge_batch
 from . import fixtures as fx
 
@@ -156,7 +158,8 @@ def file_columns(spark, sf_dir):
 
 @_exact
 def schema_conflicts(spark, sf_dir):
-    return schemas.schema_conflicts(spark, [fx.table(spark, sf_dir, name).schema for name in fx.TABLES])
+    """Types of every column of every file below the folder."""
+    return schemas.file_conflicts(file_schemas(list_files(spark, sf_dir)))
 
 
 # --- time and resample ---------------------------------------------------
@@ -192,6 +195,33 @@ def resample_weeks(spark, sf_dir):
     return resample(fx.telemetry(spark, sf_dir), "2 week", SIGNALS, columns=["MC004", "MC132", "MC093"])
 
 
+@_query
+def resample_csv(spark, sf_dir):
+    """Resampled signals written as CSV, a folder per turbine, and read back."""
+    rows = resample(fx.telemetry(spark, sf_dir), "1 HOUR", SIGNALS, titles=SIGNAL_TITLES, start=FROM, end=UNTIL, devices=fx.DEVICES)
+    path = scratch_path(spark, "resampled")
+    write_resampled(rows, path, per_device=True)
+    kinds = ", ".join(f"`{name}` {kind}" for name, kind in rows.dtypes)
+    return spark.read.schema(f"{kinds}, device string").csv(path, header=True).where("device = turbine").drop("device")
+
+
+@_exact
+def arriving_files(spark, sf_dir):
+    """Samples as files named after a turbine and a time, and what their names tell."""
+    samples, parts = fx.telemetry(spark, sf_dir).select("time", "turbine", "MC004"), scratch_path(spark, "parts")
+    keyed = samples.select("time", "MC004", "turbine", F.date_format("time", "yyyyMMdd").alias("day"))
+    keyed.repartition("turbine", "day").write.partitionBy("turbine", "day").parquet(parts)
+    folder = scratch_path(spark, "arriving")
+    where = spark._jvm.org.apache.hadoop.fs.Path
+    store = where(parts).getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(where(folder))
+    for found in store.globStatus(where(f"{parts}/turbine=*/day=*/part-*")):
+        turbine, day = (found.getPath().toString().split(f"/{name}=")[1].split("/")[0] for name in ("turbine", "day"))
+        store.rename(found.getPath(), where(f"{folder}/{turbine}_{day}0000_samples.parquet"))
+    schema = keyed.drop("turbine", "day").schema
+    return scan_arrivals(spark, folder, schema=schema).drop("file_path")
+
+
 def _spans(spark, sf_dir):
     """From the first to the last sample of every turbine and label."""
     return fx.telemetry(spark, sf_dir).groupBy("turbine", F.col("MC531").alias("label")).agg(
@@ -497,6 +527,16 @@ def events_page_late(spark, sf_dir):
     return events.page_of(_decoded(spark, sf_dir), 4, 2_500, "asc").select("MessageId", "StartTime")
 
 
+@_exact
+def events_page_stored(spark, sf_dir):
+    """A late page of a query, found from stored counts; the events came in two batches, one of them twice."""
+    store, decoded = scratch_path(spark, "event-store"), _decoded(spark, sf_dir)
+    half = F.col("EventLevel") <= 1
+    for n, batch in ((0, decoded.where(half)), (1, decoded.where(~half)), (1, decoded.where(~half))):
+        event_store.add_events(batch, store, n)
+    return event_store.page(spark, store, replace(EVENT_QUERY, page=4, page_size=50)).select("MessageId", "StartTime")
+
+
 @_exact
 def events_open(spark, sf_dir):
     return events.open_events(_decoded(spark, sf_dir), EVENT_QUERY).select("MessageId", "FarmCode", "Device", "EventLevel")
@@ -549,6 +589,34 @@ def stream_ten_minute(spark, sf_dir):
     return spark.read.schema(rows.schema).parquet(out)
 
 
+def _event_batches(spark, sf_dir):
+    """Messages in three files: some events, then the others and the ends of some of the first, then older messages of ended ones."""
+    messages = fx.messages(spark, sf_dir).select("MessageId", "FarmCode", "Device", "EventLevel", "StartTime", "EndTime", "ConfirmedTime")
+    number = F.col("MessageId").cast("bigint")
+    early, ends = number % 3 != 0, (number % 10 == 2) & (number % 3 != 0)
+    last = messages.where(ends).withColumn("EndTime", F.col("StartTime") + 1)
+    return [messages.where(early), messages.where(~early).unionByName(last), messages.where(ends)]
+
+
+@_exact
+def events_open_stream(spark, sf_dir):
+    """The table of open events after a stream of three batches."""
+    folder, table, state = (scratch_path(spark, f"open-{name}") for name in ("in", "table", "state"))
+    for n, batch in enumerate(_event_batches(spark, sf_dir)):
+        batch.repartition(1).write.mode("append").parquet(folder)
+    session = open_event_session(spark)
+    arriving = read_arrivals(session, folder, batch.schema, files_per_batch=1)
+    keep_open_events(arriving, table, state).awaitTermination()
+    return read_table(spark, table)
+
+
+@_exact
+def events_open_now(spark, sf_dir):
+    """The same by one query over all messages."""
+    first, second, third = _event_batches(spark, sf_dir)
+    return events.open_now(first.unionByName(second).unionByName(third))
+
+
 # --- tables written and read back ----------------------------------------
 
 
@@ -582,6 +650,16 @@ def merge_arrivals_by_name(spark, sf_dir):
         "time", "turbine", "MC004", "MC143", "MC006")
 
 
+@_exact
+def device_month(spark, sf_dir):
+    """Two turbines over most of a month, from a table that came in parts and was then laid out by turbine and time."""
+    samples, table = fx.telemetry(spark, sf_dir).select("time", "turbine", "MC004", "MC143"), scratch_path(spark, "layout")
+    for part in range(2):
+        commit(samples.where(F.col("MC143") % 20 == part * 10).withColumn("dt", F.to_date("time")), table, "time", ["dt"], "nothing")
+    recluster(spark, table, FROM.date(), UNTIL.date(), files=4)
+    return scan_telemetry(spark, table, start=FROM, end=UNTIL, devices=fx.DEVICES[1:3]).drop("dt")
+
+
 @_exact
 def late_samples(spark, sf_dir):
     """What a batch brings that is older than the batch before it allows."""

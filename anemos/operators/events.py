@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -93,12 +93,36 @@ def open_events(events: DataFrame, query: EventQuery) -> DataFrame:
     return filter_events(events, query).where(F.coalesce(_moment(events, "EndTime"), never) == never)
 
 
-def page_of(events: DataFrame, page: int, size: int, order: str = "asc") -> DataFrame:
+def ended(events: DataFrame) -> Column:
+    """Whether a message says that its event has ended."""
+    return F.coalesce(_moment(events, "EndTime") != naive(dt.datetime(1970, 1, 1)), F.lit(False))
+
+
+def version(events: DataFrame) -> Column:
+    """A text that is greater for a newer message of an event: by start, by confirmation, then by all that it says."""
+    times = [F.lpad(F.coalesce(F.unix_millis(_moment(events, name).cast("timestamp")), F.lit(0)).cast("string"), 20, "0")
+             for name in ("StartTime", "ConfirmedTime")]
+    return F.concat(*times, F.to_json(F.struct(*events.columns)))
+
+
+def open_now(messages: DataFrame) -> DataFrame:
+    """The newest message of each event of which no message says that it has ended. Messages without an id are left out."""
+    rows = messages.where("MessageId IS NOT NULL").select(
+        "MessageId", ended(messages).alias("_ended"), version(messages).alias("_version"), F.struct(*messages.columns).alias("_row"))
+    newest = rows.groupBy("MessageId").agg(F.max("_ended").alias("_ended"), F.max_by("_row", "_version").alias("_row"))
+    return newest.where("NOT _ended").select("_row.*")
+
+
+Counts = Callable[[str, "list[dt.datetime | None] | None"], list[tuple["dt.datetime | None", int]]]
+
+
+def page_of(events: DataFrame, page: int, size: int, order: str = "asc", counts_of: Counts | None = None) -> DataFrame:
     """One page in order of start time and message id.
 
     Events are counted per day and then, in the days that the page touches, per
     minute. The page is then a top-k among the minutes it lies in, however late it
-    is; no task holds the events before it. The counts are run when the page is asked for.
+    is; no task holds the events before it. The counts are run when the page is asked for, over the events, or are
+    those that ``counts_of`` has, given the unit (DAY or MINUTE) and the days to count in (None for all).
     """
     if order not in ORDERS:
         raise ValueError(f"order must be one of {', '.join(ORDERS)}")
@@ -107,10 +131,13 @@ def page_of(events: DataFrame, page: int, size: int, order: str = "asc") -> Data
     direction = ORDERS[order]
     skipped = (page - 1) * size
     keys = [direction("StartTime"), direction("MessageId")]
-    found = events
+    found, touched = events, None
     for unit in ("DAY", "MINUTE"):
         at = F.date_trunc(unit, _moment(events, "StartTime")).cast("timestamp_ntz")
-        counts = [(row["at"], row["n"]) for row in found.groupBy(at.alias("at")).agg(F.count(F.lit(1)).alias("n")).collect()]
+        if counts_of is not None:
+            counts = counts_of(unit, touched)
+        else:
+            counts = [(row["at"], row["n"]) for row in found.groupBy(at.alias("at")).agg(F.count(F.lit(1)).alias("n")).collect()]
         # Spark puts null times first in ascending order and last in descending order.
         counts.sort(key=lambda row: (row[0] is not None, row[0] or dt.datetime.min), reverse=order == "desc")
         touched, before = [], 0
@@ -134,6 +161,11 @@ def page_of(events: DataFrame, page: int, size: int, order: str = "asc") -> Data
     return found.orderBy(*keys).offset(skipped).limit(size)
 
 
+def filtered(query: EventQuery) -> EventQuery:
+    """The conditions of a query without its page."""
+    return replace(query, page=1, page_size=None)
+
+
 def history(events: DataFrame, query: EventQuery) -> DataFrame:
     """Filtered events in order, one page of them if a page size is given."""
     found = filter_events(events, query)
@@ -168,10 +200,13 @@ def decode(events: DataFrame) -> DataFrame:
 def flatten_nested(messages: DataFrame, children: str = "Relevant") -> DataFrame:
     """Nested messages as rows, each parent before its related events.
 
-    Adds ``root_id``, ``depth`` and ``position`` (place within the message). One
-    generator per row and no shuffle; the nesting may be as deep as the schema.
-    Where the schema keeps the related events of its last level as text, text there is an error.
+    Adds ``root_id``, ``depth`` and ``position`` (place within the message). Related events that are a
+    Variant are unfolded to any depth (:func:`flatten_variant`). Otherwise the nesting is as deep as the schema: one
+    generator per row and no shuffle; where the schema keeps the related events of its last level as text, text there is an error.
     """
+    if isinstance(messages.schema[children].dataType, T.VariantType):
+        return flatten_variant(messages, children)
+
     def related(data_type: T.StructType) -> T.StructType | None:
         if children not in data_type.fieldNames() or isinstance(data_type[children].dataType, T.StringType):
             return None
@@ -203,6 +238,57 @@ def flatten_nested(messages: DataFrame, children: str = "Relevant") -> DataFrame
     return listed.select("root_id", "position", "_event.*")
 
 
+# Levels of related events that one round of :func:`flatten_variant` unfolds.
+LEVELS_A_ROUND = 4
+
+
+def flatten_variant(messages: DataFrame, children: str = "Relevant") -> DataFrame:
+    """Messages whose related events are a Variant (an array of messages) as rows, however deep, as :func:`flatten_nested` does.
+
+    Rounds unfold some levels each, within a row and without a shuffle, and write what they found, so a lost executor repeats one
+    round; only messages that go deeper take part in the next. ``position`` follows from the places
+    on the way down, and is numbered within each message at the end. What is no array of messages is no related event.
+    """
+    names = [name for name in messages.columns if name != children]
+    types = {name: messages.schema[name].dataType.simpleString() for name in names}
+
+    def below(message: Column) -> Column:
+        return F.coalesce(F.try_variant_get(message, "$", "array<variant>"), F.array().cast("array<variant>"))
+
+    def unfold(related: Column, path: Column, levels: int) -> Column:
+        def one(message: Column, at: Column) -> Column:
+            here = F.concat(path, F.array(at))
+            inner = F.try_variant_get(message, f"$.{children}", "variant")
+            last = levels == 1
+            own = F.array(F.struct(
+                here.alias("path"), message.alias("message"), (inner if last else F.lit(None).cast("variant")).alias("deeper")))
+            return own if last else F.concat(own, unfold(inner, here, levels - 1))
+
+        return F.flatten(F.transform(below(related), one))
+
+    keyed = materialize(messages.withColumn("_row", F.monotonically_increasing_id()), "event-messages")
+    top = keyed.select("_row", F.array().cast("array<int>").alias("path"), *names)
+    parts = [top]
+    # Messages at the top have their fields as columns, those below are Variants.
+    left = keyed.where(F.col(children).isNotNull()).select("_row", F.array().cast("array<int>").alias("path"), F.col(children).alias("deeper"))
+    while True:
+        found = left.select("_row", F.explode(unfold(F.col("deeper"), F.col("path"), LEVELS_A_ROUND)).alias("_found"))
+        fields = [F.try_variant_get("_found.message", f"$.{name}", types[name]).alias(name) for name in names]
+        found = materialize(found.select("_row", "_found.path", *fields, "_found.deeper"), "event-levels")
+        if found.isEmpty():
+            break
+        parts.append(found.drop("deeper"))
+        left = found.where(F.col("deeper").isNotNull() & (F.size(below(F.col("deeper"))) > 0)).select("_row", "path", "deeper")
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    # A parent's path begins those of its related events, so it sorts before them.
+    order = Window.partitionBy("_row").orderBy("path")
+    first = F.first("MessageId").over(order)
+    return rows.select(
+        first.alias("root_id"), (F.row_number().over(order) - 1).alias("position"), F.size("path").alias("depth"), *names)
+
+
 def flatten_by_parent(events: DataFrame) -> DataFrame:
     """Events that name their parent in ``RelevantId``, with root, depth and path.
 

@@ -58,6 +58,16 @@ def merge_by_name(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.unionByName(right, allowMissingColumns=True).select(*names)
 
 
+def file_conflicts(file_columns: DataFrame) -> DataFrame:
+    """Columns of files (file, column, type), how many files have them, with which types, and whether that keeps the files
+    from being merged. Grouped in Spark: the number of files does not matter."""
+    return file_columns.groupBy("column").agg(
+        F.countDistinct("file").alias("files"),
+        F.array_join(F.array_sort(F.collect_set("type")), ", ").alias("types"),
+        (F.min("type") != F.max("type")).alias("conflict"),
+    )
+
+
 def schema_conflicts(spark: SparkSession, schemas: Iterable[T.StructType]) -> DataFrame:
     """Columns of any number of inputs, how many have them, with which types, and whether
     that keeps them from being merged."""

@@ -86,6 +86,46 @@ def file_inventory(files: DataFrame) -> DataFrame:
     return files.select("path").mapInArrow(read, INVENTORY_SCHEMA)
 
 
+# Spark's names of the types that files state, where they differ from Arrow's.
+_SPARK_NAMES = {
+    "int8": "tinyint", "int16": "smallint", "int32": "int", "int64": "bigint", "bool": "boolean", "date32[day]": "date",
+    "timestamp[us]": "timestamp_ntz", "timestamp[ms]": "timestamp_ntz", "large_string": "string",
+}
+
+
+def _schema_rows(uri: str) -> Iterator[dict]:
+    """One record per top-level column of a file."""
+    import pyarrow.fs as pafs
+    import pyarrow.parquet as pq
+    import pyarrow.types as types
+
+    def named(kind: pa.DataType) -> str:
+        if types.is_list(kind) or types.is_large_list(kind):
+            return f"array<{named(kind.value_type)}>"
+        if types.is_struct(kind):
+            return f"struct<{','.join(f'{field.name}:{named(field.type)}' for field in kind)}>"
+        if types.is_decimal(kind):
+            return f"decimal({kind.precision},{kind.scale})"
+        return "timestamp" if types.is_timestamp(kind) and kind.tz else _SPARK_NAMES.get(str(kind), str(kind))
+
+    filesystem, path = pafs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+    with filesystem.open_input_file(path) as handle:
+        for field in pq.read_schema(handle):
+            yield {"file": uri, "column": field.name, "type": named(field.type)}
+
+
+def file_schemas(files: DataFrame) -> DataFrame:
+    """file, column and type (in Spark's words) of every column of every file, from the footers."""
+    arrow = pa.schema([("file", pa.string()), ("column", pa.string()), ("type", pa.string())])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for uri in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_pylist(list(_schema_rows(uri)), schema=arrow)
+
+    return files.select("path").mapInArrow(read, "file string, column string, type string")
+
+
 def type_conflicts(inventory: DataFrame) -> DataFrame:
     """Columns, the types files give them, and whether those files can be merged.
 

@@ -5,7 +5,10 @@ from .arrivals import (
     stream_totals, write_stream,
 )
 
+from .open_events import keep_open_events, open_event_session
+
 __all__ = [
+    "keep_open_events", "open_event_session",
     "merge_arrivals", "merge_batch", "read_arrivals", "store_arrivals", "stream_reports", "stream_session",
     "stream_totals", "write_stream",
 ]

@@ -70,8 +70,18 @@ def write_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
+def without_replays(samples: DataFrame, within: str) -> DataFrame:
+    """A stream without rows that came before, all columns alike, not longer ago than ``within``.
+
+    State holds the rows of that time. The time is that of arrival, so late samples are no less kept than others.
+    """
+    timed = samples.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", within)
+    return timed.dropDuplicatesWithinWatermark(samples.columns).drop("_arrived")
+
+
 def merge_arrivals(samples: DataFrame, table: str, checkpoint: str, late_folder: str | None = None,
-                   delay: str = "10 minutes", store: str | None = None, hours: bool = False) -> StreamingQuery:
+                   delay: str = "10 minutes", store: str | None = None, hours: bool = False,
+                   replay: str | None = None) -> StreamingQuery:
     """Merge a stream of samples into a table with a log, by day, or by day and ``hours`` where days are large.
 
     For each turbine and time the last arrival wins; of copies within one batch
@@ -81,7 +91,10 @@ def merge_arrivals(samples: DataFrame, table: str, checkpoint: str, late_folder:
     more than ``delay`` are also listed in its table ``samples``; :func:`anemos.plans.redo_late` redoes their windows.
     With ``store``, blocks and reports of all windows that a batch touches are made anew at once, late ones
     as others (:func:`anemos.plans.redo_windows`).
+    With ``replay``, e.g. ``"2 days"``, a file that comes once more within that time touches nothing (:func:`without_replays`).
     """
+    if replay is not None:
+        samples = without_replays(samples, replay)
     return (
         samples.writeStream.option("checkpointLocation", checkpoint)
         .foreachBatch(lambda batch, batch_id: merge_batch(batch, batch_id, table, late_folder, delay, store, hours))
@@ -99,6 +112,8 @@ def merge_batch(batch: DataFrame, batch_id: int, table: str, late_folder: str |
         fresh = materialize(single, "arrivals")
         if late_folder is not None:
             _list_late(fresh, batch_id, late_folder, delay)
+        if fresh.isEmpty():
+            return
         merge_slices(fresh, table, keys, "time", hours)
         if store is not None:
             upkeep.redo_windows(materialize(upkeep.touched_windows(fresh), "windows"), table, store)

@@ -72,17 +72,48 @@ def test_a_very_long_chain_and_a_second_delivery(spark):
     assert {r.MessageId: r.depth for r in got.collect()} == {str(n): n for n in range(1_000)} and got.count() == 1_000
 
 
-def test_deep_messages_are_read_whole_or_refused(spark, tmp_path):
-    import json
-
-    message = None
-    for n in range(6, -1, -1):
-        message = {"MessageId": str(n), "Relevant": [message] if message else []}
-    (tmp_path / "m.json").write_text(json.dumps(message))
-    deep = events.flatten_nested(read_messages(spark, str(tmp_path / "m.json")))
-    assert [r.MessageId for r in deep.orderBy("position").collect()] == [str(n) for n in range(7)]
+def test_messages_of_any_depth(spark, tmp_path):
+    """Fifty levels give fifty rows; side branches keep their places."""
+    deep = message("0.49", 1)
+    for n in reversed(range(49)):
+        deep = message(f"0.{n}", 1, [deep, message(f"0.{n}.side", 2)] if n % 10 == 0 else [deep])
+    (tmp_path / "m.json").write_text("\n".join(json.dumps(m) for m in (deep, message("z", 9), message("y", 1, []))), encoding="utf-8")
+    flat = events.flatten_nested(read_messages(spark, str(tmp_path / "m.json")))
+    rows = [r for r in flat.orderBy("position").collect() if r.root_id == "0.0"]
+    trunk = [f"0.{n}" for n in range(50)]
+    sides = [f"0.{n}.side" for n in (40, 30, 20, 10, 0)]
+    assert [r.MessageId for r in rows] == trunk + sides
+    assert [r.depth for r in rows] == [*range(50), 41, 31, 21, 11, 1]
+    assert sorted(r.MessageId for r in flat.collect() if r.depth == 0) == ["0.0", "y", "z"]
+
+
+def test_variant_and_typed_messages_agree(spark, tmp_path):
+    trees = [message(f"r{n}", n, [message(f"r{n}.a", 1, [message(f"r{n}.b", 2), message(f"r{n}.c", 3)]), message(f"r{n}.d", 4)]) for n in range(5)]
+    (tmp_path / "m.json").write_text("\n".join(json.dumps(m) for m in trees), encoding="utf-8")
+    typed = events.flatten_nested(spark.createDataFrame(trees, message_schema(3)))
+    free = events.flatten_nested(read_messages(spark, str(tmp_path / "m.json")))
+    assert free.columns == typed.columns and free.dtypes == typed.dtypes
+    assert sorted(map(str, free.collect())) == sorted(map(str, typed.collect()))
+
+
+def test_what_is_no_message(spark, tmp_path):
+    lines = ['{"MessageId": "a", "EventLevel": "high", "Relevant": "none"}', "no json", '{"MessageId": "b", "Relevant": [1, {"MessageId": "c"}]}',
+             '{"MessageId": "d", "Relevant": null}', "{}"]
+    (tmp_path / "m.json").write_text("\n".join(lines), encoding="utf-8")
+    flat = events.flatten_nested(read_messages(spark, str(tmp_path / "m.json"))).collect()
+    assert sorted((str(r.root_id), r.position, r.depth, str(r.MessageId)) for r in flat) == sorted([
+        ("a", 0, 0, "a"), ("None", 0, 0, "None"), ("b", 0, 0, "b"), ("b", 1, 1, "None"), ("b", 2, 1, "c"), ("d", 0, 0, "d"), ("None", 0, 0, "None")])
+    assert all(r.EventLevel is None for r in flat)
+
+
+def test_deep_text_is_refused(spark, tmp_path):
+    """Messages typed by hand, with a schema that is too shallow."""
+    deep = message("6")
+    for n in reversed(range(6)):
+        deep = message(str(n), 1, [deep])
+    (tmp_path / "m.json").write_text(json.dumps(deep), encoding="utf-8")
     with pytest.raises(Exception, match="nested deeper"):
-        events.flatten_nested(read_messages(spark, str(tmp_path / "m.json"), depth=3)).collect()
+        events.flatten_nested(spark.read.schema(message_schema(3)).json(str(tmp_path / "m.json"))).collect()
 
 
 def test_empty_conditions_keep_everything(decoded):
@@ -159,3 +190,34 @@ def test_columns_need_field_and_title(column):
 def test_select_fields(decoded):
     assert events.select_fields(decoded).columns == list(events.EVENT_FIELDS)
     assert events.select_fields(decoded, ["Device", "Nothing"]).columns == ["Device"]
+
+
+def test_open_events_follow_the_messages(spark, tmp_path):
+    """After each batch the table is what one query over all messages so far gives; messages come in any order, some twice."""
+    from anemos import streaming
+    from anemos.sinks import read_table, snapshot
+
+    rng = random.Random(4)
+    schema = "MessageId string, Device string, EventLevel int, StartTime long, EndTime long, ConfirmedTime long"
+    rows = []
+    for n in range(60):
+        versions = [(f"m{n}", f"d{n % 3}", v, 1000 * n, None, v or None) for v in range(rng.randrange(1, 4))]
+        if n % 3 == 0:
+            versions.append((f"m{n}", f"d{n % 3}", 9, 1000 * n, 1000 * n + 5, 7))
+        rows += versions + versions[:1]
+    rows += [(None, "d0", 1, 1, None, None), ("zero", "d0", 1, 5, 0, None)]
+    rng.shuffle(rows)
+    session = streaming.open_event_session(spark, 2)
+    source, table, state = (str(tmp_path / name) for name in ("in", "table", "state"))
+    typed = spark.createDataFrame([], schema).schema
+    seen = []
+    for n in range(3):
+        part = rows[n::3]
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(source)
+        seen += part
+        streaming.keep_open_events(streaming.read_arrivals(session, source, typed), table, state).awaitTermination()
+        want = events.open_now(spark.createDataFrame(seen, schema))
+        got = read_table(spark, table)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        assert got.where("MessageId = 'm3'").count() == int(not any(r[0] == "m3" and r[4] for r in seen) and any(r[0] == "m3" for r in seen))
+    assert snapshot(spark, table).version == 2

@@ -147,3 +147,22 @@ def test_stream_session_leaves_the_other_alone(spark):
     assert session.conf.get("spark.sql.shuffle.partitions") == "3"
     assert session.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_a_replayed_file_touches_nothing(spark, tmp_path):
+    source, table, state, late = (str(tmp_path / n) for n in ("in", "table", "state", "late"))
+    noon, schema = dt.datetime(2024, 5, 1, 12), spark.createDataFrame([], SAMPLE).schema
+    rows = [(noon, "A", 1), (noon + dt.timedelta(days=1), "B", 2)]
+
+    def run():
+        stream = streaming.read_arrivals(spark, source, schema)
+        streaming.merge_arrivals(stream, table, state, late, replay="2 days").awaitTermination()
+        return snapshot(spark, table).version, sorted(r.v for r in read_table(spark, table).collect())
+
+    arrive(spark, source, rows)
+    assert run() == (0, [1, 2])
+    arrive(spark, source, rows)
+    assert run() == (0, [1, 2])
+    # a late sample and a corrected one are no replays
+    arrive(spark, source, [(noon - dt.timedelta(days=9), "A", 7), (noon, "A", 5)])
+    assert run() == (1, [2, 5, 7])
