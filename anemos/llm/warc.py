@@ -8,8 +8,9 @@ archives in the folder given, under names that no other attempt uses; the table
 archives that the job returns holds those of successful attempts only.
 
 Reading: each archive is read from its start in blocks of 64 KB. zlib inflates one
-member at a time, Content-Length frames the block, and block and payload digests are
-verified; anything that does not add up raises an error with archive and offset.
+member at a time, Content-Length frames the block while it is inflated, and block and payload digests are
+verified as it goes by; anything that does not add up raises an error with archive and offset. Archives of other
+writers are read, too: records of any type, digests in SHA-1 or base 32, ids that name no page.
 
 Archives are opened through ``pyarrow.fs`` by the folder's URI, so the folder may lie in
 any store that pyarrow knows.
@@ -17,6 +18,7 @@ any store that pyarrow knows.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import uuid
 import zlib
@@ -34,11 +36,13 @@ MIN_REVISIT = 100
 SALTS = 32
 BLOCK = 1 << 16
 ARCHIVE_BYTES = 1 << 28
+HEADER_BYTES = 1 << 20
+ALGORITHMS = ("sha256", "sha1", "md5", "sha512")
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _ID = "urn:x-page:"
 
-RECORDS = "page_id bigint, record_type string, refers_to bigint, url string, payload_bytes bigint, payload_digest string, payload binary"
+RECORDS = "page_id bigint, record_type string, refers_to bigint, url string, payload_bytes bigint, payload_digest string, payload binary, record_id string, refers_to_id string"
 
 
 def _page_uri(page_id: int | None) -> str:
@@ -48,8 +52,10 @@ def _page_uri(page_id: int | None) -> str:
 def _page_of(uri: str | None) -> int | None:
     if uri is None:
         return None
-    name = uri.strip().removeprefix("<").removesuffix(">").removeprefix(_ID)
-    return None if name == "null" else int(name)
+    name = uri.strip().removeprefix("<").removesuffix(">")
+    # The id of another writer's record names no page.
+    number = name.removeprefix(_ID) if name.startswith(_ID) else ""
+    return int(number) if number.removeprefix("-").isdecimal() else None
 
 
 def _one_line(url: str) -> str:
@@ -133,66 +139,163 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     return materialize(with_revisits(pages).mapInArrow(write, "path string, records bigint, bytes bigint"), "warc-archives")
 
 
-def _members(stream, where: str) -> Iterator[tuple[int, bytes]]:
-    """Offset and content of each gzip member, inflated block by block."""
-    offset, data = 0, stream.read(BLOCK)
-    while data:
-        inflate, parts, start = zlib.decompressobj(31), [], offset
-        while not inflate.eof:
-            if not data:
-                raise ValueError(f"{where}: the member at {start} is cut off")
-            parts.append(inflate.decompress(data))
-            offset += len(data) - len(inflate.unused_data)
-            data = inflate.unused_data or (stream.read(BLOCK) if not inflate.eof else b"")
-        yield start, b"".join(parts)
-        data = data or stream.read(BLOCK)
-
-
-def _headers(block: bytes, start: int, where: str) -> tuple[str, dict[str, str], int]:
-    end = block.find(b"\r\n\r\n", start)
-    if end < 0:
-        raise ValueError(f"{where}: a header without end")
-    first, *lines = block[start:end].decode("utf-8").split("\r\n")
-    return first, {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}, end + 4
-
-
-def _verified(data: bytes, claim: str | None, where: str, what: str) -> str:
-    found = hashlib.sha256(data).hexdigest()
-    if claim is not None and claim.partition(":")[2] != found:
-        raise ValueError(f"{where}: {what} digest does not match")
-    return found
-
-
-def parse_record(data: bytes, where: str) -> tuple:
-    """A row of ``RECORDS`` from an inflated member."""
-    version, head, at = _headers(data, 0, where)
+class _Member:
+    """One gzip member of a stream, inflated block by block as its content is asked for."""
+
+    def __init__(self, stream, data: bytes, offset: int, where: str):
+        self.stream, self.data, self.offset, self.where = stream, data, offset, f"{where} at {offset}"
+        self.inflate, self.ready = zlib.decompressobj(31), b""
+
+    def more(self) -> bool:
+        """Inflate another block; False at the end of the member."""
+        while not self.inflate.eof:
+            if not self.data:
+                self.data = self.stream.read(BLOCK)
+                if not self.data:
+                    raise ValueError(f"{self.where}: the member is cut off")
+            try:
+                found = self.inflate.decompress(self.data, BLOCK)
+            except zlib.error as error:
+                raise ValueError(f"{self.where}: {error}") from error
+            left = self.inflate.unused_data if self.inflate.eof else self.inflate.unconsumed_tail
+            self.offset += len(self.data) - len(left)
+            self.data = left
+            if found:
+                self.ready += found
+                return True
+        return False
+
+    def header(self, most: int = HEADER_BYTES) -> bytes:
+        """What comes before the next empty line."""
+        while (end := self.ready.find(b"\r\n\r\n")) < 0:
+            if len(self.ready) > most or not self.more():
+                raise ValueError(f"{self.where}: a header without end")
+        found, self.ready = self.ready[:end], self.ready[end + 4:]
+        return found
+
+    def take(self, size: int) -> Iterator[bytes]:
+        """The next ``size`` bytes, in parts."""
+        while size:
+            if not self.ready and not self.more():
+                raise ValueError(f"{self.where}: Content-Length does not frame the block")
+            part, self.ready = self.ready[:size], self.ready[size:]
+            size -= len(part)
+            yield part
+
+    def close(self) -> None:
+        """The member must end here, with the two line ends behind a block."""
+        while self.more():
+            if len(self.ready) > 4:
+                break
+        if self.ready != b"\r\n\r\n":
+            raise ValueError(f"{self.where}: Content-Length does not frame the block")
+
+
+def _fields(header: bytes, where: str) -> tuple[str, dict[str, str]]:
+    try:
+        first, *lines = header.decode("utf-8").split("\r\n")
+    except UnicodeDecodeError as error:
+        raise ValueError(f"{where}: a header that is no UTF-8") from error
+    return first, {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
+
+
+def _number(fields: dict[str, str], where: str) -> int:
+    text = fields.get("content-length", "")
+    if not text.isdecimal():
+        raise ValueError(f"{where}: Content-Length is {text or 'missing'}")
+    return int(text)
+
+
+class _Digest:
+    """A digest as a header claims it (``sha256:`` or ``sha1:`` and so on, in hexadecimal or base 32), taken part by part.
+    One of an algorithm that is not known here cannot be verified."""
+
+    def __init__(self, claim: str | None, where: str, what: str):
+        name, _, self.text = (claim or "").partition(":")
+        name = name.strip().lower().replace("-", "")
+        self.hash = hashlib.new(name) if name in ALGORITHMS else None
+        self.where, self.what = where, what
+
+    def update(self, part: bytes) -> None:
+        if self.hash is not None:
+            self.hash.update(part)
+
+    def verify(self) -> None:
+        if self.hash is None:
+            return
+        found, text = self.hash.digest(), self.text.strip()
+        base32 = base64.b32encode(found).decode()
+        if text.lower() != found.hex() and text.upper().rstrip("=") != base32.rstrip("="):
+            raise ValueError(f"{self.where}: {self.what} digest does not match")
+
+
+def _record(member: _Member, payloads: bool) -> tuple:
+    """A row of ``RECORDS``: framed, hashed and verified while the member is inflated."""
+    version, head = _fields(member.header(), member.where)
     if not version.startswith("WARC/"):
-        raise ValueError(f"{where}: not a WARC record")
-    length = int(head["content-length"])
-    block = data[at:at + length]
-    if len(block) != length or data[at + length:] != b"\r\n\r\n":
-        raise ValueError(f"{where}: Content-Length does not frame the block")
-    _verified(block, head.get("warc-block-digest"), where, "block")
-    _, http, body = _headers(block, 0, where)
-    size, kind = int(http["content-length"]), head["warc-type"]
+        raise ValueError(f"{member.where}: not a WARC record")
+    kind, length = head.get("warc-type", ""), _number(head, member.where)
+    block = _Digest(head.get("warc-block-digest"), member.where, "block")
     claim = head.get("warc-payload-digest")
-    if kind == "revisit":
-        digest, payload = claim.partition(":")[2], None
-    else:
-        payload = block[body:]
-        if len(payload) != size:
-            raise ValueError(f"{where}: the payload has {len(payload)} bytes instead of {size}")
-        digest = _verified(payload, claim, where, "payload")
-    return (_page_of(head["warc-record-id"]), kind, _page_of(head.get("warc-refers-to")),
-            head.get("warc-target-uri"), size, digest, payload)
+    revisit = kind == "revisit"
+    payload = _Digest(None if revisit else claim, member.where, "payload")
+    own, parts, size, http, told = hashlib.sha256(), [], 0, None, None
+    is_http = head.get("content-type", "").lower().startswith("application/http") and length > 0
+    waiting = b""
+    for part in member.take(length):
+        block.update(part)
+        if is_http and http is None:
+            # The HTTP header comes first; what follows its empty line is the payload.
+            waiting += part
+            end = waiting.find(b"\r\n\r\n")
+            if end < 0:
+                if len(waiting) > HEADER_BYTES:
+                    break
+                continue
+            _, http = _fields(waiting[:end], member.where)
+            part = waiting[end + 4:]
+        payload.update(part)
+        own.update(part)
+        size += len(part)
+        if payloads and not revisit:
+            parts.append(part)
+    if is_http and http is None:
+        raise ValueError(f"{member.where}: a header without end")
+    member.close()
+    block.verify()
+    payload.verify()
+    if http is not None and "content-length" in http and "transfer-encoding" not in http:
+        told = _number(http, member.where)
+        if not revisit and told != size:
+            raise ValueError(f"{member.where}: the payload has {size} bytes instead of {told}")
+    digest = own.hexdigest()
+    if revisit:
+        # A revisit has no payload; what it says of it is told on.
+        size, digest = told, claim.partition(":")[2] if claim else None
+    record, refers = head.get("warc-record-id"), head.get("warc-refers-to")
+    return (_page_of(record), kind, _page_of(refers), head.get("warc-target-uri"), size, digest,
+            b"".join(parts) if payloads and not revisit else None, record, refers)
+
+
+def records(stream, where: str, payloads: bool = True) -> Iterator[tuple]:
+    """Rows of ``RECORDS`` from an archive, read from its start: one gzip member per record.
+
+    Records of any type are read; only those of ``application/http`` have an HTTP header before their payload. Memory holds a block, a
+    header, and, if asked for, a payload. Whatever does not add up is a ValueError that names archive and offset.
+    """
+    data, offset = stream.read(BLOCK), 0
+    while data:
+        member = _Member(stream, data, offset, where)
+        yield _record(member, payloads)
+        data, offset = member.data or stream.read(BLOCK), member.offset
 
 
 def read_archives(archives: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
     """The records of all archives listed (a column ``path``), as ``RECORDS``; without
     ``payloads`` they are read and verified but not returned."""
     send_with_tasks(__name__)
-    fields = ("page_id", "record_type", "refers_to", "url", "payload_bytes", "payload_digest", "payload")
-    kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary())
+    fields = ("page_id", "record_type", "refers_to", "url", "payload_bytes", "payload_digest", "payload", "record_id", "refers_to_id")
+    kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary(), pa.string(), pa.string())
 
     def batch(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=list(fields))
@@ -203,10 +306,9 @@ def read_archives(archives: DataFrame, folder: str, payloads: bool = True) -> Da
             for path in listed.column("path").to_pylist():
                 rows, size = [], 0
                 with store.open_input_stream(path, compression=None) as stream:
-                    for offset, data in _members(stream, path):
-                        row = parse_record(data, f"{path} at {offset}")
-                        rows.append(row if payloads else (*row[:-1], None))
-                        size += len(data)
+                    for row in records(stream, path, payloads):
+                        rows.append(row)
+                        size += len(row[6] or b"")
                         if len(rows) >= 1000 or size >= 1 << 24:
                             yield batch(rows)
                             rows, size = [], 0

@@ -535,18 +535,78 @@ def test_warc_reads_in_many_tasks(spark, tmp_path):
     assert len(tasks) > min(archives.count(), 8) / 2
 
 
-def test_warc_verifies():
-    data = warc.record_bytes(1, "http://a", b"x" * 200, hashlib.sha256(b"x" * 200).hexdigest(), None, False)
+def _packed(text):
+    import gzip
+
+    return gzip.compress(text)
+
+
+def _read(data, **options):
     import io
 
-    (_, text), = warc._members(io.BytesIO(data), "here")
-    assert warc.parse_record(text, "here")[4] == 200
-    with pytest.raises(ValueError, match="digest"):
-        warc.parse_record(text.replace(b"xxx", b"xyx", 1), "here")
-    with pytest.raises(ValueError, match="frame"):
-        warc.parse_record(text[:-6] + text[-4:], "here")
-    with pytest.raises(ValueError, match="cut off"):
-        list(warc._members(io.BytesIO(data[:-9]), "here"))
+    return list(warc.records(io.BytesIO(data), "here", **options))
+
+
+def test_warc_verifies():
+    import gzip
+
+    data = warc.record_bytes(1, "http://a", b"x" * 200, hashlib.sha256(b"x" * 200).hexdigest(), None, False)
+    text = gzip.decompress(data)
+    (row,) = _read(data)
+    assert row[4] == 200 and row[6] == b"x" * 200
+    good = len(data)
+    for wrong, error in (
+        (_packed(text.replace(b"xxx", b"xyx", 1)), "digest"), (_packed(text[:-6] + text[-4:]), "frame"), (data[:-9], "cut off"),
+        (_packed(text + b"more"), "frame"), (_packed(text.replace(b"Content-Length: 200", b"Content-Length: 201")), "digest|instead"),
+        (_packed(b"GET / HTTP/1.1\r\n\r\n"), "not a WARC"), (_packed(b"WARC/1.1\r\nWARC-Type: response\r\n\r\n"), "Content-Length is missing"),
+        (_packed(b"WARC/1.1\r\nno end"), "without end"), (_packed(b"WARC/1.1\r\nX: \xff\r\n\r\n"), "UTF-8"),
+    ):
+        with pytest.raises(ValueError, match=f"here at {good}: .*({error})"):
+            _read(data + wrong)
+    for at in range(0, len(data), 7):
+        flipped = data[:at] + bytes([data[at] ^ 0x10]) + data[at + 1:]
+        try:
+            _read(data + flipped)
+        except ValueError as wrong:
+            assert str(wrong).startswith(f"here at {good}: ")
+        else:
+            assert 4 <= at < 10  # times and names in a gzip header change nothing
+
+
+def test_warc_of_other_writers():
+    """Records without HTTP, other digests, foreign ids, transfer codings, empty blocks."""
+    import base64
+
+    def record(kind, block, *head):
+        lines = [b"WARC/1.0", b"WARC-Type: " + kind, b"WARC-Record-ID: <urn:uuid:1234>", *head, b"Content-Length: %d" % len(block)]
+        return _packed(b"\r\n".join(lines) + b"\r\n\r\n" + block + b"\r\n\r\n")
+
+    def sha1(data):
+        return b"sha1:" + base64.b32encode(hashlib.sha1(data).digest())
+
+    body = b"<html>" + b"y" * 300_000
+    plain = b"HTTP/1.1 200 OK\r\nContent-Length: %d\r\n\r\n" % len(body) + body
+    chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\nContent-Length: 1\r\n\r\n5\r\nhello\r\n0\r\n\r\n"
+    http = b"Content-Type: application/http; msgtype=response"
+    data = b"".join([
+        record(b"warcinfo", b"software: x\r\n", b"Content-Type: application/warc-fields", b"WARC-Block-Digest: " + sha1(b"software: x\r\n")),
+        record(b"response", plain, http, b"WARC-Block-Digest: " + sha1(plain), b"WARC-Payload-Digest: " + sha1(body)),
+        record(b"request", b"GET / HTTP/1.1\r\nHost: a\r\n\r\n", b"Content-Type: application/http; msgtype=request"),
+        record(b"response", chunked, http),
+        record(b"resource", b"", b"Content-Type: text/plain"),
+        record(b"metadata", b"a: b", b"WARC-Block-Digest: blake9:abc"),
+        record(b"revisit", b"HTTP/1.1 200 OK\r\nContent-Length: 300006\r\n\r\n", http, b"WARC-Payload-Digest: " + sha1(body),
+               b"WARC-Refers-To: <urn:uuid:77>"),
+    ])
+    rows = _read(data)
+    assert [(r[1], r[4]) for r in rows] == [
+        ("warcinfo", 13), ("response", len(body)), ("request", 0), ("response", 15), ("resource", 0), ("metadata", 4), ("revisit", 300_006)]
+    assert rows[1][6] == body and rows[1][5] == hashlib.sha256(body).hexdigest() and rows[6][6] is None
+    assert all(r[0] is None and r[7] == "<urn:uuid:1234>" for r in rows) and rows[6][8] == "<urn:uuid:77>"
+    assert [r[:6] for r in _read(data, payloads=False)] == [r[:6] for r in rows]
+    wrong = data.replace(b"", b"", 0) + record(b"response", plain, http, b"WARC-Payload-Digest: " + sha1(b"other"))
+    with pytest.raises(ValueError, match=f"here at {len(data)}: payload digest"):
+        _read(wrong)
 
 
 def test_tokens_and_packing(docs):
