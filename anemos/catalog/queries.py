@@ -654,8 +654,9 @@ def merge_arrivals_by_name(spark, sf_dir):
 def device_month(spark, sf_dir):
     """Two turbines over most of a month, from a table that came in parts and was then laid out by turbine and time."""
     samples, table = fx.telemetry(spark, sf_dir).select("time", "turbine", "MC004", "MC143"), scratch_path(spark, "layout")
-    for part in range(2):
-        commit(samples.where(F.col("MC143") % 20 == part * 10).withColumn("dt", F.to_date("time")), table, "time", ["dt"], "nothing")
+    running = F.col("MC143") == 120
+    for part in (running, ~running):
+        commit(samples.where(part).withColumn("dt", F.to_date("time")), table, "time", ["dt"], "nothing")
     recluster(spark, table, FROM.date(), UNTIL.date(), files=4)
     return scan_telemetry(spark, table, start=FROM, end=UNTIL, devices=fx.DEVICES[1:3]).drop("dt")
 
