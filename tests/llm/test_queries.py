@@ -6,6 +6,7 @@ import compare
 import pytest
 
 import corpus_pipeline
+from anemos.session import materialize
 from anemos.llm import oracle, queries
 
 
@@ -19,7 +20,7 @@ def test_pipeline(spark, sf_dir):
     columns = docs.columns
     before = docs.count()
     for name, stage in corpus_pipeline.STAGES[:3]:
-        docs = corpus_pipeline.materialize(stage(spark, docs, sf_dir), name)
+        docs = materialize(stage(spark, docs, sf_dir), name)
         assert docs.columns == columns
         assert 0 < docs.count() <= before
         before = docs.count()
