@@ -634,6 +634,7 @@ def oracle_sql() -> dict[str, str]:
               <= (SELECT date_trunc('millisecond', max(time)) FROM telemetry) - INTERVAL 10 MINUTE"""),
         "events_open_stream": _with(M, select=_OPEN_NOW),
         "events_open_now": _with(M, select=_OPEN_NOW),
+        "replayed_files": _with(T, select="SELECT time, turbine, MC004 FROM telemetry"),
         "files_named": "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag FROM lineitem",
         "merge_files": """
             SELECT o_orderkey, o_custkey, o_orderstatus,

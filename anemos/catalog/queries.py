@@ -13,7 +13,7 @@ from .. import sources
 from ..functions.buckets import naive, time_bucket
 from ..functions.filenames import device_of, report_time_of, sample_time_of
 from ..functions.levels import level_number, level_text
-from ..operators import availability, blocks, conditions, duplicates, energy, events, metrics, periods, reports, schemas
+from ..operators import availability, blocks, conditions, duplicates, energy, events, metrics, periods, power_model, reports, schemas
 from ..operators.peers import mean_winds, nearest_peers
 from ..operators.resample import in_range, resample
 from ..plans import event_store, jobs, upkeep
@@ -26,7 +26,7 @@ from ..sources import (
     file_inventory, file_schemas, list_files, read_grid_dates, read_turbine_info, report_rows, scan_arrivals, scan_files_named, scan_reports,
     scan_telemetry, standard_curves,
 )
-from ..streaming import keep_open_events, open_event_session, read_arrivals, stream_reports, stream_session, write_stream
+from ..streaming import keep_open_events, merge_arrivals, open_event_session, read_arrivals, stream_reports, stream_session, write_stream
 from ..streaming.arrivals import merge_batch
 from . import fixtures as fx
 
@@ -459,6 +459,18 @@ def pba_expected_forest(spark, sf_dir):
     return _expected(spark, energy.five_minute_rows(_sums(spark, sf_dir)), "forest")
 
 
+@_query
+def pba_model(spark, sf_dir):
+    """How far forests learnt from the even days are off on the odd days, per type, and how much power varies there."""
+    rows = materialize(energy.with_turbine_info(energy.five_minute_rows(_sums(spark, sf_dir)), fx.turbine_info(spark)), "model-rows")
+    even = F.dayofmonth("w") % 2 == 0
+    models = power_model.fit_power(rows.where(even))
+    made = power_model.with_model_power(rows.where(~even & (F.col("label") == conditions.NORMAL)), models)
+    return made.groupBy("turbine_type").agg(
+        F.count("model_power").alias("rows"), F.sqrt(F.avg(F.pow(F.col("model_power") - F.col("power"), 2))).alias("error"),
+        F.stddev_pop("power").alias("spread"))
+
+
 def _energy_rows(spark, sf_dir):
     sums = materialize(_sums(spark, sf_dir), "condition-sums")
     both = energy.five_minute_rows(sums).unionByName(energy.ten_minute_rows(sums))
@@ -589,6 +601,18 @@ def stream_ten_minute(spark, sf_dir):
     return spark.read.schema(rows.schema).parquet(out)
 
 
+@_exact
+def replayed_files(spark, sf_dir):
+    """The table of samples after a stream in which each file comes twice."""
+    samples = fx.telemetry(spark, sf_dir).select("time", "turbine", "MC004")
+    folder, table, state = (scratch_path(spark, f"replay-{name}") for name in ("in", "table", "state"))
+    session = stream_session(spark)
+    for _ in range(2):
+        samples.repartition(1).write.mode("append").parquet(folder)
+        merge_arrivals(read_arrivals(session, folder, samples.schema), table, state, replay="2 days").awaitTermination()
+    return read_table(spark, table).drop("dt")
+
+
 def _event_batches(spark, sf_dir):
     """Messages in three files: some events, then the others and the ends of some of the first, then older messages of ended ones."""
     messages = fx.messages(spark, sf_dir).select("MessageId", "FarmCode", "Device", "EventLevel", "StartTime", "EndTime", "ConfirmedTime")
