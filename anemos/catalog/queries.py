@@ -614,7 +614,7 @@ def replayed_files(spark, sf_dir):
 
 
 def _event_batches(spark, sf_dir):
-    """Messages in three files: some events, then the others and the ends of some of the first, then older messages of ended ones."""
+    """Messages in three batches: some events, then the others and the ends of some of the first, then older messages of ended ones."""
     messages = fx.messages(spark, sf_dir).select("MessageId", "FarmCode", "Device", "EventLevel", "StartTime", "EndTime", "ConfirmedTime")
     number = F.col("MessageId").cast("bigint")
     early, ends = number % 3 != 0, (number % 10 == 2) & (number % 3 != 0)
@@ -626,11 +626,10 @@ def _event_batches(spark, sf_dir):
 def events_open_stream(spark, sf_dir):
     """The table of open events after a stream of three batches."""
     folder, table, state = (scratch_path(spark, f"open-{name}") for name in ("in", "table", "state"))
-    for n, batch in enumerate(_event_batches(spark, sf_dir)):
-        batch.repartition(1).write.mode("append").parquet(folder)
     session = open_event_session(spark)
-    arriving = read_arrivals(session, folder, batch.schema, files_per_batch=1)
-    keep_open_events(arriving, table, state).awaitTermination()
+    for batch in _event_batches(spark, sf_dir):
+        batch.write.mode("append").parquet(folder)
+        keep_open_events(read_arrivals(session, folder, batch.schema), table, state).awaitTermination()
     return read_table(spark, table)
 
 

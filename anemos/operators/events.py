@@ -105,12 +105,19 @@ def version(events: DataFrame) -> Column:
     return F.concat(*times, F.to_json(F.struct(*events.columns)))
 
 
+def newest_messages(messages: DataFrame) -> DataFrame:
+    """Per event whether a message says that it has ended (``_ended``), and of its other messages the newest (``_row``) with its
+    version. Messages without an id are left out."""
+    over = ended(messages)
+    rows = messages.where("MessageId IS NOT NULL").select(
+        "MessageId", over.alias("_ended"), F.when(~over, version(messages)).alias("_version"), F.when(~over, F.struct(*messages.columns)).alias("_row"))
+    return rows.groupBy("MessageId").agg(
+        F.max("_ended").alias("_ended"), F.max("_version").alias("_version"), F.max_by("_row", "_version").alias("_row"))
+
+
 def open_now(messages: DataFrame) -> DataFrame:
     """The newest message of each event of which no message says that it has ended. Messages without an id are left out."""
-    rows = messages.where("MessageId IS NOT NULL").select(
-        "MessageId", ended(messages).alias("_ended"), version(messages).alias("_version"), F.struct(*messages.columns).alias("_row"))
-    newest = rows.groupBy("MessageId").agg(F.max("_ended").alias("_ended"), F.max_by("_row", "_version").alias("_row"))
-    return newest.where("NOT _ended").select("_row.*")
+    return newest_messages(messages).where("NOT _ended").select("_row.*")
 
 
 Counts = Callable[[str, "list[dt.datetime | None] | None"], list[tuple["dt.datetime | None", int]]]

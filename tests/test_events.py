@@ -221,3 +221,88 @@ def test_open_events_follow_the_messages(spark, tmp_path):
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
         assert got.where("MessageId = 'm3'").count() == int(not any(r[0] == "m3" and r[4] for r in seen) and any(r[0] == "m3" for r in seen))
     assert snapshot(spark, table).version == 2
+
+
+OPEN_SCHEMA = "MessageId string, Device string, StartTime long, EndTime long, ConfirmedTime long"
+
+
+def test_open_events_need_no_state_of_their_own_per_id(spark, tmp_path):
+    """Ids are matched by joins; no function runs and no state store is asked once per id. A batch may have many files."""
+    from anemos import streaming
+    from anemos.sinks import read_table
+
+    session = streaming.open_event_session(spark, 2)
+    source, table, state = (str(tmp_path / name) for name in ("in", "table", "state"))
+    first = spark.range(2000).selectExpr(
+        "CAST(id AS STRING) AS MessageId", "'d' AS Device", "id AS StartTime", "IF(id % 2 = 0, id + 1, NULL) AS EndTime", "CAST(NULL AS BIGINT) AS ConfirmedTime")
+    ends = first.where("StartTime % 3 = 0").withColumn("EndTime", F.col("StartTime") + 2)
+    older = first.where("StartTime % 3 = 0").withColumn("EndTime", F.lit(None).cast("long"))
+    for part in (first, ends, older):
+        part.repartition(3).write.mode("append").parquet(source)
+        query = streaming.keep_open_events(streaming.read_arrivals(session, source, part.schema), table, state)
+        query.awaitTermination()
+        assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [part.count()]
+        assert not any(p["stateOperators"] for p in query.recentProgress)
+    got = {int(row["MessageId"]) for row in read_table(spark, table).collect()}
+    assert got == {n for n in range(2000) if n % 2 and n % 3}
+
+
+def test_open_event_changes_are_found_without_python(spark):
+    from anemos.streaming.open_events import open_event_changes
+
+    rows = spark.createDataFrame([("a", "d", 1, None, None), ("b", "d", 1, None, None), ("c", "d", 2, 0, None), ("d", "d", 1, 9, None),
+                                  ("e", "d", 1, 9, None), ("f", "d", 1, None, None), (None, "d", 1, None, None)], OPEN_SCHEMA)
+    held = spark.createDataFrame([("a", "d", 1, None, None), ("b", "d", 1, None, 5), ("c", "d", 1, None, 7), ("d", "d", 1, None, None)], OPEN_SCHEMA)
+    changes = open_event_changes(rows, held, spark.createDataFrame([("f",)], "MessageId string"))
+    assert sorted((row["MessageId"], row["_ended"]) for row in changes.collect()) == [("c", False), ("d", True), ("e", True)]
+    assert not any(word in changes._jdf.queryExecution().toString() for word in ("Python", "Pandas"))
+
+
+def test_ended_events_are_forgotten(spark, tmp_path):
+    """An end is known until a batch has come ``forget`` later; then an older message opens the event again."""
+    from anemos.sinks import read_table
+    from anemos.streaming.open_events import merge_messages
+
+    table, ended = str(tmp_path / "table"), str(tmp_path / "ended")
+    start = dt.datetime(2024, 1, 9, 22, 30)
+
+    def come(number, hours, *rows):
+        batch = spark.createDataFrame([(name, "d", 1, end, None) for name, end in rows], OPEN_SCHEMA)
+        merge_messages(batch, table, ended, ("stream", number), start + dt.timedelta(hours=hours), 2 * 3_600_000)
+        known = read_table(spark, ended)
+        return ({row["MessageId"] for row in read_table(spark, table).collect()},
+                sorted((row["MessageId"], (row["arrived"] - start) / dt.timedelta(hours=1)) for row in known.collect()))
+
+    assert come(0, 0, ("a", None), ("b", 5)) == ({"a"}, [("b", 0)])
+    assert come(1, 0.25, ("b", None), ("c", 5)) == ({"a"}, [("b", 0), ("c", 0.25)])
+    assert come(2, 1, ("a", 5), ("b", 6)) == (set(), [("a", 1), ("b", 0), ("c", 0.25)])
+    # What is due goes after the batch, and only that.
+    assert come(3, 2, ("a", None), ("b", None)) == (set(), [("a", 1), ("c", 0.25)])
+    assert come(4, 2.1, ("a", None), ("b", None), ("c", None)) == ({"b"}, [("a", 1), ("c", 0.25)])
+    assert come(5, 9, ("c", None)) == ({"b"}, [])
+    assert come(6, 9.1, ("a", None)) == ({"a", "b"}, [])
+    assert come(7, 9.2, ("a", 7)) == ({"b"}, [("a", 9.2)])
+    files = [path for path in (tmp_path / "ended").rglob("*.parquet")]
+    assert len(files) == 1, "files that no entry names are deleted"
+
+
+def test_batch_of_open_events_may_run_again(spark, tmp_path, monkeypatch):
+    """A batch that failed between its two commits, and one that ran whole, leave the same when they run again."""
+    from anemos.sinks import read_table, snapshot
+    from anemos.streaming import open_events
+
+    table, ended = str(tmp_path / "table"), str(tmp_path / "ended")
+    now = dt.datetime(2024, 1, 9, 12)
+    first = spark.createDataFrame([("a", "d", 1, None, None), ("b", "d", 1, None, None)], OPEN_SCHEMA)
+    second = spark.createDataFrame([("a", "d", 1, 5, None), ("c", "d", 1, None, None)], OPEN_SCHEMA)
+    open_events.merge_messages(first, table, ended, ("s", 0), now)
+    with monkeypatch.context() as failing:
+        failing.setattr(open_events, "_note_ended", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            open_events.merge_messages(second, table, ended, ("s", 1), now)
+    for _ in range(2):
+        open_events.merge_messages(second, table, ended, ("s", 1), now)
+        assert [row["MessageId"] for row in read_table(spark, ended).collect()] == ["a"]
+    open_events.merge_messages(first, table, ended, ("s", 2), now)
+    assert sorted(row["MessageId"] for row in read_table(spark, table).collect()) == ["b", "c"]
+    assert snapshot(spark, table).version == 1
