@@ -14,8 +14,9 @@ from __future__ import annotations
 import itertools
 import re
 import struct
+import sys
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,7 +31,10 @@ LENGTH = 4096
 END_ID = 1
 GROUP_ITEMS = 20_000
 SLACK = 8
-MEMO_PIECES = 1_000_000
+# What a worker's memory of pieces may take, the share of each in the table included, and how much is tokenised at once:
+# the tokenizer needs some hundred bytes a piece for that.
+MEMO_BYTES, ENTRY_BYTES = 64 << 20, 40
+LEARN_CHARS = 1 << 15
 TOKENISED_BYTES = 1 << 20
 _LETTERS, _SIGNS = "a-zß-öø-ÿ", "!-&(-/:-@\\[-`{-~"
 _PIECES = re.compile(f"[{_LETTERS}]+|[0-9]|[{_SIGNS}]+")
@@ -43,10 +47,10 @@ class PieceTokenizer:
     by one, ignores case, and joins nothing across them.
 
     The ids of a text are those of its pieces in a row, so pieces are looked up and only
-    new ones are tokenised, many at a time. That goes for texts of Latin letters, digits and ASCII signs
+    new ones are tokenised, ``LEARN_CHARS`` at a time. That goes for texts of Latin letters, digits and ASCII signs
     without apostrophes; a text with other characters is taken apart at white space
-    only. The memory is emptied when it holds ``MEMO_PIECES``. Strings of special
-    tokens in a text are ordinary text.
+    only. The memory is emptied before it takes more than ``MEMO_BYTES``, and never holds a piece that takes more alone.
+    Strings of special tokens in a text are ordinary text.
     """
 
     def __init__(self, path: str):
@@ -58,11 +62,12 @@ class PieceTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
+        self.held = 0
 
-    def _learn(self, new: list[str]) -> None:
-        if len(self.known) + len(new) > MEMO_PIECES:
-            self.known.clear()
-        plain = [piece for piece in new if _PLAIN.fullmatch(piece)]
+    def _tokenised(self, new: list[str]) -> Iterator[tuple[str, bytes]]:
+        plain, odd = [], []
+        for piece in new:
+            (plain if _PLAIN.fullmatch(piece) else odd).append(piece)
         code = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
         ids, places = np.asarray(code.ids, "<u4"), np.asarray(code.word_ids, np.int64)
         if len(plain) != (places[-1] + 1 if len(places) else 0):
@@ -70,11 +75,31 @@ class PieceTokenizer:
         ends = np.searchsorted(places, np.arange(len(plain)), "right") * 4
         data, start = ids.tobytes(), 0
         for piece, end in zip(plain, ends.tolist()):
-            self.known[piece] = data[start:end]
+            yield piece, data[start:end]
             start = end
-        odd = [piece for piece in new if not _PLAIN.fullmatch(piece)]
         for piece, code in zip(odd, self.tokenizer.encode_batch(odd, add_special_tokens=False)):
-            self.known[piece] = np.asarray(code.ids, "<u4").tobytes()
+            yield piece, np.asarray(code.ids, "<u4").tobytes()
+
+    def _learn(self, new: Iterable[str]) -> dict[str, bytes]:
+        """The ids of new pieces, which are also remembered as far as there is room."""
+        learnt, part, chars = {}, [], 0
+        for piece in new:
+            if part and chars + len(piece) > LEARN_CHARS:
+                learnt.update(self._tokenised(part))
+                part, chars = [], 0
+            part.append(piece)
+            chars += len(piece)
+        learnt.update(self._tokenised(part))
+        for piece, code in learnt.items():
+            size = sys.getsizeof(piece) + sys.getsizeof(code) + ENTRY_BYTES
+            if size > MEMO_BYTES:
+                continue
+            if self.held + size > MEMO_BYTES:
+                self.known.clear()
+                self.held = 0
+            self.known[piece] = code
+            self.held += size
+        return learnt
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """The ids of texts in UTF-8, as little-endian unsigned 32-bit numbers."""
@@ -86,17 +111,14 @@ class PieceTokenizer:
             else:
                 pieces = [word.decode("utf-8") for word in text.split()]
             codes = list(map(self.known.get, pieces))
-            if None in codes:
-                new.update(piece for piece, code in zip(pieces, codes) if code is None)
-                found.append((pieces, codes))
-            else:
-                found.append((None, codes))
-        if new:
-            self._learn(list(new))
-        return [
-            b"".join(codes if pieces is None else [
-                self.known[piece] if code is None else code for piece, code in zip(pieces, codes)])
-            for pieces, codes in found]
+            gaps = [(at, pieces[at]) for at, code in enumerate(codes) if code is None]
+            new.update(piece for _, piece in gaps)
+            found.append((codes, gaps))
+        learnt = self._learn(new) if new else {}
+        for codes, gaps in found:
+            for at, piece in gaps:
+                codes[at] = learnt[piece]
+        return [b"".join(codes) for codes, _ in found]
 
 
 def shared_tokenizer(path: str) -> PieceTokenizer:

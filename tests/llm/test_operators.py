@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import sys
 import zlib
 from collections import Counter
 
@@ -634,6 +635,34 @@ def test_piece_tokenizer(text):
             assert ids == np.asarray(words.tokenizer.encode(one.decode(), add_special_tokens=False).ids, "<u4").tobytes()
 
 
+def test_piece_tokenizer_memory(monkeypatch):
+    """What is remembered keeps to its bytes, few long pieces or many short ones; no more than a portion is tokenised at once."""
+    monkeypatch.setattr(packing, "MEMO_BYTES", 1 << 18, raising=False)
+    monkeypatch.setattr(packing, "LEARN_CHARS", 1 << 12, raising=False)
+    words, rng, most = packing.PieceTokenizer(tokenizer_path()), random.Random(6), [0]
+    plain = words.tokenizer
+
+    class Watched:
+        def encode(self, text, **options):
+            most[0] = max(most[0], len(text))
+            return plain.encode(text, **options)
+
+        def encode_batch(self, texts, **options):
+            most[0] = max(most[0], sum(map(len, texts)))
+            return plain.encode_batch(texts, **options)
+
+    words.tokenizer = Watched()
+    short = [" ".join("".join(rng.choices("abcdeñ", k=8)) for _ in range(n)) for n in (1, 300, 2000, 9000, 2000)]
+    long = ["".join(rng.choices("中文字书", k=3000)) for _ in range(30)]
+    texts = [*short, short[1], *long, short[3], short[0], " ".join(long[:2]), "", "中" * 300_000]
+    for group in ([texts[0]], texts[1:4], texts[3:9], *([text] for text in texts[9:])):
+        for ids, text in zip(words.ids([text.encode() for text in group]), group):
+            assert ids == np.asarray(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert sum(sys.getsizeof(piece) + sys.getsizeof(ids) for piece, ids in words.known.items()) <= 1 << 18
+        if len(group[0]) < 300_000:
+            assert most[0] <= 1 << 13
+
+
 def test_packing_rounds(spark):
     """Many groups and rounds: near the bound, and every item placed once."""
     rng = random.Random(3)
